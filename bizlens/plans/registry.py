@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_tables
-from . import revenue
+from . import customers, products, revenue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,4 +27,15 @@ QUERIES: dict[str, Query] = {
     "moving_average_3m": _on_tables(revenue.moving_average_3m),
     "yoy_growth": _on_tables(revenue.yoy_growth),
     "average_order_value": _on_tables(revenue.average_order_value),
+    "top_customers": _on_tables(customers.top_customers),
+    "product_performance": _on_tables(products.product_performance),
+    "inventory_alerts": _on_tables(products.inventory_alerts),
+    "cohort_retention": _on_tables(customers.cohort_retention),
+    "rfm_segments": _on_tables(customers.rfm_segments),
+    "inactive_customers": _on_tables(customers.inactive_customers),
+    "customers_without_orders": _on_tables(customers.customers_without_orders),
+    "top_products_per_category": _on_tables(products.top_products_per_category),
+    "review_sentiment": _on_tables(products.review_sentiment),
+    "co_purchased_pairs": _on_tables(products.co_purchased_pairs),
+    "pareto": _on_tables(products.pareto),
 }
