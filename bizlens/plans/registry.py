@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_tables
-from . import customers, products, revenue
+from . import customers, products, reports, revenue
+from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,4 +39,20 @@ QUERIES: dict[str, Query] = {
     "review_sentiment": _on_tables(products.review_sentiment),
     "co_purchased_pairs": _on_tables(products.co_purchased_pairs),
     "pareto": _on_tables(products.pareto),
+    "fulfilment_times": _on_tables(reports.fulfilment_times),
+    "kpis_by_year": _on_tables(reports.kpis_by_year),
+    "country_breakdown": _on_tables(lambda t: reports.breakdown(V.sales(t), "country")),
+    "category_breakdown": _on_tables(lambda t: reports.breakdown(V.sales(t, with_customer=False), "category")),
+    "region_breakdown": _on_tables(lambda t: reports.breakdown(V.sales(t, with_product=False), "region")),
+    "region_detail": _on_tables(reports.region_detail),
+    "dashboard_regions": _on_tables(reports.dashboard_regions),
+    "dashboard_trend": _on_tables(reports.dashboard_trend),
+    "dashboard_kpis": _on_tables(reports.dashboard_kpis),
+    "criteria_report": _on_tables(reports.criteria_report),
+    "monthly_trends": _on_tables(reports.monthly_trends),
+    "executive_kpis": _on_tables(reports.executive_kpis),
+    "country_top_products": _on_tables(reports.country_top_products),
+    "product_table": _on_tables(lambda t: products.product_table(V.sales(t, with_customer=False))),
+    "value_segments": _on_tables(lambda t: customers.value_segments(V.sales(t, with_product=False),
+                                                                    customers.AS_OF)),
 }

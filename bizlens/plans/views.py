@@ -140,3 +140,23 @@ def item_facts(t, *, with_product: bool = False, with_customer: bool = False,
         f = f.join(customers(t).select("customer_id", "first_name", "last_name", "city", "country"),
                    "customer_id")
     return f
+
+
+def sales(t, *, with_product: bool = True, with_customer: bool = True) -> DataFrame:
+    """Flat transaction lines for the case-study reports (all statuses).
+
+    One row per line item: order, date, month, customer (name, country =
+    nation, region), product (name, category = part type), quantity,
+    discount (fraction) and revenue = quantity × price × (1 − discount).
+    """
+    i = order_items(t).select("order_id", "product_id", "quantity", "discount", "line_total")
+    o = orders(t).select("order_id", "customer_id", F.to_date("order_date").alias("date"))
+    f = i.join(o, "order_id").withColumn("month", F.trunc("date", "MM")).withColumnRenamed("line_total", "revenue")
+    if with_product:
+        p = products(t).select("product_id", F.col("name").alias("product"), "category")
+        f = f.join(p, "product_id")
+    if with_customer:
+        c = customers(t).select("customer_id", F.col("first_name").alias("customer_name"),
+                                F.col("city").alias("country"), F.col("country").alias("region"))
+        f = f.join(c, "customer_id")
+    return f
