@@ -446,3 +446,110 @@ SELECT customer_id, customer_name, CAST(total_orders AS BIGINT) AS total_orders,
             WHEN last_purchase < """ + AS_OF_SQL + """ - INTERVAL 90 DAY THEN 'At Risk'
             ELSE 'Regular' END AS segment
 FROM stats"""
+
+VIEW_SQL["v_ledger"] = """
+        SELECT CAST(o_orderdate AS DATE) AS date, 'Income' AS type, o_orderpriority AS category,
+               CAST(o_totalprice AS DECIMAL(12,2)) AS amount
+        FROM orders
+        UNION ALL
+        SELECT CAST(l_shipdate AS DATE), 'Expense', p_type,
+               CAST(ROUND(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(12,2))
+        FROM lineitem JOIN part ON l_partkey = p_partkey"""
+VIEW_SQL["v_budgets"] = """
+        SELECT * FROM (VALUES ('ECONOMY', 180000), ('LARGE', 190000), ('MEDIUM', 200000),
+                              ('PROMO', 170000), ('SMALL', 185000), ('STANDARD', 195000)) b(category, budget)"""
+
+
+def _cents(expr: str) -> str:
+    return f"CAST(({expr}) * 100 AS BIGINT)"
+
+
+_BUDGET_LONG = with_views("v_ledger", "v_budgets") + """,
+years AS (SELECT unnest(generate_series(MIN(year(date)), MAX(year(date)))) AS year
+          FROM v_ledger WHERE type = 'Expense'),
+grid AS (SELECT b.category, b.budget, y.year, m.month
+         FROM v_budgets b CROSS JOIN years y CROSS JOIN (SELECT unnest(generate_series(1, 12)) AS month) m),
+act AS (SELECT year(date) AS year, category, month(date) AS month, SUM(amount) AS actual
+        FROM v_ledger WHERE type = 'Expense' GROUP BY 1, 2, 3),
+long0 AS (SELECT g.year, g.category, g.month, g.budget, COALESCE(a.actual, 0) AS actual
+          FROM grid g LEFT JOIN act a ON a.year = g.year AND a.category = g.category AND a.month = g.month),
+long1 AS (SELECT year, category, month, budget, actual FROM long0
+          UNION ALL SELECT year, 'TOTAL', month, SUM(budget), SUM(actual) FROM long0 GROUP BY year, month),
+long AS (SELECT *, budget - actual AS variance,
+                CASE WHEN budget = 0 THEN 0 ELSE """ + exact_div_sql(_cents("budget - actual"), "budget * 100", 4) + \
+    """ END AS var_pct FROM long1)
+"""
+
+ORACLE["budget_vs_actual"] = _BUDGET_LONG + "SELECT year, category, " + ",\n".join(
+    f"CAST(MAX(CASE WHEN month = {m} THEN budget END) AS BIGINT) AS m{m:02d}_budget, "
+    f"CAST(MAX(CASE WHEN month = {m} THEN actual END) AS DOUBLE) AS m{m:02d}_actual, "
+    f"CAST(MAX(CASE WHEN month = {m} THEN variance END) AS DOUBLE) AS m{m:02d}_variance, "
+    f"CAST(MAX(CASE WHEN month = {m} THEN var_pct END) AS DOUBLE) AS m{m:02d}_var_pct"
+    for m in range(1, 13)) + "\nFROM long GROUP BY year, category"
+
+ORACLE["monthly_cashflow"] = with_views("v_ledger") + """,
+m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month,
+             COALESCE(SUM(amount) FILTER (WHERE type = 'Income'), 0) AS income,
+             COALESCE(SUM(amount) FILTER (WHERE type <> 'Income'), 0) AS expense
+      FROM v_ledger GROUP BY 1)
+SELECT month, CAST(income AS DOUBLE) AS income, CAST(expense AS DOUBLE) AS expense,
+       CAST(income - expense AS DOUBLE) AS net,
+       CASE WHEN income = 0 THEN 0 ELSE """ + exact_div_sql(_cents("income - expense"), _cents("income"), 4) + \
+    """ END AS savings_rate,
+       CAST(SUM(income - expense) OVER (ORDER BY month) AS DOUBLE) AS cumulative_net
+FROM m"""
+
+ORACLE["expense_categories"] = with_views("v_ledger", "v_budgets") + """,
+cat AS (SELECT year(date) AS year, category, SUM(amount) AS total_spent
+        FROM v_ledger WHERE type = 'Expense' GROUP BY 1, 2),
+j AS (SELECT c.*, SUM(total_spent) OVER (PARTITION BY year) AS year_total, COALESCE(b.budget, 0) * 12 AS annual
+      FROM cat c LEFT JOIN v_budgets b ON b.category = c.category)
+SELECT year, category, CAST(total_spent AS DOUBLE) AS total_spent,
+       CASE WHEN year_total = 0 THEN 0 ELSE """ + exact_div_sql(_cents("total_spent"), _cents("year_total"), 4) + \
+    """ END AS pct_of_total,
+       """ + exact_div_sql(_cents("total_spent"), "1200", 2) + """ AS monthly_average,
+       CAST(annual AS BIGINT) AS annual_budget, CAST(annual - total_spent AS DOUBLE) AS over_under,
+       CASE WHEN annual - total_spent >= 0 THEN 'Under Budget' ELSE 'Over Budget' END AS status
+FROM j"""
+
+ORACLE["annual_summary"] = with_views("v_ledger", "v_budgets") + """,
+pm AS (SELECT year(date) AS year, month(date) AS month,
+              COALESCE(SUM(amount) FILTER (WHERE type = 'Income'), 0)
+              - COALESCE(SUM(amount) FILTER (WHERE type <> 'Income'), 0) AS net
+       FROM v_ledger GROUP BY 1, 2),
+best AS (SELECT year, month FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY year ORDER BY net DESC, month) AS r FROM pm)
+         WHERE r = 1),
+worst AS (SELECT year, month FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY year ORDER BY net, month) AS r FROM pm)
+          WHERE r = 1),
+topcat AS (SELECT year, category FROM (
+             SELECT year(date) AS year, category,
+                    ROW_NUMBER() OVER (PARTITION BY year(date) ORDER BY SUM(amount) DESC, category) AS r
+             FROM v_ledger WHERE type = 'Expense' GROUP BY 1, 2) WHERE r = 1),
+tot AS (SELECT year(date) AS year, COALESCE(SUM(amount) FILTER (WHERE type = 'Income'), 0) AS income,
+               COALESCE(SUM(amount) FILTER (WHERE type <> 'Income'), 0) AS expense
+        FROM v_ledger GROUP BY 1),
+tb AS (SELECT SUM(budget) * 12 AS b FROM v_budgets)
+SELECT t.year, CAST(income AS DOUBLE) AS total_income, CAST(expense AS DOUBLE) AS total_expenses,
+       CAST(income - expense AS DOUBLE) AS net_savings,
+       CASE WHEN income = 0 THEN 0 ELSE """ + exact_div_sql(_cents("income - expense"), _cents("income"), 4) + \
+    """ END AS savings_rate,
+       """ + exact_div_sql(_cents("income"), "1200", 2) + """ AS avg_monthly_income,
+       """ + exact_div_sql(_cents("expense"), "1200", 2) + """ AS avg_monthly_expenses,
+       """ + exact_div_sql(_cents("income - expense"), "1200", 2) + """ AS avg_monthly_savings,
+       monthname(make_date(2000, best.month, 1)) AS best_month,
+       monthname(make_date(2000, worst.month, 1)) AS worst_month,
+       topcat.category AS largest_expense_category,
+       CAST((SELECT b FROM tb) - expense AS DOUBLE) AS overall_variance,
+       CASE WHEN (SELECT b FROM tb) - expense >= 0 THEN 'On Track' ELSE 'Over Budget' END AS budget_health
+FROM tot t JOIN best ON best.year = t.year JOIN worst ON worst.year = t.year JOIN topcat ON topcat.year = t.year"""
+
+ORACLE["quarterly_summary"] = with_views("v_ledger") + """,
+q AS (SELECT year(date) AS year, 'Q' || CAST(quarter(date) AS VARCHAR) AS quarter,
+             COALESCE(SUM(amount) FILTER (WHERE type = 'Income'), 0) AS income,
+             COALESCE(SUM(amount) FILTER (WHERE type <> 'Income'), 0) AS expense
+      FROM v_ledger GROUP BY 1, 2)
+SELECT year, quarter, CAST(income AS DOUBLE) AS income, CAST(expense AS DOUBLE) AS expense,
+       CAST(income - expense AS DOUBLE) AS net,
+       CASE WHEN income = 0 THEN 0 ELSE """ + exact_div_sql(_cents("income - expense"), _cents("income"), 4) + \
+    """ END AS savings_rate
+FROM q"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_tables
-from . import customers, products, reports, revenue
+from . import budget, customers, products, reports, revenue
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,4 +55,9 @@ QUERIES: dict[str, Query] = {
     "product_table": _on_tables(lambda t: products.product_table(V.sales(t, with_customer=False))),
     "value_segments": _on_tables(lambda t: customers.value_segments(V.sales(t, with_product=False),
                                                                     customers.AS_OF)),
+    "budget_vs_actual": _on_tables(budget.budget_vs_actual),
+    "monthly_cashflow": _on_tables(budget.monthly_cashflow),
+    "expense_categories": _on_tables(budget.expense_categories),
+    "annual_summary": _on_tables(budget.annual_summary),
+    "quarterly_summary": _on_tables(budget.quarterly_summary),
 }
