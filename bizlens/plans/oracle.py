@@ -553,3 +553,109 @@ SELECT year, quarter, CAST(income AS DOUBLE) AS income, CAST(expense AS DOUBLE)
        CASE WHEN income = 0 THEN 0 ELSE """ + exact_div_sql(_cents("income - expense"), _cents("income"), 4) + \
     """ END AS savings_rate
 FROM q"""
+
+VIEW_SQL["v_series"] = """
+        SELECT month, year(month) AS year,
+               CAST(ROUND(rev / 1000, 2) AS DECIMAL(18,2)) AS x,
+               CAST(""" + exact_div_sql("CAST(disc * 100 AS BIGINT)", "n", 2) + """ AS DECIMAL(18,2)) AS y
+        FROM (SELECT CAST(date_trunc('month', o.order_date) AS DATE) AS month, SUM(oi.line_total) AS rev,
+                     SUM(oi.discount) AS disc, COUNT(*) AS n
+              FROM v_items oi JOIN v_orders o ON o.order_id = oi.order_id GROUP BY 1)"""
+_DEPS["v_series"] = ["v_items", "v_orders"]
+
+_CORR = """CASE WHEN COUNT(*) <= 1 THEN NULL
+            WHEN stddev_pop(CAST(x AS DOUBLE)) * stddev_pop(CAST(y AS DOUBLE)) = 0 THEN 0
+            ELSE ROUND(corr(CAST(x AS DOUBLE), CAST(y AS DOUBLE)), 3) END"""
+
+ORACLE["yearly_stats"] = with_views("v_series") + """
+SELECT year, CAST(COUNT(*) AS BIGINT) AS n,
+       """ + exact_div_sql("CAST(SUM(x) * 100 AS BIGINT)", "COUNT(*) * 100", 2) + """ AS avg_x,
+       CAST(MIN(x) AS DOUBLE) AS min_x, CAST(MAX(x) AS DOUBLE) AS max_x,
+       """ + exact_div_sql("CAST(SUM(y) * 100 AS BIGINT)", "COUNT(*) * 100", 2) + """ AS avg_y,
+       CAST(MIN(y) AS DOUBLE) AS min_y, CAST(MAX(y) AS DOUBLE) AS max_y,
+       """ + _CORR + """ AS corr,
+       CAST(SUM(x) * 100 AS BIGINT) * (SELECT COUNT(*) FROM v_series)
+           > (SELECT CAST(SUM(x) * 100 AS BIGINT) FROM v_series) * COUNT(*) AS above_average_x
+FROM v_series GROUP BY year"""
+
+ORACLE["overall_stats"] = with_views("v_series") + """
+SELECT CAST(COUNT(*) AS BIGINT) AS n,
+       """ + exact_div_sql("CAST(SUM(x) * 100 AS BIGINT)", "COUNT(*) * 100", 2) + """ AS avg_x,
+       CAST(MIN(x) AS DOUBLE) AS min_x, (SELECT month FROM v_series ORDER BY x, month LIMIT 1) AS min_x_month,
+       CAST(MAX(x) AS DOUBLE) AS max_x, (SELECT month FROM v_series ORDER BY x DESC, month LIMIT 1) AS max_x_month,
+       """ + exact_div_sql("CAST(SUM(y) * 100 AS BIGINT)", "COUNT(*) * 100", 2) + """ AS avg_y,
+       CAST(MIN(y) AS DOUBLE) AS min_y, (SELECT month FROM v_series ORDER BY y, month LIMIT 1) AS min_y_month,
+       CAST(MAX(y) AS DOUBLE) AS max_y, (SELECT month FROM v_series ORDER BY y DESC, month LIMIT 1) AS max_y_month,
+       """ + _CORR + """ AS corr,
+       MAX(month) AS latest_month,
+       (SELECT CAST(x AS DOUBLE) FROM v_series ORDER BY month DESC LIMIT 1) AS latest_x,
+       (SELECT CAST(y AS DOUBLE) FROM v_series ORDER BY month DESC LIMIT 1) AS latest_y
+FROM v_series"""
+
+from .cleaning import CATEGORY_MAP, REGION_MAP, SALES_COLUMNS  # noqa: E402
+from .messy import messy_sales_sql  # noqa: E402
+from ..functions.text import NA_MARKERS  # noqa: E402
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _title_sql(x: str) -> str:
+    return (f"array_to_string(list_transform(regexp_extract_all(lower({x}), '(\\p{{L}}+|[^\\p{{L}}]+)'), "
+            f"lambda w: upper(w[1]) || w[2:]), '')")
+
+
+def _map_sql(x: str, mapping: dict) -> str:
+    arms = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in mapping.items())
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE CASE lower(trim({x})) {arms} ELSE {_title_sql(f'trim({x})')} END END"
+
+
+_NA_LIST = ", ".join(_q(m) for m in NA_MARKERS)
+VIEW_SQL["v_messy"] = messy_sales_sql()
+VIEW_SQL["v_marked"] = "SELECT " + ", ".join(
+    f"CASE WHEN {c} IN ({_NA_LIST}) THEN NULL ELSE {c} END AS {c}" for c in SALES_COLUMNS) + " FROM v_messy"
+_DEPS["v_marked"] = ["v_messy"]
+VIEW_SQL["v_clean"] = """
+        SELECT TRY_CAST(order_id AS BIGINT) AS order_id,
+               CASE WHEN regexp_full_match(date, '\\d{4}-\\d{2}-\\d{2}') THEN CAST(try_strptime(date, '%Y-%m-%d') AS DATE)
+                    WHEN regexp_full_match(date, '\\d{2}/\\d{2}/\\d{4}') THEN CAST(try_strptime(date, '%m/%d/%Y') AS DATE)
+                    WHEN regexp_full_match(date, '\\d{2}\\.\\d{2}\\.\\d{4}') THEN CAST(try_strptime(date, '%d.%m.%Y') AS DATE)
+                    WHEN regexp_full_match(date, '\\d{2}-[A-Za-z]{3}-\\d{4}') THEN CAST(try_strptime(date, '%d-%b-%Y') AS DATE)
+               END AS date,
+               """ + _map_sql("category", CATEGORY_MAP) + """ AS category,
+               """ + _title_sql("product_name") + """ AS product_name,
+               CAST(round_even(CASE WHEN TRY_CAST(quantity AS DOUBLE) BETWEEN 0 AND 1000
+                                    THEN TRY_CAST(quantity AS DOUBLE) END, 0) AS BIGINT) AS quantity,
+               CASE WHEN TRY_CAST(replace(replace(unit_price, '$', ''), ',', '') AS DOUBLE) >= 0
+                    THEN TRY_CAST(replace(replace(unit_price, '$', ''), ',', '') AS DOUBLE) END AS unit_price,
+               """ + _map_sql("region", REGION_MAP) + """ AS region,
+               salesperson
+        FROM (SELECT """ + ", ".join(f"trim(regexp_replace({c}, '\\s+', ' ', 'g')) AS {c}" for c in SALES_COLUMNS) + """
+              FROM (SELECT DISTINCT * FROM v_marked))"""
+_DEPS["v_clean"] = ["v_marked"]
+
+ORACLE["cleaned_sales"] = with_views("v_clean") + "SELECT * FROM v_clean"
+
+ORACLE["cleaning_null_report"] = with_views("v_clean") + """,
+b AS (UNPIVOT (SELECT """ + ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in SALES_COLUMNS) + """
+               FROM v_marked) ON """ + ", ".join(SALES_COLUMNS) + """ INTO NAME "column" VALUE nulls_before),
+a AS (UNPIVOT (SELECT """ + ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in SALES_COLUMNS) + """
+               FROM v_clean) ON """ + ", ".join(SALES_COLUMNS) + """ INTO NAME "column" VALUE nulls_after)
+SELECT b."column", CAST(nulls_before AS BIGINT) AS nulls_before, CAST(nulls_after AS BIGINT) AS nulls_after
+FROM b JOIN a ON a."column" = b."column\""""
+
+ORACLE["cleaning_summary"] = with_views("v_clean") + """
+SELECT CAST((SELECT COUNT(*) FROM v_marked) AS BIGINT) AS rows_before,
+       CAST((SELECT COUNT(*) FROM v_marked) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM v_marked)) AS BIGINT)
+           AS duplicates_removed,
+       CAST((SELECT COUNT(*) FROM (SELECT DISTINCT * FROM v_marked)) AS BIGINT) AS rows_after,
+       CAST((SELECT """ + " + ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL)" for c in SALES_COLUMNS) + """
+             FROM v_marked) AS BIGINT) AS nulls_before,
+       CAST((SELECT """ + " + ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL)" for c in SALES_COLUMNS) + """
+             FROM v_clean) AS BIGINT) AS nulls_after"""
+
+ORACLE["cleaning_value_counts"] = with_views("v_clean") + """
+SELECT 'category' AS "column", category AS value, CAST(COUNT(*) AS BIGINT) AS count FROM v_clean GROUP BY category
+UNION ALL
+SELECT 'region', region, CAST(COUNT(*) AS BIGINT) FROM v_clean GROUP BY region"""

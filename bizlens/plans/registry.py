@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_tables
-from . import budget, customers, products, reports, revenue
+from . import budget, cleaning, customers, products, reports, revenue, series
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,4 +60,10 @@ QUERIES: dict[str, Query] = {
     "expense_categories": _on_tables(budget.expense_categories),
     "annual_summary": _on_tables(budget.annual_summary),
     "quarterly_summary": _on_tables(budget.quarterly_summary),
+    "yearly_stats": _on_tables(series.yearly_stats),
+    "overall_stats": _on_tables(series.overall_stats),
+    "cleaned_sales": _on_tables(cleaning.cleaned_sales),
+    "cleaning_null_report": _on_tables(cleaning.cleaning_null_report),
+    "cleaning_summary": _on_tables(cleaning.cleaning_summary),
+    "cleaning_value_counts": _on_tables(cleaning.cleaning_value_counts),
 }
