@@ -659,3 +659,64 @@ ORACLE["cleaning_value_counts"] = with_views("v_clean") + """
 SELECT 'category' AS "column", category AS value, CAST(COUNT(*) AS BIGINT) AS count FROM v_clean GROUP BY category
 UNION ALL
 SELECT 'region', region, CAST(COUNT(*) AS BIGINT) FROM v_clean GROUP BY region"""
+
+
+def _rows_rule(table: str, view: str, rules: dict) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {_q(name)} AS rule, {_q(table)} AS \"table\", CAST(COUNT(*) AS BIGINT) AS checked, "
+        f"CAST(COUNT(*) FILTER (WHERE NOT COALESCE({cond}, TRUE)) AS BIGINT) AS violations FROM {view}"
+        for name, cond in rules.items())
+
+
+def _unique(table: str, view: str, cols: list) -> str:
+    k = ", ".join(cols)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    return (f"SELECT {_q(f'unique({k})')}, {_q(table)}, CAST((SELECT COUNT(*) FROM {view}) AS BIGINT), "
+            f"CAST(COALESCE((SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM {view} WHERE {nn} GROUP BY {k}) "
+            f"WHERE n > 1), 0) AS BIGINT)")
+
+
+def _fk(table: str, view: str, fk: str, parent: str, pk: str) -> str:
+    return (f"SELECT {_q(f'foreign_key({fk})')}, {_q(table)}, CAST((SELECT COUNT(*) FROM {view}) AS BIGINT), "
+            f"CAST((SELECT COUNT(*) FROM {view} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})) AS BIGINT)")
+
+
+def _nn(cols):
+    return {f"not_null({c})": f"{c} IS NOT NULL" for c in cols}
+
+
+ORACLE["constraint_report"] = with_views("v_customers", "v_products", "v_orders", "v_items", "v_inventory",
+                                         "v_reviews") + "\nUNION ALL\n".join([
+    _rows_rule("customers", "v_customers", {
+        **_nn(["customer_id", "first_name", "last_name", "email"]),
+        "email_format": "regexp_full_match(email, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}$', 'i')",
+        "length(first_name) <= 50": "length(first_name) <= 50"}),
+    _unique("customers", "v_customers", ["customer_id"]),
+    _unique("customers", "v_customers", ["email"]),
+    _rows_rule("products", "v_products", {**_nn(["product_id", "name", "price", "sku"]), "price > 0": "price > 0"}),
+    _unique("products", "v_products", ["product_id"]),
+    _unique("products", "v_products", ["sku"]),
+    _rows_rule("orders", "v_orders", {
+        **_nn(["order_id", "customer_id", "status", "order_date"]),
+        "status in enum": "status IN ('pending', 'processing', 'shipped', 'delivered', 'cancelled', 'refunded')",
+        "total_amount >= 0": "total_amount >= 0"}),
+    _unique("orders", "v_orders", ["order_id"]),
+    _fk("orders", "v_orders", "customer_id", "v_customers", "customer_id"),
+    _rows_rule("order_items", "v_items", {
+        **_nn(["order_id", "product_id", "quantity", "line_total"]),
+        "quantity > 0": "quantity > 0",
+        "discount between 0 and 1": "discount BETWEEN 0 AND 1",
+        "line_total generated": "line_total = CAST(ROUND(gross * (1 - discount), 2) AS DECIMAL(12,2))"}),
+    _unique("order_items", "v_items", ["order_id", "line_no"]),
+    _fk("order_items", "v_items", "order_id", "v_orders", "order_id"),
+    _fk("order_items", "v_items", "product_id", "v_products", "product_id"),
+    _rows_rule("inventory", "v_inventory", {"quantity >= 0": "quantity >= 0", "reorder_level >= 0": "reorder_level >= 0",
+                                            "reorder_quantity > 0": "reorder_quantity > 0"}),
+    _unique("inventory", "v_inventory", ["product_id"]),
+    _fk("inventory", "v_inventory", "product_id", "v_products", "product_id"),
+    _rows_rule("reviews", "v_reviews", {"rating between 1 and 5": "rating BETWEEN 1 AND 5"}),
+    _unique("reviews", "v_reviews", ["product_id", "customer_id"]),
+    _fk("reviews", "v_reviews", "product_id", "v_products", "product_id"),
+    _fk("reviews", "v_reviews", "customer_id", "v_customers", "customer_id"),
+])

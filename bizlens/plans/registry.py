@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_tables
-from . import budget, cleaning, customers, products, reports, revenue, series
+from . import budget, cleaning, customers, products, quality, reports, revenue, series
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,4 +66,5 @@ QUERIES: dict[str, Query] = {
     "cleaning_null_report": _on_tables(cleaning.cleaning_null_report),
     "cleaning_summary": _on_tables(cleaning.cleaning_summary),
     "cleaning_value_counts": _on_tables(cleaning.cleaning_value_counts),
+    "constraint_report": _on_tables(quality.constraint_report),
 }
