@@ -720,3 +720,57 @@ ORACLE["constraint_report"] = with_views("v_customers", "v_products", "v_orders"
     _fk("reviews", "v_reviews", "product_id", "v_products", "product_id"),
     _fk("reviews", "v_reviews", "customer_id", "v_customers", "customer_id"),
 ])
+
+_NOISE_SQL = ("regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
+              "'(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g')")
+
+
+def _text_sql(frag: str) -> str:
+    t = f"regexp_replace({frag}, '<[^>]*>', ' ', 'g')"
+    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]:
+        t = f"replace({t}, {_q(ent)}, {_q(ch)})"
+    return f"regexp_replace(regexp_replace({t}, '\\s+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+def _section_sql(h: str, tag: str) -> str:
+    return f"regexp_extract({h}, '(?s)<{tag}[^>]*>(.*?)(</{tag}>|\\z)', 1)"
+
+
+VIEW_SQL["v_page_records"] = f"""
+        SELECT page_id, host, lang, CASE WHEN title = '' THEN 'N/A' ELSE title END AS title,
+               nav_links, paragraphs, CASE WHEN words_text = '' THEN 0 ELSE len(string_split_regex(words_text, '\\s+')) END
+                   AS words
+        FROM (SELECT page_id, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1) AS host,
+                     regexp_extract(h, '<html[^>]*\\slang="([^"]*)"', 1) AS lang,
+                     {_text_sql(_section_sql('h', 'h1'))} AS title,
+                     len(regexp_extract_all({_section_sql('h', 'nav')}, '<a[\\s>/]')) AS nav_links,
+                     len(regexp_extract_all({_section_sql('h', 'article')}, '<p[\\s>/]')) AS paragraphs,
+                     {_text_sql(_section_sql('h', 'article'))} AS words_text
+              FROM (SELECT page_id, url, {_NOISE_SQL} AS h FROM pages))"""
+
+ORACLE["page_records"] = with_views("v_page_records") + """
+SELECT page_id, host, lang, title, CAST(nav_links AS BIGINT) AS nav_links, CAST(paragraphs AS BIGINT) AS paragraphs,
+       CAST(words AS BIGINT) AS words FROM v_page_records"""
+
+VIEW_SQL["v_pods"] = """
+        SELECT CASE WHEN t = '' THEN 'N/A' ELSE t END AS title,
+               TRY_CAST(replace(replace(trim(regexp_extract(pod, 'class="[^"]*price_color[^"]*"[^>]*>([^<]*)<', 1)),
+                                '£', ''), 'Â', '') AS DOUBLE) AS price,
+               CASE regexp_extract(pod, '<p[^>]*class="star-rating\\s+([A-Za-z]+)', 1)
+                    WHEN 'One' THEN 1 WHEN 'Two' THEN 2 WHEN 'Three' THEN 3 WHEN 'Four' THEN 4 WHEN 'Five' THEN 5
+                    ELSE 0 END AS rating,
+               'Unknown' AS category
+        FROM (SELECT pod, regexp_extract(pod, '(?s)<h3[^>]*>.*?<a\\s[^>]*title="([^"]*)"', 1) AS t
+              FROM (SELECT unnest(regexp_extract_all(""" + _NOISE_SQL + """,
+                           '(?s)<article[^>]*class="[^"]*product_pod[^"]*"[^>]*>(.*?)</article>', 1)) AS pod
+                    FROM pages))"""
+
+ORACLE["page_summary"] = with_views("v_page_records", "v_pods") + """
+SELECT CAST(COUNT(*) AS BIGINT) AS pages, CAST(COUNT(*) FILTER (WHERE title <> 'N/A') AS BIGINT) AS titled_pages,
+       CAST(COUNT(DISTINCT host) AS BIGINT) AS hosts, CAST(COUNT(DISTINCT lang) AS BIGINT) AS languages,
+       CAST(SUM(words) AS BIGINT) AS total_words, CAST(SUM(nav_links) AS BIGINT) AS total_nav_links,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM v_pods) AS product_records,
+       (SELECT ROUND(AVG(price), 2) FROM v_pods) AS product_avg_price,
+       (SELECT ROUND(AVG(rating), 1) FROM v_pods) AS product_avg_rating,
+       (SELECT CAST(COUNT(DISTINCT category) AS BIGINT) FROM v_pods) AS product_categories
+FROM v_page_records"""
