@@ -774,3 +774,35 @@ SELECT CAST(COUNT(*) AS BIGINT) AS pages, CAST(COUNT(*) FILTER (WHERE title <> '
        (SELECT ROUND(AVG(rating), 1) FROM v_pods) AS product_avg_rating,
        (SELECT CAST(COUNT(DISTINCT category) AS BIGINT) FROM v_pods) AS product_categories
 FROM v_page_records"""
+
+# Numeric columns (1-based position, name) of the driver tables.
+NUMERIC_COLUMNS = {
+    "region": [(1, "r_regionkey")],
+    "nation": [(1, "n_nationkey"), (3, "n_regionkey")],
+    "customer": [(1, "c_custkey"), (3, "c_nationkey"), (4, "c_acctbal")],
+    "supplier": [(1, "s_suppkey"), (3, "s_nationkey"), (4, "s_acctbal")],
+    "part": [(1, "p_partkey"), (5, "p_size"), (6, "p_retailprice")],
+    "orders": [(1, "o_orderkey"), (2, "o_custkey"), (4, "o_totalprice")],
+    "lineitem": [(1, "l_orderkey"), (2, "l_partkey"), (3, "l_suppkey"), (4, "l_linenumber"), (5, "l_quantity"),
+                 (6, "l_extendedprice"), (7, "l_discount"), (8, "l_tax")],
+    "events": [(1, "event_id"), (3, "user_id"), (5, "value")],
+    "documents": [(1, "doc_id"), (5, "n_chars")],
+    "embeddings": [(1, "vec_id"), (3, "label")],
+    "pages": [(1, "page_id")],
+    "benchmark": [(1, "item_id")],
+    "labels": [(1, "doc_id"), (2, "quality"), (3, "toxic")],
+    "conversations": [(1, "conv_id"), (2, "turn")],
+}
+
+ORACLE["folder_profile"] = "WITH f AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{t}.parquet' AS file_name, CAST(COUNT(*) AS BIGINT) AS data_rows, "
+    f"(SELECT CAST(COUNT(*) AS BIGINT) FROM information_schema.columns WHERE table_name = '{t}') AS column_count, "
+    f"CAST({len(cols)} AS BIGINT) AS numeric_column_count, 'OK' AS status FROM {t}"
+    for t, cols in NUMERIC_COLUMNS.items()) + """)
+SELECT * FROM f
+UNION ALL SELECT 'TOTAL', SUM(data_rows), NULL, NULL, NULL FROM f"""
+
+ORACLE["folder_column_profile"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}.parquet' AS file_name, {i} AS col_no, '{c}' AS col_name, CAST(MIN({c}) AS DOUBLE) AS min, "
+    f"CAST(MAX({c}) AS DOUBLE) AS max, ROUND(AVG(CAST({c} AS DOUBLE)), 4) AS avg FROM {t}"
+    for t, cols in NUMERIC_COLUMNS.items() for i, c in cols)

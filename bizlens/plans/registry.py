@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_tables
-from . import budget, cleaning, customers, pages, products, quality, reports, revenue, series
+from . import budget, cleaning, customers, pages, products, profiling, quality, reports, revenue, series
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,4 +69,6 @@ QUERIES: dict[str, Query] = {
     "constraint_report": _on_tables(quality.constraint_report),
     "page_records": _on_tables(pages.page_records),
     "page_summary": _on_tables(pages.page_summary),
+    "folder_profile": _on_tables(profiling.folder_profile),
+    "folder_column_profile": _on_tables(profiling.folder_column_profile),
 }
