@@ -806,3 +806,25 @@ ORACLE["folder_column_profile"] = "\nUNION ALL\n".join(
     f"SELECT '{t}.parquet' AS file_name, {i} AS col_no, '{c}' AS col_name, CAST(MIN({c}) AS DOUBLE) AS min, "
     f"CAST(MAX({c}) AS DOUBLE) AS max, ROUND(AVG(CAST({c} AS DOUBLE)), 4) AS avg FROM {t}"
     for t, cols in NUMERIC_COLUMNS.items() for i, c in cols)
+
+ORACLE["tree_rollup"] = with_views("v_valid", "v_items", "v_customers") + """,
+nodes AS (SELECT CAST(r_regionkey AS BIGINT) AS id, CAST(NULL AS BIGINT) AS parent_id, r_name AS name FROM region
+          UNION ALL
+          SELECT CAST(n_nationkey + 100 AS BIGINT), CAST(n_regionkey AS BIGINT), n_name FROM nation),
+walk AS (SELECT n.id, n.name, 1 AS level, n.name AS root_name, n.name AS path, n.id AS root_id
+         FROM nodes n WHERE parent_id IS NULL
+         UNION ALL
+         SELECT c.id, c.name, 2, p.name, p.name || ' > ' || c.name, p.id
+         FROM nodes c JOIN nodes p ON c.parent_id = p.id),
+spend AS (SELECT o.customer_id, SUM(oi.line_total) AS s FROM v_valid o JOIN v_items oi ON oi.order_id = o.order_id
+          GROUP BY o.customer_id),
+leaf AS (SELECT CAST(c.nation_id + 100 AS BIGINT) AS leaf, COUNT(*) AS customers, COALESCE(SUM(s.s), 0) AS revenue
+         FROM v_customers c LEFT JOIN spend s ON s.customer_id = c.customer_id GROUP BY 1)
+SELECT w.id, w.name, CAST(w.level AS BIGINT) AS level, w.root_name, w.path,
+       CAST(COALESCE(CASE WHEN w.level = 1 THEN (SELECT SUM(customers) FROM leaf JOIN walk k ON k.id = leaf.leaf
+                                                  WHERE k.root_id = w.id)
+                          ELSE (SELECT customers FROM leaf WHERE leaf.leaf = w.id) END, 0) AS BIGINT) AS customers,
+       CAST(COALESCE(CASE WHEN w.level = 1 THEN (SELECT SUM(revenue) FROM leaf JOIN walk k ON k.id = leaf.leaf
+                                                  WHERE k.root_id = w.id)
+                          ELSE (SELECT revenue FROM leaf WHERE leaf.leaf = w.id) END, 0) AS DOUBLE) AS revenue
+FROM walk w"""

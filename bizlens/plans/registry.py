@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_tables
-from . import budget, cleaning, customers, pages, products, profiling, quality, reports, revenue, series
+from . import (budget, cleaning, customers, hierarchy, pages, products, profiling, quality, reports, revenue,
+               series)
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,4 +72,5 @@ QUERIES: dict[str, Query] = {
     "page_summary": _on_tables(pages.page_summary),
     "folder_profile": _on_tables(profiling.folder_profile),
     "folder_column_profile": _on_tables(profiling.folder_column_profile),
+    "tree_rollup": _on_tables(hierarchy.tree_rollup),
 }
