@@ -16,6 +16,13 @@ so they go through :func:`global_row_window`:
    running sums (Arrow batches, no further shuffle).
 
 Ties are the caller's business: pass a unique tie-break column last.
+
+Size switch (``distributed=None``, the default): the input — normally a
+per-customer or per-product aggregate — is first written once with a
+reliable checkpoint and counted.  Only when the count proves it small
+(``LOCAL_WINDOW_MAX_ROWS``) does a single-task window run over it; otherwise
+the distributed path above starts from that checkpoint, so the upstream joins
+are never recomputed.
 """
 
 from __future__ import annotations
@@ -34,6 +41,9 @@ from ..session import default_parallelism, ensure_checkpoint_dir
 # (column name, ascending)
 OrderKey = tuple[str, bool]
 
+# Largest row count for which one task may run a global ordered window.
+LOCAL_WINDOW_MAX_ROWS = 2_000_000
+
 
 def _sort_exprs(keys: Sequence[OrderKey]) -> list[Column]:
     # NULL placement is spelled out so every engine agrees: nulls last.
@@ -65,17 +75,24 @@ def _local_window(df: DataFrame, keys, rn_col, cum, total_col):
 
 def global_row_window(df: DataFrame, keys: Sequence[OrderKey], *, rn_col: str = "row_num",
                       cum: tuple[str, str] | None = None, total_col: str | None = None,
-                      distributed: bool | None = True, partitions: int | None = None) -> DataFrame:
+                      distributed: bool | None = None, partitions: int | None = None,
+                      local_max_rows: int = LOCAL_WINDOW_MAX_ROWS) -> DataFrame:
     """Global ``ROW_NUMBER() OVER (ORDER BY keys)`` and optional running sum (ROWS frame).
 
     ``keys`` must identify rows uniquely (add a tie-break).  ``distributed=False``
-    is for inputs with a proven small size (calendar aggregates).
+    is for inputs with a size bound known in advance (calendar aggregates);
+    ``None`` measures the input (see module doc); ``True`` forces the
+    distributed path.
     """
-    if not distributed:
+    if distributed is False:
         return _local_window(df, keys, rn_col, cum, total_col)
 
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    if distributed is None:
+        df = df.checkpoint(eager=True)
+        if df.count() <= local_max_rows:
+            return _local_window(df, keys, rn_col, cum, total_col)
     n_parts = partitions or default_parallelism(spark)
     sort = _sort_exprs(keys)
     ranged = (df.repartitionByRange(n_parts, *sort)
@@ -140,7 +157,7 @@ def global_row_window(df: DataFrame, keys: Sequence[OrderKey], *, rn_col: str =
 
 
 def global_peer_cumsum(df: DataFrame, peer_col: str, ascending: bool, src: str, dst: str,
-                       distributed: bool | None = True) -> DataFrame:
+                       distributed: bool | None = None) -> DataFrame:
     """``SUM(src) OVER (ORDER BY peer_col)`` with the default RANGE frame: equal
     values of ``peer_col`` (peers) share one cumulative value.
 
@@ -155,7 +172,7 @@ def global_peer_cumsum(df: DataFrame, peer_col: str, ascending: bool, src: str,
 
 
 def global_ntile(df: DataFrame, keys: Sequence[OrderKey], k: int, out_col: str,
-                 distributed: bool | None = True) -> DataFrame:
+                 distributed: bool | None = None) -> DataFrame:
     """E5: ``NTILE(k) OVER (ORDER BY keys)`` without a single-task window."""
     ranked = global_row_window(df, keys, rn_col="_rn", total_col="_n", distributed=distributed)
     return ranked.withColumn(out_col, ntile_from_rank(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")

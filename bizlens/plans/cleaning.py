@@ -40,11 +40,10 @@ def mark_missing(raw: DataFrame) -> DataFrame:
     return raw.select(*[X.na_to_null(F.col(c)).alias(c) for c in raw.columns])
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
-    """``raw`` is all strings (as read by ``read_sales_csv``)."""
-    df = mark_missing(raw).dropDuplicates()
-    s = {c: X.squeeze(F.col(c)) for c in df.columns}
-    return df.select(
+def clean_columns(df: DataFrame) -> list:
+    """The cleaning projection (steps 3-9) over de-duplicated string columns."""
+    s = {c: X.squeeze(F.col(c)) for c in SALES_COLUMNS}
+    return [
         s["order_id"].try_cast("long").alias("order_id"),
         D.parse_date_multi(s["date"]).alias("date"),
         L.map_with_fallback(s["category"], CATEGORY_MAP).alias("category"),
@@ -52,7 +51,21 @@ def clean_sales(raw: DataFrame) -> DataFrame:
         X.parse_quantity(s["quantity"]).alias("quantity"),
         X.parse_price(s["unit_price"]).alias("unit_price"),
         L.map_with_fallback(s["region"], REGION_MAP).alias("region"),
-        s["salesperson"].alias("salesperson"))
+        s["salesperson"].alias("salesperson")]
+
+
+def clean_sales(raw: DataFrame) -> DataFrame:
+    """``raw`` is all strings (as read by ``read_sales_csv``)."""
+    return mark_missing(raw).dropDuplicates().select(*clean_columns(raw))
+
+
+def distinct_with_multiplicity(raw: DataFrame) -> DataFrame:
+    """The de-duplication as a grouping that keeps each row's multiplicity ``_n``.
+
+    It is the same single shuffle as ``dropDuplicates`` (partial aggregation
+    first), and it lets every before/after number of L19 come from one pass.
+    """
+    return mark_missing(raw).groupBy(*SALES_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def cleaned_sales(t) -> DataFrame:
@@ -60,23 +73,28 @@ def cleaned_sales(t) -> DataFrame:
 
 
 def cleaning_null_report(t) -> DataFrame:
-    """NULL count per column before and after cleaning (D19), one scan each."""
-    raw = mark_missing(messy_sales(t))
-    before = P.null_counts(raw).withColumnRenamed("nulls", "nulls_before")
-    after = P.null_counts(clean_sales(messy_sales(t))).withColumnRenamed("nulls", "nulls_after")
-    return to_report(before.join(after, "column", "outer"))
+    """NULL count per column before and after cleaning."""
+    g = distinct_with_multiplicity(messy_sales(t))
+    both = g.select("_n", *[F.col(c).alias(f"b_{c}") for c in SALES_COLUMNS],
+                    *[c.alias(f"a_{n}") for c, n in zip(clean_columns(g), SALES_COLUMNS)])
+    wide = both.agg(*[F.sum(F.when(F.col(f"b_{c}").isNull(), F.col("_n")).otherwise(0)).alias(f"b_{c}")
+                      for c in SALES_COLUMNS],
+                    *[F.count_if(F.col(f"a_{c}").isNull()).alias(f"a_{c}") for c in SALES_COLUMNS])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"b_{c}").alias("nulls_before"),
+                                        F.col(f"a_{c}").alias("nulls_after")) for c in SALES_COLUMNS]))
+    return to_report(wide.select(rows.alias("_r")).select("_r.*"))
 
 
 def cleaning_summary(t) -> DataFrame:
-    """Rows before, duplicate rows (D21), rows after, total NULLs before/after."""
-    raw = mark_missing(messy_sales(t))
-    dup = P.duplicate_count(raw)
-    clean = clean_sales(messy_sales(t))
-    nb = P.null_counts(raw).agg(F.sum("nulls")).scalar()
-    na = P.null_counts(clean).agg(F.sum("nulls")).scalar()
-    out = raw.agg(F.count(F.lit(1)).alias("rows_before")).select(
-        "rows_before", dup.alias("duplicates_removed"), (F.col("rows_before") - dup).alias("rows_after"),
-        nb.alias("nulls_before"), na.alias("nulls_after"))
+    """Rows before, duplicate rows (D21), rows after, total NULLs before/after — one pass."""
+    g = distinct_with_multiplicity(messy_sales(t))
+    both = g.select("_n", *[F.col(c).alias(f"b_{c}") for c in SALES_COLUMNS],
+                    *[c.alias(f"a_{n}") for c, n in zip(clean_columns(g), SALES_COLUMNS)])
+    nulls_before = sum(F.when(F.col(f"b_{c}").isNull(), F.col("_n")).otherwise(0) for c in SALES_COLUMNS)
+    nulls_after = sum(F.when(F.col(f"a_{c}").isNull(), 1).otherwise(0) for c in SALES_COLUMNS)
+    out = both.agg(F.sum("_n").alias("rows_before"), F.sum(F.col("_n") - 1).alias("duplicates_removed"),
+                   F.count(F.lit(1)).alias("rows_after"), F.sum(nulls_before).alias("nulls_before"),
+                   F.sum(nulls_after).alias("nulls_after"))
     return to_report(out)
 
 

@@ -100,7 +100,7 @@ def co_purchased_pairs(t, min_count: int = 2) -> DataFrame:
     return to_report(out)
 
 
-def pareto(t, distributed: bool = True) -> DataFrame:
+def pareto(t, distributed: bool | None = None) -> DataFrame:
     """Cumulative revenue share by product, 80/20 split.
 
     The cumulative sum uses the RANGE frame (equal revenues share a value);
