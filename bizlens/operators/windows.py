@@ -196,15 +196,22 @@ def share_of_total(df: DataFrame, value: str, out: str, partition_cols: Sequence
     The total is an aggregate joined back by key (or a one-row scalar), so no
     window gathers the whole frame in one task.
     """
-    factor = F.lit(1) if as_fraction else F.lit(100)
+    factor = 1 if as_fraction else 100
     if partition_cols:
         totals = df.groupBy(*partition_cols).agg(F.sum(value).alias("_tot"))
         j = df.join(totals, list(partition_cols), "left")
     else:
         total = df.select(F.sum(value)).scalar()
         j = df.withColumn("_tot", total)
-    ratio = F.when(F.col("_tot") == 0, F.lit(0)).otherwise(F.try_divide(F.col(value) * factor, F.col("_tot")))
-    return j.withColumn(out, F.round(ratio, scale)).drop("_tot")
+    dtype = df.schema[value].dataType
+    exact = isinstance(dtype, T.IntegralType) or (isinstance(dtype, T.DecimalType) and dtype.scale <= 2)
+    if exact:
+        # money and counts: exact half-up rounding in integer arithmetic
+        from ..plans.common import money_div
+        ratio = money_div(F.col(value) * factor, F.col("_tot"), scale)
+    else:
+        ratio = F.round(F.try_divide(F.col(value) * factor, F.col("_tot")), scale)
+    return j.withColumn(out, F.when(F.col("_tot") == 0, F.lit(0.0)).otherwise(ratio)).drop("_tot")
 
 
 def running_total(df: DataFrame, order_col: str, value: str, out: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import criteria as C
 from ..operators import lookups as L
 from . import views as V
-from .common import to_report
+from .common import money_div, to_report
 
 # Monthly budget per expense category (part type) of the ledger.
 MONTHLY_BUDGETS = {
@@ -61,7 +61,7 @@ def budget_vs_actual_long(led: DataFrame, budgets: DataFrame) -> DataFrame:
     g = g.withColumn("category", F.when(F.col("_t") == 1, F.lit("TOTAL")).otherwise(F.col("category"))).drop("_t")
     var = F.col("budget") - F.col("actual")
     return g.select("year", "category", "month", "budget", "actual", var.alias("variance"),
-                    F.when(F.col("budget") == 0, F.lit(0)).otherwise(F.round(var / F.col("budget"), 4))
+                    F.when(F.col("budget") == 0, F.lit(0.0)).otherwise(money_div(var, F.col("budget"), 4))
                      .alias("var_pct"))
 
 
@@ -86,7 +86,7 @@ def monthly_cashflow(t) -> DataFrame:
     m = C.split_sums(led, "type", "amount", group_by=["month"])
     net = F.col("income") - F.col("expense")
     m = m.select("month", "income", "expense", net.alias("net"),
-                 F.when(F.col("income") == 0, F.lit(0)).otherwise(F.round(net / F.col("income"), 4))
+                 F.when(F.col("income") == 0, F.lit(0.0)).otherwise(money_div(net, F.col("income"), 4))
                   .alias("savings_rate"))
     # One row per calendar month: a small frame, a plain ordered window.
     w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -106,9 +106,9 @@ def expense_categories(t) -> DataFrame:
     annual = F.col("budget") * 12
     over = annual - F.col("total_spent")
     out = j.select("year", "category", "total_spent",
-                   F.when(F.col("_year_total") == 0, F.lit(0))
-                    .otherwise(F.round(F.col("total_spent") / F.col("_year_total"), 4)).alias("pct_of_total"),
-                   F.round(F.col("total_spent") / 12, 2).alias("monthly_average"),
+                   F.when(F.col("_year_total") == 0, F.lit(0.0))
+                    .otherwise(money_div(F.col("total_spent"), F.col("_year_total"), 4)).alias("pct_of_total"),
+                   money_div(F.col("total_spent"), F.lit(12), 2).alias("monthly_average"),
                    annual.alias("annual_budget"), over.alias("over_under"),
                    F.when(over >= 0, "Under Budget").otherwise("Over Budget").alias("status"))
     return to_report(out)
@@ -137,11 +137,11 @@ def annual_summary(t) -> DataFrame:
     out = (tot.join(months, "year").join(top_cat, "year")
               .select("year", F.col("income").alias("total_income"), F.col("expense").alias("total_expenses"),
                       net.alias("net_savings"),
-                      F.when(F.col("income") == 0, F.lit(0)).otherwise(F.round(net / F.col("income"), 4))
+                      F.when(F.col("income") == 0, F.lit(0.0)).otherwise(money_div(net, F.col("income"), 4))
                        .alias("savings_rate"),
-                      F.round(F.col("income") / 12, 2).alias("avg_monthly_income"),
-                      F.round(F.col("expense") / 12, 2).alias("avg_monthly_expenses"),
-                      F.round(net / 12, 2).alias("avg_monthly_savings"),
+                      money_div(F.col("income"), F.lit(12), 2).alias("avg_monthly_income"),
+                      money_div(F.col("expense"), F.lit(12), 2).alias("avg_monthly_expenses"),
+                      money_div(net, F.lit(12), 2).alias("avg_monthly_savings"),
                       F.date_format(F.make_date(F.lit(2000), F.col("best_month"), F.lit(1)), "MMMM")
                        .alias("best_month"),
                       F.date_format(F.make_date(F.lit(2000), F.col("worst_month"), F.lit(1)), "MMMM")
@@ -160,5 +160,5 @@ def quarterly_summary(t) -> DataFrame:
     q = C.split_sums(led, "type", "amount", group_by=["year", "quarter"])
     net = F.col("income") - F.col("expense")
     return to_report(q.select("year", "quarter", "income", "expense", net.alias("net"),
-                              F.when(F.col("income") == 0, F.lit(0))
-                               .otherwise(F.round(net / F.col("income"), 4)).alias("savings_rate")))
+                              F.when(F.col("income") == 0, F.lit(0.0))
+                               .otherwise(money_div(net, F.col("income"), 4)).alias("savings_rate")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import baskets
 from ..operators import windows as W
 from . import views as V
-from .common import round_ratio, to_report
+from .common import money_div, round_ratio, to_report
 
 
 def product_sales(t) -> DataFrame:
@@ -117,7 +117,7 @@ def pareto(t, distributed: bool | None = None) -> DataFrame:
     total = pr.select(F.sum("revenue")).scalar()
     cum = F.col("cumulative_revenue")
     out = ranked.select("product_rank", "name", "revenue",
-                        F.round(cum * 100 / total, 2).alias("cumulative_pct"),
+                        money_div(cum * 100, total, 2).alias("cumulative_pct"),
                         round_ratio(F.col("product_rank") * 100, F.col("total_products"), 2)
                          .alias("pct_of_products"),
                         F.when(cum <= total * F.lit(0.8), "Top 80% revenue").otherwise("Long tail")
@@ -134,8 +134,8 @@ def product_table(sales: DataFrame, k: int = 5) -> DataFrame:
     agg = (sales.groupBy("product_id", "product", "category")
                 .agg(F.sum("revenue").alias("total_revenue"), F.count(F.lit(1)).alias("total_orders")))
     agg = agg.withColumn("avg_order_value",
-                         F.round(F.when(F.col("total_orders") > 0,
-                                        F.col("total_revenue") / F.col("total_orders")).otherwise(0), 2))
+                         F.when(F.col("total_orders") > 0,
+                                money_div(F.col("total_revenue"), F.col("total_orders"), 2)).otherwise(0.0))
     top = agg.orderBy(F.col("total_revenue").desc(), F.col("product_id").asc()).limit(k) \
              .select("product_id", F.lit(True).alias("is_top"))
     bottom = agg.orderBy(F.col("total_revenue").asc(), F.col("product_id").desc()).limit(k) \

@@ -17,7 +17,7 @@ from ..operators import criteria as C
 from ..operators import lookups as L
 from ..operators import windows as W
 from . import views as V
-from .common import round_ratio, to_report
+from .common import money_div, round_ratio, to_report
 
 
 # --------------------------------------------------------------------------- L14
@@ -62,16 +62,16 @@ def kpis_by_year(t) -> DataFrame:
                .join(_top_per(by_reg, "year", "region", "rev", "top_region"), "year"))
     h1, h2 = F.col("h1_revenue"), F.col("h2_revenue")
     out = out.select("year", "total_revenue", "total_units", "h1_revenue", "h2_revenue",
-                     F.when(h1 == 0, F.lit(0)).otherwise(F.round((h2 - h1) / h1, 4)).alias("growth"),
+                     F.when(h1 == 0, F.lit(0.0)).otherwise(money_div(h2 - h1, h1, 4)).alias("growth"),
                      "top_product", "top_region",
-                     F.round(F.col("total_revenue") / 12, 2).alias("avg_revenue_per_month"))
+                     money_div(F.col("total_revenue"), F.lit(12), 2).alias("avg_revenue_per_month"))
     return to_report(out)
 
 
 def breakdown(sales: DataFrame, key: str) -> DataFrame:
     """L20/L33/L34 share tables: revenue, line count, average, fraction of total (4 dp)."""
     g = sales.groupBy(key).agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"))
-    g = g.withColumn("avg_order_value", F.round(F.col("revenue") / F.col("orders"), 2))
+    g = g.withColumn("avg_order_value", money_div(F.col("revenue"), F.col("orders"), 2))
     return to_report(W.share_of_total(g, "revenue", "share", scale=4, as_fraction=True))
 
 
@@ -112,7 +112,7 @@ def dashboard_trend(t) -> DataFrame:
 def dashboard_kpis(t) -> DataFrame:
     """L21 / D11 KPI row: total, average per line, line count (COUNTA), units."""
     s = V.sales(t, with_product=False, with_customer=False)
-    out = s.agg(F.sum("revenue").alias("total_revenue"), F.round(F.avg("revenue"), 2).alias("avg_revenue"),
+    out = s.agg(F.sum("revenue").alias("total_revenue"), money_div(F.sum("revenue"), F.count("revenue"), 2).alias("avg_revenue"),
                 F.count("order_id").alias("transactions"), F.sum("quantity").alias("total_units"))
     return to_report(out)
 
@@ -123,8 +123,10 @@ CRITERIA_CELLS = {
     "revenue_europe_promo": ("sum", "revenue", {"region": "EUROPE", "category": "PROMO"}),
     "lines_germany": ("count", {"country": "GERMANY"}),
     "lines_asia_qty25": ("count", {"region": "ASIA", "quantity": ">=25"}),
-    "avg_revenue_america": ("avg", "revenue", {"region": "AMERICA"}),
-    "avg_qty_small_africa": ("avg", "quantity", {"category": "SMALL", "region": "AFRICA"}),
+    "_sum_revenue_america": ("sum", "revenue", {"region": "AMERICA"}),
+    "_n_america": ("count", {"region": "AMERICA"}),
+    "_sum_qty_small_africa": ("sum", "quantity", {"category": "SMALL", "region": "AFRICA"}),
+    "_n_small_africa": ("count", {"category": "SMALL", "region": "AFRICA"}),
     "revenue_jan_1996": ("sum", "revenue", {"date": (dt.date(1996, 1, 1), dt.date(1996, 1, 31))}),
 }
 
@@ -132,9 +134,11 @@ CRITERIA_CELLS = {
 def criteria_report(t) -> DataFrame:
     """Seven criteria cells in one aggregation pass."""
     out = C.criteria_cells(V.sales(t), CRITERIA_CELLS)
-    out = (out.withColumn("avg_revenue_america", F.round("avg_revenue_america", 2))
-              .withColumn("avg_qty_small_africa", F.round("avg_qty_small_africa", 4)))
-    return to_report(out)
+    # AVERAGEIFS cells as SUMIFS / COUNTIFS, rounded exactly; no match -> NULL
+    out = (out.withColumn("avg_revenue_america", money_div(F.col("_sum_revenue_america"), F.col("_n_america"), 2))
+              .withColumn("avg_qty_small_africa",
+                          round_ratio(F.col("_sum_qty_small_africa"), F.col("_n_small_africa"), 4)))
+    return to_report(out.drop("_sum_revenue_america", "_n_america", "_sum_qty_small_africa", "_n_small_africa"))
 
 
 # --------------------------------------------------------------------------- L32-L34
@@ -150,7 +154,7 @@ def monthly_trends(t) -> DataFrame:
     new = first.groupBy("month").agg(F.count(F.lit(1)).alias("new_customers"))
     out = m.join(new, "month", "left").select(
         "month", "orders", F.round("revenue", 2).alias("revenue"),
-        F.round(F.col("revenue") / F.col("orders"), 2).alias("avg_order_value"),
+        money_div(F.col("revenue"), F.col("orders"), 2).alias("avg_order_value"),
         F.coalesce("new_customers", F.lit(0)).alias("new_customers"))
     return to_report(out)
 
@@ -166,7 +170,7 @@ def executive_kpis(t) -> DataFrame:
     out = s.agg(F.sum("revenue").alias("total_revenue"), F.count(F.lit(1)).alias("total_orders"),
                 F.count_distinct("customer_id").alias("unique_customers"))
     out = out.select("*", top_c.alias("top_country"), top_p.alias("top_product"),
-                     F.round(F.col("total_revenue") / F.col("total_orders"), 2).alias("avg_order_value"))
+                     money_div(F.col("total_revenue"), F.col("total_orders"), 2).alias("avg_order_value"))
     return to_report(out)
 
 

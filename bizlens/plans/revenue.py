@@ -3,12 +3,12 @@ L8 moving average, L9 year over year, L11 average order value."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import windows as W
 from . import views as V
-from .common import to_report
+from .common import money_div, to_report
 
 
 def order_revenue(t) -> DataFrame:
@@ -73,8 +73,9 @@ def category_revenue(t) -> DataFrame:
 def moving_average_3m(t) -> DataFrame:
     """L8."""
     m = monthly_revenue(t).select("month", "revenue")
-    out = W.moving_average(m, "month", "revenue", "moving_avg_3m", rows=3)
-    return to_report(out.withColumn("moving_avg_3m", F.round("moving_avg_3m", 2)))
+    w = Window.orderBy("month").rowsBetween(-2, Window.currentRow)
+    out = m.withColumn("moving_avg_3m", money_div(F.sum("revenue").over(w), F.count(F.lit(1)).over(w), 2))
+    return to_report(out)
 
 
 def yoy_growth(t, strict: bool = False) -> DataFrame:
@@ -84,8 +85,8 @@ def yoy_growth(t, strict: bool = False) -> DataFrame:
         out = W.lag_calendar(m, "month", "current_revenue", "prior_year_revenue", 12)
     else:
         out = W.lag_rows(m, "month", "current_revenue", "prior_year_revenue", 12)
-    growth = F.round(F.try_divide((F.col("current_revenue") - F.col("prior_year_revenue")) * F.lit(100),
-                                  F.nullif(F.col("prior_year_revenue"), F.lit(0))), 2)
+    growth = money_div((F.col("current_revenue") - F.col("prior_year_revenue")) * 100,
+                       F.col("prior_year_revenue"), 2)
     out = out.withColumn("yoy_growth_pct", F.when(F.col("prior_year_revenue").isNotNull(), growth))
     return to_report(out)
 
@@ -94,5 +95,5 @@ def average_order_value(t) -> DataFrame:
     """L11."""
     m = monthly_revenue(t)
     out = m.select("month", F.col("order_count"),
-                   F.round(F.try_divide(F.col("revenue"), F.col("order_count")), 2).alias("avg_order_value"))
+                   money_div(F.col("revenue"), F.col("order_count"), 2).alias("avg_order_value"))
     return to_report(out)

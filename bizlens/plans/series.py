@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import views as V
-from .common import round_ratio, to_report
+from .common import money_div, round_ratio, to_report
 
 
 def monthly_series(t) -> DataFrame:
@@ -20,7 +20,7 @@ def monthly_series(t) -> DataFrame:
     o = V.orders(t).select("order_id", F.trunc("order_date", "MM").alias("month"))
     g = (i.join(o, "order_id").groupBy("month")
           .agg(F.sum("line_total").alias("_rev"), F.sum("discount").alias("_disc"), F.count(F.lit(1)).alias("_n")))
-    x = F.round(F.col("_rev") / 1000, 2).cast("decimal(18,2)")
+    x = money_div(F.col("_rev"), F.lit(1000), 2).cast("decimal(18,2)")
     y = round_ratio((F.col("_disc") * 100).cast("long"), F.col("_n"), 2).cast("decimal(18,2)")
     return g.select("month", F.year("month").alias("year"), x.alias("x"), y.alias("y"))
 
