@@ -86,17 +86,21 @@ def networkdays_with_holidays(df: DataFrame, start: str, end: str, holidays: Dat
                               holiday_col: str = "holiday", out: str = "networkdays") -> DataFrame:
     """H11 with a holiday calendar: weekday holidays inside the range are subtracted.
 
-    The calendar is a small dimension (a few rows per year).  Holiday hits are
-    counted per distinct (start, end) pair and joined back on that pair, so
-    the row count and row identity of ``df`` are untouched.
+    Holiday hits are counted per distinct (start, end) pair: each pair is
+    expanded to the calendar years it spans and equi-joined with the holidays
+    on the year (no broadcast of the calendar is forced; AQE picks the
+    strategy from its measured size), then joined back on the pair, so the
+    rows of ``df`` are untouched.
     """
-    h = holidays.select(F.col(holiday_col).cast("date").alias("_h")).where(F.weekday("_h") < 5).distinct()
+    h = (holidays.select(F.col(holiday_col).cast("date").alias("_h")).where(F.weekday("_h") < 5).distinct()
+                 .withColumn("_y", F.year("_h")))
     pairs = df.select(F.col(start).alias("_s"), F.col(end).alias("_e")).distinct()
     lo, hi = F.least("_s", "_e"), F.greatest("_s", "_e")
-    hits = (pairs.join(F.broadcast(h), (F.col("_h") >= lo) & (F.col("_h") <= hi))
+    spans = pairs.select("_s", "_e", F.explode(F.sequence(F.year(lo), F.year(hi))).alias("_y"))
+    hits = (spans.join(h, "_y").where((F.col("_h") >= lo) & (F.col("_h") <= hi))
                  .groupBy("_s", "_e").agg(F.count(F.lit(1)).alias("_nh")))
     sign = F.when(F.col(end) >= F.col(start), 1).otherwise(-1)
-    j = df.join(hits, (df[start] == hits["_s"]) & (df[end] == hits["_e"]), "left")
+    j = df.join(hits, (df[start].eqNullSafe(hits["_s"])) & (df[end].eqNullSafe(hits["_e"])), "left")
     return (j.withColumn(out, networkdays(F.col(start), F.col(end)) - sign * F.coalesce("_nh", F.lit(0)))
              .drop("_s", "_e", "_nh"))
 

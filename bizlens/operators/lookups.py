@@ -1,9 +1,9 @@
 """Lookups and mappings.
 
-Lookup tables are joined, never collected.  No side is force-broadcast unless
-its size is bounded by construction (a literal mapping, a bracket table);
-otherwise AQE turns the join into a broadcast at run time when the measured
-side is small.
+Lookup tables are joined, never collected.  No side is force-broadcast
+without a size check: equi-joins are left to AQE (a broadcast only when the
+measured side is small); the bracket range join counts its table first and
+switches to a broadcast-free as-of lookup beyond a limit.
 """
 
 from __future__ import annotations
@@ -48,19 +48,42 @@ def xlookup(df: DataFrame, value_col: str, table: DataFrame, key: str, ret: str,
                              .otherwise(F.lit(default))).drop("_lk", "_lv", "_hit")
 
 
+# Largest bracket table that is broadcast for a range join.
+BROADCAST_MAX_BRACKETS = 100_000
+
+
 def bracket_lookup(df: DataFrame, value_col: str, brackets: DataFrame, lo: str, ret: str,
-                   out: str) -> DataFrame:
+                   out: str, distributed: bool | None = None) -> DataFrame:
     """VLOOKUP(v, brackets, 2, TRUE): the row with the largest ``lo`` <= v.
 
-    Brackets become half-open ranges [lo, next lo) and meet the data in a
-    broadcast range join: a bracket table (tax rates, grades, tiers) is a
-    short list, and the broadcast is of that list only.  Below the first
-    bound the answer is NULL.
+    Below the first bound the answer is NULL.  The bracket table is counted
+    first.  Up to ``BROADCAST_MAX_BRACKETS`` rows it becomes half-open ranges
+    [lo, next lo) in a broadcast range join.  Beyond that, an as-of lookup
+    without broadcast: data values and bracket bounds are merged in one global
+    order (bounds before equal values), a distributed running count of bounds
+    gives every value its bracket number, and an equi-join on that number
+    fetches the answer.
     """
-    w = Window.orderBy(F.col(lo).asc())
-    ranges = brackets.select(F.col(lo).alias("_lo"), F.lead(lo).over(w).alias("_hi"), F.col(ret).alias(out))
-    cond = (df[value_col] >= ranges["_lo"]) & (ranges["_hi"].isNull() | (df[value_col] < ranges["_hi"]))
-    return df.join(F.broadcast(ranges), cond, "left").drop("_lo", "_hi")
+    b = first_match(brackets.select(lo, ret), lo)
+    if b.count() <= BROADCAST_MAX_BRACKETS:
+        w = Window.orderBy(F.col(lo).asc())
+        ranges = b.select(F.col(lo).alias("_lo"), F.lead(lo).over(w).alias("_hi"), F.col(ret).alias(out))
+        cond = (df[value_col] >= ranges["_lo"]) & (ranges["_hi"].isNull() | (df[value_col] < ranges["_hi"]))
+        return df.join(F.broadcast(ranges), cond, "left").drop("_lo", "_hi")
+
+    from .windows import global_row_window
+    row = F.struct(*[F.col(c) for c in df.columns])
+    data = df.select(F.col(value_col).cast("double").alias("_v"), F.lit(1).alias("_kind"),
+                     F.lit(0).alias("_is_bound"), row.alias("_row"))
+    bounds = b.select(F.col(lo).cast("double").alias("_v"), F.lit(0).alias("_kind"), F.lit(1).alias("_is_bound"),
+                      F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType).alias("_row"))
+    merged = global_row_window(data.unionByName(bounds), [("_v", True), ("_kind", True)], rn_col="_pos",
+                               cum=("_is_bound", "_bno"), distributed=distributed)
+    numbered = b.select(F.col(ret).alias(out), F.col(lo).cast("double").alias("_v"))
+    bound_no = merged.where(F.col("_kind") == 0).select("_v", "_bno").join(numbered, "_v")
+    hits = merged.where(F.col("_kind") == 1).select("_row", "_bno")
+    return (hits.join(bound_no.select("_bno", out), "_bno", "left")
+                .select("_row.*", out))
 
 
 def map_lookup(c: Column, mapping: Mapping[str, str]) -> Column:
@@ -77,10 +100,10 @@ def map_with_fallback(c: Column, mapping: Mapping[str, str], fallback: str = "ti
 
 
 def join_budget(df: DataFrame, budgets: DataFrame, key: str, budget_col: str = "budget") -> DataFrame:
-    """Attach a budget per category; missing -> 0.  The budget table is
-    one row per category (a bounded dimension)."""
+    """Attach a budget per category; missing -> 0 (AQE broadcasts the
+    budget table when it is measured small)."""
     b = budgets.select(F.col(key), F.col(budget_col))
-    return df.join(F.broadcast(b), key, "left").withColumn(budget_col, F.coalesce(F.col(budget_col), F.lit(0)))
+    return df.join(b, key, "left").withColumn(budget_col, F.coalesce(F.col(budget_col), F.lit(0)))
 
 
 def month_scaffold(keys: DataFrame, key_cols: Sequence[str], start, end, month_col: str = "month") -> DataFrame:
