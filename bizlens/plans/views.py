@@ -21,10 +21,10 @@ EXCLUDED_STATUSES = ("cancelled", "refunded")
 
 
 def customers(t) -> DataFrame:
-    """customer ⋈ nation ⋈ region.  nation (25) and region (5) are fixed-size dimensions."""
+    """customer ⋈ nation ⋈ region.  nation and region are tiny dimensions; the
+    planner broadcasts them from their measured size (no hint needed)."""
     c, n, r = t["customer"], t["nation"], t["region"]
-    geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-                      .select("n_nationkey", "n_name", "r_name"))
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
     return (c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
              .select(c.c_custkey.alias("customer_id"),
                      c.c_name.alias("first_name"),
