@@ -64,8 +64,8 @@ def foreign_key(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: st
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """K3 detail: the orphan rows."""
-    return child.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+    """K3 detail: the orphan rows (a NULL key is allowed, never an orphan)."""
+    return child.where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
 def violating_rows(df: DataFrame, rule: Column) -> DataFrame:
