@@ -236,3 +236,26 @@ def lag_calendar(df: DataFrame, month_col: str, value: str, out: str, months: in
     """E4 strict form: value of exactly ``months`` calendar months earlier (self-join)."""
     prior = df.select(F.add_months(F.col(month_col), months).alias(month_col), F.col(value).alias(out))
     return df.join(prior, month_col, "left")
+
+
+def global_rank(df: DataFrame, peer_col: str, ascending: bool, out_col: str = "rank",
+                dense: bool = False, distributed: bool | None = None) -> DataFrame:
+    """``RANK()`` / ``DENSE_RANK() OVER (ORDER BY peer_col)`` without a single-task window.
+
+    Rows are counted per distinct value (partial aggregation: a hot value is
+    one row), a running count over the distinct values gives each value the
+    number of rows before it, and the rank is joined back on the value.
+    """
+    per_value = df.groupBy(peer_col).agg(F.count(F.lit(1)).alias("_peers"))
+    ranked = global_row_window(per_value, [(peer_col, ascending)], rn_col="_dense",
+                               cum=("_peers", "_upto"), distributed=distributed)
+    r = F.col("_dense") if dense else (F.col("_upto") - F.col("_peers") + 1)
+    return df.join(ranked.select(peer_col, r.cast("long").alias(out_col)), peer_col, "left")
+
+
+def renumber(df: DataFrame, keys: Sequence[OrderKey], out_col: str, prefix: str = "ORD-",
+             width: int = 5, distributed: bool | None = None) -> DataFrame:
+    """sequence labels in sort order (``ORD-00001`` …), from a global row number."""
+    ranked = global_row_window(df, keys, rn_col="_seq", distributed=distributed)
+    label = F.concat(F.lit(prefix), F.lpad(F.col("_seq").cast("string"), width, "0"))
+    return ranked.withColumn(out_col, label).drop("_seq")

@@ -190,3 +190,21 @@ def test_bracket_lookup_large_path(spark, monkeypatch):
         got = {r["who"]: r["rate"] for r in
                L.bracket_lookup(inc, "income", br, "min_income", "rate", "rate", distributed=dist).collect()}
         assert got == {"a": "22%", "b": "24%", "c": None, "d": "35%", "e": "24%"}
+
+
+def test_more_scalars(spark):
+    from bizlens.functions import numeric as N
+    t0 = F.lit(dt.datetime(2025, 1, 1, 0, 0)).cast("timestamp")
+    t1 = F.lit(dt.datetime(2025, 1, 2, 13, 30)).cast("timestamp")
+    assert one(spark, D.hours_between(t0, t1)) == 37.5
+    assert one(spark, D.months_since(F.lit(d(2025, 1, 1)), F.lit(d(2026, 3, 1)))) == 14
+    assert one(spark, D.month_between(F.lit(d(2025, 1, 31)), 2025, 1)) is True
+    assert one(spark, D.month_between(F.lit(d(2025, 2, 1)), 2025, 1)) is False
+    assert one(spark, D.month_start(F.lit(dt.datetime(2025, 3, 17, 8, 0)))) == d(2025, 3, 1)
+    assert one(spark, X.money_text(F.lit(1234.5))) == "$1,234.50"
+    assert one(spark, X.percent_text(F.lit(0.1234))) == "12.3%"
+    assert one(spark, X.status_label(F.lit(-1))) == "Over Budget"
+    assert one(spark, N.safe_ratio(F.lit(5), F.lit(0))) == 0
+    assert one(spark, N.safe_ratio(F.lit(5), F.lit(2))) == 2.5
+    assert one(spark, N.round_half_even(F.lit(2.5))) == 2.0
+    assert one(spark, N.guarded_corr(F.lit(1.0), F.lit(2.0))) is None

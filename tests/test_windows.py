@@ -44,3 +44,19 @@ def test_share_of_total_and_top_n(spark):
     assert s == {1: 25.0, 2: 75.0, 3: 0, 4: 0}
     top = W.top_n_per_group(df, ["g"], [("v", False), ("id", True)], 1).collect()
     assert sorted(r.id for r in top) == [2, 3]
+
+
+def test_global_rank_matches_builtin(spark):
+    df = _frame(spark)
+    for dense in (False, True):
+        got = W.global_rank(df, "k", False, "r", dense=dense, distributed=True)
+        fn = F.dense_rank() if dense else F.rank()
+        exp = df.withColumn("r", fn.over(Window.orderBy(F.col("k").desc())))
+        assert sorted((r.id, r.r) for r in got.collect()) == sorted((r.id, r.r) for r in exp.collect())
+
+
+def test_renumber(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.date(2024, 1, d), f"x{d}") for d in (5, 1, 3)], "d date, tag string")
+    got = {r.tag: r.order_no for r in W.renumber(df, [("d", True), ("tag", True)], "order_no").collect()}
+    assert got == {"x1": "ORD-00001", "x3": "ORD-00002", "x5": "ORD-00003"}
