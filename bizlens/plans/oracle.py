@@ -294,8 +294,8 @@ VIEW_SQL["v_sales"] = """
                p.name AS product, p.category, c.first_name AS customer_name, c.city AS country,
                c.country AS region
         FROM v_items oi JOIN v_orders o ON o.order_id = oi.order_id
-                        JOIN v_products p ON p.product_id = oi.product_id
-                        JOIN v_customers c ON c.customer_id = o.customer_id"""
+                        LEFT JOIN v_products p ON p.product_id = oi.product_id
+                        LEFT JOIN v_customers c ON c.customer_id = o.customer_id"""
 _DEPS["v_sales"] = ["v_items", "v_orders", "v_products", "v_customers"]
 
 VIEW_SQL["v_ship"] = """
@@ -436,7 +436,7 @@ FROM ranked"""
 
 ORACLE["value_segments"] = with_views("v_items", "v_orders", "v_customers") + """,
 s AS (SELECT o.customer_id, c.first_name AS customer_name, CAST(o.order_date AS DATE) AS date, oi.line_total AS revenue
-      FROM v_items oi JOIN v_orders o ON o.order_id = oi.order_id JOIN v_customers c ON c.customer_id = o.customer_id),
+      FROM v_items oi JOIN v_orders o ON o.order_id = oi.order_id LEFT JOIN v_customers c ON c.customer_id = o.customer_id),
 stats AS (SELECT customer_id, customer_name, COUNT(*) AS total_orders, SUM(revenue) AS total_spent,
                  MIN(date) AS first_purchase, MAX(date) AS last_purchase
           FROM s GROUP BY customer_id, customer_name),

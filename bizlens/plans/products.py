@@ -125,14 +125,17 @@ def pareto(t, distributed: bool | None = None) -> DataFrame:
     return to_report(out)
 
 
-def product_table(sales: DataFrame, k: int = 5) -> DataFrame:
+def product_table(sales: DataFrame, k: int = 5, count_col: str | None = None) -> DataFrame:
     """Per product revenue (fraction discount), line count, guarded average,
     and flags for the k best and k worst by revenue.
 
-    The flags come from two top-k scans (k rows each), joined back: no global sort.
+    ``sales`` is line level, or already reduced with its line count in
+    ``count_col``.  The flags come from two top-k scans (k rows each), joined
+    back: no global sort.
     """
+    n = F.sum(count_col) if count_col else F.count(F.lit(1))
     agg = (sales.groupBy("product_id", "product", "category")
-                .agg(F.sum("revenue").alias("total_revenue"), F.count(F.lit(1)).alias("total_orders")))
+                .agg(F.sum("revenue").alias("total_revenue"), n.alias("total_orders")))
     agg = agg.withColumn("avg_order_value",
                          F.when(F.col("total_orders") > 0,
                                 money_div(F.col("total_revenue"), F.col("total_orders"), 2)).otherwise(0.0))

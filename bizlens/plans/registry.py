@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import load_tables
 from . import (budget, cleaning, customers, hierarchy, pages, products, profiling, quality, reports, revenue,
@@ -42,9 +43,9 @@ QUERIES: dict[str, Query] = {
     "pareto": _on_tables(products.pareto),
     "fulfilment_times": _on_tables(reports.fulfilment_times),
     "kpis_by_year": _on_tables(reports.kpis_by_year),
-    "country_breakdown": _on_tables(lambda t: reports.breakdown(V.sales(t), "country")),
-    "category_breakdown": _on_tables(lambda t: reports.breakdown(V.sales(t, with_customer=False), "category")),
-    "region_breakdown": _on_tables(lambda t: reports.breakdown(V.sales(t, with_product=False), "region")),
+    "country_breakdown": _on_tables(lambda t: reports.breakdown_from_totals(reports.geo_totals(t, "country"))),
+    "category_breakdown": _on_tables(lambda t: reports.breakdown_from_totals(reports.category_totals(t))),
+    "region_breakdown": _on_tables(lambda t: reports.breakdown_from_totals(reports.geo_totals(t, "region"))),
     "region_detail": _on_tables(reports.region_detail),
     "dashboard_regions": _on_tables(reports.dashboard_regions),
     "dashboard_trend": _on_tables(reports.dashboard_trend),
@@ -53,9 +54,13 @@ QUERIES: dict[str, Query] = {
     "monthly_trends": _on_tables(reports.monthly_trends),
     "executive_kpis": _on_tables(reports.executive_kpis),
     "country_top_products": _on_tables(reports.country_top_products),
-    "product_table": _on_tables(lambda t: products.product_table(V.sales(t, with_customer=False))),
-    "value_segments": _on_tables(lambda t: customers.value_segments(V.sales(t, with_product=False),
-                                                                    customers.AS_OF)),
+    "product_table": _on_tables(lambda t: products.product_table(
+        reports.product_totals(t).join(
+            V.products(t).select("product_id", F.col("name").alias("product"), "category"), "product_id"),
+        count_col="lines")),
+    "value_segments": _on_tables(lambda t: customers.value_segments(
+        V.order_lines(t).join(V.customer_geo(t).select("customer_id", "customer_name"), "customer_id", "left"),
+        customers.AS_OF, count_col="lines")),
     "budget_vs_actual": _on_tables(budget.budget_vs_actual),
     "monthly_cashflow": _on_tables(budget.monthly_cashflow),
     "expense_categories": _on_tables(budget.expense_categories),

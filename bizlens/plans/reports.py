@@ -50,14 +50,23 @@ def _top_per(df: DataFrame, group: str, label: str, value: str, out: str) -> Dat
 
 def kpis_by_year(t) -> DataFrame:
     """L20 KPI cards per year: revenue, units, H1/H2 growth (0 when H1 is 0),
-    top category and top region, average revenue per month (fixed divisor 12)."""
-    s = V.sales(t).withColumn("year", F.year("date"))
-    base = (s.groupBy("year")
-             .agg(F.sum("revenue").alias("total_revenue"), F.sum("quantity").alias("total_units"),
+    top category and top region, average revenue per month (fixed divisor 12).
+
+    Each part is reduced to its join key before the dimension is attached:
+    lines -> (product, month) -> category; lines -> order -> (customer, year) -> region.
+    """
+    per_order = V.order_lines(t).withColumn("year", F.year("date"))
+    base = (per_order.groupBy("year")
+             .agg(F.sum("revenue").alias("total_revenue"), F.sum("units").alias("total_units"),
                   F.sum(F.when(F.month("date") <= 6, F.col("revenue")).otherwise(0)).alias("h1_revenue"),
                   F.sum(F.when(F.month("date") > 6, F.col("revenue")).otherwise(0)).alias("h2_revenue")))
-    by_cat = s.groupBy("year", "category").agg(F.sum("revenue").alias("rev"))
-    by_reg = s.groupBy("year", "region").agg(F.sum("revenue").alias("rev"))
+    pm = V.product_month_lines(t).withColumn("year", F.year("month"))
+    by_prod = pm.groupBy("year", "product_id").agg(F.sum("revenue").alias("rev"))
+    by_cat = (by_prod.join(V.products(t).select("product_id", "category"), "product_id", "left")
+                     .groupBy("year", "category").agg(F.sum("rev").alias("rev")))
+    by_cust = per_order.groupBy("year", "customer_id").agg(F.sum("revenue").alias("rev"))
+    by_reg = (by_cust.join(V.customer_geo(t).select("customer_id", "region"), "customer_id", "left")
+                     .groupBy("year", "region").agg(F.sum("rev").alias("rev")))
     out = (base.join(_top_per(by_cat, "year", "category", "rev", "top_product"), "year")
                .join(_top_per(by_reg, "year", "region", "rev", "top_region"), "year"))
     h1, h2 = F.col("h1_revenue"), F.col("h2_revenue")
@@ -68,9 +77,38 @@ def kpis_by_year(t) -> DataFrame:
     return to_report(out)
 
 
+def geo_totals(t, key: str) -> DataFrame:
+    """(key, revenue, orders = lines, units) for a customer attribute, reduced per
+    order and per customer before the customer dimension is joined."""
+    per_cust = (V.order_lines(t).groupBy("customer_id")
+                 .agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("orders"),
+                      F.sum("units").alias("units")))
+    return (per_cust.join(V.customer_geo(t).select("customer_id", key), "customer_id", "left")
+                    .groupBy(key).agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"),
+                                      F.sum("units").alias("units")))
+
+
+def product_totals(t) -> DataFrame:
+    """Per product over lines that have an order: revenue, lines, units."""
+    return (V.product_month_lines(t).groupBy("product_id")
+             .agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("lines"), F.sum("units").alias("units")))
+
+
+def category_totals(t) -> DataFrame:
+    per = product_totals(t).join(V.products(t).select("product_id", "category"), "product_id", "left")
+    return per.groupBy("category").agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("orders"))
+
+
 def breakdown(sales: DataFrame, key: str) -> DataFrame:
-    """L20/L33/L34 share tables: revenue, line count, average, fraction of total (4 dp)."""
+    """L20/L33/L34 share tables from line-level sales: revenue, line count,
+    average, fraction of total (4 dp)."""
     g = sales.groupBy(key).agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+    return breakdown_from_totals(g)
+
+
+def breakdown_from_totals(g: DataFrame) -> DataFrame:
+    """Share table from (key, revenue, orders) totals."""
+    g = g.select(*[c for c in g.columns if c != "units"])
     g = g.withColumn("avg_order_value", money_div(F.col("revenue"), F.col("orders"), 2))
     return to_report(W.share_of_total(g, "revenue", "share", scale=4, as_fraction=True))
 
@@ -91,18 +129,16 @@ def region_detail(t) -> DataFrame:
 # --------------------------------------------------------------------------- L21
 def dashboard_regions(t) -> DataFrame:
     """L21 region table: SUMIFS / COUNTIFS per region and share in percent."""
-    s = V.sales(t, with_product=False)
-    g = s.groupBy("region").agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"),
-                                F.sum("quantity").alias("units"))
-    return to_report(W.share_of_total(g, "revenue", "share_pct"))
+    return to_report(W.share_of_total(geo_totals(t, "region"), "revenue", "share_pct"))
 
 
 def dashboard_trend(t) -> DataFrame:
     """L21 trend: every category × every month in the data range, zeros where empty."""
-    s = V.sales(t, with_customer=False)
-    facts = s.groupBy("category", "month").agg(F.sum("revenue").alias("revenue"),
-                                                F.count(F.lit(1)).alias("orders"))
-    lo, hi = s.select(F.min("month")).scalar(), s.select(F.max("month")).scalar()
+    pm = V.product_month_lines(t)
+    facts = (pm.join(V.products(t).select("product_id", "category"), "product_id", "left")
+               .groupBy("category", "month").agg(F.sum("revenue").alias("revenue"),
+                                                  F.sum("lines").alias("orders")))
+    lo, hi = pm.select(F.min("month")).scalar(), pm.select(F.max("month")).scalar()
     cats = V.products(t).select("category").distinct()
     grid = cats.select("category", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month"))
     out = L.fill_scaffold(grid, facts, ["category", "month"], ["revenue", "orders"])
@@ -145,11 +181,12 @@ def criteria_report(t) -> DataFrame:
 def monthly_trends(t) -> DataFrame:
     """Lines, revenue, average and *new* customers per month.
 
+    Works on per-order totals (lines reduced before the join with orders).
     New customers come from one grouping per customer (first month), counted
     per month and joined to the month table: no per-month distinct scan.
     """
-    s = V.sales(t, with_product=False, with_customer=False)
-    m = s.groupBy("month").agg(F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("revenue"))
+    s = V.order_lines(t)
+    m = s.groupBy("month").agg(F.sum("lines").alias("orders"), F.sum("revenue").alias("revenue"))
     first = s.groupBy("customer_id").agg(F.min("month").alias("month"))
     new = first.groupBy("month").agg(F.count(F.lit(1)).alias("new_customers"))
     out = m.join(new, "month", "left").select(
@@ -161,14 +198,16 @@ def monthly_trends(t) -> DataFrame:
 
 def executive_kpis(t) -> DataFrame:
     """L33 headline: revenue, lines, average, distinct customers, top country and product."""
-    s = V.sales(t)
-    by_c = s.groupBy("country").agg(F.sum("revenue").alias("rev"))
-    by_p = s.groupBy("product").agg(F.sum("revenue").alias("rev"))
+    per_order = V.order_lines(t)
+    by_c = geo_totals(t, "country").select("country", F.col("revenue").alias("rev"))
+    by_p = (product_totals(t).join(V.products(t).select("product_id", F.col("name").alias("product")),
+                                   "product_id", "left")
+                             .groupBy("product").agg(F.sum("revenue").alias("rev")))
     # Arg-max as a distributed top-1 (each task keeps its best row), used as a scalar.
     top_c = by_c.orderBy(F.col("rev").desc(), F.col("country").asc()).select("country").limit(1).scalar()
     top_p = by_p.orderBy(F.col("rev").desc(), F.col("product").asc()).select("product").limit(1).scalar()
-    out = s.agg(F.sum("revenue").alias("total_revenue"), F.count(F.lit(1)).alias("total_orders"),
-                F.count_distinct("customer_id").alias("unique_customers"))
+    out = per_order.agg(F.sum("revenue").alias("total_revenue"), F.sum("lines").alias("total_orders"),
+                        F.count_distinct("customer_id").alias("unique_customers"))
     out = out.select("*", top_c.alias("top_country"), top_p.alias("top_product"),
                      money_div(F.col("total_revenue"), F.col("total_orders"), 2).alias("avg_order_value"))
     return to_report(out)

@@ -145,18 +145,48 @@ def item_facts(t, *, with_product: bool = False, with_customer: bool = False,
 def sales(t, *, with_product: bool = True, with_customer: bool = True) -> DataFrame:
     """Flat transaction lines for the case-study reports (all statuses).
 
-    One row per line item: order, date, month, customer (name, country =
-    nation, region), product (name, category = part type), quantity,
-    discount (fraction) and revenue = quantity × price × (1 − discount).
+    One row per line item that has an order: order, date, month, customer
+    (name, country = nation, region), product (name, category = part type),
+    quantity, discount (fraction) and revenue = quantity × price × (1 −
+    discount).  Product and customer attributes are optional (left joins), so
+    reports may aggregate to a key first and attach the attribute afterwards.
+    Prefer the reduced forms below for single-dimension reports.
     """
     i = order_items(t).select("order_id", "product_id", "quantity", "discount", "line_total")
     o = orders(t).select("order_id", "customer_id", F.to_date("order_date").alias("date"))
     f = i.join(o, "order_id").withColumn("month", F.trunc("date", "MM")).withColumnRenamed("line_total", "revenue")
     if with_product:
         p = products(t).select("product_id", F.col("name").alias("product"), "category")
-        f = f.join(p, "product_id")
+        f = f.join(p, "product_id", "left")
     if with_customer:
-        c = customers(t).select("customer_id", F.col("first_name").alias("customer_name"),
-                                F.col("city").alias("country"), F.col("country").alias("region"))
-        f = f.join(c, "customer_id")
+        f = f.join(customer_geo(t), "customer_id", "left")
     return f
+
+
+def customer_geo(t) -> DataFrame:
+    """customer_id -> customer_name, country (nation), region."""
+    return customers(t).select("customer_id", F.col("first_name").alias("customer_name"),
+                               F.col("city").alias("country"), F.col("country").alias("region"))
+
+
+def order_lines(t) -> DataFrame:
+    """Per order with its header (all statuses): revenue, line count, units.
+
+    The line items are reduced per order by a partial aggregation before the
+    shuffle on ``order_id``; the join with ``orders`` reuses that partitioning.
+    A line without an order is dropped, as in ``sales``.
+    """
+    lines = (order_items(t).groupBy("order_id")
+             .agg(F.sum("line_total").alias("revenue"), F.count(F.lit(1)).alias("lines"),
+                  F.sum("quantity").alias("units")))
+    o = orders(t).select("order_id", "customer_id", F.to_date("order_date").alias("date"))
+    return lines.join(o, "order_id").withColumn("month", F.trunc("date", "MM"))
+
+
+def product_month_lines(t) -> DataFrame:
+    """Per (product, month) over lines that have an order: revenue, lines, units."""
+    i = order_items(t).select("order_id", "product_id", "line_total", "quantity")
+    o = orders(t).select("order_id", F.trunc(F.to_date("order_date"), "MM").alias("month"))
+    return (i.join(o, "order_id").groupBy("product_id", "month")
+             .agg(F.sum("line_total").alias("revenue"), F.count(F.lit(1)).alias("lines"),
+                  F.sum("quantity").alias("units")))
