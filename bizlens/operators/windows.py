@@ -193,14 +193,19 @@ def share_of_total(df: DataFrame, value: str, out: str, partition_cols: Sequence
                    scale: int = 2, as_fraction: bool = False) -> DataFrame:
     """Value × 100 / total (or a fraction), 0 when the total is 0.
 
-    The total is an aggregate joined back by key (or a one-row scalar), so no
-    window gathers the whole frame in one task.
+    The total is an aggregate joined back by key (within one plan, so the
+    input is computed once), or a scalar read from a checkpoint of the input;
+    no window gathers the whole frame in one task.
     """
     factor = 1 if as_fraction else 100
     if partition_cols:
         totals = df.groupBy(*partition_cols).agg(F.sum(value).alias("_tot"))
         j = df.join(totals, list(partition_cols), "left")
     else:
+        # The frame is written once (reliable checkpoint) so the grand total is
+        # read from it instead of re-running the plan that produced it.
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
         total = df.select(F.sum(value)).scalar()
         j = df.withColumn("_tot", total)
     dtype = df.schema[value].dataType
