@@ -76,13 +76,14 @@ def _local_window(df: DataFrame, keys, rn_col, cum, total_col):
 def global_row_window(df: DataFrame, keys: Sequence[OrderKey], *, rn_col: str = "row_num",
                       cum: tuple[str, str] | None = None, total_col: str | None = None,
                       distributed: bool | None = None, partitions: int | None = None,
-                      local_max_rows: int = LOCAL_WINDOW_MAX_ROWS) -> DataFrame:
+                      local_max_rows: int = LOCAL_WINDOW_MAX_ROWS, materialized: bool = False) -> DataFrame:
     """Global ``ROW_NUMBER() OVER (ORDER BY keys)`` and optional running sum (ROWS frame).
 
     ``keys`` must identify rows uniquely (add a tie-break).  ``distributed=False``
     is for inputs with a size bound known in advance (calendar aggregates);
     ``None`` measures the input (see module doc); ``True`` forces the
-    distributed path.
+    distributed path.  ``materialized=True`` says the input is already a
+    checkpoint, so the size switch does not write it again.
     """
     if distributed is False:
         return _local_window(df, keys, rn_col, cum, total_col)
@@ -90,7 +91,8 @@ def global_row_window(df: DataFrame, keys: Sequence[OrderKey], *, rn_col: str =
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if distributed is None:
-        df = df.checkpoint(eager=True)
+        if not materialized:
+            df = df.checkpoint(eager=True)
         if df.count() <= local_max_rows:
             return _local_window(df, keys, rn_col, cum, total_col)
     n_parts = partitions or default_parallelism(spark)
@@ -172,9 +174,10 @@ def global_peer_cumsum(df: DataFrame, peer_col: str, ascending: bool, src: str,
 
 
 def global_ntile(df: DataFrame, keys: Sequence[OrderKey], k: int, out_col: str,
-                 distributed: bool | None = None) -> DataFrame:
+                 distributed: bool | None = None, materialized: bool = False) -> DataFrame:
     """E5: ``NTILE(k) OVER (ORDER BY keys)`` without a single-task window."""
-    ranked = global_row_window(df, keys, rn_col="_rn", total_col="_n", distributed=distributed)
+    ranked = global_row_window(df, keys, rn_col="_rn", total_col="_n", distributed=distributed,
+                               materialized=materialized)
     return ranked.withColumn(out_col, ntile_from_rank(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import criteria as C
 from ..operators import lookups as L
 from . import views as V
+from ..session import ensure_checkpoint_dir
 from .common import money_div, to_report
 
 # Monthly budget per expense category (part type) of the ledger.
@@ -52,7 +53,11 @@ def budget_vs_actual_long(led: DataFrame, budgets: DataFrame) -> DataFrame:
     plus a TOTAL category per (year, month)."""
     exp = _with_period(led.where(F.col("type") == "Expense"))
     actual = exp.groupBy("year", "category", "month").agg(F.sum("amount").alias("actual"))
-    y0, y1 = exp.select(F.min("year")).scalar(), exp.select(F.max("year")).scalar()
+    # The (year, category, month) actuals are small: written once, the year range is read from them.
+    ensure_checkpoint_dir(actual.sparkSession)
+    actual = actual.checkpoint(eager=True)
+    bounds = actual.select(F.struct(F.min("year").alias("lo"), F.max("year").alias("hi"))).scalar()
+    y0, y1 = bounds["lo"], bounds["hi"]
     grid = budgets.select("category", "budget", F.explode(F.sequence(y0, y1)).alias("year")) \
                   .select("*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
     g = L.fill_scaffold(grid, actual, ["year", "category", "month"], ["actual"])

@@ -21,6 +21,7 @@ def page_summary(t) -> DataFrame:
               F.count_distinct("host").alias("hosts"), F.count_distinct("lang").alias("languages"),
               F.sum("words").alias("total_words"), F.sum("nav_links").alias("total_nav_links"))
     recs = P.records_summary(P.extract_records(t["pages"]))
-    rs = {c: recs.select(c).scalar() for c in recs.columns}
+    # one scalar subquery for the whole summary row (one extraction pass)
+    rs = recs.select(F.struct(*recs.columns)).scalar()
     out = s.select("*", *[rs[c].alias(f"product_{c}") for c in recs.columns])
     return to_report(out)

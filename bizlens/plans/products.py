@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import baskets
 from ..operators import windows as W
 from . import views as V
+from ..session import ensure_checkpoint_dir
 from .common import money_div, round_ratio, to_report
 
 
@@ -110,8 +111,12 @@ def pareto(t, distributed: bool | None = None) -> DataFrame:
     s = product_sales(t).where(F.col("total_revenue").isNotNull())
     p = V.products(t).select("product_id", "name")
     pr = s.join(p, "product_id").select("product_id", "name", F.col("total_revenue").alias("revenue"))
+    # One row per product, written once: the ranking, the peer sums and the
+    # grand total all read this materialized aggregate.
+    ensure_checkpoint_dir(pr.sparkSession)
+    pr = pr.checkpoint(eager=True)
     ranked = W.global_row_window(pr, [("revenue", False), ("product_id", True)], rn_col="product_rank",
-                                 total_col="total_products", distributed=distributed)
+                                 total_col="total_products", distributed=distributed, materialized=True)
     ranked = W.global_peer_cumsum(ranked, "revenue", False, "revenue", "cumulative_revenue",
                                   distributed=distributed)
     total = pr.select(F.sum("revenue")).scalar()

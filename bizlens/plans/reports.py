@@ -17,6 +17,7 @@ from ..operators import criteria as C
 from ..operators import lookups as L
 from ..operators import windows as W
 from . import views as V
+from ..session import ensure_checkpoint_dir
 from .common import money_div, round_ratio, to_report
 
 
@@ -77,10 +78,11 @@ def kpis_by_year(t) -> DataFrame:
     return to_report(out)
 
 
-def geo_totals(t, key: str) -> DataFrame:
+def geo_totals(t, key: str, per_order: DataFrame | None = None) -> DataFrame:
     """(key, revenue, orders = lines, units) for a customer attribute, reduced per
     order and per customer before the customer dimension is joined."""
-    per_cust = (V.order_lines(t).groupBy("customer_id")
+    per_order = V.order_lines(t) if per_order is None else per_order
+    per_cust = (per_order.groupBy("customer_id")
                  .agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("orders"),
                       F.sum("units").alias("units")))
     return (per_cust.join(V.customer_geo(t).select("customer_id", key), "customer_id", "left")
@@ -138,7 +140,11 @@ def dashboard_trend(t) -> DataFrame:
     facts = (pm.join(V.products(t).select("product_id", "category"), "product_id", "left")
                .groupBy("category", "month").agg(F.sum("revenue").alias("revenue"),
                                                   F.sum("lines").alias("orders")))
-    lo, hi = pm.select(F.min("month")).scalar(), pm.select(F.max("month")).scalar()
+    # (category, month) facts are small: write them once and read the month range from them.
+    ensure_checkpoint_dir(facts.sparkSession)
+    facts = facts.checkpoint(eager=True)
+    bounds = facts.select(F.struct(F.min("month").alias("lo"), F.max("month").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     cats = V.products(t).select("category").distinct()
     grid = cats.select("category", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month"))
     out = L.fill_scaffold(grid, facts, ["category", "month"], ["revenue", "orders"])
@@ -198,8 +204,12 @@ def monthly_trends(t) -> DataFrame:
 
 def executive_kpis(t) -> DataFrame:
     """L33 headline: revenue, lines, average, distinct customers, top country and product."""
+    # Per-order totals are written once and serve the headline numbers and the
+    # country ranking; the product ranking needs its own pass (by product).
     per_order = V.order_lines(t)
-    by_c = geo_totals(t, "country").select("country", F.col("revenue").alias("rev"))
+    ensure_checkpoint_dir(per_order.sparkSession)
+    per_order = per_order.checkpoint(eager=True)
+    by_c = geo_totals(t, "country", per_order).select("country", F.col("revenue").alias("rev"))
     by_p = (product_totals(t).join(V.products(t).select("product_id", F.col("name").alias("product")),
                                    "product_id", "left")
                              .groupBy("product").agg(F.sum("revenue").alias("rev")))
