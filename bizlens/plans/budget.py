@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import aggregates as A
 from ..operators import criteria as C
 from ..operators import lookups as L
 from . import views as V
@@ -74,15 +75,9 @@ def budget_vs_actual(t) -> DataFrame:
     """L26 wide: one row per (year, category) incl. TOTAL, four columns per month."""
     spark = t["orders"].sparkSession
     long = budget_vs_actual_long(ledger(t), budgets_frame(spark))
-    wide = long.groupBy("year", "category").pivot("month", list(range(1, 13))).agg(
-        F.first("budget").alias("budget"), F.first("actual").alias("actual"),
-        F.first("variance").alias("variance"), F.first("var_pct").alias("var_pct"))
-    cols = ["year", "category"] + [f"m{m:02d}_{k}" for m in range(1, 13)
-                                   for k in ("budget", "actual", "variance", "var_pct")]
-    renamed = wide.select("year", "category", *[F.col(f"{m}_{k}").alias(f"m{m:02d}_{k}")
-                                                for m in range(1, 13)
-                                                for k in ("budget", "actual", "variance", "var_pct")])
-    return to_report(renamed.select(*cols))
+    wide = A.pivot_wide(long, ["year", "category"], "month", list(range(1, 13)),
+                        ["budget", "actual", "variance", "var_pct"], name="m{value:02d}_{measure}")
+    return to_report(wide)
 
 
 def monthly_cashflow(t) -> DataFrame:

@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators import aggregates as A
 from ..operators import criteria as C
 from ..operators import lookups as L
 from ..operators import windows as W
@@ -44,9 +45,7 @@ def fulfilment_times(t) -> DataFrame:
 # --------------------------------------------------------------------------- L20
 def _top_per(df: DataFrame, group: str, label: str, value: str, out: str) -> DataFrame:
     """D13 arg-max per group on an aggregated frame (tie-break: label ascending)."""
-    w = Window.partitionBy(group).orderBy(F.col(value).desc(), F.col(label).asc())
-    return (df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-              .select(group, F.col(label).alias(out)))
+    return A.top_by(df, [group], label, value, out)
 
 
 def kpis_by_year(t) -> DataFrame:

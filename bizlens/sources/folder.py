@@ -47,6 +47,11 @@ def list_files(spark: SparkSession, folder: str, suffixes=(".csv",)) -> DataFram
     return files.withColumn("file_idx", F.row_number().over(Window.orderBy("file_name")).cast("long"))
 
 
+def scan_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """A3: every ``.csv`` file of a folder (case-insensitive suffix) with name, path and size."""
+    return list_files(spark, folder)
+
+
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
     """(file_path, line_id, first_split, line) for every line of every CSV file."""
     lines = (spark.read.option("pathGlobFilter", CSV_GLOB).text(folder)

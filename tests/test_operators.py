@@ -135,3 +135,22 @@ def test_sinks_round_trip(spark):
         {"region=EU", "region=US"}
     paths = sinks.write_report({"a": df, "b": df.limit(1)}, os.path.join(root, "bundle"))
     assert spark.read.parquet(paths["b"]).count() == 1
+
+
+def test_aggregate_operators(spark):
+    from bizlens.operators import aggregates as A
+    df = spark.createDataFrame([("EU", "a", 5, d(2024, 2, 1)), ("EU", "b", 5, d(2024, 8, 1)), ("US", "a", 7, d(2024, 3, 1)),
+                                ("US", "c", 1, d(2024, 9, 1))], "reg string, prod string, v int, m date")
+    top = {r.reg: r.best for r in A.top_by(df, ["reg"], "prod", "v", "best").collect()}
+    assert top == {"EU": "a", "US": "a"}                      # tie on EU -> name order
+    assert A.top_by(df, [], "prod", "v").first()[0] == "a"
+    tot = {(r.reg, r.prod): r.v for r in A.with_totals(df, ["reg", "prod"], ["v"]).collect()}
+    assert tot[("EU", "TOTAL")] == 10 and tot[("US", "TOTAL")] == 8 and tot[("EU", "a")] == 5
+    wide = A.pivot_wide(df, ["reg"], "prod", ["a", "b", "c"], ["v"]).where("reg = 'EU'").first()
+    assert (wide.a_v, wide.b_v, wide.c_v) == (5, 5, None)
+    g = {r.reg: r.growth for r in A.half_year_growth(df, ["reg"], "m", "v").collect()}
+    assert g == {"EU": 0.0, "US": round((1 - 7) / 7, 4)}
+    st = A.customer_stats(df, key="reg", date="m", amount="v").where("reg = 'US'").first()
+    assert (st.orders, st.total, st.first_date, st.last_date) == (2, 8, d(2024, 3, 1), d(2024, 9, 1))
+    c = {r.reg: r.corr for r in A.corr_by(df.withColumn("w", F.col("v") * 2), ["reg"], "v", "w").collect()}
+    assert c == {"EU": 0.0, "US": 1.0}
