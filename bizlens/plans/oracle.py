@@ -834,3 +834,47 @@ SELECT w.id, w.name, CAST(w.level AS BIGINT) AS level, w.root_name, w.path,
                                                   WHERE k.root_id = w.id)
                           ELSE (SELECT revenue FROM leaf WHERE leaf.leaf = w.id) END, 0) AS DOUBLE) AS revenue
 FROM walk w"""
+
+# L23 on the data.  Business days are counted by brute force over generated
+# calendars (independent of the closed forms used on the Spark side).
+ORACLE["order_calendar"] = with_views("v_ship") + """,
+s AS (SELECT order_id, CAST(order_date AS DATE) AS od, CAST(delivered_date AS DATE) AS dd
+      FROM v_ship WHERE delivered_date IS NOT NULL)
+SELECT order_id, od AS order_day, 'Q' || CAST(quarter(od) AS VARCHAR) AS quarter,
+       strftime(od, '%b-%Y') AS month_label, last_day(od) AS month_end,
+       last_day(od + INTERVAL 1 MONTH) AS next_month_end,
+       CAST((SELECT COUNT(*) FROM generate_series(od, dd, INTERVAL 1 DAY) g(x) WHERE isodow(x) <= 5) AS BIGINT)
+           AS business_days_to_deliver,
+       (SELECT CAST(x AS DATE) FROM generate_series(od + INTERVAL 1 DAY, od + INTERVAL 30 DAY, INTERVAL 1 DAY) g(x)
+        WHERE isodow(x) <= 5 ORDER BY x LIMIT 1 OFFSET 9) AS tenth_business_day,
+       CAST(date_diff('month', od, dd) - CASE WHEN day(dd) < day(od) THEN 1 ELSE 0 END AS BIGINT)
+           AS months_to_deliver,
+       CAST(dd - od AS BIGINT) AS days_to_deliver
+FROM s"""
+
+ORACLE["customer_text"] = with_views("v_customers") + """
+SELECT customer_id,
+       CASE WHEN strpos(email, '@') > 0 THEN left(email, strpos(email, '@') - 1) END AS user,
+       """ + _title_sql("last_name") + """ AS segment_proper,
+       right(first_name, 4) AS name_tail,
+       substring(first_name, 10, 3) AS name_mid,
+       replace(first_name, '#', ' No. ') AS name_label,
+       trim(regexp_replace('  ' || city || '   ' || country || ' ', ' +', ' ', 'g')) AS place,
+       'Hello, ' || COALESCE(""" + _title_sql("city") + """, '') || '!' AS greeting
+FROM v_customers"""
+
+ORACLE["order_lookups"] = with_views("v_orders", "v_customers") + """,
+tiers AS (SELECT * FROM (VALUES (0, 'Small'), (50000, 'Medium'), (150000, 'Large'), (300000, 'Key account')) v(lo, tier))
+SELECT o.order_id, c.first_name AS customer_name,
+       CASE WHEN s.customer_id IS NULL THEN 'Not found' ELSE s.last_name END AS segment,
+       t.tier
+FROM v_orders o
+LEFT JOIN v_customers c ON c.customer_id = o.customer_id
+LEFT JOIN (SELECT customer_id, last_name FROM v_customers WHERE nation_id <> 0) s ON s.customer_id = o.customer_id
+ASOF LEFT JOIN tiers t ON o.total_amount >= t.lo"""
+
+ORACLE["yoy_growth_calendar"] = with_views("v_valid", "v_items") + "," + _monthly() + """
+SELECT m.month, CAST(m.revenue AS DOUBLE) AS current_revenue, CAST(p.revenue AS DOUBLE) AS prior_year_revenue,
+       CASE WHEN p.revenue IS NOT NULL
+            THEN """ + money_div_sql("(m.revenue - p.revenue) * 100", "p.revenue", 2) + """ END AS yoy_growth_pct
+FROM monthly m LEFT JOIN monthly p ON p.month = CAST(m.month - INTERVAL 12 MONTH AS DATE)"""

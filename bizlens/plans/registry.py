@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load_tables
-from . import (budget, cleaning, customers, hierarchy, pages, products, profiling, quality, reports, revenue,
-               series)
+from . import (budget, cleaning, customers, formulas, hierarchy, pages, products, profiling, quality, reports,
+               revenue, series)
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {
     "category_revenue": _on_tables(revenue.category_revenue),
     "moving_average_3m": _on_tables(revenue.moving_average_3m),
     "yoy_growth": _on_tables(revenue.yoy_growth),
+    "yoy_growth_calendar": _on_tables(revenue.yoy_growth, strict=True),
     "average_order_value": _on_tables(revenue.average_order_value),
     "top_customers": _on_tables(customers.top_customers),
     "product_performance": _on_tables(products.product_performance),
@@ -78,4 +79,7 @@ QUERIES: dict[str, Query] = {
     "folder_profile": _on_tables(profiling.folder_profile),
     "folder_column_profile": _on_tables(profiling.folder_column_profile),
     "tree_rollup": _on_tables(hierarchy.tree_rollup),
+    "order_calendar": _on_tables(formulas.order_calendar),
+    "customer_text": _on_tables(formulas.customer_text),
+    "order_lookups": _on_tables(formulas.order_lookups),
 }
