@@ -59,10 +59,12 @@ def bracket_lookup(df: DataFrame, value_col: str, brackets: DataFrame, lo: str,
     Below the first bound the answer is NULL.  The bracket table is counted
     first.  Up to ``BROADCAST_MAX_BRACKETS`` rows it becomes half-open ranges
     [lo, next lo) in a broadcast range join.  Beyond that, an as-of lookup
-    without broadcast: data values and bracket bounds are merged in one global
-    order (bounds before equal values), a distributed running count of bounds
-    gives every value its bracket number, and an equi-join on that number
-    fetches the answer.
+    without broadcast: the *distinct* data values and the bracket bounds are
+    merged in one global order (bounds before equal values), a distributed
+    running count of bounds gives every value its bracket number, and
+    equi-joins on that number and then on the value bring the answer back to
+    every row (a value held by many rows is one row until the final join,
+    which AQE splits when skewed).
     """
     b = first_match(brackets.select(lo, ret), lo)
     if b.count() <= BROADCAST_MAX_BRACKETS:
@@ -72,18 +74,20 @@ def bracket_lookup(df: DataFrame, value_col: str, brackets: DataFrame, lo: str,
         return df.join(F.broadcast(ranges), cond, "left").drop("_lo", "_hi")
 
     from .windows import global_row_window
-    row = F.struct(*[F.col(c) for c in df.columns])
-    data = df.select(F.col(value_col).cast("double").alias("_v"), F.lit(1).alias("_kind"),
-                     F.lit(0).alias("_is_bound"), row.alias("_row"))
-    bounds = b.select(F.col(lo).cast("double").alias("_v"), F.lit(0).alias("_kind"), F.lit(1).alias("_is_bound"),
-                      F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType).alias("_row"))
+    # The answer depends only on the value: rank distinct values (a hot value is
+    # one row) together with the bounds, then join the mapping back.
+    vals = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull()).distinct()
+    data = vals.select("_v", F.lit(1).alias("_kind"), F.lit(0).alias("_is_bound"))
+    bounds = b.select(F.col(lo).cast("double").alias("_v"), F.lit(0).alias("_kind"), F.lit(1).alias("_is_bound"))
     merged = global_row_window(data.unionByName(bounds), [("_v", True), ("_kind", True)], rn_col="_pos",
                                cum=("_is_bound", "_bno"), distributed=distributed)
-    numbered = b.select(F.col(ret).alias(out), F.col(lo).cast("double").alias("_v"))
-    bound_no = merged.where(F.col("_kind") == 0).select("_v", "_bno").join(numbered, "_v")
-    hits = merged.where(F.col("_kind") == 1).select("_row", "_bno")
-    return (hits.join(bound_no.select("_bno", out), "_bno", "left")
-                .select("_row.*", out))
+    numbered = merged.where(F.col("_kind") == 0).select("_v", "_bno") \
+                     .join(b.select(F.col(lo).cast("double").alias("_v"), F.col(ret).alias("_ans")), "_v")
+    mapping = (merged.where(F.col("_kind") == 1).select("_v", "_bno")
+                     .join(numbered.select("_bno", "_ans"), "_bno", "left")
+                     .select(F.col("_v").alias("_lv"), "_ans"))
+    j = df.join(mapping, df[value_col].cast("double") == mapping["_lv"], "left")
+    return j.withColumnRenamed("_ans", out).drop("_lv")
 
 
 def map_lookup(c: Column, mapping: Mapping[str, str]) -> Column:
