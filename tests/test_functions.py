@@ -208,3 +208,13 @@ def test_more_scalars(spark):
     assert one(spark, N.safe_ratio(F.lit(5), F.lit(2))) == 2.5
     assert one(spark, N.round_half_even(F.lit(2.5))) == 2.0
     assert one(spark, N.guarded_corr(F.lit(1.0), F.lit(2.0))) is None
+
+
+def test_bracket_lookup_hot_value(spark, monkeypatch):
+    br = spark.createDataFrame([(0, "low"), (100, "mid"), (1000, "high")], "lo int, tier string")
+    rows = [(i, 500) for i in range(300)] + [(1000 + i, i * 7) for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, amount int")
+    monkeypatch.setattr(L, "BROADCAST_MAX_BRACKETS", 0)
+    got = {r.id: r.tier for r in L.bracket_lookup(df, "amount", br, "lo", "tier", "tier", distributed=True).collect()}
+    assert len(got) == 400 and all(got[i] == "mid" for i in range(300))
+    assert got[1000] == "low" and got[1000 + 14] == "low" and got[1000 + 15] == "mid" and got[1000 + 99] == "mid"

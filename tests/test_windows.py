@@ -60,3 +60,11 @@ def test_renumber(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, d), f"x{d}") for d in (5, 1, 3)], "d date, tag string")
     got = {r.tag: r.order_no for r in W.renumber(df, [("d", True), ("tag", True)], "order_no").collect()}
     assert got == {"x1": "ORD-00001", "x3": "ORD-00002", "x5": "ORD-00003"}
+
+
+def test_row_window_with_empty_partitions(spark):
+    df = _frame(spark, n=50, parts=3)
+    a = W.global_row_window(df, [("v", True), ("id", True)], rn_col="rn", cum=("v", "cv"), distributed=True,
+                            partitions=64)
+    b = W.global_row_window(df, [("v", True), ("id", True)], rn_col="rn", cum=("v", "cv"), distributed=False)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
