@@ -75,8 +75,13 @@ def profile_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     numeric_column_count, status.
     columns: file_name, col_no, col_name, min, max, avg (numeric columns).
     """
-    files = list_files(spark, folder)
-    lines = read_lines(spark, folder)
+    return profile_lines(list_files(spark, folder), read_lines(spark, folder))
+
+
+def profile_lines(files: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Profile from a file list (file_idx, file_name, file_path, size_bytes) and
+    its lines (file_path, first_split, line_id, line): the batch folder scan and
+    each micro-batch of the folder stream share this."""
     counts = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("row_count"))
     # First 1 + SAMPLE_ROWS lines of each file (planned as a per-group limit).
     w = Window.partitionBy("file_path").orderBy("line_id")

@@ -27,3 +27,25 @@ def test_stream_matches_batch(spark):
     assert got and got <= exp
     last_day = max(d for d, _, _ in exp)
     assert {e for e in exp if e[0] < last_day - __import__("datetime").timedelta(days=1)} <= got
+
+
+def test_folder_profile_stream(spark):
+    import shutil
+    from test_folder import make_folder
+    from bizlens.sources import folder as FO
+    from bizlens.streaming import folder_profile_stream
+    src = make_folder()
+    root = tempfile.mkdtemp(prefix="bizlens-fstream-")
+    land = os.path.join(root, "land")
+    os.makedirs(land)
+    # files arrive one after another
+    for name in ("sales.csv", "UPPER.CSV", "header_only.csv"):
+        shutil.copy(os.path.join(src, name), os.path.join(land, name))
+    folder_profile_stream(spark, land, os.path.join(root, "out"), os.path.join(root, "ckpt"), max_files_per_trigger=1)
+    got = {r.file_name: (r.row_count, r.column_count, r.numeric_column_count)
+           for r in spark.read.parquet(os.path.join(root, "out", "files")).collect()}
+    exp_files, _ = FO.profile_folder(spark, land)
+    exp = {r.file_name: (r.row_count, r.column_count, r.numeric_column_count) for r in exp_files.collect()}
+    assert got == exp
+    cols = {(r.file_name, r.col_name) for r in spark.read.parquet(os.path.join(root, "out", "columns")).collect()}
+    assert ("sales.csv", "seven") in cols and ("UPPER.CSV", "a") in cols
