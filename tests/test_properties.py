@@ -37,3 +37,38 @@ def test_parse_price_matches_python(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
     got = [r.p for r in df.select("i", X.parse_price(F.col("s")).alias("p")).orderBy("i").collect()]
     assert got == [py(v) for v in values]
+
+
+def test_partitioning_invariance(spark):
+    """Operators give the same answer whatever the input partitioning."""
+    from bizlens.operators import baskets, windows as W
+    from conftest import SF001
+    items = spark.read.parquet(f"{SF001}/lineitem.parquet").selectExpr("l_orderkey AS order_id",
+                                                                       "l_partkey AS product_id")
+    names = spark.read.parquet(f"{SF001}/part.parquet").selectExpr("p_partkey AS product_id", "p_name AS name")
+    cust = spark.read.parquet(f"{SF001}/orders.parquet").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("spend"))
+    results = []
+    for parts in (1, 7, 64):
+        pairs = baskets.name_pair_counts(items.repartition(parts), names, min_count=1)
+        tiles = W.global_ntile(cust.repartition(parts), [("spend", True), ("o_custkey", True)], 5, "t",
+                               distributed=True)
+        results.append((sorted(map(tuple, pairs.collect())), sorted(map(tuple, tiles.collect()))))
+    assert results[0] == results[1] == results[2]
+
+
+def test_shares_and_totals(spark):
+    import __spark_entry__ as E
+    from conftest import SF01
+    q = E.queries()
+    pct = q["category_revenue"](spark, SF01).agg(F.sum("pct_of_total")).first()[0]
+    assert abs(pct - 100) <= 0.01 * 6
+    share = q["country_breakdown"](spark, SF01).agg(F.sum("share")).first()[0]
+    assert abs(share - 1) <= 0.0001 * 25
+    rd = q["region_detail"](spark, SF01)
+    totals = {r.region: (r.units, r.revenue) for r in rd.where("product = 'TOTAL'").collect()}
+    detail = {r.region: (r.u, r.r) for r in rd.where("product <> 'TOTAL'").groupBy("region")
+              .agg(F.sum("units").alias("u"), F.sum("revenue").alias("r")).collect()}
+    assert totals.keys() == detail.keys()
+    for k in totals:
+        assert totals[k][0] == detail[k][0] and abs(totals[k][1] - detail[k][1]) < 1e-3
