@@ -12,6 +12,9 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from bizlens.session import build_session
-    s = build_session("local[*]", app="bizlens-tests", shuffle_partitions=8)
+    import tempfile
+    warehouse = tempfile.mkdtemp(prefix="bizlens-warehouse-")
+    s = build_session("local[*]", app="bizlens-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
