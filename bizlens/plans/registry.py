@@ -35,8 +35,8 @@ QUERIES: dict[str, Query] = {
     "product_performance": _on_tables(products.product_performance),
     "inventory_alerts": _on_tables(products.inventory_alerts),
     "cohort_retention": _on_tables(customers.cohort_retention),
-    "rfm_segments": _on_tables(customers.rfm_segments),
-    "inactive_customers": _on_tables(customers.inactive_customers),
+    "rfm_segments": _on_tables(customers.rfm_segments, as_of=customers.AS_OF),
+    "inactive_customers": _on_tables(customers.inactive_customers, as_of=customers.AS_OF),
     "customers_without_orders": _on_tables(customers.customers_without_orders),
     "top_products_per_category": _on_tables(products.top_products_per_category),
     "review_sentiment": _on_tables(products.review_sentiment),
