@@ -267,3 +267,25 @@ def renumber(df: DataFrame, keys: Sequence[OrderKey], out_col: str, prefix: str
     ranked = global_row_window(df, keys, rn_col="_seq", distributed=distributed)
     label = F.concat(F.lit(prefix), F.lpad(F.col("_seq").cast("string"), width, "0"))
     return ranked.withColumn(out_col, label).drop("_seq")
+
+
+def global_ntiles(df: DataFrame, orderings: dict[str, Sequence[OrderKey]], k: int,
+                  distributed: bool | None = None, local_max_rows: int = LOCAL_WINDOW_MAX_ROWS) -> DataFrame:
+    """E5 for several orderings at once (RFM): ``{out_col: keys}``.
+
+    The input is written and counted once.  When the count proves it small, all
+    tiles come from one plan of local windows; otherwise each ordering takes
+    the distributed path over the same materialized input.
+    """
+    if distributed is False:
+        out = df
+        for col, keys in orderings.items():
+            out = global_ntile(out, keys, k, col, distributed=False)
+        return out
+    ensure_checkpoint_dir(df.sparkSession)
+    base = df.checkpoint(eager=True)
+    small = distributed is None and base.count() <= local_max_rows
+    out = base
+    for col, keys in orderings.items():
+        out = global_ntile(out, keys, k, col, distributed=False if small else True)
+    return out

@@ -68,3 +68,10 @@ def test_row_window_with_empty_partitions(spark):
                             partitions=64)
     b = W.global_row_window(df, [("v", True), ("id", True)], rn_col="rn", cum=("v", "cv"), distributed=False)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_global_ntiles_paths_agree(spark):
+    df = _frame(spark, n=503)
+    orders = {"a": [("k", True), ("id", True)], "b": [("v", False), ("id", True)]}
+    got = {x: sorted(map(tuple, W.global_ntiles(df, orders, 5, distributed=x).collect())) for x in (None, True, False)}
+    assert got[None] == got[True] == got[False]
