@@ -806,10 +806,10 @@ ORACLE["folder_profile"] = "WITH f AS (" + "\nUNION ALL\n".join(
     f"CAST({len(cols)} AS BIGINT) AS numeric_column_count, 'OK' AS status FROM {t}"
     for t, cols in NUMERIC_COLUMNS.items()) + """)
 SELECT * FROM f
-UNION ALL SELECT 'TOTAL', SUM(data_rows), NULL, NULL, NULL FROM f"""
+UNION ALL SELECT 'TOTAL', CAST(SUM(data_rows) AS BIGINT), NULL, NULL, NULL FROM f"""
 
 ORACLE["folder_column_profile"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}.parquet' AS file_name, {i} AS col_no, '{c}' AS col_name, CAST(MIN({c}) AS DOUBLE) AS min, "
+    f"SELECT '{t}.parquet' AS file_name, CAST({i} AS BIGINT) AS col_no, '{c}' AS col_name, CAST(MIN({c}) AS DOUBLE) AS min, "
     f"CAST(MAX({c}) AS DOUBLE) AS max, ROUND(AVG(CAST({c} AS DOUBLE)), 4) AS avg FROM {t}"
     for t, cols in NUMERIC_COLUMNS.items() for i, c in cols)
 

@@ -47,11 +47,18 @@ def test_every_query_has_oracle_or_reason():
     assert missing == set(), missing
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "DateType": "DATE", "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
-    dcols = [d[0] for d in cur.description]
+    rel = duck.sql(E.oracle_sql()[name])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
     assert sorted(df.columns) == sorted(dcols)
-    assert _rows(df.columns, srows) == _rows(dcols, cur.fetchall())
+    stypes = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+              for f in df.schema.fields}
+    assert stypes == dict(zip(dcols, dtypes))
+    assert _rows(df.columns, srows) == _rows(dcols, rel.fetchall())
