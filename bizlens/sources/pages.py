@@ -29,12 +29,17 @@ def strip_noise(html: Column) -> Column:
     return out
 
 
+def decode_entities(text: Column) -> Column:
+    """The common named / numeric entities of the fixed list, ``&amp;`` last."""
+    for ent, ch in ENTITIES:
+        text = F.replace(text, F.lit(ent), F.lit(ch))
+    return text
+
+
 def tag_text(fragment: Column) -> Column:
     """Visible text of a fragment: tags removed, entities decoded, whitespace
     collapsed and stripped (like ``get_text(strip=True)`` on a leaf)."""
-    t = F.regexp_replace(fragment, r"<[^>]*>", " ")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
+    t = decode_entities(F.regexp_replace(fragment, r"<[^>]*>", " "))
     return F.regexp_replace(F.regexp_replace(t, r"\s+", " "), r"^ | $", "")
 
 
@@ -98,7 +103,7 @@ def extract_records(pages: DataFrame, with_category: bool = True) -> DataFrame:
     pods = clean.select("page_id", "url", F.posexplode(F.regexp_extract_all("_h", F.lit(POD), 1))
                         .alias("pod_no", "_pod"))
     pod = F.col("_pod")
-    title = _attr_after(pod, r"<h3[^>]*>", "title")
+    title = decode_entities(_attr_after(pod, r"<h3[^>]*>", "title"))  # attribute values are entity-decoded
     href = _attr_after(pod, r"<h3[^>]*>", "href")
     price_txt = F.regexp_extract(pod, r'class="[^"]*price_color[^"]*"[^>]*>([^<]*)<', 1)
     price = F.replace(F.replace(F.trim(price_txt), F.lit("£"), F.lit("")), F.lit("Â"), F.lit("")).try_cast("double")

@@ -14,7 +14,7 @@ LISTING = """<html><head><script>var s = "</p><article class='product_pod'>";</s
   </p></div>
 </article>
 <article class="product_pod">
-  <h3><a href="../../catalogue/tipping_999/index.html" title="Tipping the Velvet">Tipping...</a></h3>
+  <h3><a href="../../catalogue/tipping_999/index.html" title="Tipping &amp; the Velvet">Tipping...</a></h3>
   <p class="star-rating Seven"></p>
   <p class="price_color">Â£53.74</p>
 </article>
@@ -38,10 +38,10 @@ def test_extract_records(spark):
         (3, "http://books.example.com/catalogue/tipping_999/index.html", DETAIL_SHORT),
     ], "page_id long, url string, html string")
     recs = {r["title"]: r for r in P.extract_records(pages).collect()}
-    assert set(recs) == {"A Light in the Attic", "Tipping the Velvet", "N/A"}
+    assert set(recs) == {"A Light in the Attic", "Tipping & the Velvet", "N/A"}
     a = recs["A Light in the Attic"]
     assert (a.price, a.rating, a.availability, a.category) == (51.77, 3, "In stock", "Poetry")
-    t = recs["Tipping the Velvet"]
+    t = recs["Tipping & the Velvet"]
     assert (t.price, t.rating, t.availability, t.category) == (53.74, 0, "Unknown", "Unknown")
     n = recs["N/A"]
     assert (n.price, n.rating, n.category) == (None, 1, "Unknown")
