@@ -42,25 +42,27 @@ def not_null_rules(cols: Sequence[str]) -> dict[str, Column]:
 
 def unique_key(df: DataFrame, table: str, cols: Sequence[str], rule: str | None = None) -> DataFrame:
     """K2: rows whose key value occurs more than once.  NULL keys never collide
-    (SQL UNIQUE), so rows with a NULL key part are left out of the grouping."""
+    (SQL UNIQUE).  One grouping (partial aggregation first) gives both the rows
+    checked and the violations."""
     rule = rule or f"unique({', '.join(cols)})"
-    keyed = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-    g = keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    viol = g.select(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("v"))
-    return df.agg(F.count(F.lit(1)).alias("checked")).select(
-        F.lit(rule).alias("rule"), F.lit(table).alias("table"), "checked",
-        viol.select("v").scalar().cast("long").alias("violations"))
+    has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"), F.max(has_key).alias("_k"))
+    return g.agg(F.sum("_n").cast("long").alias("checked"),
+                 F.coalesce(F.sum(F.when(F.col("_k") & (F.col("_n") > 1), F.col("_n"))), F.lit(0))
+                  .cast("long").alias("violations")) \
+            .select(F.lit(rule).alias("rule"), F.lit(table).alias("table"), "checked", "violations")
 
 
 def foreign_key(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str,
                 rule: str | None = None) -> DataFrame:
-    """K3: child rows whose non-NULL key has no parent (a left anti join)."""
+    """K3: child rows whose non-NULL key has no parent, in one pass: the child
+    is left-joined to the parent's distinct keys (no fan-out) and counted."""
     rule = rule or f"foreign_key({fk})"
-    c = child.select(F.col(fk).alias("_k")).where(F.col("_k").isNotNull())
-    p = parent.select(F.col(pk).alias("_k"))
-    orphans = c.join(p, "_k", "left_anti").agg(F.count(F.lit(1)).alias("v")).select("v").scalar()
-    return child.agg(F.count(F.lit(1)).alias("checked")).select(
-        F.lit(rule).alias("rule"), F.lit(table).alias("table"), "checked", orphans.cast("long").alias("violations"))
+    keys = parent.select(F.col(pk).alias("_pk")).distinct().withColumn("_hit", F.lit(True))
+    j = child.select(F.col(fk).alias("_fk")).join(keys, F.col("_fk") == F.col("_pk"), "left")
+    return j.agg(F.count(F.lit(1)).cast("long").alias("checked"),
+                 F.count_if(F.col("_fk").isNotNull() & F.col("_hit").isNull()).cast("long").alias("violations")) \
+            .select(F.lit(rule).alias("rule"), F.lit(table).alias("table"), "checked", "violations")
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
