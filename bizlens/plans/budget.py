@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import criteria as C
 from ..operators import lookups as L
-from . import views as V
 from ..session import ensure_checkpoint_dir
 from .common import money_div, to_report
 
