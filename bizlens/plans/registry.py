@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,9 @@ QUERIES: dict[str, Query] = {
     "cohort_retention": _on_tables(customers.cohort_retention),
     "rfm_segments": _on_tables(customers.rfm_segments, as_of=customers.AS_OF),
     "inactive_customers": _on_tables(customers.inactive_customers, as_of=customers.AS_OF),
-    "customers_without_orders": _on_tables(customers.customers_without_orders),
+    # The NOT EXISTS form of "no revenue order in the last 90 days" (never-ordered customers included)
+    "customers_without_orders": _on_tables(customers.customers_without_orders,
+                                           since=customers.AS_OF - dt.timedelta(days=90)),
     "top_products_per_category": _on_tables(products.top_products_per_category),
     "review_sentiment": _on_tables(products.review_sentiment),
     "co_purchased_pairs": _on_tables(products.co_purchased_pairs),
