@@ -75,3 +75,14 @@ def test_global_ntiles_paths_agree(spark):
     orders = {"a": [("k", True), ("id", True)], "b": [("v", False), ("id", True)]}
     got = {x: sorted(map(tuple, W.global_ntiles(df, orders, 5, distributed=x).collect())) for x in (None, True, False)}
     assert got[None] == got[True] == got[False]
+
+
+def test_size_switch_takes_distributed_path_when_large(spark):
+    df = _frame(spark, n=300)
+    keys = [("k", True), ("id", True)]
+    big = W.global_row_window(df, keys, rn_col="rn", cum=("v", "cv"), distributed=None, local_max_rows=10)
+    # the distributed path ends in the per-partition Arrow scan
+    assert "MapInPandas" in big._jdf.queryExecution().executedPlan().toString()
+    small = W.global_row_window(df, keys, rn_col="rn", cum=("v", "cv"), distributed=None)
+    assert "MapInPandas" not in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, big.collect())) == sorted(map(tuple, small.collect()))
