@@ -154,3 +154,29 @@ def test_aggregate_operators(spark):
     assert (st.orders, st.total, st.first_date, st.last_date) == (2, 8, d(2024, 3, 1), d(2024, 9, 1))
     c = {r.reg: r.corr for r in A.corr_by(df.withColumn("w", F.col("v") * 2), ["reg"], "v", "w").collect()}
     assert c == {"EU": 0.0, "US": 1.0}
+
+
+def test_budget_edges(spark):
+    from bizlens.plans import budget as B
+    led = spark.createDataFrame([
+        (d(2024, 1, 5), "Expense", "Food", Decimal("700.00")),
+        (d(2024, 1, 9), "Expense", "Pets", Decimal("50.00")),        # category without a budget
+        (d(2024, 3, 2), "Expense", "Housing", Decimal("1800.00")),
+        (d(2024, 1, 1), "Income", "Salary", Decimal("5000.00")),
+    ], "date date, type string, category string, amount decimal(12,2)")
+    budgets = spark.createDataFrame([("Food", 600), ("Housing", 1800)], "category string, budget int")
+    rows = {(r.category, r.month): r for r in B.budget_vs_actual_long(led, budgets).collect()}
+    assert ("Pets", 1) not in rows                                   # only budgeted categories are listed
+    food_jan, food_feb = rows[("Food", 1)], rows[("Food", 2)]
+    assert (food_jan.actual, food_jan.variance, food_jan.var_pct) == (Decimal("700.00"), Decimal("-100.00"), -0.1667)
+    assert (food_feb.actual, food_feb.variance, food_feb.var_pct) == (0, 600, 1.0)   # month without data
+    tot = rows[("TOTAL", 3)]
+    assert (tot.budget, tot.actual) == (2400, Decimal("1800.00"))
+
+
+def test_half_year_growth_zero_h1(spark):
+    from bizlens.operators import aggregates as A
+    df = spark.createDataFrame([("x", d(2024, 8, 1), 10), ("y", d(2024, 2, 1), 4), ("y", d(2024, 9, 1), 5)],
+                               "k string, m date, v int")
+    g = {r.k: r.growth for r in A.half_year_growth(df, ["k"], "m", "v").collect()}
+    assert g == {"x": 0.0, "y": 0.25}
