@@ -80,6 +80,19 @@ def test_cleaning_goldens(spark):
     assert set(map(tuple, again.collect())) == set(map(tuple, once.collect()))
 
 
+def _brute(items, names):
+    import itertools
+    exp, by_order = {}, {}
+    for o, p in items:
+        by_order.setdefault(o, []).append(p)
+    for ps in by_order.values():
+        for a, b in itertools.product(ps, ps):
+            if a < b:
+                k = (min(names[a], names[b]), max(names[a], names[b]))
+                exp[k] = exp.get(k, 0) + 1
+    return exp
+
+
 def test_baskets_match_brute_force(spark):
     import itertools
     import random
@@ -91,6 +104,11 @@ def test_baskets_match_brute_force(spark):
     ndf = spark.createDataFrame(list(names.items()), "product_id long, name string")
     got = {(r.product_a, r.product_b): r.times_bought_together
            for r in baskets.name_pair_counts(idf, ndf, min_count=1).collect()}
+    for hot in (1, 3):           # several orders take the hot path; min_count 2 and 3
+        for k in (2, 3):
+            got_hot = {(r.product_a, r.product_b): r.times_bought_together
+                       for r in baskets.name_pair_counts(idf, ndf, min_count=k, hot_names=hot).collect()}
+            assert got_hot == {p: n for p, n in _brute(items, names).items() if n >= k}, (hot, k)
     exp = {}
     by_order = {}
     for o, p in items:
