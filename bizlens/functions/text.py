@@ -37,11 +37,13 @@ def proper(s: Column) -> Column:
     """Title case like Python ``str.title`` / spreadsheet PROPER.
 
     Every run of letters is capitalised on its first letter and lower-cased
-    after it; anything else is a separator (``men's`` -> ``Men'S``).
+    after it; anything else is a separator (``men's`` -> ``Men'S``).  Built
+    from code-generated expressions only: a marker and a space are put before
+    every letter that follows a non-letter, ``initcap`` (which capitalises
+    after spaces) does the casing, and the markers are removed again.
     """
-    runs = F.regexp_extract_all(F.lower(s), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    cap = F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30)))
-    return F.when(s.isNull(), F.lit(None).cast("string")).otherwise(F.array_join(cap, ""))
+    marked = F.regexp_replace(F.lower(s), r"([^\p{L}])(\p{L})", "$1\u0001 $2")
+    return F.regexp_replace(F.initcap(marked), "\u0001 ", "")
 
 
 def left(s: Column, n: int) -> Column:
