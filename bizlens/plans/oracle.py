@@ -728,8 +728,7 @@ ORACLE["constraint_report"] = with_views("v_customers", "v_products", "v_orders"
     _fk("reviews", "v_reviews", "customer_id", "v_customers", "customer_id"),
 ])
 
-_NOISE_SQL = ("regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
-              "'(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g')")
+_NOISE_SQL = ("regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'g')")
 
 
 def _text_sql(frag: str) -> str:

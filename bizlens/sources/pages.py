@@ -17,16 +17,15 @@ from pyspark.sql import functions as F
 
 from ..functions.text import rating_value
 
-NOISE_PARTS = [r"(?s)<!--.*?-->", r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>"]
+# Comments, scripts and styles in one leftmost-match pass: a "<!--" inside a
+# script is script text, as an HTML parser reads it.
+NOISE = r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
 # HTML entities decoded in extracted text (``&amp;`` last).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 
 def strip_noise(html: Column) -> Column:
-    out = html
-    for p in NOISE_PARTS:
-        out = F.regexp_replace(out, p, "")
-    return out
+    return F.regexp_replace(html, NOISE, "")
 
 
 def decode_entities(text: Column) -> Column:
