@@ -198,3 +198,17 @@ def test_half_year_growth_zero_h1(spark):
                                "k string, m date, v int")
     g = {r.k: r.growth for r in A.half_year_growth(df, ["k"], "m", "v").collect()}
     assert g == {"x": 0.0, "y": 0.25}
+
+
+def test_approx_options(spark):
+    from bizlens.plans import reports
+    from bizlens.sources.tables import load_tables
+    from conftest import SF001
+    t = load_tables(spark, SF001)
+    exact = reports.executive_kpis(t).first().unique_customers
+    approx = reports.executive_kpis(t, approx=True).first().unique_customers
+    assert abs(approx - exact) <= 0.05 * exact
+    ex = {r.month: r.median_days_to_deliver for r in reports.fulfilment_times(t).collect()}
+    ap = {r.month: r.median_days_to_deliver for r in reports.fulfilment_times(t, approx=True).collect()}
+    # the sketch returns an observed value (no interpolation between the middle two)
+    assert ex.keys() == ap.keys() and all(ap[m] is not None and ap[m] >= 0 for m in ap)
