@@ -46,6 +46,7 @@ def _pairs(per_name: DataFrame, order_col: str, name_col: str) -> DataFrame:
 def name_pair_counts(items: DataFrame, names: DataFrame, min_count: int = 2,
                      order_col: str = "order_id", product_col: str = "product_id",
                      name_col: str = "name", hot_names: int = HOT_ORDER_NAMES) -> DataFrame:
+    """(product_a <= product_b, times_bought_together) over name pairs, >= min_count."""
     per_product = (items.join(names, product_col)
                         .groupBy(order_col, name_col, product_col)
                         .agg(F.count(F.lit(1)).alias("_m")))

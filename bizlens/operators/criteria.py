@@ -30,6 +30,7 @@ def _typed(raw: str):
 
 
 def condition(col: Column, cond: Any, ignore_case: bool = False) -> Column:
+    """One spreadsheet condition on a column (value, comparison string or inclusive range)."""
     if isinstance(cond, tuple) and len(cond) == 2:
         lo, hi = cond
         return col.between(F.lit(lo), F.lit(hi))
@@ -69,14 +70,17 @@ def averageifs_expr(value: str, spec: Mapping[str, Any], **kw) -> Column:
 
 
 def sumifs(df: DataFrame, value: str, spec, **kw) -> DataFrame:
+    """D8 as a one-row DataFrame."""
     return df.agg(sumifs_expr(value, spec, **kw).alias("sumifs"))
 
 
 def countifs(df: DataFrame, spec, **kw) -> DataFrame:
+    """D9 as a one-row DataFrame."""
     return df.agg(countifs_expr(spec, **kw).alias("countifs"))
 
 
 def averageifs(df: DataFrame, value: str, spec, **kw) -> DataFrame:
+    """D10 as a one-row DataFrame."""
     return df.agg(averageifs_expr(value, spec, **kw).alias("averageifs"))
 
 

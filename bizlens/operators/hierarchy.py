@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 
 def tree_paths(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id", name_col: str = "name",
                max_depth: int = 100) -> DataFrame:
+    """(id, name, level, root_id, root_name, path) for every node reachable from a root."""
     spark = nodes.sparkSession
     view = f"_tree_nodes_{abs(hash((id_col, parent_col, name_col))) % 10**8}"
     nodes.select(nodes[id_col].alias("id"), nodes[parent_col].alias("parent_id"),

@@ -41,6 +41,7 @@ def is_number_text(s: Column) -> Column:
 
 
 def to_number(s: Column) -> Column:
+    """Numeric value of a text cell (``$`` and ``,`` removed), NULL if not a number."""
     return F.translate(F.trim(s), "$,", "").try_cast("double")
 
 

@@ -76,4 +76,5 @@ def violating_rows(df: DataFrame, rule: Column) -> DataFrame:
 
 
 def union_results(parts: Sequence[DataFrame]) -> DataFrame:
+    """Stack rule results into one (rule, table, checked, violations) table."""
     return reduce(lambda a, b: a.unionByName(b), parts).select(*RESULT_COLUMNS)

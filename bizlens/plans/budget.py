@@ -25,6 +25,7 @@ MONTHLY_BUDGETS = {
 
 
 def budgets_frame(spark: SparkSession, budgets: dict[str, int] = MONTHLY_BUDGETS) -> DataFrame:
+    """The budget table (category, monthly budget) as a DataFrame."""
     return spark.createDataFrame([(k, v) for k, v in budgets.items()], "category string, budget int")
 
 

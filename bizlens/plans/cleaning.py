@@ -69,6 +69,7 @@ def distinct_with_multiplicity(raw: DataFrame) -> DataFrame:
 
 
 def cleaned_sales(t) -> DataFrame:
+    """L18 over the messy text derived from lineitem."""
     return to_report(clean_sales(messy_sales(t)))
 
 

@@ -26,6 +26,7 @@ PRICE_TIERS = [(0, "Small"), (50000, "Medium"), (150000, "Large"), (300000, "Key
 
 
 def order_calendar(t) -> DataFrame:
+    """L23 date functions per delivered order."""
     s = V.shipments(t).where(F.col("delivered_date").isNotNull())
     od, dd = F.to_date("order_date"), F.to_date("delivered_date")
     out = s.select("order_id", od.alias("order_day"),
@@ -41,6 +42,7 @@ def order_calendar(t) -> DataFrame:
 
 
 def customer_text(t) -> DataFrame:
+    """L23 text functions per customer."""
     c = V.customers(t)
     name = F.col("first_name")
     out = c.select("customer_id",
@@ -56,6 +58,7 @@ def customer_text(t) -> DataFrame:
 
 
 def order_lookups(t) -> DataFrame:
+    """L23 lookups per order: exact match, match with default, bracket tier."""
     o = V.orders(t).select("order_id", "customer_id", "total_amount")
     c = V.customers(t)
     with_name = L.exact_lookup(o, "customer_id", c, "customer_id", ["first_name"])

@@ -55,6 +55,7 @@ VIEW_SQL["v_valid"] = "SELECT * FROM v_orders WHERE status NOT IN ('cancelled',
 
 
 def with_views(*names: str) -> str:
+    """WITH clause declaring the named views and the views they depend on, in order."""
     order: list[str] = []
 
     def add(n):

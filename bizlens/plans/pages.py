@@ -10,6 +10,7 @@ from .common import to_report
 
 
 def page_records(t) -> DataFrame:
+    """One record per stored page (host, language, title, links, paragraphs, words)."""
     return to_report(P.page_records(t["pages"]))
 
 

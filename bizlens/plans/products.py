@@ -23,6 +23,7 @@ def product_sales(t) -> DataFrame:
 
 
 def review_stats(t) -> DataFrame:
+    """Per product: review count, rating sum, positive (>= 4) and negative (<= 2) reviews."""
     r = V.reviews(t)
     return r.groupBy("product_id").agg(F.count("review_id").alias("review_count"),
                                        F.sum("rating").alias("_rating_sum"),

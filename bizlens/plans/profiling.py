@@ -18,6 +18,7 @@ def _paths(t) -> list[str]:
 
 
 def folder_profile(t) -> DataFrame:
+    """Rows, columns and numeric columns per table file, plus a TOTAL line."""
     files, _ = profile_parquet_files(t.spark, _paths(t))
     files = files.withColumn("status", F.lit("OK"))
     total = files.agg(F.lit("TOTAL").alias("file_name"), F.sum("data_rows").alias("data_rows"))
@@ -25,5 +26,6 @@ def folder_profile(t) -> DataFrame:
 
 
 def folder_column_profile(t) -> DataFrame:
+    """Min / max / average of every numeric column of every table file."""
     _, cols = profile_parquet_files(t.spark, _paths(t))
     return to_report(cols.withColumn("avg", F.round("avg", 4)))

@@ -14,6 +14,7 @@ ORDER_STATUSES = ("pending", "processing", "shipped", "delivered", "cancelled",
 
 
 def constraint_report(t) -> DataFrame:
+    """Every declared rule over the business views, as (rule, table, checked, violations)."""
     cust, prod, orders = V.customers(t), V.products(t), V.orders(t)
     items, inv, rev = V.order_items(t), V.inventory(t), V.reviews(t)
     parts = [

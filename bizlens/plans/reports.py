@@ -101,6 +101,7 @@ def product_totals(t) -> DataFrame:
 
 
 def category_totals(t) -> DataFrame:
+    """(category, revenue, orders = lines), reduced per product before the product join."""
     per = product_totals(t).join(V.products(t).select("product_id", "category"), "product_id", "left")
     return per.groupBy("category").agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("orders"))
 

@@ -37,6 +37,7 @@ def customers(t) -> DataFrame:
 
 
 def order_status(code: Column, key: Column) -> Column:
+    """Status names from the order status code; P orders with key % 10 = 0 count as cancelled."""
     return (F.when(code == "F", "delivered")
              .when(code == "O", "processing")
              .when((code == "P") & (key % 10 == 0), "cancelled")
@@ -44,6 +45,7 @@ def order_status(code: Column, key: Column) -> Column:
 
 
 def orders(t) -> DataFrame:
+    """orders view: order_id, customer_id, status, total_amount, order_date, priority."""
     o = t["orders"]
     return o.select(o.o_orderkey.alias("order_id"),
                     o.o_custkey.alias("customer_id"),
@@ -67,6 +69,7 @@ def line_total(extended_price: Column, discount: Column) -> Column:
 
 
 def order_items(t) -> DataFrame:
+    """order_items view: one row per line item with the decimal line total."""
     li = t["lineitem"]
     return li.select(li.l_orderkey.alias("order_id"),
                      li.l_partkey.alias("product_id"),
@@ -81,6 +84,7 @@ def order_items(t) -> DataFrame:
 
 
 def products(t) -> DataFrame:
+    """products view over part (category = part type)."""
     p = t["part"]
     return p.select(p.p_partkey.alias("product_id"),
                     p.p_name.alias("name"),
@@ -93,6 +97,7 @@ def products(t) -> DataFrame:
 
 
 def inventory(t) -> DataFrame:
+    """inventory view over part: stock, reorder level and reorder quantity."""
     p = t["part"]
     return p.select(p.p_partkey.alias("product_id"),
                     (p.p_size - 1).alias("quantity"),

@@ -68,4 +68,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def default_parallelism(spark: SparkSession) -> int:
+    """Shuffle partition count of the session (the default width of distributed steps)."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -63,6 +63,7 @@ def read_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cells(line):
+    """CSV cells of a line (commas inside double quotes kept, quotes stripped)."""
     parts = F.split(line, SPLIT_OUTSIDE_QUOTES)
     return F.transform(parts, lambda c: F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"))
 

@@ -25,6 +25,7 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nb
 
 
 def strip_noise(html: Column) -> Column:
+    """Remove comments, scripts and styles from a page."""
     return F.regexp_replace(html, NOISE, "")
 
 
@@ -49,14 +50,17 @@ def section(html: Column, tag: str) -> Column:
 
 
 def count_tags(fragment: Column, tag: str) -> Column:
+    """Number of ``<tag>`` openings in a fragment."""
     return F.size(F.regexp_extract_all(fragment, F.lit(rf"<{tag}[\s>/]"), 0))
 
 
 def word_count(text: Column) -> Column:
+    """Number of whitespace-separated words (0 for empty text)."""
     return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, r"\s+")))
 
 
 def host_of(url: Column) -> Column:
+    """Host part of a URL."""
     return F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)", 1)
 
 

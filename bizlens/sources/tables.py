@@ -15,6 +15,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy parquet scan of one driver table."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -33,6 +34,7 @@ class Tables(dict):
 
 
 def load_tables(spark: SparkSession, sf_dir: str, register_views: bool = False) -> Tables:
+    """A2: lazy mapping of every driver table (optionally registered as temp views)."""
     tables = Tables(spark, sf_dir)
     if register_views:
         for name in DRIVER_TABLES:

@@ -19,6 +19,7 @@ from ..sources.folder import CSV_GLOB, profile_lines
 
 def folder_profile_stream(spark: SparkSession, folder: str, sink_dir: str, checkpoint_dir: str,
                           max_files_per_trigger: int | None = None) -> None:
+    """Profile the CSV files that arrive in ``folder`` (availableNow; appends to ``sink_dir``)."""
     reader = spark.readStream.format("text").option("pathGlobFilter", CSV_GLOB)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
