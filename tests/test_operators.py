@@ -212,3 +212,15 @@ def test_approx_options(spark):
     ap = {r.month: r.median_days_to_deliver for r in reports.fulfilment_times(t, approx=True).collect()}
     # the sketch returns an observed value (no interpolation between the middle two)
     assert ex.keys() == ap.keys() and all(ap[m] is not None and ap[m] >= 0 for m in ap)
+
+
+def test_read_sales_csv_header_from_file(spark):
+    folder = tempfile.mkdtemp(prefix="bizlens-csv2-")
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("id,region,price\n1, North ,N/A\n2,-,$5\n3,,none\n4, - ,x\n")
+    df = CSV.read_sales_csv(spark, folder)
+    assert df.columns == ["id", "region", "price"]
+    rows = {r.id: r for r in df.collect()}
+    assert rows["1"].region == " North " and rows["1"].price is None     # whitespace kept, marker -> NULL
+    assert rows["2"].region is None and rows["3"].region is None and rows["3"].price is None
+    assert rows["4"].region == " - "                                      # not an exact marker
