@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +48,17 @@ def text_or_empty(col: str = "text") -> Column:
 def id_type(df: DataFrame, col: str = "doc_id") -> str:
     """SQL type of an id column, for the schemas of Arrow maps."""
     return df.schema[col].dataType.simpleString()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the executors' Python, once a session; Spark's own file service sends it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_bizlens_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="bizlens-code-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._bizlens_shipped = True

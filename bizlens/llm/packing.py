@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import id_type, table, text_or_empty
+from bizlens.llm.common import id_type, ship_package, table, text_or_empty
 from bizlens.llm.tokens import batches, encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -163,6 +163,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, width: int = WID
     rows are documents of their own; null ids stay; other columns are ignored; an empty table
     gives no rows; a long text runs over as many windows as it needs.
     """
+    ship_package(docs.sparkSession)
     schema = (f"`{id_col}` {id_type(docs, id_col)}, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, offset long")
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("_text")).mapInArrow(_pack(tokenizer, width, id_col), schema)

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from bizlens.llm.decontamination import ORACLE_OP7, op7_benchmark_decontamination
 from bizlens.llm.packing import op5_packing
+from bizlens.llm.quality_classifier import op8_quality_classifier
+from bizlens.llm.quality_rules import op3_quality_rules
+from bizlens.llm.simhash import op9_simhash_near_dedup
 from bizlens.llm.token_counts import op1_token_counts
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_quality_rules": op3_quality_rules,
     "op5_packing": op5_packing,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_benchmark_decontamination": ORACLE_OP7,
+}

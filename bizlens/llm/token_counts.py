@@ -14,7 +14,7 @@ from importlib.metadata import version
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import scratch_path, table, text_or_empty
+from bizlens.llm.common import scratch_path, ship_package, table, text_or_empty
 from bizlens.llm.tokens import batches, encoder, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,6 +53,7 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str = TOKENIZER, l
     isn't there; doubled entries (two runs appending at once) do no harm.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     digest = tokenizer_digest(tokenizer)
     text = text_or_empty(text_col)
     keyed = docs.select(F.col(id_col), text.alias("_text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("content_digest"),
