@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+from bizlens.llm.chat_formatting import ORACLE_OP2, op2_chat_formatting
 from bizlens.llm.decontamination import ORACLE_OP7, op7_benchmark_decontamination
 from bizlens.llm.packing import op5_packing
 from bizlens.llm.quality_classifier import op8_quality_classifier
 from bizlens.llm.quality_rules import op3_quality_rules
+from bizlens.llm.secret_scans import op4_secret_scans
 from bizlens.llm.simhash import op9_simhash_near_dedup
 from bizlens.llm.token_counts import op1_token_counts
+from bizlens.llm.url_filters import ORACLE_OP10, op10_url_filters
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_quality_rules": op3_quality_rules,
+    "op4_secret_scans": op4_secret_scans,
     "op5_packing": op5_packing,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_url_filters": op10_url_filters,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_chat_formatting": ORACLE_OP2,
     "op7_benchmark_decontamination": ORACLE_OP7,
+    "op10_url_filters": ORACLE_OP10,
 }
