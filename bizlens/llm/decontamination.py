@@ -137,6 +137,14 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_
             .select(id_col, item_col, "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment")))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, threshold: float = THRESHOLD,
+                      id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that contain no benchmark item; rows with a null id stay."""
+    hits = contained_items(docs, benchmark, width, threshold, id_col, item_col, text_col)
+    hits = materialize(hits.where(F.col(id_col).isNotNull()).select(id_col).distinct(), "hits")
+    return docs.join(hits, id_col, "left_anti").select(*docs.columns)
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain benchmark items, with the items."""
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

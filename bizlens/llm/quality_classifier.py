@@ -16,6 +16,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,16 +202,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(rows, np.where(got["quality"].to_numpy() == 1, 1, -1), got["held"].to_numpy(zero_copy_only=False))
 
 
-def _score(model: NaiveBayesSvm | None, id_col: str):
-    def run(parts):
-        import pyarrow as pa
+def score_column(model: NaiveBayesSvm | None, text: Column) -> Column:
+    """Score of a text column, in Arrow batches; 0.5 without a model."""
+    if model is None:
+        return F.lit(0.5)
 
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
         scratch = np.zeros(DIM, np.int32)
-        for part in parts:
-            scores = [model.score(features(t, scratch)) if model else 0.5 for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], [id_col, "score"])
+        return pd.Series([model.score(features(t, scratch)) for t in texts], dtype=float)
 
-    return run
+    return score(text)
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -224,12 +226,19 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """
     ship_package(docs.sparkSession)
     model = fit(docs, labels, id_col, text_col, per_class)
-    scored = (docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
-              .mapInArrow(_score(model, id_col), f"`{id_col}` {id_type(docs, id_col)}, score double"))
+    scored = docs.select(F.col(id_col), score_column(model, text_or_empty(text_col)).alias("score"))
     return scored.select(id_col, F.coalesce(fold(F.col(id_col)) == HELD_OUT, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
+    """The rows of ``docs``, all columns, that the classifier predicts to be of quality; each row is
+    scored where it lies, so nothing is joined or shuffled.  Cases as in ``classify_quality``."""
+    ship_package(docs.sparkSession)
+    model = fit(docs, labels, id_col, text_col)
+    return docs.where(score_column(model, text_or_empty(text_col)) >= cut)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned outside the held-out fold."""
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

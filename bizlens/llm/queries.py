@@ -11,6 +11,7 @@ from bizlens.llm.secret_scans import op4_secret_scans
 from bizlens.llm.simhash import op9_simhash_near_dedup
 from bizlens.llm.token_counts import op1_token_counts
 from bizlens.llm.url_filters import ORACLE_OP10, op10_url_filters
+from bizlens.llm.warc import ORACLE_OP6, op6_warc
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op5_packing": op5_packing,
+    "op6_warc": op6_warc,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
@@ -26,6 +28,7 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": ORACLE_OP2,
+    "op6_warc": ORACLE_OP6,
     "op7_benchmark_decontamination": ORACLE_OP7,
     "op10_url_filters": ORACLE_OP10,
 }

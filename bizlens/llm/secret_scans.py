@@ -75,7 +75,7 @@ def find_candidates(docs: DataFrame, id_col: str, text_col: str, repo: Column, o
     """The rows with spans (id, repo, owner, spans, a row key) and one narrow row per input row
     (without the key), both written to the shared folder: the texts are read once."""
     found = docs.select(F.col(id_col).alias("id"), repo.cast("string").alias("repo"), owner.cast("string").alias("owner"),
-                        secret_spans(text_or_empty(text_col)).alias("spans"))
+                        secret_spans(text_or_empty(text_col)).alias("spans"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"))
     found = materialize(found, "spans")
     return materialize(found.where(F.size("spans") > 0).withColumn("row", F.monotonically_increasing_id()), "candidates"), found
 
@@ -105,7 +105,7 @@ def _count_of(kind: str) -> Column:
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None,
                  owner: Column | None = None) -> DataFrame:
     """One row per input row: id, n_assign, n_access, n_hex, base_sha256, spans, n_live,
-    n_example, n_weak, live_spans (kind:start:end, as spans).
+    n_example, n_weak, live_spans (kind:start:end, as spans), text_hash.
 
     ``repo`` and ``owner`` default to ``source/lang`` and ``source``.  Null and empty texts have no
     spans; null ids stay; repeated rows each get a row and add nothing to the distinct counts;
@@ -119,14 +119,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     judged = (candidates.select("row", "id", "spans", F.explode("spans").alias("s")).select("row", "s", "s.hash").join(classes, "hash")
               .groupBy("row").agg(*(F.sum((F.col("class") == c).cast("long")).alias(f"n_{c}") for c in ("live", "example", "weak")),
                                   F.array_sort(F.collect_list(F.when(F.col("class") == "live", F.struct("s.start", "s.kind", "s.end", "s.name")))).alias("live")))
-    with_spans = candidates.select("row", "id", "spans").join(judged, "row").drop("row")
+    with_spans = candidates.select("row", "id", "spans", "text_hash").join(judged, "row").drop("row")
     zero = F.lit(0).cast("long")
-    without = found.where(F.size("spans") == 0).select("id", "spans", zero.alias("n_live"), zero.alias("n_example"), zero.alias("n_weak"),
+    without = found.where(F.size("spans") == 0).select("id", "spans", "text_hash", zero.alias("n_live"), zero.alias("n_example"), zero.alias("n_weak"),
                                                        F.array().cast("array<struct<start:int,kind:int,end:int,name:string>>").alias("live"))
     counts = [_count_of(k).alias(f"n_{k}") for k in BASE_KINDS]
     return with_spans.unionByName(without).select(
         F.col("id").alias(id_col), *counts, F.sha2(_joined("spans", BASE_KINDS), 256).alias("base_sha256"), _joined("spans").alias("spans"),
-        "n_live", "n_example", "n_weak", _joined("live").alias("live_spans"))
+        "n_live", "n_example", "n_weak", _joined("live").alias("live_spans"), "text_hash")
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
@@ -145,6 +145,22 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.coalesce(spans, F.lit("")) == "", text).otherwise(whole)
 
 
+def redact_live(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None,
+                owner: Column | None = None, chars_col: str = "n_chars") -> DataFrame:
+    """All rows and columns of ``docs`` with live-looking credentials replaced in the text, and
+    ``chars_col``, where there is one, set to the length of a changed text.  Spans are matched by id
+    and text, so repeated ids and null ids are right."""
+    hits = scan_secrets(docs, id_col, text_col, repo, owner).where("live_spans <> ''")
+    hits = hits.select(F.col(id_col).alias("__bizlens_id"), F.col("text_hash").alias("__bizlens_hash"), F.col("live_spans").alias("__bizlens_spans"))
+    hits = materialize(hits.dropDuplicates(["__bizlens_id", "__bizlens_hash"]), "live")
+    found = docs.join(hits, F.col(id_col).eqNullSafe(F.col("__bizlens_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__bizlens_hash")), "left")
+    found = found.withColumn(text_col, redact(F.col(text_col), F.col("__bizlens_spans")))
+    if chars_col in docs.columns:
+        kind = docs.schema[chars_col].dataType
+        found = found.withColumn(chars_col, F.when(F.col("__bizlens_spans").isNotNull(), F.char_length(text_col).cast(kind)).otherwise(F.col(chars_col)))
+    return found.select(*docs.columns)
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole document, with the classes of their values."""
     return scan_secrets(table(spark, sf_dir, "documents"))
