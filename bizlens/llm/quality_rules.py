@@ -1,9 +1,11 @@
 """Quality rules: base rules, then a hashed n-gram log-likelihood ratio.
 
 Word unigrams and bigrams are hashed into ``BUCKETS`` buckets.  One multinomial is counted over
-every document (raw corpus), one over trusted documents (target).  A document's score is the
-mean over its n-grams of log p_target - log p_raw; it is kept if the score is at least
-``THRESHOLD``, the same for every document: no draw, no quantile.
+every document (raw corpus), one over trusted documents (target).  Raw counts are brought to the
+target's total, and both are smoothed by the same ``SMOOTHING`` counts a bucket, so an n-gram
+that neither knows says nothing, in small corpora as in large ones.  A document's score is the
+mean over its n-grams of log p_target - log p_raw, each without the document's own counts; it is
+kept if the score is at least ``THRESHOLD``, the same for every document: no draw, no quantile.
 
 The raw counts cover all documents.  The target is fitted on at most ``TARGET_ROWS`` documents
 with a trusted label, those with the least hash of their id, so their ids can be broadcast and
@@ -23,7 +25,7 @@ from bizlens.llm.common import id_type, ship_package, table, text_or_empty
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 SMOOTHING = 1.0
-THRESHOLD = -0.2  # nats a n-gram; clean text scores about 0, junk far below
+THRESHOLD = -0.25  # nats a n-gram; clean text scores about 0, junk far below
 TARGET_ROWS = 20_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -87,38 +89,44 @@ def _count(parts):
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               target_rows: int = TARGET_ROWS) -> np.ndarray:
-    """log p_target - log p_raw of each bucket; all zero if no document is trusted.
+def trusted_ids(labels: DataFrame, id_col: str, target_rows: int) -> DataFrame:
+    """(_id, _trusted) of at most ``target_rows`` ids with label 1 that aren't toxic."""
+    return (labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col(id_col).alias("_id"))
+            .where("_id IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id").limit(target_rows).withColumn("_trusted", F.lit(True)))
 
-    The driver gets one row per bucket, whatever the corpus."""
-    trusted = (labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col(id_col).alias("_id"))
-               .where("_id IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id").limit(target_rows).withColumn("_trusted", F.lit(True)))
-    flagged = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).join(F.broadcast(trusted), "_id", "left")
+
+def count_grams(flagged: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of each bucket over all texts and over trusted ones; one row per bucket comes to the
+    driver, whatever the corpus."""
     counted = (flagged.select("_text", "_trusted").mapInArrow(_count, "bucket long, raw long, target long")
                .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     at = counted["bucket"].to_numpy()
     raw[at], target[at] = counted["raw"].to_numpy(), counted["target"].to_numpy()
-    if not target.any():
-        return np.zeros(BUCKETS)
-    log = lambda n: np.log((n + SMOOTHING) / (n.sum() + SMOOTHING * BUCKETS))
-    return log(target) - log(raw)
+    return raw, target
+
+
+def log_ratio(found: np.ndarray, trusted: bool, raw: np.ndarray, target: np.ndarray, scale: float) -> float:
+    """Mean log-likelihood ratio of a text's n-grams, against all other texts."""
+    if not len(found) or not scale:
+        return 0.0
+    used, own = np.unique(found, return_counts=True)
+    t = target[used] - own if trusted else target[used]
+    return float(own @ (np.log(t + SMOOTHING) - np.log((raw[used] - own) * scale + SMOOTHING)) / len(found))
 
 
-def _judge(ratios: np.ndarray, threshold: float, id_col: str):
-    ratios = ratios.astype(np.float32)
+def _judge(raw: np.ndarray, target: np.ndarray, threshold: float, id_col: str):
+    scale = float(target.sum() / raw.sum()) if raw.any() else 0.0
 
     def run(parts):
         import pyarrow as pa
 
         for part in parts:
             rows, scores = [], []
-            for text in part.column(1).to_pylist():
+            for text, trusted in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                 ids, words = word_ids(text)
                 rows.append(base_measures(text, ids, len(words)))
-                found = ratios[buckets(ids, words)]
-                scores.append(float(found.mean(dtype=np.float64)) if len(found) else 0.0)
+                scores.append(log_ratio(buckets(ids, words), bool(trusted), raw, target, scale))
             n = np.array(rows, np.int64).reshape(-1, len(BASE))
             failed = (n[:, 0] < MIN_WORDS) | (100 * n[:, 4] > MAX_REPEAT_PERCENT * n[:, 0])
             kept = ~failed & (np.array(scores) >= threshold)
@@ -138,9 +146,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     base rules decide alone.
     """
     ship_package(docs.sparkSession)
-    ratios = log_ratios(docs, labels, id_col, text_col, target_rows)
+    flagged = (docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+               .join(F.broadcast(trusted_ids(labels, id_col, target_rows)), "_id", "left"))
+    raw, target = count_grams(flagged)
     schema = f"`{id_col}` {id_type(docs, id_col)}, " + ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean, llr double, kept boolean"
-    return docs.select(F.col(id_col), text_or_empty(text_col).alias("_text")).mapInArrow(_judge(ratios, threshold, id_col), schema)
+    return flagged.select("_id", "_text", "_trusted").mapInArrow(_judge(raw, target, threshold, id_col), schema)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
