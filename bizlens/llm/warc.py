@@ -8,8 +8,11 @@ separator is the blank lines that end a record.
 Reading.  The reader splits files at the magic that opens a record, so a task sees candidates:
 true records, and pieces of payloads in which the magic occurs.  Each candidate's offset is
 the sum of what lies before it in its file, and its header gives the offset of its successor.
-Pointer jumping from the start of each file (pointers double each round) retains the candidates
-that can be reached; all others are payload, and go back into the record before them.
+A task follows the pointers inside its split and emits for each candidate the first offset
+beyond the split, too.  Pointer jumping from the start of each file goes over these longer
+pointers (they double each round, so rounds grow with the logarithm of a file's splits) and gives
+each split the one offset at which the chain enters it; the candidates on the way from there
+are retained.  All others are payload, and go back into the record before them.
 """
 
 from __future__ import annotations
@@ -68,7 +71,8 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
 FIELDS = {"WARC-Type": "type", "WARC-Record-ID": "record_id", "WARC-Target-URI": "url", "WARC-Payload-Digest": "digest",
           "WARC-Payload-Length": "payload_bytes", "WARC-Refers-To": "refers_to"}
-_PIECE = "file string, split long, place long, n long, size long, length long, whole boolean, sha256 string, raw binary, " + ", ".join(f"{v} string" for v in FIELDS.values())
+_PIECE = ("file string, split long, place long, n long, size long, leaves long, length long, whole boolean, sha256 string, raw binary, "
+          + ", ".join(f"{v} string" for v in FIELDS.values()))
 
 
 def parse_record(raw: bytes) -> tuple[dict[str, str], int, int] | None:
@@ -86,22 +90,42 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], int, int] | None:
     return fields, cut + len(END), int(length)
 
 
+def leaving(places: list[int], sizes: list[int | None], end: int) -> list[int | None]:
+    """For each piece of a split the place beyond the split to which its pointers lead; null where
+    they end at a place that no piece has.  ``end`` is where the next split's first piece begins."""
+    at, out = {p: i for i, p in enumerate(places)}, [None] * len(places)
+    for i in range(len(places) - 1, -1, -1):
+        if sizes[i] is not None:
+            to = places[i] + sizes[i] + len(MAGIC)
+            out[i] = to if to >= end else out[at[to]] if to in at else None
+    return out
+
+
 def _scan(keep_raw: bool):
     """Pieces in order: place is where a piece begins in its split, size the bytes up to its
-    successor's magic (null without a header), length of the payload, whole if the piece ends where the header says."""
+    successor's magic (null without a header), leaves the place beyond the split that it leads to,
+    length of the payload, whole if the piece ends where the header says."""
     def run(parts):
         import hashlib
 
         import pyarrow as pa
 
-        schema = pa.schema([("file", pa.string()), ("split", pa.int64()), ("place", pa.int64()), ("n", pa.int64()), ("size", pa.int64()), ("length", pa.int64()),
-                            ("whole", pa.bool_()), ("sha256", pa.string()), ("raw", pa.binary()), *((v, pa.string()) for v in FIELDS.values())])
-        at, place = None, 0
+        schema = pa.schema([("file", pa.string()), ("split", pa.int64()), ("place", pa.int64()), ("n", pa.int64()), ("size", pa.int64()), ("leaves", pa.int64()),
+                            ("length", pa.int64()), ("whole", pa.bool_()), ("sha256", pa.string()), ("raw", pa.binary()), *((v, pa.string()) for v in FIELDS.values())])
+        at, place, rows = None, 0, []  # the rows of one split, without payloads unless they are asked for
+
+        def out():
+            if not keep_raw:
+                for row, to in zip(rows, leaving([r["place"] for r in rows], [r.get("size") for r in rows], place)):
+                    row["leaves"] = to
+            return pa.RecordBatch.from_pylist(rows, schema)
+
         for part in parts:
-            rows = []
             for file, split, raw in zip(*(part.column(i).to_pylist() for i in range(3))):
                 if at != (file, split):
-                    at, place = (file, split), 0
+                    if rows:
+                        yield out()
+                    at, place, rows = (file, split), 0, []
                 record = {"file": file, "split": split, "place": place, "n": len(raw)}
                 if found := parse_record(raw):
                     fields, body, length = found
@@ -109,10 +133,15 @@ def _scan(keep_raw: bool):
                     record |= {v: fields.get(k) for k, v in FIELDS.items()}
                     record |= {"size": body + length + len(END), "length": length, "whole": whole,
                                "sha256": hashlib.sha256(raw[body:body + length]).hexdigest() if whole else None}
-                record["raw"] = raw if keep_raw else None
+                if keep_raw:
+                    record["raw"] = raw
                 rows.append(record)
                 place += len(raw) + len(MAGIC)
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            if keep_raw and rows:
+                yield out()
+                rows = []
+        if rows:
+            yield out()
 
     return run
 
@@ -135,25 +164,47 @@ def _located(scanned: DataFrame, bases: DataFrame) -> DataFrame:
     puts the successor).  The text before a file's first magic is no candidate."""
     start = F.col("base") + F.col("place")
     return (scanned.join(bases, ["file", "split"]).withColumn("at", start - len(MAGIC)).withColumn("next", start + F.col("size"))
-            .where("at >= 0").drop("base", "place", "split"))
-
-
-def reachable(nodes: DataFrame) -> DataFrame:
-    """(file, at) of the records on the chain from offset 0 of each file, by pointer jumping."""
-    nodes = nodes.where("next IS NOT NULL").select("file", "at", "next")
-    known = nodes.select("file", F.col("at").alias("next"))
-    jump = materialize(nodes.join(known, ["file", "next"], "left_semi").select("file", "at", F.col("next").alias("to")), "jump")
-    reached = materialize(nodes.where("at = 0").select("file", "at"), "reached")
+            .withColumn("leaves", F.col("base") + F.col("leaves") - len(MAGIC)).where("at >= 0").drop("base", "place"))
+
+
+def entries(nodes: DataFrame) -> DataFrame:
+    """(file, split, at): where the chain from offset 0 of each file enters each split, by pointer
+    jumping over the offsets to which splits lead.  ``nodes``: file, split, at, leaves."""
+    targets = nodes.where("leaves IS NOT NULL").select("file", F.col("leaves").alias("at")).distinct()
+    starts = nodes.where("at = 0").select("file", "split", "at", "leaves")
+    doors = materialize(starts.unionByName(nodes.where("at > 0").select("file", "split", "at", "leaves").join(targets, ["file", "at"], "left_semi")), "doors")
+    jump = doors.where("leaves IS NOT NULL").select("file", "at", F.col("leaves").alias("to"))
+    jump = materialize(jump.join(doors.select("file", F.col("at").alias("to")), ["file", "to"], "left_semi"), "jump")
+    reached = doors.where("at = 0").select("file", "at")
     n = reached.count()
     for _ in range(MAX_ROUNDS):
         ahead = reached.join(jump, ["file", "at"]).select("file", F.col("to").alias("at"))
         reached = materialize(reached.unionByName(ahead).distinct(), "reached")
         before, n = n, reached.count()
         if n == before:
-            return reached
+            return doors.join(reached, ["file", "at"], "left_semi").select("file", "split", "at")
         further = jump.select("file", F.col("at").alias("to"), F.col("to").alias("further"))
         jump = materialize(jump.join(further, ["file", "to"]).select("file", "at", F.col("further").alias("to")), "jump")
-    raise RuntimeError("a file holds more records than rounds of doubling allow")
+    raise RuntimeError("a file has more splits than rounds of doubling allow")
+
+
+def _walk(key, rows):
+    """The offsets of one split on the chain from its entry."""
+    import pandas as pd
+
+    follow, at, out = dict(zip(rows["at"], rows["next"])), rows["entry"].iloc[0], []
+    while at in follow:
+        out.append(int(at))
+        at = follow[at]
+    return pd.DataFrame({"file": key[0], "at": out})
+
+
+def reachable(nodes: DataFrame) -> DataFrame:
+    """(file, at) of the records on the chain from offset 0 of each file; a split's candidates,
+    without payloads, are walked through by one task."""
+    enter = entries(nodes).select("file", "split", F.col("at").alias("entry"))
+    own = nodes.where("next IS NOT NULL").select("file", "split", "at", "next").join(enter, ["file", "split"])
+    return own.groupBy("file", "split").applyInPandas(_walk, "file string, at long")
 
 
 def _assemble(key, rows):
