@@ -2,35 +2,28 @@
 
 Windows over a *calendar* aggregate (months, days) are tiny and use a plain
 ``Window.orderBy``.  Windows that order *all* customers or products globally
-(row number, NTILE, cumulative share) must not funnel every row into one task,
-so they go through :func:`global_row_window`:
+(row number, NTILE, cumulative share, running maximum) must not funnel every
+row into one task, so they go through :func:`global_running`, one path for
+every size:
 
-1. ``repartitionByRange`` on the full (unique) sort key and sort inside each
-   partition; tag each row with its partition id;
+1. ``repartitionByRange`` on the full (unique) sort key; tag each row with its
+   partition id;
 2. reliable ``checkpoint`` into the cluster's checkpoint folder, so partition
-   boundaries never change between the two passes, even if executors are lost;
-3. per-partition count and sum (one row per partition), turned into offsets by
-   a window over those few rows, broadcast back (its size is bounded by the
-   number of partitions, not by the data);
-4. one ordered scan per partition adds the offsets to local row numbers and
-   running sums (Arrow batches, no further shuffle).
-
-Ties are the caller's business: pass a unique tie-break column last.
-
-Size switch (``distributed=None``, the default): the input — normally a
-per-customer or per-product aggregate — is first written once with a
-reliable checkpoint and counted.  Only when the count proves it small
-(``LOCAL_WINDOW_MAX_ROWS``) does a single-task window run over it; otherwise
-the distributed path above starts from that checkpoint, so the upstream joins
-are never recomputed.
+   bounds are the same in the two steps that follow, also if executors are lost;
+3. an ordinary window per partition id (JVM, types kept) gives local row
+   numbers and running values;
+4. one row per partition (count, total) is turned into offsets and sent to the
+   rows: its size is bounded by the number of partitions, not by the data.
+
+NULLs are ordinary values: a NULL key is ordered last, a running sum or
+maximum is NULL until its first non-NULL value.  Ties are the caller's
+business: pass a unique tie-break column last.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-from typing import Sequence
+from typing import Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,15 +33,24 @@ from ..session import default_parallelism, ensure_checkpoint_dir
 # (column name, ascending)
 OrderKey = tuple[str, bool]
 
-# Largest row count for which one task may run a global ordered window.
-LOCAL_WINDOW_MAX_ROWS = 2_000_000
-
 
 def _sort_exprs(keys: Sequence[OrderKey]) -> list[Column]:
     # NULL placement is spelled out so every engine agrees: nulls last.
     return [F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_last() for c, asc in keys]
 
 
+def order_report(df: DataFrame, keys: Sequence[OrderKey]) -> DataFrame:
+    """a report in its declared order (mixed directions, NULLs last)."""
+    return df.orderBy(*_sort_exprs(keys))
+
+
+def sort_calendar(df: DataFrame, month_name: str, *first: str) -> DataFrame:
+    """rows by the columns ``first`` and then by calendar month, never by the
+    month's name (January before April); unknown names come last."""
+    number = F.month(F.try_to_date(F.concat(F.lit("2000 "), F.col(month_name), F.lit(" 1")), "yyyy MMMM d"))
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in first], number.asc_nulls_last(), F.col(month_name).asc_nulls_last())
+
+
 def ntile_from_rank(rn: Column, total: Column, k: int) -> Column:
     """E5: NTILE(k) computed from a global 1-based row number and the row count.
 
@@ -61,123 +63,92 @@ def ntile_from_rank(rn: Column, total: Column, k: int) -> Column:
             .otherwise(r + ((rn - 1 - big) / F.greatest(q, F.lit(1))).cast("long") + 1).cast("long")
 
 
-def _local_window(df: DataFrame, keys, rn_col, cum, total_col):
-    w = Window.orderBy(*_sort_exprs(keys))
-    out = df.withColumn(rn_col, F.row_number().over(w).cast("long"))
-    if cum:
-        src, dst = cum
-        out = out.withColumn(dst, F.sum(src).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    if total_col:
-        out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
-    return out
+def _combine(kind: str, before: Column, here: Column) -> Column:
+    """The running value from what lies before the partition and inside it; NULL only if both are."""
+    both = before + here if kind == "sum" else F.greatest(before, here)
+    return F.when(before.isNull(), here).when(here.isNull(), before).otherwise(both)
 
 
-def global_row_window(df: DataFrame, keys: Sequence[OrderKey], *, rn_col: str = "row_num",
-                      cum: tuple[str, str] | None = None, total_col: str | None = None,
-                      distributed: bool | None = None, partitions: int | None = None,
-                      local_max_rows: int = LOCAL_WINDOW_MAX_ROWS, materialized: bool = False) -> DataFrame:
-    """Global ``ROW_NUMBER() OVER (ORDER BY keys)`` and optional running sum (ROWS frame).
-
-    ``keys`` must identify rows uniquely (add a tie-break).  ``distributed=False``
-    is for inputs with a size bound known in advance (calendar aggregates);
-    ``None`` measures the input (see module doc); ``True`` forces the
-    distributed path.  ``materialized=True`` says the input is already a
-    checkpoint, so the size switch does not write it again.
+def global_running(df: DataFrame, keys: Sequence[OrderKey], runs: Mapping[str, tuple[str, str]] | None = None, *,
+                   rn_col: str | None = None, total_col: str | None = None,
+                   totals: Mapping[str, str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Running values over all rows in the order of ``keys`` (which must identify rows).
+
+    ``runs`` maps a new column to ``("sum" | "max", source)`` with a ROWS frame up
+    to the current row; ``rn_col`` is the row number, ``total_col`` the row count,
+    and ``totals`` maps new columns to sources that are summed over all rows.
     """
-    if distributed is False:
-        return _local_window(df, keys, rn_col, cum, total_col)
-
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    if distributed is None:
-        if not materialized:
-            df = df.checkpoint(eager=True)
-        if df.count() <= local_max_rows:
-            return _local_window(df, keys, rn_col, cum, total_col)
-    n_parts = partitions or default_parallelism(spark)
+    runs, totals = dict(runs or {}), dict(totals or {})
+    ensure_checkpoint_dir(df.sparkSession)
     sort = _sort_exprs(keys)
-    ranged = (df.repartitionByRange(n_parts, *sort)
-                .sortWithinPartitions(*sort)
-                .withColumn("_pid", F.spark_partition_id()))
-    ranged = ranged.checkpoint(eager=True)
-
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
-    if cum:
-        aggs.append(F.sum(cum[0]).alias("_psum"))
-    stats = ranged.groupBy("_pid").agg(*aggs)
+    fold = {"sum": F.sum, "max": F.max}
+    ranged = (df.repartitionByRange(partitions or default_parallelism(df.sparkSession), *sort)
+                .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+
+    stats = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"),
+                                       *[fold[kind](src).alias(f"_r_{dst}") for dst, (kind, src) in runs.items()],
+                                       *[F.sum(src).alias(f"_t_{dst}") for dst, src in totals.items()])
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    off_cols = [F.col("_pid"),
-                F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long").alias("_off_cnt"),
-                F.sum("_cnt").over(everything).cast("long").alias("_total")]
-    if cum:
-        zero = F.lit(0).cast(stats.schema["_psum"].dataType)
-        off_cols.append(F.coalesce(F.sum("_psum").over(before), zero).alias("_off_sum"))
-    offsets = stats.select(*off_cols)  # one row per partition
-
-    joined = ranged.join(F.broadcast(offsets), "_pid")
-    out_fields = list(df.schema.fields) + [T.StructField(rn_col, T.LongType(), False)]
-    cum_type = None
-    if cum:
-        cum_type = df.select(F.sum(cum[0])).schema.fields[0].dataType
-        out_fields.append(T.StructField(cum[1], cum_type, True))
+    offsets = stats.select(  # one row per partition
+        "_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long").alias("_off"),
+        F.sum("_cnt").over(everything).cast("long").alias("_all"),
+        *[fold[kind](f"_r_{dst}").over(before).alias(f"_b_{dst}") for dst, (kind, _) in runs.items()],
+        *[F.sum(f"_t_{dst}").over(everything).alias(f"_s_{dst}") for dst in totals])
+
+    here = Window.partitionBy("_pid").orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select("*", F.row_number().over(Window.partitionBy("_pid").orderBy(*sort)).cast("long").alias("_rn"),
+                          *[fold[kind](src).over(here).alias(f"_l_{dst}") for dst, (kind, src) in runs.items()])
+    joined = local.join(F.broadcast(offsets), "_pid")
+    out = [F.col(f"`{c}`") for c in df.columns]
+    if rn_col:
+        out.append((F.col("_off") + F.col("_rn")).alias(rn_col))
+    for dst, (kind, src) in runs.items():
+        plain = df.select(fold[kind](src)).schema.fields[0].dataType
+        out.append(_combine(kind, F.col(f"_b_{dst}"), F.col(f"_l_{dst}")).cast(plain).alias(dst))
     if total_col:
-        out_fields.append(T.StructField(total_col, T.LongType(), False))
-    out_schema = T.StructType(out_fields)
-    base_cols = df.columns
-    src = cum[0] if cum else None
-    is_decimal = isinstance(cum_type, T.DecimalType)
-
-    def scan(batches):
-        seen = 0
-        acc = Decimal(0) if is_decimal else 0.0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            out = pdf[base_cols].copy()
-            out[rn_col] = pdf["_off_cnt"].to_numpy(dtype=np.int64) + seen + np.arange(1, n + 1, dtype=np.int64)
-            seen += n
-            if src:
-                if is_decimal:
-                    vals = pdf[src].where(pdf[src].notna(), Decimal(0))
-                    running = []
-                    for v in vals:
-                        acc += v
-                        running.append(acc)
-                    out[cum[1]] = [o + r for o, r in zip(pdf["_off_sum"], running)]
-                else:
-                    cs = pdf[src].fillna(0).astype("float64").cumsum() + acc
-                    acc = float(cs.iloc[-1])
-                    out[cum[1]] = pdf["_off_sum"].astype("float64") + cs
-            if total_col:
-                out[total_col] = pdf["_total"].astype("int64")
-            yield out
-
-    return joined.mapInPandas(scan, out_schema)
-
-
-def global_peer_cumsum(df: DataFrame, peer_col: str, ascending: bool, src: str, dst: str,
-                       distributed: bool | None = None) -> DataFrame:
+        out.append(F.col("_all").alias(total_col))
+    for dst, src in totals.items():
+        out.append(F.col(f"_s_{dst}").cast(df.select(F.sum(src)).schema.fields[0].dataType).alias(dst))
+    return joined.select(*out)
+
+
+def global_row_window(df: DataFrame, keys: Sequence[OrderKey], *, rn_col: str = "row_num",
+                      cum: tuple[str, str] | None = None, total_col: str | None = None,
+                      partitions: int | None = None) -> DataFrame:
+    """Global ``ROW_NUMBER() OVER (ORDER BY keys)`` and optional running sum
+    ``cum = (source, new column)`` (ROWS frame) and row count."""
+    return global_running(df, keys, {cum[1]: ("sum", cum[0])} if cum else None, rn_col=rn_col, total_col=total_col,
+                          partitions=partitions)
+
+
+def global_peer_cumsum(df: DataFrame, peer_col: str, ascending: bool, src: str, dst: str) -> DataFrame:
     """``SUM(src) OVER (ORDER BY peer_col)`` with the default RANGE frame: equal
-    values of ``peer_col`` (peers) share one cumulative value.
+    values of ``peer_col`` (peers, NULLs among them) share one cumulative value.
 
     Peers are first collapsed by a partial aggregation (a hot value costs one
     row), the running sum runs over distinct values, and the result is joined
-    back on the value.
+    back on the value (NULL-safe; AQE splits a hot value).
     """
-    per_value = df.groupBy(peer_col).agg(F.sum(src).alias("_peer_sum"))
-    ranked = global_row_window(per_value, [(peer_col, ascending)], rn_col="_vrank",
-                               cum=("_peer_sum", dst), distributed=distributed)
-    return df.join(ranked.select(peer_col, dst), peer_col, "left")
+    per_value = df.groupBy(F.col(peer_col).alias("_peer")).agg(F.sum(src).alias("_peer_sum"))
+    plain = df.select(F.sum(src)).schema.fields[0].dataType
+    run = global_running(per_value, [("_peer", ascending)], {dst: ("sum", "_peer_sum")})
+    run = run.select("_peer", F.col(dst).cast(plain).alias(dst))
+    return df.join(run, F.col(peer_col).eqNullSafe(F.col("_peer")), "left").drop("_peer")
 
 
-def global_ntile(df: DataFrame, keys: Sequence[OrderKey], k: int, out_col: str,
-                 distributed: bool | None = None, materialized: bool = False) -> DataFrame:
+def global_ntile(df: DataFrame, keys: Sequence[OrderKey], k: int, out_col: str) -> DataFrame:
     """E5: ``NTILE(k) OVER (ORDER BY keys)`` without a single-task window."""
-    ranked = global_row_window(df, keys, rn_col="_rn", total_col="_n", distributed=distributed,
-                               materialized=materialized)
-    return ranked.withColumn(out_col, ntile_from_rank(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")
+    ranked = global_row_window(df, keys, rn_col="_rn_", total_col="_n_")
+    return ranked.withColumn(out_col, ntile_from_rank(F.col("_rn_"), F.col("_n_"), k)).drop("_rn_", "_n_")
+
+
+def global_ntiles(df: DataFrame, orderings: dict[str, Sequence[OrderKey]], k: int) -> DataFrame:
+    """E5 for several orderings (RFM): ``{out_col: keys}``.  Pass a narrow frame:
+    each ordering deals it out anew."""
+    for col, keys in orderings.items():
+        df = global_ntile(df, keys, k, col)
+    return df
 
 
 def top_n_per_group(df: DataFrame, group_cols: Sequence[str], keys: Sequence[OrderKey], n: int,
@@ -191,25 +162,29 @@ def top_n_per_group(df: DataFrame, group_cols: Sequence[str], keys: Sequence[Ord
     return df.withColumn(rank_col, F.row_number().over(w).cast("long")).where(F.col(rank_col) <= n)
 
 
+def frame_total(df: DataFrame, value: str) -> Column:
+    """Sum of ``value`` over the frame as a scalar of the same plan.
+
+    The scalar's aggregate reads every column of the frame, so that its input
+    is the very plan of ``df`` and the shuffles are done once (exchange reuse).
+    """
+    others = [F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(df.columns) if c != value]
+    return df.select(F.struct(F.sum(value).alias("_total"), *others)).scalar()["_total"]
+
+
 def share_of_total(df: DataFrame, value: str, out: str, partition_cols: Sequence[str] = (),
                    scale: int = 2, as_fraction: bool = False) -> DataFrame:
     """Value × 100 / total (or a fraction), 0 when the total is 0.
 
-    The total is an aggregate joined back by key (within one plan, so the
-    input is computed once), or a scalar read from a checkpoint of the input;
-    no window gathers the whole frame in one task.
+    The total is an aggregate joined back by key, or a scalar in the same plan;
+    no window gathers the whole frame in one task and nothing is written.
     """
     factor = 1 if as_fraction else 100
     if partition_cols:
         totals = df.groupBy(*partition_cols).agg(F.sum(value).alias("_tot"))
         j = df.join(totals, list(partition_cols), "left")
     else:
-        # The frame is written once (reliable checkpoint) so the grand total is
-        # read from it instead of re-running the plan that produced it.
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-        total = df.select(F.sum(value)).scalar()
-        j = df.withColumn("_tot", total)
+        j = df.withColumn("_tot", frame_total(df, value))
     dtype = df.schema[value].dataType
     exact = isinstance(dtype, T.IntegralType) or (isinstance(dtype, T.DecimalType) and dtype.scale <= 2)
     if exact:
@@ -227,10 +202,14 @@ def running_total(df: DataFrame, order_col: str, value: str, out: str) -> DataFr
     return df.withColumn(out, F.sum(value).over(w))
 
 
-def moving_average(df: DataFrame, order_col: str, value: str, out: str, rows: int = 3) -> DataFrame:
-    """``AVG OVER (ORDER BY … ROWS BETWEEN rows-1 PRECEDING AND CURRENT ROW)``."""
+def moving_average(df: DataFrame, order_col: str, value: str, out: str, rows: int = 3, digits: int | None = None) -> DataFrame:
+    """``AVG OVER (ORDER BY … ROWS BETWEEN rows-1 PRECEDING AND CURRENT ROW)``;
+    with ``digits`` the average of money or counts is rounded exactly."""
     w = Window.orderBy(F.col(order_col).asc_nulls_last()).rowsBetween(-(rows - 1), Window.currentRow)
-    return df.withColumn(out, F.avg(value).over(w))
+    if digits is None:
+        return df.withColumn(out, F.avg(value).over(w))
+    from ..plans.common import money_div
+    return df.withColumn(out, money_div(F.sum(value).over(w), F.count(value).over(w), digits))
 
 
 def lag_rows(df: DataFrame, order_col: str, value: str, out: str, offset: int) -> DataFrame:
@@ -245,46 +224,25 @@ def lag_calendar(df: DataFrame, month_col: str, value: str, out: str, months: in
     return df.join(prior, month_col, "left")
 
 
-def global_rank(df: DataFrame, peer_col: str, ascending: bool, out_col: str = "rank",
-                dense: bool = False, distributed: bool | None = None) -> DataFrame:
-    """``RANK()`` / ``DENSE_RANK() OVER (ORDER BY peer_col)`` without a single-task window.
+def global_rank(df: DataFrame, peer_col: str, ascending: bool, out_col: str = "rank", dense: bool = False) -> DataFrame:
+    """``RANK()`` / ``DENSE_RANK() OVER (ORDER BY peer_col NULLS LAST)`` without a
+    single-task window; rows with a NULL key are ranked too.
 
     Rows are counted per distinct value (partial aggregation: a hot value is
     one row), a running count over the distinct values gives each value the
     number of rows before it, and the rank is joined back on the value.
     """
-    per_value = df.groupBy(peer_col).agg(F.count(F.lit(1)).alias("_peers"))
-    ranked = global_row_window(per_value, [(peer_col, ascending)], rn_col="_dense",
-                               cum=("_peers", "_upto"), distributed=distributed)
+    per_value = df.groupBy(F.col(peer_col).alias("_peer")).agg(F.count(F.lit(1)).alias("_peers"))
+    run = global_running(per_value, [("_peer", ascending)], {"_upto": ("sum", "_peers")}, rn_col="_dense")
     r = F.col("_dense") if dense else (F.col("_upto") - F.col("_peers") + 1)
-    return df.join(ranked.select(peer_col, r.cast("long").alias(out_col)), peer_col, "left")
+    run = run.select("_peer", r.cast("long").alias(out_col))
+    return df.join(run, F.col(peer_col).eqNullSafe(F.col("_peer")), "left").drop("_peer")
 
 
-def renumber(df: DataFrame, keys: Sequence[OrderKey], out_col: str, prefix: str = "ORD-",
-             width: int = 5, distributed: bool | None = None) -> DataFrame:
-    """sequence labels in sort order (``ORD-00001`` …), from a global row number."""
-    ranked = global_row_window(df, keys, rn_col="_seq", distributed=distributed)
-    label = F.concat(F.lit(prefix), F.lpad(F.col("_seq").cast("string"), width, "0"))
+def renumber(df: DataFrame, keys: Sequence[OrderKey], out_col: str, prefix: str = "ORD-", width: int = 5) -> DataFrame:
+    """sequence labels in sort order (``ORD-00001`` …), from a global row number;
+    numbers wider than ``width`` are kept whole."""
+    ranked = global_row_window(df, keys, rn_col="_seq")
+    seq = F.col("_seq").cast("string")
+    label = F.concat(F.lit(prefix), F.lpad(seq, F.greatest(F.length(seq), F.lit(width)), F.lit("0")))
     return ranked.withColumn(out_col, label).drop("_seq")
-
-
-def global_ntiles(df: DataFrame, orderings: dict[str, Sequence[OrderKey]], k: int,
-                  distributed: bool | None = None, local_max_rows: int = LOCAL_WINDOW_MAX_ROWS) -> DataFrame:
-    """E5 for several orderings at once (RFM): ``{out_col: keys}``.
-
-    The input is written and counted once.  When the count proves it small, all
-    tiles come from one plan of local windows; otherwise each ordering takes
-    the distributed path over the same materialized input.
-    """
-    if distributed is False:
-        out = df
-        for col, keys in orderings.items():
-            out = global_ntile(out, keys, k, col, distributed=False)
-        return out
-    ensure_checkpoint_dir(df.sparkSession)
-    base = df.checkpoint(eager=True)
-    small = distributed is None and base.count() <= local_max_rows
-    out = base
-    for col, keys in orderings.items():
-        out = global_ntile(out, keys, k, col, distributed=False if small else True)
-    return out

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  ANSI stays on (Spark 4 default) so bad casts
@@ -49,20 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when none is set.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; we always
-    use that.  Only a local-mode session without any setting (unit tests) gets
-    a fresh folder of its own.
+    use that.  Where it is unset (tests, a plain local session) the folder lies
+    in the warehouse, which driver and executors share too; a machine's own
+    temporary folder is never used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder of the cluster")
-    folder = tempfile.mkdtemp(prefix="bizlens-ckpt-")
+    folder = (spark.conf.get("spark.checkpoint.dir", None)
+              or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
