@@ -11,14 +11,11 @@ over those products of (rows of that product)², that count is
 * (M(a)² − S(a)) / 2      for the same name on two different products.
 
 So items are first reduced to one row per (order, name).  Both reductions are
-partial aggregations (a hot order collapses map-side); the self join then runs
-over distinct names per order instead of item rows, and the final
-``GROUP BY`` over name pairs is again partially aggregated.
-
-Orders with more than ``hot_names`` distinct names are not self-joined at all:
-their contribution is added only to candidate pairs that can reach the
-threshold (see ``_with_hot_orders``), so one order holding most of the name
-domain never emits all its pairs.
+partial aggregations (a hot order collapses map-side).  The names of an order
+are dealt into blocks of about ``BLOCK_NAMES`` and the join runs per (order,
+block, block): a wide order's pairs are spread over many join keys, so over
+many tasks, while an order of ordinary width is one block.  The count per name
+pair is again partially aggregated.
 """
 
 from __future__ import annotations
@@ -26,108 +23,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-# Orders with more distinct names than this take the output-sensitive path.
-HOT_ORDER_NAMES = 10_000
-
-
-def _pairs(per_name: DataFrame, order_col: str, name_col: str) -> DataFrame:
-    """(product_a, product_b, _n) from (order, name, _M, _S) by a self join on the order."""
-    a = per_name.select(F.col(order_col), F.col(name_col).alias("product_a"),
-                        F.col("_M").alias("_Ma"), F.col("_S").alias("_Sa"))
-    b = per_name.select(F.col(order_col), F.col(name_col).alias("product_b"), F.col("_M").alias("_Mb"))
-    pairs = a.join(b, (a[order_col] == b[order_col]) & (a.product_a <= b.product_b))
-    together = F.when(pairs.product_a == pairs.product_b,
-                      (pairs._Ma * pairs._Ma - pairs._Sa) / 2).otherwise(pairs._Ma * pairs._Mb).cast("long")
-    counted = pairs.select("product_a", "product_b", together.alias("_n")).where(F.col("_n") > 0)
-    return counted.groupBy("product_a", "product_b").agg(F.sum("_n").alias("_n"))
+BLOCK_NAMES = 512
 
 
 def name_pair_counts(items: DataFrame, names: DataFrame, min_count: int = 2,
                      order_col: str = "order_id", product_col: str = "product_id",
-                     name_col: str = "name", hot_names: int = HOT_ORDER_NAMES) -> DataFrame:
+                     name_col: str = "name", block_names: int = BLOCK_NAMES) -> DataFrame:
     """(product_a <= product_b, times_bought_together) over name pairs, >= min_count."""
     per_product = (items.join(names, product_col)
-                        .groupBy(order_col, name_col, product_col)
+                        .groupBy(F.col(order_col).alias("_o"), F.col(name_col).alias("_nm"), product_col)
                         .agg(F.count(F.lit(1)).alias("_m")))
-    per_name = (per_product.groupBy(order_col, name_col)
+    per_name = (per_product.groupBy("_o", "_nm")
                            .agg(F.sum("_m").alias("_M"), F.sum(F.col("_m") * F.col("_m")).alias("_S")))
-    # An order can only be hot with more than ``hot_names`` lines: a cheap check
-    # (one pruned scan of the order key, partial counts) decides whether the
-    # output-sensitive path is needed at all.  With min_count <= 1 every pair of
-    # every order is in the output anyway.
-    long_orders = (items.groupBy(order_col).agg(F.count(F.lit(1)).alias("_l"))
-                        .where(F.col("_l") > hot_names))
-    if min_count <= 1 or long_orders.isEmpty():
-        return _pairs(per_name, order_col, name_col).withColumnRenamed("_n", "times_bought_together") \
-                   .where(F.col("times_bought_together") >= min_count)
-    widths = per_name.groupBy(order_col).agg(F.count(F.lit(1)).alias("_D"))
-    hot = widths.where(F.col("_D") > hot_names).select(order_col)
-    normal = per_name.join(hot, order_col, "left_anti")
-    rest = _pairs(normal, order_col, name_col)
-    hot_rows = per_name.join(hot, order_col, "left_semi")
-    out = _with_hot_orders(rest, hot_rows, order_col, name_col, min_count)
-    return out.where(F.col("times_bought_together") >= min_count)
-
-
-def _with_hot_orders(rest: DataFrame, hot_rows: DataFrame, order_col: str, name_col: str,
-                     min_count: int) -> DataFrame:
-    """Add the exact contribution of the hot orders without emitting all their pairs.
-
-    A pair can reach ``min_count`` (>= 2) from hot orders only if one hot order
-    holds one of its names at least twice, or both names co-occur in two or
-    more hot orders.  Candidates are those pairs plus the pairs already found in
-    normal orders; every candidate then receives Σ_h M_h(a)·M_h(b) (or
-    (M² − S)/2 for one name) by lookups into the hot rows.
-    """
-    h = hot_rows.select(F.col(order_col).alias("_h"), F.col(name_col).alias("_nm"), "_M", "_S")
-    # same name twice in one hot order (two different products)
-    same = (h.where((F.col("_M") * F.col("_M") - F.col("_S")) > 0)
-             .select(F.col("_nm").alias("product_a"), F.col("_nm").alias("product_b")))
-    # a name held at least twice in a hot order, paired with every other name of that order
-    rep = h.where(F.col("_M") >= 2).select("_h", F.col("_nm").alias("_x"))
-    other = h.select("_h", F.col("_nm").alias("_y"))
-    with_rep = (rep.join(other, "_h").where(F.col("_x") != F.col("_y"))
-                   .select(F.least("_x", "_y").alias("product_a"), F.greatest("_x", "_y").alias("product_b")))
-    # names co-occurring in at least two hot orders
-    multi = h.groupBy("_nm").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= 2).select("_nm")
-    hm = h.join(multi, "_nm", "left_semi")
-    hx = hm.select("_h", F.col("_nm").alias("_x"))
-    hy = hm.select("_h", F.col("_nm").alias("_y"))
-    shared = (hx.join(hy, "_h").where(F.col("_x") < F.col("_y"))
-                .groupBy(F.col("_x").alias("product_a"), F.col("_y").alias("product_b"))
-                .agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") >= 2).drop("_k"))
-    hot_cand = same.unionByName(with_rep).unionByName(shared).distinct()
-    rest_keys = rest.select("product_a", "product_b")
-    hot_only = hot_cand.join(rest_keys, ["product_a", "product_b"], "left_anti")
-    ha = h.select("_h", F.col("_nm").alias("product_a"), F.col("_M").alias("_Ma"), F.col("_S").alias("_Sa"))
-    hb = h.select("_h", F.col("_nm").alias("product_b"), F.col("_M").alias("_Mb"))
-
-    def hot_sum(keys: DataFrame) -> DataFrame:
-        # Σ over hot orders holding both names; with no hot order the hot rows are
-        # empty and AQE turns these joins into broadcasts of nothing
-        return (keys.join(ha, "product_a").join(hb, ["_h", "product_b"])
-                    .select("product_a", "product_b",
-                            F.when(F.col("product_a") == F.col("product_b"),
-                                   (F.col("_Ma") * F.col("_Ma") - F.col("_Sa")) / 2)
-                             .otherwise(F.col("_Ma") * F.col("_Mb")).cast("long").alias("_hn"))
-                    .groupBy("product_a", "product_b").agg(F.sum("_hn").alias("_hn")))
-
-    from_rest = (rest.join(hot_sum(rest_keys), ["product_a", "product_b"], "left")
-                     .select("product_a", "product_b",
-                             (F.col("_n") + F.coalesce("_hn", F.lit(0))).cast("long").alias("times_bought_together")))
-    from_hot = hot_sum(hot_only).select("product_a", "product_b",
-                                        F.col("_hn").cast("long").alias("times_bought_together"))
-    return from_rest.unionByName(from_hot)
-
-
-def item_pair_counts(items: DataFrame, min_count: int = 2, order_col: str = "order_id",
-                     product_col: str = "product_id") -> DataFrame:
-    """Same counting by product id (one product per key, so only the M·M term applies)."""
-    per = items.groupBy(order_col, product_col).agg(F.count(F.lit(1)).alias("_m"))
-    a = per.select(F.col(order_col), F.col(product_col).alias("product_a"), F.col("_m").alias("_ma"))
-    b = per.select(F.col(order_col), F.col(product_col).alias("product_b"), F.col("_m").alias("_mb"))
-    pairs = a.join(b, (a[order_col] == b[order_col]) & (a.product_a < b.product_b))
-    out = (pairs.groupBy("product_a", "product_b")
-                .agg(F.sum(F.col("_ma") * F.col("_mb")).alias("times_bought_together")))
-    return out.where(F.col("times_bought_together") >= min_count)
+    blocks = per_name.groupBy("_o").agg(F.ceil(F.count(F.lit(1)) / block_names).cast("int").alias("_k"))
+    dealt = per_name.join(blocks, "_o").withColumn("_b", F.pmod(F.xxhash64("_nm"), F.col("_k")).cast("int"))
+    # the left copy of block i meets the right copies of blocks i, i + 1, ...: each pair of names once
+    left = dealt.select("_o", F.col("_b").alias("_i"), F.explode(F.sequence("_b", F.col("_k") - 1)).alias("_j"),
+                        F.col("_nm").alias("_x"), F.col("_M").alias("_Mx"), "_S")
+    right = dealt.select("_o", F.explode(F.sequence(F.lit(0), "_b")).alias("_i"), F.col("_b").alias("_j"),
+                         F.col("_nm").alias("_y"), F.col("_M").alias("_My"))
+    pairs = left.join(right, ["_o", "_i", "_j"]).where((F.col("_i") < F.col("_j")) | (F.col("_x") <= F.col("_y")))
+    together = F.when(F.col("_x") == F.col("_y"), (F.col("_Mx") * F.col("_Mx") - F.col("_S")) / 2) \
+                .otherwise(F.col("_Mx") * F.col("_My")).cast("long")
+    counted = pairs.select(F.least("_x", "_y").alias("product_a"), F.greatest("_x", "_y").alias("product_b"),
+                           together.alias("_n")).where(F.col("_n") > 0)
+    return (counted.groupBy("product_a", "product_b").agg(F.sum("_n").alias("times_bought_together"))
+                   .where(F.col("times_bought_together") >= min_count))

@@ -7,22 +7,39 @@ is a dimension (categories), never a fact table.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def tree_paths(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id", name_col: str = "name",
                max_depth: int = 100) -> DataFrame:
-    """(id, name, level, root_id, root_name, path) for every node reachable from a root."""
+    """(id, name, level, root_id, root_name, path, path_ids, status) for every node.
+
+    A tree deeper than ``max_depth`` raises (raise the limit); nothing is cut.
+    Nodes that no root reaches (their parent is missing, or they are on a
+    cycle) come back with status ``unreachable`` and no level.
+    """
     spark = nodes.sparkSession
-    view = f"_tree_nodes_{abs(hash((id_col, parent_col, name_col))) % 10**8}"
-    nodes.select(nodes[id_col].alias("id"), nodes[parent_col].alias("parent_id"),
-                 nodes[name_col].alias("name")).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE walk (id, name, level, root_id, root_name, path) AS (
-            SELECT id, name, 1, id, name, CAST(name AS STRING) FROM {view} WHERE parent_id IS NULL
+    tree = nodes.select(nodes[id_col].alias("id"), nodes[parent_col].alias("parent_id"), nodes[name_col].alias("name"))
+    walk = spark.sql(f"""
+        WITH RECURSIVE walk (id, name, level, root_id, root_name, path, path_ids) MAX RECURSION LEVEL {int(max_depth)} AS (
+            SELECT id, name, 1, id, name, CAST(name AS STRING), array(id) FROM {{tree}} WHERE parent_id IS NULL
             UNION ALL
-            SELECT n.id, n.name, w.level + 1, w.root_id, w.root_name, concat(w.path, ' > ', n.name)
-            FROM {view} n JOIN walk w ON n.parent_id = w.id
-            WHERE w.level < {max_depth}
+            SELECT n.id, n.name, w.level + 1, w.root_id, w.root_name, concat(w.path, ' > ', n.name), array_append(w.path_ids, n.id)
+            FROM {{tree}} n JOIN walk w ON n.parent_id = w.id
         )
-        SELECT id, name, level, root_id, root_name, path FROM walk""")
+        SELECT id, name, level, root_id, root_name, path, path_ids, 'ok' AS status FROM walk""", tree=tree)
+    lost = tree.join(walk.select("id"), "id", "left_anti").select("id", "name", F.lit("unreachable").alias("status"))
+    return walk.unionByName(lost, allowMissingColumns=True)
+
+
+def subtree_totals(walk: DataFrame, own: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """(id, measures): for every node the sum over itself and all nodes below it, for any depth.
+
+    ``own`` has at most a few rows per node (id, measures); each counts for
+    every node on its path.
+    """
+    up = own.join(walk.select("id", "path_ids"), "id").select(F.explode("path_ids").alias("id"), *measures)
+    return up.groupBy("id").agg(*[F.sum(m).alias(m) for m in measures])

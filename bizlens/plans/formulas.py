@@ -6,7 +6,7 @@
 * ``customer_text``: user part of the e-mail (LEFT + FIND), PROPER of the
   segment, RIGHT / MID of the name, SUBSTITUTE, TRIM and ``&`` concatenation.
 * ``order_lookups``: per order, the customer's name by exact match (VLOOKUP
-  FALSE), the customer's segment with a default (XLOOKUP), and the order's
+  FALSE), the customer's nation with a default (XLOOKUP), and the order's
   price tier from a bracket table (VLOOKUP TRUE).
 """
 
@@ -19,7 +19,6 @@ from ..functions import dates as D
 from ..functions import text as X
 from ..operators import lookups as L
 from . import views as V
-from .common import to_report
 
 # Order value tiers (lower bound of each tier, tier name).
 PRICE_TIERS = [(0, "Small"), (50000, "Medium"), (150000, "Large"), (300000, "Key account")]
@@ -36,9 +35,10 @@ def order_calendar(t) -> DataFrame:
                    D.eomonth(od, 1).alias("next_month_end"),
                    D.networkdays(od, dd).alias("business_days_to_deliver"),
                    D.workday(od, 10).alias("tenth_business_day"),
+                   D.workday(od, -3).alias("third_business_day_before"),
                    D.datedif(od, dd, "M").alias("months_to_deliver"),
                    D.datedif(od, dd, "D").alias("days_to_deliver"))
-    return to_report(out)
+    return out
 
 
 def customer_text(t) -> DataFrame:
@@ -47,6 +47,8 @@ def customer_text(t) -> DataFrame:
     name = F.col("first_name")
     out = c.select("customer_id",
                    X.text_before(F.col("email"), "@").alias("user"),
+                   X.left(F.col("email"), 4).alias("email_head"),
+                   X.find("@", F.col("email")).cast("long").alias("at_position"),
                    X.proper(F.col("last_name")).alias("segment_proper"),
                    X.right(name, 4).alias("name_tail"),
                    X.mid(name, 10, 3).alias("name_mid"),
@@ -54,17 +56,16 @@ def customer_text(t) -> DataFrame:
                    X.excel_trim(F.concat(F.lit("  "), F.col("city"), F.lit("   "), F.col("country"), F.lit(" ")))
                     .alias("place"),
                    X.excel_concat("Hello, ", X.proper(F.col("city")), "!").alias("greeting"))
-    return to_report(out)
+    return out
 
 
 def order_lookups(t) -> DataFrame:
-    """L23 lookups per order: exact match, match with default, bracket tier."""
+    """L23 lookups per order: exact match (customer), match with default (the
+    customer's nation, region 0 left out), bracket tier."""
     o = V.orders(t).select("order_id", "customer_id", "total_amount")
-    c = V.customers(t)
-    with_name = L.exact_lookup(o, "customer_id", c, "customer_id", ["first_name"])
-    with_seg = L.xlookup(with_name, "customer_id", c.where(F.col("nation_id") != 0), "customer_id", "last_name",
-                         "segment", default="Not found")
-    spark = t["orders"].sparkSession
-    tiers = spark.createDataFrame(PRICE_TIERS, "lo int, tier string")
-    out = L.bracket_lookup(with_seg, "total_amount", tiers, "lo", "tier", "tier")
-    return to_report(out.select("order_id", F.col("first_name").alias("customer_name"), "segment", "tier"))
+    with_name = L.exact_lookup(o, "customer_id", V.customers(t), "customer_id", ["first_name", "nation_id"], pos="customer_id")
+    nations = t["nation"].where(F.col("n_regionkey") != 0)
+    with_nation = L.xlookup(with_name, "nation_id", nations, "n_nationkey", "n_name", "nation", pos="n_nationkey")
+    tiers = t["orders"].sparkSession.createDataFrame(PRICE_TIERS, "lo int, tier string")
+    out = L.bracket_lookup(with_nation, "total_amount", tiers, "lo", "tier", "tier", pos="lo")
+    return out.select("order_id", F.col("first_name").alias("customer_name"), "nation", "tier")

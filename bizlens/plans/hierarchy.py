@@ -1,14 +1,13 @@
-"""G4 over the data: a two-level category tree (regions -> nations) with the
-number of customers and the revenue in each subtree."""
+"""G4 over the data: a category tree (regions -> nations) with the number of
+customers and the revenue in each subtree."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.hierarchy import tree_paths
+from ..operators.hierarchy import subtree_totals, tree_paths
 from . import views as V
-from .common import to_report
 from .customers import customer_totals
 
 
@@ -25,19 +24,12 @@ def category_tree(t) -> DataFrame:
 def tree_rollup(t) -> DataFrame:
     """Each node with level, root, path, and customers / revenue of its subtree."""
     walk = tree_paths(category_tree(t))
-    c = V.customers(t).select("customer_id", (F.col("nation_id") + 100).cast("long").alias("leaf"))
+    c = V.customers(t).select("customer_id", (F.col("nation_id") + 100).cast("long").alias("id"))
     spend = customer_totals(t).select("customer_id", "lifetime_spend")
-    per_leaf = (c.join(spend, "customer_id", "left").groupBy("leaf")
-                 .agg(F.count(F.lit(1)).alias("customers"),
-                      F.coalesce(F.sum("lifetime_spend"), F.lit(0)).alias("revenue")))
-    # A leaf's totals count for itself and for its root.
-    leaf_root = walk.where("level = 2").select(F.col("id").alias("leaf"), "root_id")
-    contrib = per_leaf.join(leaf_root, "leaf")
-    own = contrib.select(F.col("leaf").alias("id"), "customers", "revenue")
-    up = contrib.select(F.col("root_id").alias("id"), "customers", "revenue")
-    totals = own.unionByName(up).groupBy("id").agg(F.sum("customers").alias("customers"),
-                                                   F.sum("revenue").alias("revenue"))
-    out = walk.join(totals, "id", "left").select(
+    own = (c.join(spend, "customer_id", "left").groupBy("id")
+            .agg(F.count(F.lit(1)).alias("customers"),
+                 F.coalesce(F.sum("lifetime_spend"), F.lit(0)).alias("revenue")))
+    totals = subtree_totals(walk, own, ["customers", "revenue"])
+    return walk.join(totals, "id", "left").select(
         "id", "name", "level", "root_name", "path",
         F.coalesce("customers", F.lit(0)).alias("customers"), F.coalesce("revenue", F.lit(0)).alias("revenue"))
-    return to_report(out)
