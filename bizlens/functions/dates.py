@@ -106,13 +106,15 @@ def networkdays_with_holidays(df: DataFrame, start: str, end: str, holidays: Dat
 
 
 def workday(start: Column, n: int | Column) -> Column:
-    """WORKDAY(start, n) for n >= 0: the n-th weekday after start (start excluded)."""
+    """WORKDAY(start, n): the n-th weekday after start (start excluded), before it for n < 0."""
     n = n if isinstance(n, Column) else F.lit(n)
-    w = F.weekday(start)
-    p = F.date_sub(start, F.greatest(w - 4, F.lit(0)).cast("int"))  # weekend start -> Friday
-    r = n % 5
-    jump = (n / 5).cast("int") * 7 + r + F.when(F.weekday(p) + r > 4, 2).otherwise(0)
-    return F.when(n == 0, start).otherwise(F.date_add(p, jump.cast("int")))
+    w, k = F.weekday(start), F.abs(n)
+    r, weeks = k % 5, (k / 5).cast("int") * 7
+    friday = F.date_sub(start, F.greatest(w - 4, F.lit(0)).cast("int"))  # weekend start -> Friday before
+    after = F.date_add(friday, (weeks + r + F.when(F.weekday(friday) + r > 4, 2).otherwise(0)).cast("int"))
+    monday = F.date_add(start, F.when(w > 4, F.lit(7) - w).otherwise(0).cast("int"))  # weekend start -> Monday after
+    before = F.date_sub(monday, (weeks + r + F.when(F.weekday(monday) - r < 0, 2).otherwise(0)).cast("int"))
+    return F.when(n == 0, start).when(n > 0, after).otherwise(before)
 
 
 def datedif(start: Column, end: Column, unit: str) -> Column:

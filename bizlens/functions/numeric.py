@@ -11,19 +11,14 @@ def money(c: Column, precision: int = 12) -> Column:
     return c.cast(f"decimal({precision},2)")
 
 
-def safe_ratio(num: Column, den: Column, default=0) -> Column:
-    """``IF(d = 0, default, n / d)``; NULL divisor gives NULL."""
-    return F.when(den == 0, F.lit(default)).otherwise(F.try_divide(num, den))
-
+def zero_guard(den: Column, value: Column, default=0.0) -> Column:
+    """``IF(d = 0, default, value)`` for a value computed from the divisor d."""
+    return F.when(den == 0, F.lit(default)).otherwise(value)
 
-def pct(part: Column, whole: Column, scale: int = 2) -> Column:
-    """``ROUND(part * 100.0 / whole, scale)``; 0 when the whole is 0."""
-    return F.round(safe_ratio(part * F.lit(100), whole), scale)
 
-
-def guarded_corr(x: Column, y: Column) -> Column:
-    """Pearson r that is NULL instead of failing when a variance is zero."""
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+def safe_ratio(num: Column, den: Column, default=0) -> Column:
+    """``IF(d = 0, default, n / d)``; NULL divisor gives NULL."""
+    return zero_guard(den, F.try_divide(num, den), default)
 
 
 def round_half_even(c: Column, scale: int = 0) -> Column:

@@ -31,21 +31,23 @@ def top_by(df: DataFrame, group_cols: Sequence[str], label: str, metric: str, ou
 
 
 def with_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], total_of: str | None = None,
-                label: str = "TOTAL") -> DataFrame:
+                label_col: str | None = None, label: str = "TOTAL") -> DataFrame:
     """The detail rows plus one TOTAL row per value of the keys before
     ``total_of`` (or one grand total), from a single GROUPING SETS aggregation.
 
-    ``df`` is at detail grain; ``measures`` are summed.
+    ``df`` is at detail grain; ``measures`` are summed.  The label stands in
+    ``label_col`` (a string column; ``total_of`` if not given), the other keys
+    from ``total_of`` on are NULL in the total rows.
     """
     keys = list(keys)
     total_of = total_of or keys[-1]
+    label_col = label_col or total_of
     outer = keys[:keys.index(total_of)]
     inner = keys[keys.index(total_of):]
     g = (df.groupingSets([keys, outer], *keys)
            .agg(*[F.sum(m).alias(m) for m in measures], F.grouping(total_of).alias("_total")))
-    cols = [*outer, *[F.when(F.col("_total") == 1, F.lit(label) if i == 0 else F.lit(None))
-                      .otherwise(F.col(k).cast("string") if i == 0 else F.col(k)).alias(k)
-                      for i, k in enumerate(inner)]]
+    cols = [*outer, *[F.when(F.col("_total") == 1, F.lit(label)).otherwise(F.col(k).cast("string")).alias(k) if k == label_col
+                      else F.when(F.col("_total") == 0, F.col(k)).alias(k) for k in inner]]
     return g.select(*cols, *measures)
 
 
@@ -60,14 +62,28 @@ def pivot_wide(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Seque
                                 for v in values for m in measures])
 
 
-def corr_by(df: DataFrame, keys: Sequence[str], x: str, y: str, digits: int = 3) -> DataFrame:
-    """Pearson r per group: NULL when n <= 1, 0 when a series is constant."""
+def corr_guarded(x: str, y: str, digits: int = 3) -> Column:
+    """Pearson r as an aggregate: NULL when n <= 1, 0 when a series is constant."""
     xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
-    n = F.count(F.lit(1))
     spread = F.stddev_pop(xd) * F.stddev_pop(yd)
     r = F.try_divide(F.covar_pop(xd, yd), spread)
-    c = F.when(n <= 1, F.lit(None).cast("double")).when(spread == 0, F.lit(0.0)).otherwise(F.round(r, digits))
-    return df.groupBy(*keys).agg(n.alias("n"), c.alias("corr"))
+    return (F.when(F.count(F.lit(1)) <= 1, F.lit(None).cast("double")).when(spread == 0, F.lit(0.0))
+             .otherwise(F.round(r, digits)))
+
+
+def corr_by(df: DataFrame, keys: Sequence[str], x: str, y: str, digits: int = 3, *more: Column) -> DataFrame:
+    """N and guarded r per group; ``more`` aggregates are computed in the same pass."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), corr_guarded(x, y, digits).alias("corr"), *more)
+
+
+def top_k_flags(df: DataFrame, key: str, metric: str, k: int, top: str = "is_top", bottom: str = "is_bottom") -> DataFrame:
+    """Flags for the k best and the k worst rows by ``metric`` (ties: smallest key is
+    best, largest key is worst).  One bounded scan per end: k keys as an array each."""
+    frame = df.select(key, metric)
+    best = frame.orderBy(F.col(metric).desc_nulls_last(), F.col(key).asc()).limit(k)
+    worst = frame.orderBy(F.col(metric).asc_nulls_last(), F.col(key).desc()).limit(k)
+    keys = lambda rows: F.coalesce(rows.select(F.collect_list(key)).scalar(), F.array())
+    return df.select("*", F.array_contains(keys(best), F.col(key)).alias(top), F.array_contains(keys(worst), F.col(key)).alias(bottom))
 
 
 def customer_stats(lines: DataFrame, key: str = "customer_id", date: str = "date", amount: str = "revenue",
@@ -78,12 +94,13 @@ def customer_stats(lines: DataFrame, key: str = "customer_id", date: str = "date
                                   F.min(date).alias("first_date"), F.max(date).alias("last_date"))
 
 
-def half_year_growth(df: DataFrame, keys: Sequence[str], month_col: str, amount: str) -> DataFrame:
-    """(H2 − H1) / H1 per group (4 dp), 0 when H1 is 0; months 1-6 are H1."""
+def half_year_growth(df: DataFrame, keys: Sequence[str], month_col: str, amount: str, *more: Column) -> DataFrame:
+    """h1_, h2_ sums and (H2 − H1) / H1 per group (4 dp), 0 when H1 is 0; months 1-6
+    are H1.  ``more`` aggregates are computed in the same pass."""
     from ..plans.common import money_div
     h1 = F.sum(F.when(F.month(month_col) <= 6, F.col(amount)).otherwise(0))
     h2 = F.sum(F.when(F.month(month_col) > 6, F.col(amount)).otherwise(0))
-    g = df.groupBy(*keys).agg(h1.alias("h1"), h2.alias("h2"))
+    g = df.groupBy(*keys).agg(h1.alias("h1"), h2.alias("h2"), *more)
     return g.withColumn("growth", F.when(F.col("h1") == 0, F.lit(0.0))
                         .otherwise(money_div(F.col("h2") - F.col("h1"), F.col("h1"), 4)))
 

@@ -29,21 +29,32 @@ def _typed(raw: str):
             return raw
 
 
+def _equal(col: Column, value: Any, ignore_case: bool) -> Column:
+    if ignore_case and isinstance(value, str):
+        return F.lower(col) == F.lower(F.lit(value))
+    return col == F.lit(value)
+
+
 def condition(col: Column, cond: Any, ignore_case: bool = False) -> Column:
-    """One spreadsheet condition on a column (value, comparison string or inclusive range)."""
+    """One spreadsheet condition on a column (value, comparison string or inclusive range).
+
+    As in a spreadsheet, ``<>x`` holds for a blank (NULL) cell, and no other
+    comparison does.
+    """
     if isinstance(cond, tuple) and len(cond) == 2:
         lo, hi = cond
         return col.between(F.lit(lo), F.lit(hi))
     if isinstance(cond, str):
         m = _OP.match(cond)
         if m:
-            op, raw = m.group(1), m.group(2)
-            v = F.lit(_typed(raw))
-            return {">=": col >= v, "<=": col <= v, ">": col > v, "<": col < v,
-                    "=": col == v, "<>": col != v}[op]
-        if ignore_case:
-            return F.lower(col) == F.lower(F.lit(cond))
-    return col == F.lit(cond)
+            op, value = m.group(1), _typed(m.group(2))
+            if op == "=":
+                return _equal(col, value, ignore_case)
+            if op == "<>":
+                return ~F.coalesce(_equal(col, value, ignore_case), F.lit(False))
+            v = F.lit(value)
+            return {">=": col >= v, "<=": col <= v, ">": col > v, "<": col < v}[op]
+    return _equal(col, cond, ignore_case)
 
 
 def criteria(spec: Mapping[str, Any], ignore_case: bool = False) -> Column:
@@ -64,9 +75,19 @@ def countifs_expr(spec: Mapping[str, Any], **kw) -> Column:
     return F.count_if(criteria(spec, **kw))
 
 
-def averageifs_expr(value: str, spec: Mapping[str, Any], **kw) -> Column:
-    """AVERAGEIFS; no match -> NULL (the spreadsheet shows #DIV/0!)."""
-    return F.avg(F.when(criteria(spec, **kw), F.col(value)))
+def averageifs_expr(value: str, spec: Mapping[str, Any], weight: str | None = None, digits: int | None = None, **kw) -> Column:
+    """AVERAGEIFS; no match -> NULL (the spreadsheet shows #DIV/0!).
+
+    With ``weight`` the rows are already reduced: ``value`` holds sums over
+    ``weight`` rows each.  ``digits`` rounds the average of money or counts exactly.
+    """
+    hit = criteria(spec, **kw)
+    if weight is None and digits is None:
+        return F.avg(F.when(hit, F.col(value)))
+    from ..plans.common import money_div
+    n = F.sum(F.when(hit, F.col(weight))) if weight else F.count(F.when(hit, F.col(value)))
+    total = F.sum(F.when(hit, F.col(value)))
+    return money_div(total, n, digits) if digits is not None else F.try_divide(total, n)
 
 
 def sumifs(df: DataFrame, value: str, spec, **kw) -> DataFrame:
@@ -88,7 +109,7 @@ def criteria_cells(df: DataFrame, cells: Mapping[str, tuple], group_by=(), **kw)
     """Evaluate many criteria cells in one pass.
 
     ``cells`` maps an output name to ``("sum", value, spec)``,
-    ``("count", spec)`` or ``("avg", value, spec)``.  With ``group_by`` the
+    ``("count", spec)`` or ``("avg", value, spec[, weight, digits])``.  With ``group_by`` the
     same cells are computed per group (a whole dashboard column at once).
     """
     exprs = []
@@ -99,17 +120,19 @@ def criteria_cells(df: DataFrame, cells: Mapping[str, tuple], group_by=(), **kw)
         elif kind == "count":
             e = countifs_expr(cell[1], **kw)
         elif kind == "avg":
-            e = averageifs_expr(cell[1], cell[2], **kw)
+            e = averageifs_expr(*cell[1:], **kw)
         else:
             raise ValueError(f"unknown cell kind {kind!r}")
         exprs.append(e.alias(name))
     return df.groupBy(*group_by).agg(*exprs) if group_by else df.agg(*exprs)
 
 
-def kpis(df: DataFrame, value: str, count_col: str) -> DataFrame:
-    """SUM / AVERAGE / COUNTA in one global aggregation."""
-    return df.agg(F.sum(value).alias("total"), F.avg(value).alias("average"),
-                  F.count(count_col).alias("counta"))
+def kpis(df: DataFrame, value: str, count_col: str, weight: str | None = None, digits: int = 2, *more: Column) -> DataFrame:
+    """SUM / AVERAGE / COUNTA in one global aggregation (``weight``: rows a reduced
+    row stands for); ``more`` aggregates are computed in the same pass."""
+    counta = F.sum(F.when(F.col(count_col).isNotNull(), F.col(weight))) if weight else F.count(count_col)
+    return df.agg(F.sum(value).alias("total"), averageifs_expr(value, {}, weight, digits).alias("average"),
+                  counta.alias("counta"), *more)
 
 
 def split_sums(df: DataFrame, type_col: str, amount: str, positive: str = "Income",

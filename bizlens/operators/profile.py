@@ -35,18 +35,27 @@ def duplicate_count(df: DataFrame) -> Column:
     return g.select(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar()
 
 
+# Plain decimal numbers, with an exponent if any.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def _digits(s: Column) -> Column:
+    return F.translate(F.trim(s), "$,", "")
+
+
 def is_number_text(s: Column) -> Column:
-    """Numeric text: parses as a double after removing ``$`` and ``,``."""
-    return F.translate(F.trim(s), "$,", "").try_cast("double").isNotNull()
+    """Numeric text: a plain number after removing ``$`` and ``,``."""
+    return F.coalesce(_digits(s).rlike(NUMBER), F.lit(False))
 
 
 def to_number(s: Column) -> Column:
     """Numeric value of a text cell (``$`` and ``,`` removed), NULL if not a number."""
-    return F.translate(F.trim(s), "$,", "").try_cast("double")
+    return F.when(is_number_text(s), _digits(s).try_cast("double"))
 
 
-def numeric_profile(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Min / max / avg of the numeric cells per key; text cells ignored."""
+def numeric_profile(long: DataFrame, keys: Sequence[str], value: str = "value", *more: Column) -> DataFrame:
+    """Min / max / avg of the numeric cells per key; text cells ignored.
+    ``more`` aggregates are computed in the same pass."""
     v = to_number(F.col(value))
     return long.groupBy(*keys).agg(F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("avg"),
-                                   F.count(v).alias("numeric_cells"))
+                                   F.count(v).alias("numeric_cells"), *more)

@@ -8,14 +8,17 @@ ship date).  Budgets are a small per-category table (monthly amounts).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import month_label, quarter_label
+from ..functions.numeric import zero_guard
+from ..functions.text import status_label
 from ..operators import aggregates as A
 from ..operators import criteria as C
 from ..operators import lookups as L
-from ..session import ensure_checkpoint_dir
-from .common import money_div, to_report
+from ..operators import windows as W
+from .common import money_div
 
 # Monthly budget per expense category (part type) of the ledger.
 MONTHLY_BUDGETS = {
@@ -29,136 +32,124 @@ def budgets_frame(spark: SparkSession, budgets: dict[str, int] = MONTHLY_BUDGETS
     return spark.createDataFrame([(k, v) for k, v in budgets.items()], "category string, budget int")
 
 
-def ledger(t) -> DataFrame:
-    """(date, type, category, amount decimal(12,2))."""
+def ledger_monthly(t) -> DataFrame:
+    """(month, type, category, amount): the ledger reduced per month.
+
+    Expense lines are reduced to (product, month) before the product dimension
+    gives the category; every budget report rolls up from this frame.
+    """
     o = t["orders"]
-    income = o.select(F.to_date("o_orderdate").alias("date"), F.lit("Income").alias("type"),
-                      F.col("o_orderpriority").alias("category"),
-                      F.col("o_totalprice").cast("decimal(12,2)").alias("amount"))
-    li = t["lineitem"].select("l_partkey", "l_shipdate", "l_extendedprice", "l_tax")
-    p = t["part"].select("p_partkey", "p_type")
-    amount = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)"), 2)
-    expense = (li.join(p, li.l_partkey == p.p_partkey)
-                 .select(F.to_date("l_shipdate").alias("date"), F.lit("Expense").alias("type"),
-                         F.col("p_type").alias("category"), amount.cast("decimal(12,2)").alias("amount")))
-    return income.unionByName(expense)
+    income = (o.groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("month"), F.col("o_orderpriority").alias("category"))
+               .agg(F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("amount")))
+    amount = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)"), 2).cast("decimal(12,2)")
+    per_part = (t["lineitem"].groupBy("l_partkey", F.trunc(F.to_date("l_shipdate"), "MM").alias("month")).agg(F.sum(amount).alias("amount")))
+    p = t["part"].select("p_partkey", F.col("p_type").alias("category"))
+    expense = (per_part.join(p, per_part.l_partkey == p.p_partkey).groupBy("month", "category").agg(F.sum("amount").alias("amount")))
+    shape = lambda df, kind: df.select("month", F.lit(kind).alias("type"), "category", "amount")
+    return shape(income, "Income").unionByName(shape(expense, "Expense"))
+
+
+def _expenses(t) -> DataFrame:
+    """(year, month number, category, actual)."""
+    led = ledger_monthly(t).where(F.col("type") == "Expense")
+    return led.select(F.year("month").alias("year"), F.month("month").alias("month"), "category", F.col("amount").alias("actual"))
 
 
-def _with_period(df: DataFrame) -> DataFrame:
-    return df.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
+def _rate(net: Column, base: Column) -> Column:
+    """A ratio of money, 4 dp, 0 when the base is 0."""
+    return zero_guard(base, money_div(net, base, 4))
 
 
-def budget_vs_actual_long(led: DataFrame, budgets: DataFrame) -> DataFrame:
+def budget_vs_actual_long(actual: DataFrame, budgets: DataFrame) -> DataFrame:
     """L26 long form: every budget category × year × month 1..12, with actual
     expense (0 where none), variance = budget − actual, var % (0 if no budget),
-    plus a TOTAL category per (year, month)."""
-    exp = _with_period(led.where(F.col("type") == "Expense"))
-    actual = exp.groupBy("year", "category", "month").agg(F.sum("amount").alias("actual"))
-    # The (year, category, month) actuals are small: written once, the year range is read from them.
-    ensure_checkpoint_dir(actual.sparkSession)
-    actual = actual.checkpoint(eager=True)
-    bounds = actual.select(F.struct(F.min("year").alias("lo"), F.max("year").alias("hi"))).scalar()
-    y0, y1 = bounds["lo"], bounds["hi"]
-    grid = budgets.select("category", "budget", F.explode(F.sequence(y0, y1)).alias("year")) \
+    plus a TOTAL category per (year, month).  ``actual``: year, month, category, actual."""
+    actual = actual.where("year IS NOT NULL AND month IS NOT NULL AND category IS NOT NULL")
+    # the range reads every column of the frame: the same plan, so its shuffles are done once
+    bounds = actual.select(F.struct(F.min("year").alias("lo"), F.max("year").alias("hi"), F.count("category").alias("c"),
+                                    F.sum("month").alias("m"), F.sum("actual").alias("a"))).scalar()
+    grid = budgets.select("category", "budget", F.explode(F.sequence(bounds["lo"], bounds["hi"])).alias("year")) \
                   .select("*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
     g = L.fill_scaffold(grid, actual, ["year", "category", "month"], ["actual"])
-    g = g.groupingSets([["year", "month", "category"], ["year", "month"]], "year", "month", "category") \
-         .agg(F.sum("budget").alias("budget"), F.sum("actual").alias("actual"), F.grouping("category").alias("_t"))
-    g = g.withColumn("category", F.when(F.col("_t") == 1, F.lit("TOTAL")).otherwise(F.col("category"))).drop("_t")
+    g = A.with_totals(g, ["year", "month", "category"], ["budget", "actual"], total_of="category")
     var = F.col("budget") - F.col("actual")
     return g.select("year", "category", "month", "budget", "actual", var.alias("variance"),
-                    F.when(F.col("budget") == 0, F.lit(0.0)).otherwise(money_div(var, F.col("budget"), 4))
-                     .alias("var_pct"))
+                    _rate(var, F.col("budget")).alias("var_pct"))
 
 
 def budget_vs_actual(t) -> DataFrame:
     """L26 wide: one row per (year, category) incl. TOTAL, four columns per month."""
     spark = t["orders"].sparkSession
-    long = budget_vs_actual_long(ledger(t), budgets_frame(spark))
-    wide = A.pivot_wide(long, ["year", "category"], "month", list(range(1, 13)),
+    long = budget_vs_actual_long(_expenses(t), budgets_frame(spark))
+    return A.pivot_wide(long, ["year", "category"], "month", list(range(1, 13)),
                         ["budget", "actual", "variance", "var_pct"], name="m{value:02d}_{measure}")
-    return to_report(wide)
 
 
 def monthly_cashflow(t) -> DataFrame:
     """Income, expense, net, savings rate (4 dp, 0 if no income), cumulative net."""
-    led = ledger(t).withColumn("month", F.trunc("date", "MM"))
-    m = C.split_sums(led, "type", "amount", group_by=["month"])
+    m = C.split_sums(ledger_monthly(t), "type", "amount", group_by=["month"])
     net = F.col("income") - F.col("expense")
-    m = m.select("month", "income", "expense", net.alias("net"),
-                 F.when(F.col("income") == 0, F.lit(0.0)).otherwise(money_div(net, F.col("income"), 4))
-                  .alias("savings_rate"))
+    m = m.select("month", "income", "expense", net.alias("net"), _rate(net, F.col("income")).alias("savings_rate"))
     # One row per calendar month: a small frame, a plain ordered window.
-    w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return to_report(m.withColumn("cumulative_net", F.sum("net").over(w)))
+    return W.running_total(m, "month", "net", "cumulative_net")
 
 
 def expense_categories(t) -> DataFrame:
     """L28 + L29 category status, per year: total spent, share of the year's
     expenses (4 dp), monthly average (÷ 12), annual budget (monthly × 12),
     over/under and its label."""
-    spark = t["orders"].sparkSession
-    exp = ledger(t).where(F.col("type") == "Expense").withColumn("year", F.year("date"))
-    cat = exp.groupBy("year", "category").agg(F.sum("amount").alias("total_spent"))
-    tot = cat.groupBy("year").agg(F.sum("total_spent").alias("_year_total"))
-    b = budgets_frame(spark)
-    j = L.join_budget(cat.join(tot, "year"), b, "category")
-    annual = F.col("budget") * 12
+    cat = _expenses(t).groupBy("year", "category").agg(F.sum("actual").alias("total_spent"))
+    cat = W.share_of_total(cat, "total_spent", "pct_of_total", ["year"], scale=4, as_fraction=True)
+    j = L.join_budget(cat, budgets_frame(t["orders"].sparkSession), "category")
+    annual = A.annualise(F.col("budget"))
     over = annual - F.col("total_spent")
-    out = j.select("year", "category", "total_spent",
-                   F.when(F.col("_year_total") == 0, F.lit(0.0))
-                    .otherwise(money_div(F.col("total_spent"), F.col("_year_total"), 4)).alias("pct_of_total"),
-                   money_div(F.col("total_spent"), F.lit(12), 2).alias("monthly_average"),
-                   annual.alias("annual_budget"), over.alias("over_under"),
-                   F.when(over >= 0, "Under Budget").otherwise("Over Budget").alias("status"))
-    return to_report(out)
+    return j.select("year", "category", "total_spent", "pct_of_total",
+                    money_div(F.col("total_spent"), F.lit(12), 2).alias("monthly_average"),
+                    annual.alias("annual_budget"), over.alias("over_under"),
+                    status_label(over, "Under Budget", "Over Budget").alias("status"))
+
+
+def top_expense_categories(t, n: int = 5) -> DataFrame:
+    """the n largest expense categories of each year (ties by name)."""
+    cat = _expenses(t).groupBy("year", "category").agg(F.sum("actual").alias("total_spent"))
+    return W.top_n_per_group(cat, ["year"], [("total_spent", False), ("category", True)], n, rank_col="rank")
 
 
 def annual_summary(t) -> DataFrame:
     """L29 per year: totals, savings rate, monthly averages (÷ 12), best and worst
-    month by net (ties: earlier month), largest expense category, budget health."""
+    month by net (ties: earlier month), largest expense category, budget health.
+
+    All of it rolls up from the monthly ledger."""
     spark = t["orders"].sparkSession
-    led = _with_period(ledger(t))
-    per_month = C.split_sums(led, "type", "amount", group_by=["year", "month"]) \
-                 .withColumn("net", F.col("income") - F.col("expense"))
-    best = (Window.partitionBy("year").orderBy(F.col("net").desc(), F.col("month").asc()))
-    worst = (Window.partitionBy("year").orderBy(F.col("net").asc(), F.col("month").asc()))
-    pm = (per_month.withColumn("_b", F.row_number().over(best)).withColumn("_w", F.row_number().over(worst)))
-    months = pm.groupBy("year").agg(
-        F.max(F.when(F.col("_b") == 1, F.col("month"))).alias("best_month"),
-        F.max(F.when(F.col("_w") == 1, F.col("month"))).alias("worst_month"))
-    cat = led.where(F.col("type") == "Expense").groupBy("year", "category").agg(F.sum("amount").alias("_spent"))
-    top_cat = (cat.withColumn("_r", F.row_number().over(
-        Window.partitionBy("year").orderBy(F.col("_spent").desc(), F.col("category").asc())))
-        .where(F.col("_r") == 1).select("year", F.col("category").alias("largest_expense_category")))
-    tot = C.split_sums(led, "type", "amount", group_by=["year"])
-    total_budget = budgets_frame(spark).select((F.sum("budget") * 12).alias("b")).scalar()
+    led = ledger_monthly(t).withColumn("year", F.year("month")).withColumn("month", F.month("month"))
     net = F.col("income") - F.col("expense")
-    out = (tot.join(months, "year").join(top_cat, "year")
-              .select("year", F.col("income").alias("total_income"), F.col("expense").alias("total_expenses"),
-                      net.alias("net_savings"),
-                      F.when(F.col("income") == 0, F.lit(0.0)).otherwise(money_div(net, F.col("income"), 4))
-                       .alias("savings_rate"),
-                      money_div(F.col("income"), F.lit(12), 2).alias("avg_monthly_income"),
-                      money_div(F.col("expense"), F.lit(12), 2).alias("avg_monthly_expenses"),
-                      money_div(net, F.lit(12), 2).alias("avg_monthly_savings"),
-                      F.date_format(F.make_date(F.lit(2000), F.col("best_month"), F.lit(1)), "MMMM")
-                       .alias("best_month"),
-                      F.date_format(F.make_date(F.lit(2000), F.col("worst_month"), F.lit(1)), "MMMM")
-                       .alias("worst_month"),
-                      "largest_expense_category",
-                      (total_budget - F.col("expense")).alias("overall_variance"),
-                      F.when(total_budget - F.col("expense") >= 0, "On Track").otherwise("Over Budget")
-                       .alias("budget_health")))
-    return to_report(out)
+    pm = C.split_sums(led, "type", "amount", group_by=["year", "month"]).withColumn("net", net)
+    best, worst = (A.top_by(pm, ["year"], "month", "net", out, largest=big) for out, big in (("best", True), ("worst", False)))
+    cat = led.where(F.col("type") == "Expense").groupBy("year", "category").agg(F.sum("amount").alias("spent"))
+    top_cat = A.top_by(cat, ["year"], "category", "spent", "largest_expense_category")
+    tot = pm.groupBy("year").agg(F.sum("income").alias("income"), F.sum("expense").alias("expense"), F.sum("net").alias("net"))
+    total_budget = budgets_frame(spark).select(A.annualise(F.sum("budget"))).scalar()
+    name = lambda m: month_label(F.make_date(F.lit(2000), F.col(m), F.lit(1)), "MMMM").alias(f"{m}_month")
+    per_month = lambda c: money_div(F.col(c), F.lit(12), 2)
+    left = total_budget - F.col("expense")
+    return (tot.join(best, "year").join(worst, "year").join(top_cat, "year")
+               .select("year", F.col("income").alias("total_income"), F.col("expense").alias("total_expenses"),
+                       F.col("net").alias("net_savings"), _rate(F.col("net"), F.col("income")).alias("savings_rate"),
+                       per_month("income").alias("avg_monthly_income"), per_month("expense").alias("avg_monthly_expenses"),
+                       per_month("net").alias("avg_monthly_savings"), name("best"), name("worst"), "largest_expense_category",
+                       left.alias("overall_variance"), status_label(left).alias("budget_health")))
 
 
 def quarterly_summary(t) -> DataFrame:
     """L29 quarters (D18): income, expenses, net, savings rate per (year, quarter)."""
-    led = ledger(t).withColumn("year", F.year("date")).withColumn("quarter",
-                                                                  F.concat(F.lit("Q"), F.quarter("date")))
+    led = ledger_monthly(t).withColumn("year", F.year("month")).withColumn("quarter", quarter_label(F.col("month")))
     q = C.split_sums(led, "type", "amount", group_by=["year", "quarter"])
     net = F.col("income") - F.col("expense")
-    return to_report(q.select("year", "quarter", "income", "expense", net.alias("net"),
-                              F.when(F.col("income") == 0, F.lit(0.0))
-                               .otherwise(money_div(net, F.col("income"), 4)).alias("savings_rate")))
+    return q.select("year", "quarter", "income", "expense", net.alias("net"), _rate(net, F.col("income")).alias("savings_rate"))
+
+
+def month_profile(t) -> DataFrame:
+    """income and expense per year and month name, in calendar order."""
+    m = C.split_sums(ledger_monthly(t), "type", "amount", group_by=["month"])
+    named = m.select(F.year("month").alias("year"), month_label(F.col("month"), "MMMM").alias("month_name"), "income", "expense")
+    return W.sort_calendar(named, "month_name", "year")

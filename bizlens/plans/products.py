@@ -7,11 +7,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import zero_guard
+from ..operators import aggregates as A
 from ..operators import baskets
 from ..operators import windows as W
 from . import views as V
-from ..session import ensure_checkpoint_dir
-from .common import money_div, round_ratio, to_report
+from .common import money_div, round_ratio
 
 
 def product_sales(t) -> DataFrame:
@@ -43,7 +44,7 @@ def product_performance(t) -> DataFrame:
                    F.coalesce(round_ratio(F.col("_rating_sum"), F.col("review_count"), 2), F.lit(0.0))
                     .alias("avg_rating"),
                    F.coalesce("review_count", F.lit(0)).alias("review_count"))
-    return to_report(out)
+    return out
 
 
 def inventory_alerts(t) -> DataFrame:
@@ -61,7 +62,7 @@ def inventory_alerts(t) -> DataFrame:
     out = j.where(q <= lvl * 1.5).select("sku", "name", q.alias("current_stock"), "reorder_level",
                                          F.col("reorder_quantity").alias("suggested_reorder"),
                                          status.alias("stock_status"))
-    return to_report(out)
+    return out
 
 
 def top_products_per_category(t, n: int = 3) -> DataFrame:
@@ -77,7 +78,7 @@ def top_products_per_category(t, n: int = 3) -> DataFrame:
                             rank_col="rank_in_category")
     out = top.select("category", "product_name", "units_sold", F.col("total_revenue").alias("revenue"),
                      "rank_in_category")
-    return to_report(out)
+    return out
 
 
 def review_sentiment(t) -> DataFrame:
@@ -91,7 +92,7 @@ def review_sentiment(t) -> DataFrame:
                    "positive_reviews", "negative_reviews",
                    F.coalesce("units_sold", F.lit(0)).alias("units_sold"),
                    F.coalesce("total_revenue", F.lit(0)).alias("revenue"))
-    return to_report(out)
+    return out
 
 
 def co_purchased_pairs(t, min_count: int = 2) -> DataFrame:
@@ -99,58 +100,47 @@ def co_purchased_pairs(t, min_count: int = 2) -> DataFrame:
     items = V.order_items(t).select("order_id", "product_id")
     names = V.products(t).select("product_id", "name")
     out = baskets.name_pair_counts(items, names, min_count=min_count)
-    return to_report(out)
+    return out
 
 
-def pareto(t, distributed: bool | None = None) -> DataFrame:
+def pareto(t) -> DataFrame:
     """Cumulative revenue share by product, 80/20 split.
 
     The cumulative sum uses the RANGE frame (equal revenues share a value);
-    product rank breaks ties by product id.  Both are computed without a
-    single-task window.
+    product rank breaks ties by product id.  The ranked rows are written once;
+    rank, count, total and peer sums come from them.
     """
     s = product_sales(t).where(F.col("total_revenue").isNotNull())
     p = V.products(t).select("product_id", "name")
     pr = s.join(p, "product_id").select("product_id", "name", F.col("total_revenue").alias("revenue"))
-    # One row per product, written once: the ranking, the peer sums and the
-    # grand total all read this materialized aggregate.
-    ensure_checkpoint_dir(pr.sparkSession)
-    pr = pr.checkpoint(eager=True)
-    ranked = W.global_row_window(pr, [("revenue", False), ("product_id", True)], rn_col="product_rank",
-                                 total_col="total_products", distributed=distributed, materialized=True)
-    ranked = W.global_peer_cumsum(ranked, "revenue", False, "revenue", "cumulative_revenue",
-                                  distributed=distributed)
-    total = pr.select(F.sum("revenue")).scalar()
-    cum = F.col("cumulative_revenue")
-    out = ranked.select("product_rank", "name", "revenue",
-                        money_div(cum * 100, total, 2).alias("cumulative_pct"),
-                        round_ratio(F.col("product_rank") * 100, F.col("total_products"), 2)
-                         .alias("pct_of_products"),
-                        F.when(cum <= total * F.lit(0.8), "Top 80% revenue").otherwise("Long tail")
-                         .alias("pareto_group"))
-    return to_report(out)
-
-
-def product_table(sales: DataFrame, k: int = 5, count_col: str | None = None) -> DataFrame:
+    ranked = W.global_running(pr, [("revenue", False), ("product_id", True)], rn_col="product_rank",
+                              total_col="total_products", totals={"_total": "revenue"})
+    ranked = W.global_peer_cumsum(ranked, "revenue", False, "revenue", "cumulative_revenue")
+    cum, total = F.col("cumulative_revenue"), F.col("_total")
+    return ranked.select("product_rank", "name", "revenue",
+                         money_div(cum * 100, total, 2).alias("cumulative_pct"),
+                         round_ratio(F.col("product_rank") * 100, F.col("total_products"), 2)
+                          .alias("pct_of_products"),
+                         F.when(cum <= total * F.lit(0.8).cast("decimal(2,1)"), "Top 80% revenue").otherwise("Long tail")
+                          .alias("pareto_group"))
+
+
+def sales_rank(t) -> DataFrame:
+    """Products by units sold, RANK and DENSE_RANK over all products; products
+    without sales are ranked too (NULL units, last)."""
+    p = V.products(t).select("product_id", "name")
+    units = p.join(product_sales(t).select("product_id", "units_sold"), "product_id", "left")
+    ranked = W.global_rank(units, "units_sold", False, "units_rank")
+    return W.global_rank(ranked, "units_sold", False, "units_dense_rank", dense=True)
+
+
+def product_table(totals: DataFrame, k: int = 5) -> DataFrame:
     """Per product revenue (fraction discount), line count, guarded average,
     and flags for the k best and k worst by revenue.
 
-    ``sales`` is line level, or already reduced with its line count in
-    ``count_col``.  The flags come from two top-k scans (k rows each), joined
-    back: no global sort.
+    ``totals`` is one row per product: product_id, product, category, revenue, lines.
     """
-    n = F.sum(count_col) if count_col else F.count(F.lit(1))
-    agg = (sales.groupBy("product_id", "product", "category")
-                .agg(F.sum("revenue").alias("total_revenue"), n.alias("total_orders")))
-    agg = agg.withColumn("avg_order_value",
-                         F.when(F.col("total_orders") > 0,
-                                money_div(F.col("total_revenue"), F.col("total_orders"), 2)).otherwise(0.0))
-    top = agg.orderBy(F.col("total_revenue").desc(), F.col("product_id").asc()).limit(k) \
-             .select("product_id", F.lit(True).alias("is_top"))
-    bottom = agg.orderBy(F.col("total_revenue").asc(), F.col("product_id").desc()).limit(k) \
-                .select("product_id", F.lit(True).alias("is_bottom"))
-    out = (agg.join(F.broadcast(top), "product_id", "left").join(F.broadcast(bottom), "product_id", "left")
-              .select("product_id", "product", "category", "total_revenue", "total_orders", "avg_order_value",
-                      F.coalesce("is_top", F.lit(False)).alias("is_top"),
-                      F.coalesce("is_bottom", F.lit(False)).alias("is_bottom")))
-    return to_report(out)
+    n, rev = F.col("lines"), F.col("revenue")
+    out = totals.select("product_id", "product", "category", rev.alias("total_revenue"), n.alias("total_orders"),
+                        zero_guard(n, money_div(rev, n, 2)).alias("avg_order_value"))
+    return A.top_k_flags(out, "product_id", "total_revenue", k)

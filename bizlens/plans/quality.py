@@ -8,50 +8,51 @@ from pyspark.sql import functions as F
 from ..functions.text import is_valid_email
 from ..operators import quality as Q
 from . import views as V
-from .common import to_report
+from .hierarchy import category_tree
 
+# Allowed order states.
 ORDER_STATUSES = ("pending", "processing", "shipped", "delivered", "cancelled", "refunded")
+# VARCHAR lengths.
+LENGTHS = {"categories": {"name": 100},
+           "customers": {"first_name": 50, "last_name": 50, "email": 255, "city": 100, "country": 100},
+           "products": {"name": 200, "sku": 50}, "orders": {"status": 20}}
 
 
 def constraint_report(t) -> DataFrame:
     """Every declared rule over the business views, as (rule, table, checked, violations)."""
-    cust, prod, orders = V.customers(t), V.products(t), V.orders(t)
+    tree, cust, prod, orders = category_tree(t), V.customers(t), V.products(t), V.orders(t)
     items, inv, rev = V.order_items(t), V.inventory(t), V.reviews(t)
-    parts = [
-        Q.row_rules(cust, "customers", {
-            **Q.not_null_rules(["customer_id", "first_name", "last_name", "email"]),
-            "email_format": is_valid_email(F.col("email")),
-            "length(first_name) <= 50": F.char_length("first_name") <= 50}),
-        Q.unique_key(cust, "customers", ["customer_id"]),
-        Q.unique_key(cust, "customers", ["email"]),
-        Q.row_rules(prod, "products", {
-            **Q.not_null_rules(["product_id", "name", "price", "sku"]),
-            "price > 0": F.col("price") > 0}),
-        Q.unique_key(prod, "products", ["product_id"]),
-        Q.unique_key(prod, "products", ["sku"]),
-        Q.row_rules(orders, "orders", {
-            **Q.not_null_rules(["order_id", "customer_id", "status", "order_date"]),
-            "status in enum": F.col("status").isin(*ORDER_STATUSES),
-            "total_amount >= 0": F.col("total_amount") >= 0}),
-        Q.unique_key(orders, "orders", ["order_id"]),
-        Q.foreign_key(orders, "orders", "customer_id", cust, "customer_id"),
-        Q.row_rules(items, "order_items", {
-            **Q.not_null_rules(["order_id", "product_id", "quantity", "line_total"]),
-            "quantity > 0": F.col("quantity") > 0,
-            "discount between 0 and 1": F.col("discount").between(0, 1),
-            "line_total generated": F.col("line_total") == V.line_total(F.col("gross"), F.col("discount"))}),
-        Q.unique_key(items, "order_items", ["order_id", "line_no"]),
-        Q.foreign_key(items, "order_items", "order_id", orders, "order_id"),
-        Q.foreign_key(items, "order_items", "product_id", prod, "product_id"),
-        Q.row_rules(inv, "inventory", {
-            "quantity >= 0": F.col("quantity") >= 0,
-            "reorder_level >= 0": F.col("reorder_level") >= 0,
-            "reorder_quantity > 0": F.col("reorder_quantity") > 0}),
-        Q.unique_key(inv, "inventory", ["product_id"]),
-        Q.foreign_key(inv, "inventory", "product_id", prod, "product_id"),
-        Q.row_rules(rev, "reviews", {"rating between 1 and 5": F.col("rating").between(1, 5)}),
-        Q.unique_key(rev, "reviews", ["product_id", "customer_id"]),
-        Q.foreign_key(rev, "reviews", "product_id", prod, "product_id"),
-        Q.foreign_key(rev, "reviews", "customer_id", cust, "customer_id"),
-    ]
-    return to_report(Q.union_results(parts))
+    c = F.col
+    return Q.union_results([
+        Q.check_table(tree, "categories", {**Q.not_null_rules(["id", "name"]), **Q.length_rules(LENGTHS["categories"])},
+                      [["id"], ["name"]], [("parent_id", tree, "id")]),
+        Q.check_table(cust, "customers", {
+            **Q.not_null_rules(["customer_id", "first_name", "last_name", "email", "country"]),
+            **Q.length_rules(LENGTHS["customers"]), "email_format": is_valid_email(c("email"))},
+            [["customer_id"], ["email"]]),
+        Q.check_table(prod, "products", {
+            **Q.not_null_rules(["product_id", "category", "name", "price", "sku", "is_active"]),
+            **Q.length_rules(LENGTHS["products"]), "price > 0": c("price") > 0,
+            "size is null or > 0": c("size").isNull() | (c("size") > 0)},
+            [["product_id"], ["sku"]]),
+        Q.check_table(orders, "orders", {
+            **Q.not_null_rules(["order_id", "customer_id", "status", "total_amount", "order_date"]),
+            **Q.length_rules(LENGTHS["orders"]), "status in enum": c("status").isin(*ORDER_STATUSES),
+            "total_amount >= 0": c("total_amount") >= 0},
+            [["order_id"]], [("customer_id", cust, "customer_id")]),
+        Q.check_table(items, "order_items", {
+            **Q.not_null_rules(["order_id", "product_id", "quantity", "gross", "discount", "line_total"]),
+            "quantity > 0": c("quantity") > 0, "gross > 0": c("gross") > 0,
+            "discount between 0 and 1": c("discount").between(0, 1),
+            "line_total generated": c("line_total") == V.line_total(c("gross"), c("discount")),
+            "line_total generated from percent": c("line_total") == V.line_total_percent(F.lit(1), c("gross"), c("discount") * 100)},
+            [["order_id", "line_no"]], [("order_id", orders, "order_id"), ("product_id", prod, "product_id")]),
+        Q.check_table(inv, "inventory", {
+            **Q.not_null_rules(["product_id", "quantity", "reorder_level", "reorder_quantity"]),
+            "quantity >= 0": c("quantity") >= 0, "reorder_level >= 0": c("reorder_level") >= 0,
+            "reorder_quantity > 0": c("reorder_quantity") > 0},
+            [["product_id"]], [("product_id", prod, "product_id")]),
+        Q.check_table(rev, "reviews", {
+            **Q.not_null_rules(["product_id", "customer_id", "rating"]), "rating between 1 and 5": c("rating").between(1, 5)},
+            [["product_id", "customer_id"]], [("product_id", prod, "product_id"), ("customer_id", cust, "customer_id")]),
+    ])

@@ -18,8 +18,9 @@ from ..operators import criteria as C
 from ..operators import lookups as L
 from ..operators import windows as W
 from . import views as V
-from ..session import ensure_checkpoint_dir
-from .common import money_div, round_ratio, to_report
+from ..functions import dates as D
+from ..functions import text as X
+from .common import money_div, round_ratio
 
 
 # --------------------------------------------------------------------------- L14
@@ -34,59 +35,50 @@ def fulfilment_times(t, approx: bool = False) -> DataFrame:
                              & F.col("delivered_date").isNotNull())
     ship_s = F.timestamp_diff("SECOND", F.col("order_date"), F.col("shipped_date"))
     deliver_s = F.timestamp_diff("SECOND", F.col("order_date"), F.col("delivered_date"))
-    g = (s.groupBy(F.trunc("order_date", "MM").alias("month"))
+    days = D.days_between_exact(F.col("order_date"), F.col("delivered_date"))
+    g = (s.groupBy(D.month_start(F.col("order_date")).alias("month"))
           .agg(F.count(F.lit(1)).alias("delivered_orders"),
                F.sum(ship_s).alias("_ship"), F.sum(deliver_s).alias("_del"),
-               (F.percentile_approx(deliver_s / F.lit(86400.0), 0.5, 10000) if approx
-                else F.percentile(deliver_s / F.lit(86400.0), 0.5)).alias("_median")))
+               (F.percentile_approx(days, 0.5, 10000) if approx
+                else F.percentile(days, 0.5)).alias("_median")))
     n = F.col("delivered_orders")
     out = g.select("month", "delivered_orders",
                    round_ratio(F.col("_ship"), n * 3600, 1).alias("avg_hours_to_ship"),
                    round_ratio(F.col("_del"), n * 86400, 1).alias("avg_days_to_deliver"),
                    F.round("_median", 1).alias("median_days_to_deliver"))
-    return to_report(out)
+    return out
 
 
 # --------------------------------------------------------------------------- L20
-def _top_per(df: DataFrame, group: str, label: str, value: str, out: str) -> DataFrame:
-    """D13 arg-max per group on an aggregated frame (tie-break: label ascending)."""
-    return A.top_by(df, [group], label, value, out)
-
-
 def kpis_by_year(t) -> DataFrame:
-    """L20 KPI cards per year: revenue, units, H1/H2 growth (0 when H1 is 0),
-    top category and top region, average revenue per month (fixed divisor 12).
+    """L20 KPI cards per year: revenue, units, H1/H2 growth (0 when H1 is 0), top
+    product and top region, average revenue per month (fixed divisor 12), and
+    the texts that the cards show (H31).
 
     Each part is reduced to its join key before the dimension is attached:
-    lines -> (product, month) -> category; lines -> order -> (customer, year) -> region.
+    lines -> (product, month) -> name; lines -> order -> (customer, year) -> region.
     """
     per_order = V.order_lines(t).withColumn("year", F.year("date"))
-    base = (per_order.groupBy("year")
-             .agg(F.sum("revenue").alias("total_revenue"), F.sum("units").alias("total_units"),
-                  F.sum(F.when(F.month("date") <= 6, F.col("revenue")).otherwise(0)).alias("h1_revenue"),
-                  F.sum(F.when(F.month("date") > 6, F.col("revenue")).otherwise(0)).alias("h2_revenue")))
-    pm = V.product_month_lines(t).withColumn("year", F.year("month"))
-    by_prod = pm.groupBy("year", "product_id").agg(F.sum("revenue").alias("rev"))
-    by_cat = (by_prod.join(V.products(t).select("product_id", "category"), "product_id", "left")
-                     .groupBy("year", "category").agg(F.sum("rev").alias("rev")))
+    base = A.half_year_growth(per_order, ["year"], "date", "revenue", F.sum("revenue").alias("total_revenue"),
+                              F.sum("units").alias("total_units"))
+    by_prod = (V.product_month_lines(t).groupBy(F.year("month").alias("year"), "product_id").agg(F.sum("revenue").alias("rev"))
+               .join(V.products(t).select("product_id", F.col("name").alias("product")), "product_id", "left")
+               .groupBy("year", "product").agg(F.sum("rev").alias("rev")))
     by_cust = per_order.groupBy("year", "customer_id").agg(F.sum("revenue").alias("rev"))
     by_reg = (by_cust.join(V.customer_geo(t).select("customer_id", "region"), "customer_id", "left")
                      .groupBy("year", "region").agg(F.sum("rev").alias("rev")))
-    out = (base.join(_top_per(by_cat, "year", "category", "rev", "top_product"), "year")
-               .join(_top_per(by_reg, "year", "region", "rev", "top_region"), "year"))
-    h1, h2 = F.col("h1_revenue"), F.col("h2_revenue")
-    out = out.select("year", "total_revenue", "total_units", "h1_revenue", "h2_revenue",
-                     F.when(h1 == 0, F.lit(0.0)).otherwise(money_div(h2 - h1, h1, 4)).alias("growth"),
-                     "top_product", "top_region",
-                     money_div(F.col("total_revenue"), F.lit(12), 2).alias("avg_revenue_per_month"))
-    return to_report(out)
+    out = (base.join(A.top_by(by_prod, ["year"], "product", "rev", "top_product"), "year")
+               .join(A.top_by(by_reg, ["year"], "region", "rev", "top_region"), "year"))
+    per_month = money_div(F.col("total_revenue"), F.lit(12), 2)
+    return out.select("year", "total_revenue", "total_units", F.col("h1").alias("h1_revenue"), F.col("h2").alias("h2_revenue"),
+                      "growth", "top_product", "top_region", per_month.alias("avg_revenue_per_month"),
+                      X.money_text(F.col("total_revenue")).alias("revenue_text"), X.percent_text(F.col("growth"), 1).alias("growth_text"))
 
 
-def geo_totals(t, key: str, per_order: DataFrame | None = None) -> DataFrame:
+def geo_totals(t, key: str) -> DataFrame:
     """(key, revenue, orders = lines, units) for a customer attribute, reduced per
     order and per customer before the customer dimension is joined."""
-    per_order = V.order_lines(t) if per_order is None else per_order
-    per_cust = (per_order.groupBy("customer_id")
+    per_cust = (V.order_lines(t).groupBy("customer_id")
                  .agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("orders"),
                       F.sum("units").alias("units")))
     return (per_cust.join(V.customer_geo(t).select("customer_id", key), "customer_id", "left")
@@ -106,37 +98,35 @@ def category_totals(t) -> DataFrame:
     return per.groupBy("category").agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("orders"))
 
 
-def breakdown(sales: DataFrame, key: str) -> DataFrame:
-    """L20/L33/L34 share tables from line-level sales: revenue, line count,
-    average, fraction of total (4 dp)."""
-    g = sales.groupBy(key).agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"))
-    return breakdown_from_totals(g)
-
-
-def breakdown_from_totals(g: DataFrame) -> DataFrame:
-    """Share table from (key, revenue, orders) totals."""
+def breakdown(g: DataFrame) -> DataFrame:
+    """L20/L33/L34 share table from (key, revenue, orders) totals: average, fraction of total (4 dp)."""
     g = g.select(*[c for c in g.columns if c != "units"])
     g = g.withColumn("avg_order_value", money_div(F.col("revenue"), F.col("orders"), 2))
-    return to_report(W.share_of_total(g, "revenue", "share", scale=4, as_fraction=True))
+    return W.share_of_total(g, "revenue", "share", scale=4, as_fraction=True)
 
 
 def region_detail(t) -> DataFrame:
-    """L20 per-region sheets: (month, category) lines plus a TOTAL line per region,
-    from one GROUPING SETS aggregation."""
-    s = V.sales(t, with_product=True, with_customer=True)
-    g = (s.groupingSets([["region", "month", "category"], ["region"]], "region", "month", "category")
-          .agg(F.sum("quantity").alias("units"), F.sum("revenue").alias("revenue"),
-               F.grouping("month").alias("_is_total")))
-    out = g.select("region", "month",
-                   F.when(F.col("_is_total") == 1, F.lit("TOTAL")).otherwise(F.col("category")).alias("product"),
-                   "units", "revenue")
-    return to_report(out)
+    """L20 per-region sheets: (month, product) lines plus a TOTAL line per region, from
+    one GROUPING SETS aggregation.
+
+    Lines are reduced to (customer, product, month), then to (region, product,
+    month); the product's name meets the reduced rows.
+    """
+    i = V.order_items(t).select("order_id", "product_id", "quantity", "line_total")
+    o = V.orders(t).select("order_id", "customer_id", D.month_start(F.col("order_date")).alias("month"))
+    per_cust = (i.join(o, "order_id").groupBy("customer_id", "product_id", "month")
+                 .agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue")))
+    per_region = (per_cust.join(V.customer_geo(t).select("customer_id", "region"), "customer_id", "left")
+                  .groupBy("region", "product_id", "month").agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue")))
+    named = per_region.join(V.products(t).select("product_id", F.col("name").alias("product")), "product_id", "left")
+    return A.with_totals(named.select("region", "month", "product", "units", "revenue"), ["region", "month", "product"],
+                         ["units", "revenue"], total_of="month", label_col="product")
 
 
 # --------------------------------------------------------------------------- L21
 def dashboard_regions(t) -> DataFrame:
     """L21 region table: SUMIFS / COUNTIFS per region and share in percent."""
-    return to_report(W.share_of_total(geo_totals(t, "region"), "revenue", "share_pct"))
+    return W.share_of_total(geo_totals(t, "region"), "revenue", "share_pct")
 
 
 def dashboard_trend(t) -> DataFrame:
@@ -145,47 +135,49 @@ def dashboard_trend(t) -> DataFrame:
     facts = (pm.join(V.products(t).select("product_id", "category"), "product_id", "left")
                .groupBy("category", "month").agg(F.sum("revenue").alias("revenue"),
                                                   F.sum("lines").alias("orders")))
-    # (category, month) facts are small: write them once and read the month range from them.
-    ensure_checkpoint_dir(facts.sparkSession)
-    facts = facts.checkpoint(eager=True)
-    bounds = facts.select(F.struct(F.min("month").alias("lo"), F.max("month").alias("hi"))).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
-    cats = V.products(t).select("category").distinct()
-    grid = cats.select("category", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    out = L.fill_scaffold(grid, facts, ["category", "month"], ["revenue", "orders"])
-    return to_report(out)
+    # the range reads every column of the frame: the same plan, so its shuffles are done once
+    bounds = facts.select(F.struct(F.min("month").alias("lo"), F.max("month").alias("hi"), F.count("category").alias("c"),
+                                   F.sum("revenue").alias("r"), F.sum("orders").alias("o"))).scalar()
+    grid = L.month_scaffold(V.products(t), ["category"], bounds["lo"], bounds["hi"])
+    return L.fill_scaffold(grid, facts, ["category", "month"], ["revenue", "orders"])
 
 
 def dashboard_kpis(t) -> DataFrame:
     """L21 / D11 KPI row: total, average per line, line count (COUNTA), units."""
-    s = V.sales(t, with_product=False, with_customer=False)
-    out = s.agg(F.sum("revenue").alias("total_revenue"), money_div(F.sum("revenue"), F.count("revenue"), 2).alias("avg_revenue"),
-                F.count("order_id").alias("transactions"), F.sum("quantity").alias("total_units"))
-    return to_report(out)
+    k = C.kpis(V.order_lines(t), "revenue", "order_id", "lines", 2, F.sum("units").alias("total_units"))
+    return k.select(F.col("total").alias("total_revenue"), F.col("average").alias("avg_revenue"),
+                    F.col("counta").alias("transactions"), "total_units")
 
 
 # --------------------------------------------------------------------------- L22
 CRITERIA_CELLS = {
     "revenue_europe": ("sum", "revenue", {"region": "EUROPE"}),
-    "revenue_europe_promo": ("sum", "revenue", {"region": "EUROPE", "category": "PROMO"}),
-    "lines_germany": ("count", {"country": "GERMANY"}),
-    "lines_asia_qty25": ("count", {"region": "ASIA", "quantity": ">=25"}),
-    "_sum_revenue_america": ("sum", "revenue", {"region": "AMERICA"}),
-    "_n_america": ("count", {"region": "AMERICA"}),
-    "_sum_qty_small_africa": ("sum", "quantity", {"category": "SMALL", "region": "AFRICA"}),
-    "_n_small_africa": ("count", {"category": "SMALL", "region": "AFRICA"}),
+    "revenue_europe_promo": ("sum", "revenue", {"region": "=EUROPE", "category": "PROMO"}),
+    "lines_germany": ("sum", "lines", {"country": "GERMANY"}),
+    "lines_asia_qty25": ("sum", "lines", {"region": "ASIA", "quantity": ">=25"}),
+    "lines_not_asia": ("sum", "lines", {"region": "<>ASIA"}),
+    "avg_revenue_america": ("avg", "revenue", {"region": "AMERICA"}, "lines", 2),
+    "avg_qty_small_africa": ("avg", "units", {"category": "SMALL", "region": "AFRICA"}, "lines", 4),
     "revenue_jan_1996": ("sum", "revenue", {"date": (dt.date(1996, 1, 1), dt.date(1996, 1, 31))}),
 }
 
 
 def criteria_report(t) -> DataFrame:
-    """Seven criteria cells in one aggregation pass."""
-    out = C.criteria_cells(V.sales(t), CRITERIA_CELLS)
-    # AVERAGEIFS cells as SUMIFS / COUNTIFS, rounded exactly; no match -> NULL
-    out = (out.withColumn("avg_revenue_america", money_div(F.col("_sum_revenue_america"), F.col("_n_america"), 2))
-              .withColumn("avg_qty_small_africa",
-                          round_ratio(F.col("_sum_qty_small_africa"), F.col("_n_small_africa"), 4)))
-    return to_report(out.drop("_sum_revenue_america", "_n_america", "_sum_qty_small_africa", "_n_small_africa"))
+    """Criteria cells in one aggregation pass.
+
+    Lines are reduced to (customer, product, quantity, month) before the product
+    dimension, and to (customer, category, quantity, month) before the customer
+    dimension; counts are sums of the reduced rows' line counts.
+    """
+    i = V.order_items(t).select("order_id", "product_id", "quantity", "line_total")
+    o = V.orders(t).select("order_id", "customer_id", D.month_start(F.col("order_date")).alias("date"))
+    sums = [F.sum("revenue").alias("revenue"), F.sum("lines").alias("lines"), F.sum("units").alias("units")]
+    per = (i.join(o, "order_id").groupBy("customer_id", "product_id", "quantity", "date")
+            .agg(F.sum("line_total").alias("revenue"), F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units")))
+    per = (per.join(V.products(t).select("product_id", "category"), "product_id", "left")
+              .groupBy("customer_id", "category", "quantity", "date").agg(*sums))
+    per = per.join(V.customer_geo(t).select("customer_id", "country", "region"), "customer_id", "left")
+    return C.criteria_cells(per, CRITERIA_CELLS)
 
 
 # --------------------------------------------------------------------------- L32-L34
@@ -200,44 +192,57 @@ def monthly_trends(t) -> DataFrame:
     m = s.groupBy("month").agg(F.sum("lines").alias("orders"), F.sum("revenue").alias("revenue"))
     first = s.groupBy("customer_id").agg(F.min("month").alias("month"))
     new = first.groupBy("month").agg(F.count(F.lit(1)).alias("new_customers"))
-    out = m.join(new, "month", "left").select(
+    return m.join(new, "month", "left").select(
         "month", "orders", F.round("revenue", 2).alias("revenue"),
         money_div(F.col("revenue"), F.col("orders"), 2).alias("avg_order_value"),
         F.coalesce("new_customers", F.lit(0)).alias("new_customers"))
-    return to_report(out)
 
 
 def executive_kpis(t, approx: bool = False) -> DataFrame:
     """L33 headline: revenue, lines, average, distinct customers, top country and product.
 
+    Orders are reduced to one row per customer; the headline, the number of
+    customers and the country ranking all come from that frame.
     ``approx=True`` counts distinct customers with a HyperLogLog sketch (D2 option).
     """
-    # Per-order totals are written once and serve the headline numbers and the
-    # country ranking; the product ranking needs its own pass (by product).
-    per_order = V.order_lines(t)
-    ensure_checkpoint_dir(per_order.sparkSession)
-    per_order = per_order.checkpoint(eager=True)
-    by_c = geo_totals(t, "country", per_order).select("country", F.col("revenue").alias("rev"))
+    per_cust = (V.order_lines(t).groupBy("customer_id")
+                 .agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("lines")))
+    by_c = (per_cust.join(V.customer_geo(t).select("customer_id", "country"), "customer_id", "left")
+                    .groupBy("country").agg(F.sum("revenue").alias("rev"), F.sum("lines").alias("lines")))
     by_p = (product_totals(t).join(V.products(t).select("product_id", F.col("name").alias("product")),
                                    "product_id", "left")
                              .groupBy("product").agg(F.sum("revenue").alias("rev")))
     # Arg-max as a distributed top-1 (each task keeps its best row), used as a scalar.
-    top_c = by_c.orderBy(F.col("rev").desc(), F.col("country").asc()).select("country").limit(1).scalar()
-    top_p = by_p.orderBy(F.col("rev").desc(), F.col("product").asc()).select("product").limit(1).scalar()
-    out = per_order.agg(F.sum("revenue").alias("total_revenue"), F.sum("lines").alias("total_orders"),
-                        (F.approx_count_distinct("customer_id") if approx
-                         else F.count_distinct("customer_id")).alias("unique_customers"))
-    out = out.select("*", top_c.alias("top_country"), top_p.alias("top_product"),
-                     money_div(F.col("total_revenue"), F.col("total_orders"), 2).alias("avg_order_value"))
-    return to_report(out)
+    top_c = A.top_by(by_c, [], "country", "rev").scalar()
+    top_p = A.top_by(by_p, [], "product", "rev").scalar()
+    out = per_cust.agg(F.sum("revenue").alias("total_revenue"), F.sum("lines").alias("total_orders"),
+                       (F.approx_count_distinct("customer_id") if approx
+                        else F.count("customer_id")).alias("unique_customers"))
+    return out.select("*", top_c.alias("top_country"), top_p.alias("top_product"),
+                      money_div(F.col("total_revenue"), F.col("total_orders"), 2).alias("avg_order_value"))
 
 
 def country_top_products(t, n: int = 3) -> DataFrame:
     """Per country the n best product names by revenue, with their share of
-    the country's revenue (4 dp)."""
-    s = V.sales(t)
-    per = s.groupBy("country", "product").agg(F.sum("revenue").alias("revenue"))
+    the country's revenue (4 dp).
+
+    Lines are reduced to (customer, product) and then to (country, product)
+    before the product's name is attached.
+    """
+    i = V.order_items(t).select("order_id", "product_id", "line_total")
+    o = V.orders(t).select("order_id", "customer_id")
+    per_cust = i.join(o, "order_id").groupBy("customer_id", "product_id").agg(F.sum("line_total").alias("revenue"))
+    per_id = (per_cust.join(V.customer_geo(t).select("customer_id", "country"), "customer_id", "left")
+              .groupBy("country", "product_id").agg(F.sum("revenue").alias("revenue")))
+    per = (per_id.join(V.products(t).select("product_id", F.col("name").alias("product")), "product_id", "left")
+           .groupBy("country", "product").agg(F.sum("revenue").alias("revenue")))
     per = W.share_of_total(per, "revenue", "share_of_country", partition_cols=["country"], scale=4,
                            as_fraction=True)
     top = W.top_n_per_group(per, ["country"], [("revenue", False), ("product", True)], n, rank_col="rank")
-    return to_report(top.select("country", "rank", "product", "revenue", "share_of_country"))
+    return top.select("country", "rank", "product", "revenue", "share_of_country")
+
+
+def order_numbers(t) -> DataFrame:
+    """sequence labels ORD-00001 ... of all orders by date (tie-break: order id)."""
+    o = V.orders(t).select("order_id", F.to_date("order_date").alias("order_day"))
+    return W.renumber(o, [("order_day", True), ("order_id", True)], "order_no")

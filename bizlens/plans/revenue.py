@@ -3,12 +3,12 @@ L8 moving average, L9 year over year, L11 average order value."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import windows as W
 from . import views as V
-from .common import money_div, to_report
+from .common import money_div
 
 
 def order_revenue(t) -> DataFrame:
@@ -42,40 +42,35 @@ def daily_revenue(t) -> DataFrame:
     r = valid_order_revenue(t)
     out = (r.groupBy(F.to_date("order_date").alias("order_day"))
             .agg(F.count(F.lit(1)).alias("total_orders"), F.sum("revenue").alias("daily_revenue")))
-    return to_report(out)
+    return out
 
 
 def monthly_running_total(t) -> DataFrame:
     """L2: a calendar aggregate, so a plain ordered window is right."""
     m = monthly_revenue(t).select("month", F.col("revenue").alias("monthly_revenue"))
-    return to_report(W.running_total(m, "month", "monthly_revenue", "cumulative_revenue"))
+    return W.running_total(m, "month", "monthly_revenue", "cumulative_revenue")
 
 
 def category_revenue(t) -> DataFrame:
     """L3: revenue, distinct orders and share per product category.
 
-    Items are first reduced to (order, category) so the distinct order count
-    is a plain count; the status filter is a semi join.
+    Lines are reduced to (order, product) and filtered by status before the
+    product dimension is met, then to (order, category), so that the distinct
+    order count is a plain count.
     """
     items = V.order_items(t).select("order_id", "product_id", "line_total")
-    prod = V.products(t).select("product_id", "category")
-    per_order = (items.join(prod, "product_id")
-                 .groupBy("order_id", "category").agg(F.sum("line_total").alias("revenue")))
-    valid = V.valid_orders(t).select("order_id")
-    kept = per_order.join(valid, "order_id", "left_semi")
-    cat = kept.groupBy("category").agg(F.sum("revenue").alias("revenue"),
-                                        F.count(F.lit(1)).alias("order_count"))
-    # One row per category: the total is a scalar over a small aggregate.
-    out = W.share_of_total(cat, "revenue", "pct_of_total")
-    return to_report(out)
+    per_item = items.groupBy("order_id", "product_id").agg(F.sum("line_total").alias("revenue"))
+    kept = per_item.join(V.valid_orders(t).select("order_id"), "order_id", "left_semi")
+    per_order = (kept.join(V.products(t).select("product_id", "category"), "product_id")
+                     .groupBy("order_id", "category").agg(F.sum("revenue").alias("revenue")))
+    cat = per_order.groupBy("category").agg(F.sum("revenue").alias("revenue"),
+                                            F.count(F.lit(1)).alias("order_count"))
+    return W.share_of_total(cat, "revenue", "pct_of_total")
 
 
 def moving_average_3m(t) -> DataFrame:
     """L8."""
-    m = monthly_revenue(t).select("month", "revenue")
-    w = Window.orderBy("month").rowsBetween(-2, Window.currentRow)
-    out = m.withColumn("moving_avg_3m", money_div(F.sum("revenue").over(w), F.count(F.lit(1)).over(w), 2))
-    return to_report(out)
+    return W.moving_average(monthly_revenue(t).select("month", "revenue"), "month", "revenue", "moving_avg_3m", 3, digits=2)
 
 
 def yoy_growth(t, strict: bool = False) -> DataFrame:
@@ -88,7 +83,7 @@ def yoy_growth(t, strict: bool = False) -> DataFrame:
     growth = money_div((F.col("current_revenue") - F.col("prior_year_revenue")) * 100,
                        F.col("prior_year_revenue"), 2)
     out = out.withColumn("yoy_growth_pct", F.when(F.col("prior_year_revenue").isNotNull(), growth))
-    return to_report(out)
+    return out
 
 
 def average_order_value(t) -> DataFrame:
@@ -96,4 +91,4 @@ def average_order_value(t) -> DataFrame:
     m = monthly_revenue(t)
     out = m.select("month", F.col("order_count"),
                    money_div(F.col("revenue"), F.col("order_count"), 2).alias("avg_order_value"))
-    return to_report(out)
+    return out

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import aggregates as A
 from . import views as V
-from .common import money_div, round_ratio, to_report
+from .common import money_div, round_ratio
 
 
 def monthly_series(t) -> DataFrame:
@@ -25,32 +26,28 @@ def monthly_series(t) -> DataFrame:
     return g.select("month", F.year("month").alias("year"), x.alias("x"), y.alias("y"))
 
 
-def corr_guarded(x: Column, y: Column, n: Column, digits: int = 3) -> Column:
-    """NULL when n <= 1, 0 when a series has no variance, else r rounded."""
-    xd, yd = x.cast("double"), y.cast("double")
-    spread = F.stddev_pop(xd) * F.stddev_pop(yd)
-    r = F.try_divide(F.covar_pop(xd, yd), spread)
-    return F.when(n <= 1, F.lit(None).cast("double")).when(spread == 0, F.lit(0.0)).otherwise(F.round(r, digits))
-
-
 def _avg2(c: str) -> Column:
     return round_ratio((F.sum(c) * 100).cast("long"), F.count(F.lit(1)) * 100, 2)
 
 
-def yearly_stats(t) -> DataFrame:
-    """Per year: n, average / min / max of both series, guarded correlation and a
-    flag for years whose average x is above the whole-period average."""
+# Fixed value: an average of the first series above this is flagged.
+HIGH_AVERAGE = 50
+
+
+def yearly_stats(t, threshold=HIGH_AVERAGE) -> DataFrame:
+    """Per year: n, average / min / max of both series, guarded correlation, a flag for
+    years whose average x is above ``threshold``, and one for years above the
+    whole-period average."""
     s = monthly_series(t)
-    tot = s.agg((F.sum("x") * 100).cast("long").alias("_sx"), F.count(F.lit(1)).alias("_nx"))
-    sx_all, n_all = tot.select("_sx").scalar(), tot.select("_nx").scalar()
-    n = F.count(F.lit(1))
-    g = s.groupBy("year").agg(
-        n.alias("n"), _avg2("x").alias("avg_x"), F.min("x").alias("min_x"), F.max("x").alias("max_x"),
+    # the totals read every column of the frame: the same plan, so its shuffles are done once
+    tot = s.select(F.struct((F.sum("x") * 100).cast("long").alias("sx"), F.count(F.lit(1)).alias("n"), F.count("month").alias("m"),
+                            F.sum("year").alias("y"), F.sum("y").alias("sy"))).scalar()
+    n, cents = F.count(F.lit(1)), (F.sum("x") * 100).cast("long")
+    return A.corr_by(
+        s, ["year"], "x", "y", 3, _avg2("x").alias("avg_x"), F.min("x").alias("min_x"), F.max("x").alias("max_x"),
         _avg2("y").alias("avg_y"), F.min("y").alias("min_y"), F.max("y").alias("max_y"),
-        corr_guarded(F.col("x"), F.col("y"), n).alias("corr"),
-        # exact comparison of averages by cross-multiplying integer cents
-        ((F.sum("x") * 100).cast("long") * n_all > sx_all * n).alias("above_average_x"))
-    return to_report(g)
+        # exact comparisons of averages by cross-multiplying integer cents
+        (cents > n * int(threshold * 100)).alias("high_x"), (cents * tot["n"] > tot["sx"] * n).alias("above_average_x"))
 
 
 def _month_of_min(expr: Column) -> Column:
@@ -69,7 +66,7 @@ def overall_stats(t) -> DataFrame:
               F.max("x").alias("max_x"), _month_of_min(-x).alias("max_x_month"),
               _avg2("y").alias("avg_y"), F.min("y").alias("min_y"), _month_of_min(y).alias("min_y_month"),
               F.max("y").alias("max_y"), _month_of_min(-y).alias("max_y_month"),
-              corr_guarded(x, y, n).alias("corr"),
+              A.corr_guarded("x", "y").alias("corr"),
               F.max("month").alias("latest_month"),
               F.max_by("x", "month").alias("latest_x"), F.max_by("y", "month").alias("latest_y"))
-    return to_report(g)
+    return g

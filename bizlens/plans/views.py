@@ -68,6 +68,12 @@ def line_total(extended_price: Column, discount: Column) -> Column:
     return F.round(net, 2).cast("decimal(12,2)")
 
 
+def line_total_percent(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
+    """B10, percent form: quantity × unit price × (1 − percent / 100), in decimal, rounded to cents."""
+    net = quantity.cast("decimal(10,0)") * unit_price.cast("decimal(10,2)") * (F.lit(100) - discount_pct.cast("decimal(5,2)")) / F.lit(100)
+    return F.round(net, 2).cast("decimal(12,2)")
+
+
 def order_items(t) -> DataFrame:
     """order_items view: one row per line item with the decimal line total."""
     li = t["lineitem"]
@@ -127,26 +133,6 @@ def shipments(t) -> DataFrame:
     return o.join(per_order, o.order_id == per_order.l_orderkey, "left").drop("l_orderkey")
 
 
-def item_facts(t, *, with_product: bool = False, with_customer: bool = False,
-               only_valid: bool = True) -> DataFrame:
-    """order_items ⋈ orders (⋈ products) (⋈ customers), joining only what a report needs.
-
-    orders ⋈ lineitem is a sort-merge join on the order key; products and
-    customers grow with the data and are joined by key, never broadcast blindly
-    (AQE turns a join into a broadcast at run time when a side is small).
-    """
-    o = valid_orders(t) if only_valid else orders(t)
-    i = order_items(t)
-    f = i.join(o.select("order_id", "customer_id", "status", "order_date"), "order_id")
-    if with_product:
-        f = f.join(products(t).select("product_id", F.col("name").alias("product_name"), "category", "brand"),
-                   "product_id")
-    if with_customer:
-        f = f.join(customers(t).select("customer_id", "first_name", "last_name", "city", "country"),
-                   "customer_id")
-    return f
-
-
 def sales(t, *, with_product: bool = True, with_customer: bool = True) -> DataFrame:
     """Flat transaction lines for the case-study reports (all statuses).
 
