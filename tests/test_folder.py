@@ -50,3 +50,12 @@ def test_preview(spark):
     p = FO.preview(spark, d).where("file_name = 'sales.csv'").orderBy("row_no").collect()
     assert [r.row_no for r in p] == [1, 2, 3, 4, 5]
     assert p[0].cells == ["1", "1", "1", "n, 0"]
+
+
+def test_quoted_cells_in_linear_time(spark):
+    from pyspark.sql import functions as F
+    lines = [("a,b", ["a", "b"]), ('"x, ""y""",z', ['x, "y"', "z"]), ('""', [""]), ("", [""]), (",", ["", ""]), ('"a,b', ["a,b"]), (" p , q ", ["p", "q"]),
+             (",".join(f'"c,{i}"' for i in range(20_000)), [f"c,{i}" for i in range(20_000)])]
+    df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(lines)], "i int, line string")
+    for r in df.select("i", FO.cells(F.col("line")).alias("c")).collect():
+        assert r.c == lines[r.i][1]

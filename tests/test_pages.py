@@ -57,3 +57,9 @@ def test_page_records(spark):
     r = P.page_records(pages).first()
     assert (r.host, r.lang, r.title, r.nav_links, r.paragraphs, r.words) == \
         ("x.example.com", "de", "Fish & Chips", 2, 2, 6)
+
+
+def test_noise_that_is_never_closed_runs_to_the_end(spark):
+    for tail in ("<!-- open <p>two</p>", "<script>var t='<p>two</p>';", "<style>p{}<p>two</p>"):
+        df = spark.createDataFrame([(1, "http://h/x", f"<html lang=\"en\"><article><p>one</p>{tail}")], "page_id long, url string, html string")
+        assert P.page_records(df).first().paragraphs == 1

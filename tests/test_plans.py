@@ -1,5 +1,7 @@
 """Plan-shape checks for the scale properties the design relies on."""
 
+import pytest
+
 import __spark_entry__ as E
 
 from conftest import SF001
@@ -31,8 +33,37 @@ def test_lines_reduced_per_order_before_join(spark):
     assert "partial_sum" in below
 
 
+def _spark_plan(spark, name):
+    """The plan without adaptive execution, in which reused exchanges show."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return _plan(spark, name)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _scans(plan, table):
+    return sum(1 for line in plan.splitlines() if f"/{table}.parquet" in line and "FileScan" in line)
+
+
+@pytest.mark.parametrize("name", ["category_revenue", "country_breakdown", "category_breakdown", "region_breakdown", "dashboard_regions", "dashboard_trend",
+                                  "budget_vs_actual", "region_detail", "criteria_report", "country_top_products", "product_table"])
+def test_one_scan_of_line_items_and_nothing_written(spark, name):
+    plan = _spark_plan(spark, name)
+    assert _scans(plan, "lineitem") == 1, plan
+    assert "ExistingRDD" not in plan.replace("LocalTableScan", "") or name == "budget_vs_actual"
+
+
+@pytest.mark.parametrize("name", ["rfm_segments", "pareto", "value_segments", "sales_rank", "order_numbers", "order_lookups", "co_purchased_pairs"])
+def test_no_python_and_no_nested_loops(spark, name):
+    plan = _spark_plan(spark, name)
+    assert "Python" not in plan and "MapInPandas" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_basket_pairs_join_aggregated_names(spark):
     plan = _plan(spark, "co_purchased_pairs")
     lines = plan.splitlines()
-    join_at = max(i for i, l in enumerate(lines) if "Join" in l and "order_id" in l)
+    join_at = max(i for i, l in enumerate(lines) if "Join" in l and "_o#" in l)
     assert any("HashAggregate" in l for l in lines[join_at:])

@@ -51,8 +51,7 @@ def test_partitioning_invariance(spark):
     results = []
     for parts in (1, 7, 64):
         pairs = baskets.name_pair_counts(items.repartition(parts), names, min_count=1)
-        tiles = W.global_ntile(cust.repartition(parts), [("spend", True), ("o_custkey", True)], 5, "t",
-                               distributed=True)
+        tiles = W.global_ntile(cust.repartition(parts), [("spend", True), ("o_custkey", True)], 5, "t")
         results.append((sorted(map(tuple, pairs.collect())), sorted(map(tuple, tiles.collect()))))
     assert results[0] == results[1] == results[2]
 

@@ -49,3 +49,14 @@ def test_folder_profile_stream(spark):
     assert got == exp
     cols = {(r.file_name, r.col_name) for r in spark.read.parquet(os.path.join(root, "out", "columns")).collect()}
     assert ("sales.csv", "seven") in cols and ("UPPER.CSV", "a") in cols
+
+
+def test_folder_profile_stream_runs_a_batch_again(spark):
+    from test_folder import make_folder
+    from bizlens.streaming import folder_profile_stream
+    land, root = make_folder(), tempfile.mkdtemp(prefix="bizlens-fstream2-")
+    out = os.path.join(root, "out")
+    folder_profile_stream(spark, land, out, os.path.join(root, "ckpt"))
+    once = spark.read.parquet(os.path.join(out, "files")).count()
+    folder_profile_stream(spark, land, out, os.path.join(root, "ckpt2"))   # as after a failure before the commit
+    assert spark.read.parquet(os.path.join(out, "files")).count() == once == 3
