@@ -1,13 +1,20 @@
 """L18 cleaning pipeline and L19 before/after quality report.
 
-Order of the steps is the reference's: missing-value markers -> drop exact
+``clean_sales`` cleans a sales export (all strings, as ``read_sales_csv``
+gives it) in the reference's order: missing-value markers -> drop exact
 duplicates -> trim/collapse whitespace -> dates -> categories -> product names
--> regions -> price -> quantity.  After the one ``dropDuplicates`` shuffle, the
-remaining steps are a single projection (Catalyst collapses them).
+-> regions -> price -> quantity.  The registered queries run the steps that
+apply to running text (markers, duplicates, whitespace, mapping with fallback,
+title case) over the given ``documents`` and ``conversations``, whole tables.
+
+Duplicates are found on a narrow frame (a digest stands for the text), so the
+texts are not sorted or compared; of equal rows the first id stays.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +22,6 @@ from ..functions import dates as D
 from ..functions import text as X
 from ..operators import lookups as L
 from ..operators import profile as P
-from .common import to_report
-from .messy import messy_sales
 
 # Known category spellings and their canonical names.
 CATEGORY_MAP = {
@@ -59,47 +64,85 @@ def clean_sales(raw: DataFrame) -> DataFrame:
     return mark_missing(raw).dropDuplicates().select(*clean_columns(raw))
 
 
-def distinct_with_multiplicity(raw: DataFrame) -> DataFrame:
-    """The de-duplication as a grouping that keeps each row's multiplicity ``_n``.
+# Language codes and names.
+LANGUAGE_MAP = {"en": "English", "de": "German", "fr": "French", "es": "Spanish"}
+
+
+def _marked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The named columns with missing-value markers as NULL; other columns as they are."""
+    return df.select(*[X.na_to_null(F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def _row_key(df: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
+    """The columns that make rows equal, with a digest for the text."""
+    return df.select(*[F.sha2(F.col(c), 256).alias(c) if c == text else F.col(c) for c in columns])
+
+
+def first_of_equals(df: DataFrame, columns: list[str], ids: list[str]) -> DataFrame:
+    """G1: of rows equal in ``columns`` the one with the least ids stays."""
+    key = [F.sha2(F.col(c), 256).alias(f"_{c}") if c == "text" else F.col(c).alias(f"_{c}") for c in columns]
+    kept = (df.select(*key, F.struct(*ids).alias("_id")).groupBy(*[f"_{c}" for c in columns]).agg(F.min("_id").alias("_id"))
+              .select(*[F.col(f"_id.{c}").alias(c) for c in ids]))
+    return df.join(kept, ids, "left_semi")
+
+
+def marked_documents(t) -> DataFrame:
+    """documents with markers as NULL."""
+    return _marked(t["documents"].select("doc_id", "text", "lang", "source"), ["text", "lang", "source"])
 
-    It is the same single shuffle as ``dropDuplicates`` (partial aggregation
-    first), and it lets every before/after number of L19 come from one pass.
-    """
-    return mark_missing(raw).groupBy(*SALES_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
 
+def marked_conversations(t) -> DataFrame:
+    """conversations with markers as NULL."""
+    return _marked(t["conversations"].select("conv_id", "turn", "role", "text"), ["role", "text"])
 
-def cleaned_sales(t) -> DataFrame:
-    """L18 over the messy text derived from lineitem."""
-    return to_report(clean_sales(messy_sales(t)))
+
+def cleaned_documents(t) -> DataFrame:
+    """L18 over documents: first of equal rows, whitespace squeezed, language names
+    with fallback, sources in title case."""
+    d = first_of_equals(marked_documents(t), ["text", "lang", "source"], ["doc_id"])
+    return d.select("doc_id", X.squeeze(F.col("text")).alias("text"), L.map_with_fallback(F.col("lang"), LANGUAGE_MAP).alias("lang"),
+                    X.proper(X.squeeze(F.col("source"))).alias("source"))
+
+
+def cleaned_conversations(t) -> DataFrame:
+    """L18 over conversations: first of equal turns, whitespace squeezed, roles in title case."""
+    d = first_of_equals(marked_conversations(t), ["role", "text"], ["conv_id", "turn"])
+    return d.select("conv_id", "turn", X.proper(X.squeeze(F.col("role"))).alias("role"), X.squeeze(F.col("text")).alias("text"))
+
+
+# table, columns that are cleaned, marked frame, cleaned frame
+_TEXT_TABLES = [("documents", ["text", "lang", "source"], marked_documents, cleaned_documents),
+                ("conversations", ["role", "text"], marked_conversations, cleaned_conversations)]
+
+
+def _stack(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def cleaning_null_report(t) -> DataFrame:
     """NULL count per column before and after cleaning."""
-    g = distinct_with_multiplicity(messy_sales(t))
-    both = g.select("_n", *[F.col(c).alias(f"b_{c}") for c in SALES_COLUMNS],
-                    *[c.alias(f"a_{n}") for c, n in zip(clean_columns(g), SALES_COLUMNS)])
-    wide = both.agg(*[F.sum(F.when(F.col(f"b_{c}").isNull(), F.col("_n")).otherwise(0)).alias(f"b_{c}")
-                      for c in SALES_COLUMNS],
-                    *[F.count_if(F.col(f"a_{c}").isNull()).alias(f"a_{c}") for c in SALES_COLUMNS])
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"b_{c}").alias("nulls_before"),
-                                        F.col(f"a_{c}").alias("nulls_after")) for c in SALES_COLUMNS]))
-    return to_report(wide.select(rows.alias("_r")).select("_r.*"))
+    def one(table, columns, before, after):
+        b = P.null_counts(before(t).select(*columns)).withColumnRenamed("nulls", "nulls_before")
+        a = P.null_counts(after(t).select(*columns)).withColumnRenamed("nulls", "nulls_after")
+        return b.join(a, "column").withColumn("table", F.lit(table))
+
+    return _stack([one(*x) for x in _TEXT_TABLES])
 
 
 def cleaning_summary(t) -> DataFrame:
-    """Rows before, duplicate rows (D21), rows after, total NULLs before/after — one pass."""
-    g = distinct_with_multiplicity(messy_sales(t))
-    both = g.select("_n", *[F.col(c).alias(f"b_{c}") for c in SALES_COLUMNS],
-                    *[c.alias(f"a_{n}") for c, n in zip(clean_columns(g), SALES_COLUMNS)])
-    nulls_before = sum(F.when(F.col(f"b_{c}").isNull(), F.col("_n")).otherwise(0) for c in SALES_COLUMNS)
-    nulls_after = sum(F.when(F.col(f"a_{c}").isNull(), 1).otherwise(0) for c in SALES_COLUMNS)
-    out = both.agg(F.sum("_n").alias("rows_before"), F.sum(F.col("_n") - 1).alias("duplicates_removed"),
-                   F.count(F.lit(1)).alias("rows_after"), F.sum(nulls_before).alias("nulls_before"),
-                   F.sum(nulls_after).alias("nulls_after"))
-    return to_report(out)
+    """L19 per table: rows before, duplicate rows (D21), rows after, total NULLs before and after."""
+    def one(table, columns, before, after):
+        b, a = before(t), after(t)
+        total = lambda df: P.null_counts(df.select(*columns)).select(F.sum("nulls")).scalar()
+        rows = lambda df: df.select(F.count(F.lit(1))).scalar()
+        return t.spark.range(1).select(
+            F.lit(table).alias("table"), rows(b).alias("rows_before"), P.duplicate_count(_row_key(b, columns)).alias("duplicates_removed"),
+            rows(a).alias("rows_after"), total(b).alias("nulls_before"), total(a).alias("nulls_after"))
+
+    return _stack([one(*x) for x in _TEXT_TABLES])
 
 
 def cleaning_value_counts(t) -> DataFrame:
-    """Value counts of the cleaned category and region columns, NULL kept."""
-    clean = clean_sales(messy_sales(t))
-    return to_report(P.value_counts(clean, ["category", "region"]))
+    """Value counts of the cleaned language, source and role columns, NULL kept."""
+    docs = P.value_counts(cleaned_documents(t), ["lang", "source"]).withColumn("table", F.lit("documents"))
+    return docs.unionByName(P.value_counts(cleaned_conversations(t), ["role"]).withColumn("table", F.lit("conversations")))

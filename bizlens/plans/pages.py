@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import pages as P
-from .common import to_report
 
 
 def page_records(t) -> DataFrame:
     """One record per stored page (host, language, title, links, paragraphs, words)."""
-    return to_report(P.page_records(t["pages"]))
+    return P.page_records(t["pages"])
 
 
 def page_summary(t) -> DataFrame:
@@ -25,4 +24,4 @@ def page_summary(t) -> DataFrame:
     # one scalar subquery for the whole summary row (one extraction pass)
     rs = recs.select(F.struct(*recs.columns)).scalar()
     out = s.select("*", *[rs[c].alias(f"product_{c}") for c in recs.columns])
-    return to_report(out)
+    return out

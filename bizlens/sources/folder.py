@@ -1,50 +1,52 @@
 """Profile every CSV file of a folder.
 
-* The file list (name, path, size) comes from the Hadoop FileSystem listing —
-  metadata the driver already handles for any file source; zero-byte files are
-  kept (a text scan would silently drop them).
-* One text scan reads all files at once; ``_metadata`` gives each line its
-  file, and a per-partition line id orders lines inside the first split of
-  each file, so header, sample rows and preview rows come from one pass.
+* The file list (name, path, size) is Spark's own listing, sizes from a
+  ``binaryFile`` scan that reads no content.  Empty files are in it (a scan
+  alone would silently drop them).
+* One text scan reads all files at once; each line gets its number in its
+  split in the same pass, so the header line, the sample and the preview need no
+  second numbering.
 * Per-column numbers: cells are exploded with their column position and
-  aggregated per (file, column), restricted to the columns that pass the
-  numeric test (≥ 70 % of the first ≤ 10 data rows are numbers).
+  reduced per (file, column) by one partial aggregation, which also counts
+  the numeric cells of the sample (a column is numeric if >= 70 % of the first
+  <= 10 data rows are numbers).
 
-CSV splitting honours double quotes; quoted line breaks are not supported
+A line is cut at commas outside double quotes in one pass over its quoted
+pieces; a doubled quote is a quote.  Quoted line breaks are not supported
 (documented limit).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import human_size, safe_name
-from ..operators.profile import is_number_text, to_number
+from ..operators.profile import is_number_text, numeric_profile
+from ..operators.windows import global_row_window
 
 CSV_GLOB = "*.[cC][sS][vV]"
-SPLIT_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 SAMPLE_ROWS = 10
 PREVIEW_ROWS = 5
 NUMERIC_SHARE = 0.7
+CELL_END = "\u0001"
 
 
-def list_files(spark: SparkSession, folder: str, suffixes=(".csv",)) -> DataFrame:
-    """(file_idx, file_name, file_path, size_bytes) for matching files, by name."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(conf)
-    rows = []
-    for st in fs.listStatus(path):
-        if st.isFile():
-            name = st.getPath().getName()
-            if name.lower().endswith(tuple(suffixes)):
-                rows.append((name, st.getPath().toString(), int(st.getLen())))
-    schema = "file_name string, file_path string, size_bytes long"
-    files = spark.createDataFrame(sorted(rows), schema)
-    return files.withColumn("file_idx", F.row_number().over(Window.orderBy("file_name")).cast("long"))
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_idx, file_name, file_path, size_bytes) for the CSV files, by name.
+
+    Sizes come from a scan that reads no content; that scan skips empty files, so
+    the names are those that Spark's own listing of the folder already holds.
+    """
+    scan = spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(folder)
+    key = lambda path: F.regexp_replace(path, "^file:/+", "file:/")  # noqa: E731  local paths are written in two ways
+    listed = spark.createDataFrame([(f,) for f in scan.inputFiles()], "_listed string").withColumn("_key", key(F.col("_listed")))
+    sized = scan.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("_name"), F.col("_metadata.file_size").alias("_size"))
+    found = listed.join(sized.withColumn("_key", key(F.col("file_path"))), "_key", "left").select(
+        F.coalesce("_name", F.element_at(F.split("_listed", "/"), -1)).alias("file_name"), F.coalesce("file_path", "_listed").alias("file_path"),
+        F.coalesce("_size", F.lit(0)).cast("long").alias("size_bytes"))
+    return global_row_window(found, [("file_name", True), ("file_path", True)], rn_col="file_idx")
 
 
 def scan_folder(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,20 +54,45 @@ def scan_folder(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder)
 
 
+def _number_lines(parts):
+    """Number of each line in its split (a task reads a split's lines in order)."""
+    import numpy as np
+    import pyarrow as pa
+
+    at, count = None, 0
+    for part in parts:
+        keys = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist()))
+        numbers = np.empty(len(keys), np.int64)
+        for i, key in enumerate(keys):
+            at, count = (at, count + 1) if key == at else (key, 0)
+            numbers[i] = count
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(numbers)], ["file_path", "block", "line", "line_no"])
+
+
+def number_lines(raw: DataFrame) -> DataFrame:
+    """(file_path, line_no, line): line_no is 0 for a file's first line and counts on in its
+    first split; lines of later splits have none."""
+    numbered = raw.select("file_path", "block", "line").mapInArrow(_number_lines, "file_path string, block long, line string, line_no long")
+    return numbered.select("file_path", F.when(F.col("block") == 0, F.col("line_no")).alias("line_no"), "line")
+
+
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(file_path, line_id, first_split, line) for every line of every CSV file."""
-    lines = (spark.read.option("pathGlobFilter", CSV_GLOB).text(folder)
-                  .select(F.col("_metadata.file_path").alias("file_path"),
-                          (F.col("_metadata.file_block_start") == 0).alias("first_split"),
-                          F.monotonically_increasing_id().alias("line_id"),
-                          F.col("value").alias("line")))
-    return lines
+    """(file_path, line_no, line) for every line of every CSV file."""
+    return number_lines(spark.read.option("pathGlobFilter", CSV_GLOB).text(folder)
+                        .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
+                                F.col("value").alias("line")))
+
 
+def cells(line: Column) -> Column:
+    """CSV cells of a line: commas inside double quotes kept, quotes stripped, cells trimmed."""
+    pieces = F.split(line, '"')  # every second piece is inside quotes
+    last = F.size(pieces) - 1
 
-def cells(line):
-    """CSV cells of a line (commas inside double quotes kept, quotes stripped)."""
-    parts = F.split(line, SPLIT_OUTSIDE_QUOTES)
-    return F.transform(parts, lambda c: F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"))
+    def piece(s: Column, i: Column) -> Column:
+        between = (i > 0) & (i < last) & (s == "")  # between two quoted pieces: a doubled quote
+        return F.when(i % 2 == 1, s).when(between, F.lit('"')).otherwise(F.replace(s, F.lit(","), F.lit(CELL_END)))
+
+    return F.transform(F.split(F.array_join(F.transform(pieces, piece), ""), CELL_END), lambda c: F.trim(c))
 
 
 def profile_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -76,62 +103,54 @@ def profile_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     numeric_column_count, status.
     columns: file_name, col_no, col_name, min, max, avg (numeric columns).
     """
-    return profile_lines(list_files(spark, folder), read_lines(spark, folder))
+    files, cols = profile_lines(list_files(spark, folder), read_lines(spark, folder))
+    return files, cols.where("is_numeric").drop("is_numeric", "numeric_cells")
 
 
 def profile_lines(files: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Profile from a file list (file_idx, file_name, file_path, size_bytes) and
-    its lines (file_path, first_split, line_id, line): the batch folder scan and
-    each micro-batch of the folder stream share this."""
-    counts = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("row_count"))
-    # First 1 + SAMPLE_ROWS lines of each file (planned as a per-group limit).
-    w = Window.partitionBy("file_path").orderBy("line_id")
-    head = (lines.where("first_split").withColumn("rn", F.row_number().over(w))
-                 .where(F.col("rn") <= 1 + SAMPLE_ROWS))
-    header = head.where(F.col("rn") == 1).select("file_path", F.col("line_id").alias("header_id"),
-                                                 cells(F.col("line")).alias("headers"))
-    sample = (head.where(F.col("rn") > 1)
-                  .select("file_path", "rn", F.posexplode(cells(F.col("line"))).alias("pos", "cell")))
-    numeric_cols = (sample.groupBy("file_path", "pos")
-                          .agg(F.avg(F.when(is_number_text(F.col("cell")) & (F.trim("cell") != ""), 1).otherwise(0))
-                                .alias("share"))
-                          .where(F.col("share") >= NUMERIC_SHARE)
-                          .join(header.select("file_path", F.size("headers").alias("_w")), "file_path")
-                          .where(F.col("pos") < F.col("_w"))
-                          .select("file_path", F.col("pos")))
-    data = lines.join(header.select("file_path", "header_id"), "file_path") \
-                .where(F.col("line_id") != F.col("header_id"))
-    long = data.select("file_path", F.posexplode(cells(F.col("line"))).alias("pos", "cell"))
-    stats = (long.join(numeric_cols, ["file_path", "pos"])
-                 .groupBy("file_path", "pos")
-                 .agg(F.min(to_number(F.col("cell"))).alias("min"), F.max(to_number(F.col("cell"))).alias("max"),
-                      F.avg(to_number(F.col("cell"))).alias("avg")))
-    n_numeric = numeric_cols.groupBy("file_path").agg(F.count(F.lit(1)).alias("numeric_column_count"))
-    out_files = (files.join(counts, "file_path", "left").join(header, "file_path", "left")
-                      .join(n_numeric, "file_path", "left")
+    its lines (file_path, line_no, line): the batch folder scan, each
+    micro-batch of the folder stream and the stored documents share this.
+
+    columns also has ``numeric_cells`` and ``is_numeric`` here, for every
+    column with a numeric cell.
+    """
+    is_header = F.coalesce(F.col("line_no") == 0, F.lit(False))
+    header = lines.where(is_header).select("file_path", cells(F.col("line")).alias("headers"))
+    long = lines.where(~is_header).select("file_path", "line_no", F.posexplode(cells(F.col("line"))).alias("pos", "cell"))
+    sampled = F.coalesce(F.col("line_no") <= SAMPLE_ROWS, F.lit(False))
+    stats = numeric_profile(long, ["file_path", "pos"], "cell", F.count(F.lit(1)).alias("_rows"), F.count_if(sampled).alias("_sample"),
+                            F.count_if(sampled & is_number_text(F.col("cell"))).alias("_numbers"))
+    stats = stats.join(header, "file_path").withColumn(
+        "is_numeric", (F.col("_sample") > 0) & (F.col("_numbers") >= NUMERIC_SHARE * F.col("_sample")) & (F.col("pos") < F.size("headers")))
+    per_file = stats.groupBy("file_path").agg(F.max(F.when(F.col("pos") == 0, F.col("_rows"))).alias("_data"),
+                                              F.count_if("is_numeric").alias("numeric_column_count"))
+    zero = F.lit(0)
+    out_files = (files.join(header, "file_path", "left").join(per_file, "file_path", "left")
                       .select("file_idx", "file_name", "file_path", "size_bytes",
                               human_size(F.col("size_bytes")).alias("size_text"),
                               safe_name(F.col("file_name"), F.col("file_idx")).alias("sheet_name"),
-                              F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
-                              F.greatest(F.coalesce("row_count", F.lit(0)) - 1, F.lit(0)).cast("long")
-                               .alias("data_row_count"),
-                              F.coalesce(F.size("headers"), F.lit(0)).cast("long").alias("column_count"),
-                              F.coalesce("numeric_column_count", F.lit(0)).cast("long").alias("numeric_column_count"),
+                              F.when(F.col("headers").isNull(), zero).otherwise(F.coalesce("_data", zero) + 1).cast("long").alias("row_count"),
+                              F.coalesce("_data", zero).cast("long").alias("data_row_count"),
+                              F.coalesce(F.size("headers"), zero).cast("long").alias("column_count"),
+                              F.coalesce("numeric_column_count", zero).cast("long").alias("numeric_column_count"),
                               F.when(F.col("size_bytes") == 0, "Empty").otherwise("OK").alias("status")))
-    out_cols = (stats.join(header, "file_path")
-                     .join(files.select("file_path", "file_name"), "file_path")
-                     .select("file_name", (F.col("pos") + 1).alias("col_no"),
-                             F.element_at("headers", F.col("pos") + 1).alias("col_name"), "min", "max", "avg"))
+    out_cols = (stats.where("numeric_cells > 0").join(files.select("file_path", "file_name"), "file_path")
+                     .select("file_name", (F.col("pos") + 1).cast("long").alias("col_no"),
+                             F.get("headers", F.col("pos")).alias("col_name"), "min", "max", "avg", "numeric_cells", "is_numeric"))
     return out_files, out_cols
 
 
-def preview(spark: SparkSession, folder: str, rows: int = PREVIEW_ROWS) -> DataFrame:
+def preview_lines(files: DataFrame, lines: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     """first ``rows`` data lines of each file as (file_name, row_no, cells)."""
-    lines = read_lines(spark, folder).where("first_split")
-    w = Window.partitionBy("file_path").orderBy("line_id")
-    head = lines.withColumn("rn", F.row_number().over(w)).where((F.col("rn") > 1) & (F.col("rn") <= rows + 1))
-    return head.select(F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
-                       (F.col("rn") - 1).alias("row_no"), cells(F.col("line")).alias("cells"))
+    head = lines.where((F.col("line_no") >= 1) & (F.col("line_no") <= rows))
+    return head.join(files.select("file_path", "file_name"), "file_path").select(
+        "file_name", F.col("line_no").alias("row_no"), cells(F.col("line")).alias("cells"))
+
+
+def preview(spark: SparkSession, folder: str, rows: int = PREVIEW_ROWS) -> DataFrame:
+    """F5 over a folder."""
+    return preview_lines(list_files(spark, folder), read_lines(spark, folder), rows)
 
 
 def with_total(files: DataFrame) -> DataFrame:

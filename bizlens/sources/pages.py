@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.text import rating_value
 
 # Comments, scripts and styles in one leftmost-match pass: a "<!--" inside a
-# script is script text, as an HTML parser reads it.
-NOISE = r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
+# script is script text, as an HTML parser reads it.  One that is never closed
+# runs to the end of the page.
+NOISE = r"(?is)<!--.*?(?:-->|\z)|<script[^>]*>.*?(?:</script>|\z)|<style[^>]*>.*?(?:</style>|\z)"
 # HTML entities decoded in extracted text (``&amp;`` last).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
@@ -64,10 +65,15 @@ def host_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)", 1)
 
 
+def cleaned(pages: DataFrame) -> DataFrame:
+    """(page_id, url, _h): pages without noise, for several extractions from one pass."""
+    return pages.select("page_id", "url", strip_noise(F.col("html")).alias("_h"))
+
+
 def page_records(pages: DataFrame) -> DataFrame:
     """One record per stored page: host, language, title (first ``h1``, else
     ``N/A``), navigation links, paragraphs and words of the article."""
-    clean = pages.select("page_id", "url", strip_noise(F.col("html")).alias("_h"))
+    clean = cleaned(pages)
     art = section(F.col("_h"), "article")
     title = tag_text(section(F.col("_h"), "h1"))
     text = tag_text(art)
@@ -102,7 +108,7 @@ def extract_records(pages: DataFrame, with_category: bool = True) -> DataFrame:
     breadcrumb link of the product's stored detail page (matched by its
     ``<slug>/index.html`` path), else ``Unknown``.
     """
-    clean = pages.select("page_id", "url", strip_noise(F.col("html")).alias("_h"))
+    clean = cleaned(pages)
     pods = clean.select("page_id", "url", F.posexplode(F.regexp_extract_all("_h", F.lit(POD), 1))
                         .alias("pod_no", "_pod"))
     pod = F.col("_pod")
