@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import dates as D
 from ..operators import windows as W
 from . import views as V
 from .common import money_div
@@ -33,14 +34,14 @@ def valid_order_revenue(t) -> DataFrame:
 def monthly_revenue(t) -> DataFrame:
     """Revenue and order count per calendar month (the shared ``monthly`` CTE)."""
     r = valid_order_revenue(t)
-    return (r.groupBy(F.trunc("order_date", "MM").alias("month"))
+    return (r.groupBy(D.month_start(F.col("order_date")).alias("month"))
              .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("order_count")))
 
 
 def daily_revenue(t) -> DataFrame:
     """L1."""
     r = valid_order_revenue(t)
-    out = (r.groupBy(F.to_date("order_date").alias("order_day"))
+    out = (r.groupBy(D.to_day(F.col("order_date")).alias("order_day"))
             .agg(F.count(F.lit(1)).alias("total_orders"), F.sum("revenue").alias("daily_revenue")))
     return out
 
