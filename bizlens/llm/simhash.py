@@ -260,11 +260,12 @@ def keep_representatives(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits:
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, less near-copies: of each component the document with the
     least id stays, once if its row is repeated.  Rows with a null id stay: nothing can name
-    them.  The kept ids are a narrow table; the planner sends it to the texts if it is small."""
+    them.  Most documents are kept, so the list of ids grows with the corpus: it is never
+    broadcast, the texts meet it in a merge join at every size."""
     found = simhash_components(docs, words, max_bits, id_col, text_col)
     mark = "__bizlens_rows"
     kept = materialize(found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias(mark)), "kept")
-    out = docs.join(kept, id_col, "left").where(F.col(mark).isNotNull() | F.col(id_col).isNull())
+    out = docs.join(kept.hint("merge"), id_col, "left").where(F.col(mark).isNotNull() | F.col(id_col).isNull())
     if not kept.where(F.col(mark) > 1).isEmpty():
         once = F.coalesce(F.col(mark), F.lit(1)) == 1
         out = out.where(once).unionByName(out.where(~once).dropDuplicates([id_col]))
