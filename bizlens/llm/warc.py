@@ -32,12 +32,12 @@ DATE = "2024-01-01T00:00:00Z"  # records carry a fixed date, so that archives ca
 
 
 def mark_revisits(pages: DataFrame, id_col: str, payload: Column, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """(id, refers_to) of the rows that are revisits: rows of equal payloads but not of the smallest id."""
+    """(id, sha256, refers_to) of the rows that are revisits: rows of equal payloads but not of the smallest id."""
     keyed = pages.select(F.col(id_col).alias("id"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("n"))
     keyed = keyed.where((F.col("n") >= min_bytes) & F.col("id").isNotNull()).select("id", "digest")
     first = keyed.groupBy("digest").agg(F.min("id").alias("refers_to"), F.max("id").alias("last")).where("refers_to < last").select("digest", "refers_to")
     first = materialize(first, "first")
-    return keyed.join(first, "digest").where("id <> refers_to").select("id", "refers_to").distinct()
+    return keyed.join(first, "digest").where("id <> refers_to").select("id", F.col("digest").alias("sha256"), "refers_to").distinct()
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -52,8 +52,8 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     payload = F.coalesce(F.col(html_col), F.lit(""))
     # written first: usually few rows, so that the planner can send them to the pages instead of the pages to them
     revisits = materialize(mark_revisits(pages, id_col, payload.cast("binary"), min_bytes), "revisits")
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    rows = rows.join(revisits, "id", "left")
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha2(payload.cast("binary"), 256).alias("sha256"))
+    rows = rows.join(revisits, ["id", "sha256"], "left")
     url = F.replace(F.replace(F.coalesce("url", F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     revisit = F.col("refers_to").isNotNull()
@@ -62,7 +62,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
         F.lit(MAGIC), line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         line("WARC-Record-ID", F.concat(F.lit(URN), F.coalesce(F.col("id").cast("string"), F.lit("")))), line("WARC-Date", F.lit(DATE)),
         line("WARC-Target-URI", url),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.sha2(F.col("payload").cast("binary"), 256))),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("sha256"))),
         line("WARC-Payload-Length", F.octet_length("payload").cast("string")),
         F.when(revisit, line("WARC-Refers-To", F.concat(F.lit(URN), F.col("refers_to").cast("string")))).otherwise(F.lit("")),
         F.lit("Content-Length: "), F.octet_length(body).cast("string"), F.lit(END), body)
