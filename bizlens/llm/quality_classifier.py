@@ -7,7 +7,8 @@ by dual coordinate descent, and a sigmoid fitted on labelled rows that it hasn't
 margins into scores.
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE_PER_CLASS`` of each class,
-those with the least hash of their id); every document is scored, whole.
+those with the least hash of their id, and ``SAMPLE_FEATURES`` features in all, so that a sample
+of very long texts fits the driver too); every document is scored, whole.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import id_type, ship_package, table, text_or_empty
+from bizlens.llm.common import id_type, materialize, ship_package, table, text_or_empty
 
 DIM_BITS = 18
 DIM = 1 << DIM_BITS
 SAMPLE_PER_CLASS = 4000
+SAMPLE_FEATURES = 20_000_000  # features of the sample in all (80 MB); rows beyond it, by hash of the id, aren't learned from
 HELD_OUT = 2  # remainder of crc32(id as text) by 4 that is never learned from
 CALIBRATION = 3  # the remainder on which the sigmoid is fitted
 COST = 1.0
@@ -195,6 +197,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = known.where("quality = 1").orderBy(*order).limit(per_class).unionByName(known.where("quality = 0").orderBy(*order).limit(per_class))
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).join(F.broadcast(sample), "_id")
     found = texts.dropDuplicates(["_id"]).mapInArrow(_featurize, f"_id {id_type(docs, id_col)}, found array<int>, quality int")
+    found = materialize(found.withColumn("_order", F.xxhash64("_id")), "features")
+    sizes = found.select("_order", "_id", F.size("found").alias("n")).orderBy("_order", "_id").collect()  # 2 * per_class rows at most
+    total = np.cumsum([r.n for r in sizes])
+    last = int(np.searchsorted(total, SAMPLE_FEATURES, "right"))
+    if last < len(sizes):
+        order, first = sizes[last]["_order"], sizes[last]["_id"]
+        found = found.where((F.col("_order") < order) | ((F.col("_order") == order) & (F.col("_id") < first)))
     got = found.select("found", "quality", (fold(F.col("_id")) == CALIBRATION).alias("held"), "_id").orderBy("_id").toArrow()
     lists = got["found"].combine_chunks()
     flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()

@@ -256,6 +256,16 @@ def test_quality_classifier_cases(spark, docs, rows, empty):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in out)
 
 
+def test_sample_of_features_is_bounded(spark, monkeypatch):
+    docs, labels = table(spark, SF001, "documents"), table(spark, SF001, "labels")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "train", lambda rows, y, held: seen.append(sum(map(len, rows))))
+    quality_classifier.fit(docs, labels)
+    monkeypatch.setattr(quality_classifier, "SAMPLE_FEATURES", seen[0] // 2)
+    quality_classifier.fit(docs, labels)
+    assert 0.3 * seen[0] < seen[1] <= seen[0] // 2
+
+
 def test_dual_coordinate_descent_separates():
     rng = np.random.default_rng(0)
     y = np.where(rng.random(200) < 0.5, 1, -1)
