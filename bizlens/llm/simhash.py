@@ -252,6 +252,7 @@ def simhash_components(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: in
     least = linked.join(distinct, "code").groupBy("root").agg(F.min("least").alias("component_id"))
     found = linked.join(least, "root").select("code", "component_id")
     found = distinct.join(found, "code", "left").select("code", F.coalesce("component_id", "least").alias("component_id"))
+    found = materialize(found, "components")  # both sides of the join are scans then, so that a hot fingerprint can be split
     return codes.join(found, "code").select(
         id_col, F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
