@@ -24,7 +24,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 FAN = 8
-BLOCK_CODES = 1 << 18  # aimed at; blocks grow beyond it when MAX_BLOCKS is reached
+BLOCK_CODES = 1 << 17  # aimed at; blocks grow beyond it when MAX_BLOCKS is reached
 MIN_BLOCKS, MAX_BLOCKS = 8, 4096  # the planned patterns are at most MAX_BLOCKS rows
 FRONT = 1 << 21  # (query, node) pairs looked at together
 SIGN = -(1 << 63)
