@@ -79,9 +79,11 @@ def corr_by(df: DataFrame, keys: Sequence[str], x: str, y: str, digits: int = 3,
 def top_k_flags(df: DataFrame, key: str, metric: str, k: int, top: str = "is_top", bottom: str = "is_bottom") -> DataFrame:
     """Flags for the k best and the k worst rows by ``metric`` (ties: smallest key is
     best, largest key is worst).  One bounded scan per end: k keys as an array each."""
-    frame = df.select(key, metric)
-    best = frame.orderBy(F.col(metric).desc_nulls_last(), F.col(key).asc()).limit(k)
-    worst = frame.orderBy(F.col(metric).asc_nulls_last(), F.col(key).desc()).limit(k)
+    # the other columns as last sort keys change nothing, but keep the plan below the same as
+    # that of ``df``, so that its shuffles are done once
+    others = [F.col(f"`{c}`") for c in df.columns if c not in (key, metric)]
+    best = df.orderBy(F.col(metric).desc_nulls_last(), F.col(key).asc(), *others).limit(k)
+    worst = df.orderBy(F.col(metric).asc_nulls_last(), F.col(key).desc(), *others).limit(k)
     keys = lambda rows: F.coalesce(rows.select(F.collect_list(key)).scalar(), F.array())
     return df.select("*", F.array_contains(keys(best), F.col(key)).alias(top), F.array_contains(keys(worst), F.col(key)).alias(bottom))
 

@@ -45,26 +45,24 @@ def _result(df: DataFrame, rule: str, table: str) -> DataFrame:
                      F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
 
 
-def unique_key(df: DataFrame, table: str, cols: Sequence[str], rule: str | None = None, count: str | None = None) -> DataFrame:
+def unique_key(df: DataFrame, table: str, cols: Sequence[str], rule: str | None = None) -> DataFrame:
     """K2: rows whose key value occurs more than once.  NULL keys never collide
     (SQL UNIQUE).  One grouping (partial aggregation first) gives both the rows
-    checked and the violations; ``count`` names the row count of a reduced frame."""
+    checked and the violations."""
     rule = rule or f"unique({', '.join(cols)})"
     has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    n = F.sum(count) if count else F.count(F.lit(1))
-    g = df.groupBy(*cols).agg(n.alias("_n"), F.max(has_key).alias("_k"))
+    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"), F.max(has_key).alias("_k"))
     return _result(g.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"),
                          F.sum(F.when(F.col("_k") & (F.col("_n") > 1), F.col("_n"))).alias("violations")), rule, table)
 
 
 def foreign_key(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str,
-                rule: str | None = None, count: str | None = None) -> DataFrame:
+                rule: str | None = None) -> DataFrame:
     """K3: child rows whose non-NULL key has no parent.  The child is reduced to
     (key, rows) by a partial aggregation first, so a hot key is one row in the
     join with the parent's distinct keys."""
     rule = rule or f"foreign_key({fk})"
-    n = F.sum(count) if count else F.count(F.lit(1))
-    per_key = child.groupBy(F.col(fk).alias("_fk")).agg(n.alias("_n"))
+    per_key = child.groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
     keys = parent.select(F.col(pk).alias("_pk")).distinct().withColumn("_hit", F.lit(True))
     j = per_key.join(keys, F.col("_fk") == F.col("_pk"), "left")
     return _result(j.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"),
@@ -73,23 +71,29 @@ def foreign_key(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: st
 
 def check_table(df: DataFrame, table: str, rules: dict[str, Column], unique: Sequence[Sequence[str]] = (),
                 foreign: Sequence[tuple[str, DataFrame, str]] = ()) -> DataFrame:
-    """All rules of a table from one scan.
+    """All rules of a table.
 
-    The rows are reduced once to the combinations of their key columns, with the
-    row count and each row rule's violations; row rules, unique keys and
-    foreign keys (column, parent, parent's key) all read that frame, whose
-    shuffle is done once.
+    The grouping of the first unique key also counts the violations of the row
+    rules, so these cost no scan of their own; each further unique or foreign
+    key (column, parent, parent's key) is one grouping of its pruned columns.
     """
-    keys = list(dict.fromkeys([c for u in unique for c in u] + [fk for fk, _, _ in foreign]))
     names = list(rules)
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"),
-                              *[F.count_if(~F.coalesce(rules[r], F.lit(True))).alias(f"_r{i}") for i, r in enumerate(names)])
-    stack = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"_r{i}").alias("violations")) for i, r in enumerate(names)]))
-    wide = g.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("checked"), *[F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"_r{i}") for i in range(len(names))])
+    broken = [F.count_if(~F.coalesce(rules[r], F.lit(True))).alias(f"_r{i}") for i, r in enumerate(names)]
+    n = F.count(F.lit(1)).alias("_n")
+    if unique:
+        has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in unique[0]])
+        g = df.groupBy(*unique[0]).agg(n, F.max(has_key).alias("_k"), *broken)
+        twice = F.coalesce(F.sum(F.when(F.col("_k") & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("_twice")
+        wide = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"), twice,
+                     *[F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"_r{i}") for i in range(len(names))])
+    else:
+        wide = df.agg(F.count(F.lit(1)).alias("checked"), *broken)
+    counts = [(r, f"_r{i}") for i, r in enumerate(names)] + ([(f"unique({', '.join(unique[0])})", "_twice")] if unique else [])
+    stack = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(c).cast("long").alias("violations")) for r, c in counts]))
     parts = [wide.select("checked", stack.alias("_x")).select(F.col("_x.rule").alias("rule"), F.lit(table).alias("table"),
-                                                              F.col("checked").cast("long"), F.col("_x.violations").cast("long").alias("violations"))]
-    parts += [unique_key(g, table, u, count="_rows") for u in unique]
-    parts += [foreign_key(g, table, fk, parent, pk, count="_rows") for fk, parent, pk in foreign]
+                                                              F.col("checked").cast("long").alias("checked"), F.col("_x.violations").alias("violations"))]
+    parts += [unique_key(df, table, u) for u in unique[1:]]
+    parts += [foreign_key(df, table, fk, parent, pk) for fk, parent, pk in foreign]
     return union_results(parts)
 
 

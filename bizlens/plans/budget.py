@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_label, quarter_label
+from ..functions.dates import month_label, month_start, quarter_label
 from ..functions.numeric import zero_guard
 from ..functions.text import status_label
 from ..operators import aggregates as A
@@ -32,20 +32,23 @@ def budgets_frame(spark: SparkSession, budgets: dict[str, int] = MONTHLY_BUDGETS
     return spark.createDataFrame([(k, v) for k, v in budgets.items()], "category string, budget int")
 
 
-def ledger_monthly(t) -> DataFrame:
-    """(month, type, category, amount): the ledger reduced per month.
+def ledger_monthly(t, with_category: bool = True) -> DataFrame:
+    """(month, type[, category], amount): the ledger reduced per month; every budget
+    report rolls up from this frame.
 
-    Expense lines are reduced to (product, month) before the product dimension
-    gives the category; every budget report rolls up from this frame.
+    The product dimension is met only where the category is asked for.
     """
+    keys = ["category"] if with_category else []
     o = t["orders"]
-    income = (o.groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("month"), F.col("o_orderpriority").alias("category"))
+    income = (o.groupBy(month_start(F.col("o_orderdate")).alias("month"), *[F.col("o_orderpriority").alias(k) for k in keys])
                .agg(F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("amount")))
     amount = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)"), 2).cast("decimal(12,2)")
-    per_part = (t["lineitem"].groupBy("l_partkey", F.trunc(F.to_date("l_shipdate"), "MM").alias("month")).agg(F.sum(amount).alias("amount")))
-    p = t["part"].select("p_partkey", F.col("p_type").alias("category"))
-    expense = (per_part.join(p, per_part.l_partkey == p.p_partkey).groupBy("month", "category").agg(F.sum("amount").alias("amount")))
-    shape = lambda df, kind: df.select("month", F.lit(kind).alias("type"), "category", "amount")
+    li = t["lineitem"].select("l_partkey", month_start(F.col("l_shipdate")).alias("month"), amount.alias("amount"))
+    if with_category:
+        p = t["part"].select("p_partkey", F.col("p_type").alias("category"))
+        li = li.join(p, li.l_partkey == p.p_partkey)
+    expense = li.groupBy("month", *keys).agg(F.sum("amount").alias("amount"))
+    shape = lambda df, kind: df.select("month", F.lit(kind).alias("type"), *keys, "amount")
     return shape(income, "Income").unionByName(shape(expense, "Expense"))
 
 
@@ -87,7 +90,7 @@ def budget_vs_actual(t) -> DataFrame:
 
 def monthly_cashflow(t) -> DataFrame:
     """Income, expense, net, savings rate (4 dp, 0 if no income), cumulative net."""
-    m = C.split_sums(ledger_monthly(t), "type", "amount", group_by=["month"])
+    m = C.split_sums(ledger_monthly(t, False), "type", "amount", group_by=["month"])
     net = F.col("income") - F.col("expense")
     m = m.select("month", "income", "expense", net.alias("net"), _rate(net, F.col("income")).alias("savings_rate"))
     # One row per calendar month: a small frame, a plain ordered window.
@@ -142,7 +145,7 @@ def annual_summary(t) -> DataFrame:
 
 def quarterly_summary(t) -> DataFrame:
     """L29 quarters (D18): income, expenses, net, savings rate per (year, quarter)."""
-    led = ledger_monthly(t).withColumn("year", F.year("month")).withColumn("quarter", quarter_label(F.col("month")))
+    led = ledger_monthly(t, False).withColumn("year", F.year("month")).withColumn("quarter", quarter_label(F.col("month")))
     q = C.split_sums(led, "type", "amount", group_by=["year", "quarter"])
     net = F.col("income") - F.col("expense")
     return q.select("year", "quarter", "income", "expense", net.alias("net"), _rate(net, F.col("income")).alias("savings_rate"))
@@ -150,6 +153,6 @@ def quarterly_summary(t) -> DataFrame:
 
 def month_profile(t) -> DataFrame:
     """income and expense per year and month name, in calendar order."""
-    m = C.split_sums(ledger_monthly(t), "type", "amount", group_by=["month"])
+    m = C.split_sums(ledger_monthly(t, False), "type", "amount", group_by=["month"])
     named = m.select(F.year("month").alias("year"), month_label(F.col("month"), "MMMM").alias("month_name"), "income", "expense")
     return W.sort_calendar(named, "month_name", "year")

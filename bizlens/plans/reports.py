@@ -88,8 +88,17 @@ def geo_totals(t, key: str) -> DataFrame:
 
 def product_totals(t) -> DataFrame:
     """Per product over lines that have an order: revenue, lines, units."""
-    return (V.product_month_lines(t).groupBy("product_id")
-             .agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("lines"), F.sum("units").alias("units")))
+    i = V.order_items(t).select("order_id", "product_id", "line_total", "quantity")
+    kept = i.join(V.orders(t).select("order_id"), "order_id", "left_semi")
+    return (kept.groupBy("product_id")
+             .agg(F.sum("line_total").alias("revenue"), F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units")))
+
+
+def order_geo(t, *columns: str) -> DataFrame:
+    """(order_id, month, columns): a customer's attributes on the order header, a frame of
+    a fraction of the lines, so that lines meet one dimension less."""
+    o = V.orders(t).select("order_id", "customer_id", D.month_start(F.col("order_date")).alias("month"))
+    return o.join(V.customer_geo(t).select("customer_id", *columns), "customer_id", "left").drop("customer_id")
 
 
 def category_totals(t) -> DataFrame:
@@ -109,15 +118,12 @@ def region_detail(t) -> DataFrame:
     """L20 per-region sheets: (month, product) lines plus a TOTAL line per region, from
     one GROUPING SETS aggregation.
 
-    Lines are reduced to (customer, product, month), then to (region, product,
-    month); the product's name meets the reduced rows.
+    The region comes with the order header; lines are reduced to (region, product,
+    month) before the product's name is attached.
     """
     i = V.order_items(t).select("order_id", "product_id", "quantity", "line_total")
-    o = V.orders(t).select("order_id", "customer_id", D.month_start(F.col("order_date")).alias("month"))
-    per_cust = (i.join(o, "order_id").groupBy("customer_id", "product_id", "month")
-                 .agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue")))
-    per_region = (per_cust.join(V.customer_geo(t).select("customer_id", "region"), "customer_id", "left")
-                  .groupBy("region", "product_id", "month").agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue")))
+    per_region = (i.join(order_geo(t, "region"), "order_id").groupBy("region", "product_id", "month")
+                   .agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue")))
     named = per_region.join(V.products(t).select("product_id", F.col("name").alias("product")), "product_id", "left")
     return A.with_totals(named.select("region", "month", "product", "units", "revenue"), ["region", "month", "product"],
                          ["units", "revenue"], total_of="month", label_col="product")
@@ -163,21 +169,16 @@ CRITERIA_CELLS = {
 
 
 def criteria_report(t) -> DataFrame:
-    """Criteria cells in one aggregation pass.
+    """Criteria cells in one aggregation pass, each task sending one row of partial cells.
 
-    Lines are reduced to (customer, product, quantity, month) before the product
-    dimension, and to (customer, category, quantity, month) before the customer
-    dimension; counts are sums of the reduced rows' line counts.
+    Region and country come with the order header.
     """
-    i = V.order_items(t).select("order_id", "product_id", "quantity", "line_total")
-    o = V.orders(t).select("order_id", "customer_id", D.month_start(F.col("order_date")).alias("date"))
-    sums = [F.sum("revenue").alias("revenue"), F.sum("lines").alias("lines"), F.sum("units").alias("units")]
-    per = (i.join(o, "order_id").groupBy("customer_id", "product_id", "quantity", "date")
-            .agg(F.sum("line_total").alias("revenue"), F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units")))
-    per = (per.join(V.products(t).select("product_id", "category"), "product_id", "left")
-              .groupBy("customer_id", "category", "quantity", "date").agg(*sums))
-    per = per.join(V.customer_geo(t).select("customer_id", "country", "region"), "customer_id", "left")
-    return C.criteria_cells(per, CRITERIA_CELLS)
+    i = V.order_items(t).select("order_id", "product_id", "quantity", F.col("line_total").alias("revenue"))
+    lines = (i.join(order_geo(t, "country", "region"), "order_id")
+              .join(V.products(t).select("product_id", "category"), "product_id", "left"))
+    lines = lines.select("region", "country", "category", "quantity", "revenue", F.col("month").alias("date"),
+                         F.lit(1).alias("lines"), F.col("quantity").alias("units"))
+    return C.criteria_cells(lines, CRITERIA_CELLS)
 
 
 # --------------------------------------------------------------------------- L32-L34
@@ -201,24 +202,27 @@ def monthly_trends(t) -> DataFrame:
 def executive_kpis(t, approx: bool = False) -> DataFrame:
     """L33 headline: revenue, lines, average, distinct customers, top country and product.
 
-    Orders are reduced to one row per customer; the headline, the number of
-    customers and the country ranking all come from that frame.
-    ``approx=True`` counts distinct customers with a HyperLogLog sketch (D2 option).
+    Orders are reduced to one row per customer and then to one per country; the
+    headline, the number of customers and the top country are one aggregate of
+    that frame.  ``approx=True`` counts distinct customers with a HyperLogLog
+    sketch (D2 option).
     """
     per_cust = (V.order_lines(t).groupBy("customer_id")
                  .agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("lines")))
     by_c = (per_cust.join(V.customer_geo(t).select("customer_id", "country"), "customer_id", "left")
-                    .groupBy("country").agg(F.sum("revenue").alias("rev"), F.sum("lines").alias("lines")))
+                    .groupBy("country").agg(F.sum("revenue").alias("rev"), F.sum("lines").alias("lines"),
+                                            F.count("customer_id").alias("customers")))
     by_p = (product_totals(t).join(V.products(t).select("product_id", F.col("name").alias("product")),
                                    "product_id", "left")
                              .groupBy("product").agg(F.sum("revenue").alias("rev")))
-    # Arg-max as a distributed top-1 (each task keeps its best row), used as a scalar.
-    top_c = A.top_by(by_c, [], "country", "rev").scalar()
     top_p = A.top_by(by_p, [], "product", "rev").scalar()
-    out = per_cust.agg(F.sum("revenue").alias("total_revenue"), F.sum("lines").alias("total_orders"),
-                       (F.approx_count_distinct("customer_id") if approx
-                        else F.count("customer_id")).alias("unique_customers"))
-    return out.select("*", top_c.alias("top_country"), top_p.alias("top_product"),
+    best = F.min_by("country", F.struct(-F.col("rev"), F.col("country")))  # ties: first by name
+    out = by_c.agg(F.sum("rev").alias("total_revenue"), F.sum("lines").alias("total_orders"),
+                   F.sum("customers").alias("unique_customers"), best.alias("top_country"))
+    if approx:
+        sketch = V.order_lines(t).select(F.approx_count_distinct("customer_id")).scalar()
+        out = out.withColumn("unique_customers", sketch)
+    return out.select("*", top_p.alias("top_product"),
                       money_div(F.col("total_revenue"), F.col("total_orders"), 2).alias("avg_order_value"))
 
 
@@ -226,14 +230,12 @@ def country_top_products(t, n: int = 3) -> DataFrame:
     """Per country the n best product names by revenue, with their share of
     the country's revenue (4 dp).
 
-    Lines are reduced to (customer, product) and then to (country, product)
-    before the product's name is attached.
+    The country comes with the order header; lines are reduced to (country,
+    product) before the product's name is attached.
     """
     i = V.order_items(t).select("order_id", "product_id", "line_total")
-    o = V.orders(t).select("order_id", "customer_id")
-    per_cust = i.join(o, "order_id").groupBy("customer_id", "product_id").agg(F.sum("line_total").alias("revenue"))
-    per_id = (per_cust.join(V.customer_geo(t).select("customer_id", "country"), "customer_id", "left")
-              .groupBy("country", "product_id").agg(F.sum("revenue").alias("revenue")))
+    per_id = (i.join(order_geo(t, "country").drop("month"), "order_id").groupBy("country", "product_id")
+               .agg(F.sum("line_total").alias("revenue")))
     per = (per_id.join(V.products(t).select("product_id", F.col("name").alias("product")), "product_id", "left")
            .groupBy("country", "product").agg(F.sum("revenue").alias("revenue")))
     per = W.share_of_total(per, "revenue", "share_of_country", partition_cols=["country"], scale=4,
