@@ -58,7 +58,7 @@ def document_profile(t) -> DataFrame:
 
 
 def document_column_profile(t) -> DataFrame:
-    """L24 / D22 per document and column with numeric cells: min, max, average, numeric test."""
+    """L24 / D22 per document and column: cells, numeric cells and their min, max and average, numeric test."""
     _, cols = FO.profile_lines(document_files(t), document_lines(t))
     return cols.withColumn("avg", F.round("avg", 4))
 

@@ -104,7 +104,7 @@ def profile_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     columns: file_name, col_no, col_name, min, max, avg (numeric columns).
     """
     files, cols = profile_lines(list_files(spark, folder), read_lines(spark, folder))
-    return files, cols.where("is_numeric").drop("is_numeric", "numeric_cells")
+    return files, cols.where("is_numeric").drop("is_numeric", "numeric_cells", "cells")
 
 
 def profile_lines(files: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -112,8 +112,8 @@ def profile_lines(files: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFr
     its lines (file_path, line_no, line): the batch folder scan, each
     micro-batch of the folder stream and the stored documents share this.
 
-    columns also has ``numeric_cells`` and ``is_numeric`` here, for every
-    column with a numeric cell.
+    columns has every column here, with its ``cells``, ``numeric_cells`` and
+    ``is_numeric``.
     """
     is_header = F.coalesce(F.col("line_no") == 0, F.lit(False))
     header = lines.where(is_header).select("file_path", cells(F.col("line")).alias("headers"))
@@ -135,9 +135,9 @@ def profile_lines(files: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFr
                               F.coalesce(F.size("headers"), zero).cast("long").alias("column_count"),
                               F.coalesce("numeric_column_count", zero).cast("long").alias("numeric_column_count"),
                               F.when(F.col("size_bytes") == 0, "Empty").otherwise("OK").alias("status")))
-    out_cols = (stats.where("numeric_cells > 0").join(files.select("file_path", "file_name"), "file_path")
+    out_cols = (stats.join(files.select("file_path", "file_name"), "file_path")
                      .select("file_name", (F.col("pos") + 1).cast("long").alias("col_no"),
-                             F.get("headers", F.col("pos")).alias("col_name"), "min", "max", "avg", "numeric_cells", "is_numeric"))
+                             F.get("headers", F.col("pos")).alias("col_name"), "min", "max", "avg", F.col("_rows").alias("cells"), "numeric_cells", "is_numeric"))
     return out_files, out_cols
 
 
