@@ -7,9 +7,8 @@ that neither knows says nothing, in small corpora as in large ones.  A document'
 mean over its n-grams of log p_target - log p_raw, each without the document's own counts; it is
 kept if the score is at least ``THRESHOLD``, the same for every document: no draw, no quantile.
 
-The raw counts cover all documents.  The target is fitted on at most ``TARGET_ROWS`` documents
-with a trusted label, those with the least hash of their id, so their ids can be broadcast and
-no text is shuffled.
+Raw counts cover all documents, target counts all documents with a trusted label.  Their ids grow
+with the corpus, so they are joined without a forced broadcast.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 SMOOTHING = 1.0
 THRESHOLD = -0.25  # nats a n-gram; clean text scores about 0, junk far below
-TARGET_ROWS = 20_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
@@ -89,10 +87,10 @@ def _count(parts):
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
 
 
-def trusted_ids(labels: DataFrame, id_col: str, target_rows: int) -> DataFrame:
-    """(_id, _trusted) of at most ``target_rows`` ids with label 1 that aren't toxic."""
+def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
+    """(_id, _trusted) of all ids with label 1 that aren't toxic."""
     return (labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col(id_col).alias("_id"))
-            .where("_id IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id").limit(target_rows).withColumn("_trusted", F.lit(True)))
+            .where("_id IS NOT NULL").distinct().withColumn("_trusted", F.lit(True)))
 
 
 def count_grams(flagged: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +135,7 @@ def _judge(raw: np.ndarray, target: np.ndarray, threshold: float, id_col: str):
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
-                  text_col: str = "text", target_rows: int = TARGET_ROWS) -> DataFrame:
+                  text_col: str = "text") -> DataFrame:
     """One row per input row: id, the base measures, base_failed, llr, kept.
 
     Null and empty texts have no words (base_failed).  Null ids stay and are never trusted;
@@ -147,7 +145,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """
     ship_package(docs.sparkSession)
     flagged = (docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-               .join(F.broadcast(trusted_ids(labels, id_col, target_rows)), "_id", "left"))
+               .join(trusted_ids(labels, id_col), "_id", "left"))
     raw, target = count_grams(flagged)
     schema = f"`{id_col}` {id_type(docs, id_col)}, " + ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean, llr double, kept boolean"
     return flagged.select("_id", "_text", "_trusted").mapInArrow(_judge(raw, target, threshold, id_col), schema)

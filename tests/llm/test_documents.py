@@ -208,6 +208,14 @@ def test_quality_rules(spark, docs, rows, empty):
     assert all(r.llr == 0 for r in quality_rules.quality_rules(docs, labels.limit(0)).collect())
 
 
+def test_every_trusted_document_counts(spark):
+    docs = spark.range(20_500).selectExpr("id AS doc_id", "'one text that all of them share' AS text")
+    labels = spark.range(20_500).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    out = quality_rules.quality_rules(docs, labels)
+    assert len({r.llr for r in out.select("llr").distinct().collect()}) == 1
+    assert "strategy=broadcast" not in out._jdf.queryExecution().toString()
+
+
 def test_repeat_words_beyond_the_narrow_path():
     ids = np.array([0, 1, 2, 9, 0, 1, 2, 3])
     assert quality_rules.repeat_words(ids, 10) == quality_rules.repeat_words(ids, 1 << 30) == 6
