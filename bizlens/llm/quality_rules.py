@@ -1,28 +1,39 @@
 """Quality rules: base rules, then a hashed n-gram log-likelihood ratio.
 
-Word unigrams and bigrams are hashed into ``BUCKETS`` buckets.  One multinomial is counted over
-every document (raw corpus), one over trusted documents (target).  Raw counts are brought to the
-target's total, and both are smoothed by the same ``SMOOTHING`` counts a bucket, so an n-gram
+Word unigrams and bigrams are hashed into buckets, whose number follows the corpus: a power of two
+from ``1 << BUCKET_BITS`` up, with at most ``GRAMS_A_BUCKET`` distinct n-grams a bucket (estimated
+by HyperLogLog over all texts), so collisions weigh the same at every size.  One multinomial is counted over every document (raw corpus), one over trusted documents (target).  Raw counts are brought to
+the target's total, and both are smoothed by the same ``SMOOTHING`` counts a bucket, so an n-gram
 that neither knows says nothing, in small corpora as in large ones.  A document's score is the
 mean over its n-grams of log p_target - log p_raw, each without the document's own counts; it is
 kept if the score is at least ``THRESHOLD``, the same for every document: no draw, no quantile.
 
 Raw counts cover all documents, target counts all documents with a trusted label.  Their ids grow
-with the corpus, so they are joined without a forced broadcast.
+with the corpus, so they are joined without a forced broadcast, to the documents' ids alone; a
+bit a document goes back to the texts.  The counts grow with the corpus as well
+and never meet in one place: documents are packed into chunks, a chunk sends each of its buckets
+once to the part that it belongs to, the part adds up and sends the totals back to the chunk.  A
+hot n-gram is one entry a chunk; a chunk and a part have bounded sizes, their
+numbers grow with the input.
 """
 
 from __future__ import annotations
 
-import zlib
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import id_type, ship_package, table, text_or_empty
+from bizlens.llm.common import id_type, materialize, ship_package, table, text_or_empty
 
 BUCKET_BITS = 17
-BUCKETS = 1 << BUCKET_BITS
+GRAMS_A_BUCKET = 4
+SKETCH_BITS = 12
+CHUNK_BYTES = 16 << 20  # of text in a chunk, or one document
+PART_GRAMS = 4 << 20  # n-grams in a part, before a chunk's repeats are counted as one
+MIN_PARTS = 64
+ZSTD = 6
 SMOOTHING = 1.0
 THRESHOLD = -0.25  # nats a n-gram; clean text scores about 0, junk far below
 MIN_WORDS = 50
@@ -63,73 +74,218 @@ def base_measures(text: str, ids: np.ndarray, distinct: int) -> list[int]:
             len(lines) - len(set(lines)), repeat_words(ids, distinct)]
 
 
-def buckets(ids: np.ndarray, words: list[bytes]) -> np.ndarray:
-    """Buckets of the text's word unigrams and bigrams."""
+def gram_hashes(ids: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of the text's word unigrams and bigrams."""
+    import xxhash
+
     if not len(ids):
-        return ids
-    h = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))[ids]
-    grams = np.concatenate([h * np.uint64(0xFF51AFD7ED558CCD),
-                            h[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)])
-    return (grams >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        return np.zeros(0, np.uint64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))[ids]
+    return np.concatenate([h * np.uint64(0xFF51AFD7ED558CCD),
+                           h[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)])
+
+
+def buckets(ids: np.ndarray, words: list[bytes], bits: int = BUCKET_BITS) -> np.ndarray:
+    """Buckets of the text's word unigrams and bigrams."""
+    return gram_hashes(ids, words) >> np.uint64(64 - bits)
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """HyperLogLog registers of some hashes."""
+    rest = (hashes << np.uint64(SKETCH_BITS)) | np.uint64(1 << (SKETCH_BITS - 1))
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    np.maximum.at(out, (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), (65 - np.frexp(rest.astype(float))[1]).astype(np.uint8))
+    return out
+
+
+def distinct(registers: np.ndarray) -> float:
+    """Estimated number of distinct hashes."""
+    m = len(registers)
+    found = 0.7213 / (1 + 1.079 / m) * m * m / np.sum(0.5 ** registers.astype(float))
+    zeros = np.count_nonzero(registers == 0)
+    return m * np.log(m / zeros) if found <= 2.5 * m and zeros else float(found)
+
+
+def bucket_bits(n: float) -> int:
+    """Bits of a bucket for ``n`` distinct n-grams."""
+    return max(BUCKET_BITS, (-(-int(n) // GRAMS_A_BUCKET) - 1).bit_length())
 
 
-def _count(parts):
+def to_planes(numbers: np.ndarray) -> bytes:
+    """Numbers of 64 bits, all first bytes, all second ones and so on, as many as the largest needs,
+    compressed."""
     import pyarrow as pa
 
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+    return bytes([width]) + len(numbers).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    import pyarrow as pa
+
+    width, n = data[0], int.from_bytes(data[1:9], "little")
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(pa.decompress(data[9:], width * n, "zstd"), np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def _pack(parts):
+    """Chunks of documents with their ids and numbers of n-grams."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def packed(held):
+        texts = pa.Table.from_batches(held)
+        grams, registers = np.zeros(len(texts), np.int64), np.zeros(1 << SKETCH_BITS, np.uint8)
+        for i, text in enumerate(texts.column(1).to_pylist()):
+            found = gram_hashes(*word_ids(text))
+            grams[i] = len(found)
+            registers = np.maximum(registers, sketch(found))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=ZSTD))) as out:
+            out.write_table(texts.combine_chunks())
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), one(texts.column(0).combine_chunks()), one(pa.array(grams)),
+                                           pa.array([registers.tobytes()], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                          ["chunk", "ids", "grams", "registers", "docs"])
+
+    held, size = [], 0
     for part in parts:
-        for text, trusted in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-            found = buckets(*word_ids(text))
-            np.add.at(raw, found, 1)
-            if trusted:
-                np.add.at(target, found, 1)
-    used = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
+        start = 0
+        for i, n in enumerate(pc.binary_length(part.column(1)).to_pylist()):
+            size += n
+            if size >= CHUNK_BYTES:
+                yield packed([*held, part.slice(start, i + 1 - start)])
+                held, size, start = [], 0, i + 1
+        if start < len(part):
+            held.append(part.slice(start))
+    if held:
+        yield packed(held)
+
+
+def _registers(batches):
+    import pyarrow as pa
 
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    for batch in batches:
+        for registers in batch.column(0).to_pylist():
+            out = np.maximum(out, np.frombuffer(registers, np.uint8))
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(out.astype(np.int64))], ["at", "register"])
 
-def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
-    """(_id, _trusted) of all ids with label 1 that aren't toxic."""
-    return (labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col(id_col).alias("_id"))
-            .where("_id IS NOT NULL").distinct().withColumn("_trusted", F.lit(True)))
+
+def estimate_grams(chunks: DataFrame) -> float:
+    """Distinct n-grams of all texts; the sketch that comes to the driver has one size."""
+    found = chunks.select("registers").mapInArrow(_registers, "at long, register long").groupBy("at").agg(F.max("register").alias("register")).toArrow()
+    out = np.zeros(1 << SKETCH_BITS, np.int64)
+    out[found["at"].to_numpy()] = found["register"].to_numpy()
+    return distinct(out)
 
 
-def count_grams(flagged: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of each bucket over all texts and over trusted ones; one row per bucket comes to the
-    driver, whatever the corpus."""
-    counted = (flagged.select("_text", "_trusted").mapInArrow(_count, "bucket long, raw long, target long")
-               .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    at = counted["bucket"].to_numpy()
-    raw[at], target[at] = counted["raw"].to_numpy(), counted["target"].to_numpy()
-    return raw, target
+def _flags(members):
+    """The places of one chunk's trusted documents, as bits."""
+    import pyarrow as pa
+
+    at = members.column("at").to_numpy()
+    bits = np.zeros(at.max() + 1, np.uint8)
+    bits[at] = 1
+    return pa.table({"chunk": members.column("chunk")[:1], "trusted": pa.array([np.packbits(bits).tobytes()], pa.binary()),
+                     "n_target": pa.array([int(members.column("grams").to_numpy().sum())])})
+
+
+def _unpack(docs: bytes, trusted: bytes | None):
+    """The documents of a chunk: ids, texts, flags."""
+    import pyarrow as pa
+
+    found = pa.ipc.open_stream(docs).read_all()
+    set_bits = np.unpackbits(np.frombuffer(trusted or b"", np.uint8))[:len(found)]
+    flags = np.zeros(len(found), bool)
+    flags[:len(set_bits)] = set_bits
+    return found.column(0), found.column(1).to_pylist(), flags.tolist()
+
+
+def _ask(bits: int, n_parts: int):
+    """The buckets of each chunk with their counts there, a row for each part."""
+    bounds = np.array([(i << bits) // n_parts for i in range(1, n_parts)], np.uint64)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for chunk, docs, trusted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                _, texts, flags = _unpack(docs.as_py(), trusted.as_py())
+                each = [buckets(*word_ids(t), bits) for t in texts]
+                known, raw = np.unique(np.concatenate(each), return_counts=True)
+                target = np.zeros(len(known), np.int64)
+                trusted = [g for g, flag in zip(each, flags) if flag]
+                if trusted:
+                    some, n = np.unique(np.concatenate(trusted), return_counts=True)
+                    target[np.searchsorted(known, some)] = n
+                cuts = np.searchsorted(known, bounds).tolist()
+                rows = [(k, a, b) for k, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(known)])) if a < b]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _, _ in rows], pa.int64()), pa.array([chunk] * len(rows), pa.int64()),
+                     pa.array([to_planes(np.diff(known[a:b], prepend=np.uint64(0))) for _, a, b in rows], pa.binary()),
+                     *(pa.array([to_planes(x[a:b]) for _, a, b in rows], pa.binary()) for x in (raw, target))],
+                    ["part", "chunk", "buckets", "raw", "target"])
+
+    return run
+
+
+def _total(asked):
+    """One part: what the chunks asked for, with the counts of all chunks."""
+    import pyarrow as pa
+
+    each = [np.cumsum(from_planes(x.as_py()), dtype=np.uint64) for x in asked.column("buckets")]
+    known, at = np.unique(np.concatenate(each), return_inverse=True)
+    ends = np.cumsum([len(x) for x in each])[:-1]
+    out = []
+    for name in ("raw", "target"):
+        n = np.concatenate([from_planes(x.as_py()) for x in asked.column(name)])
+        total = np.bincount(at, n, len(known)).astype(np.int64)[at]
+        out.append(pa.array(map(to_planes, np.split(total, ends)), pa.binary()))
+    return pa.Table.from_arrays([asked.column("part"), asked.column("chunk"), *out], ["part", "chunk", "raw", "target"])
 
 
-def log_ratio(found: np.ndarray, trusted: bool, raw: np.ndarray, target: np.ndarray, scale: float) -> float:
-    """Mean log-likelihood ratio of a text's n-grams, against all other texts."""
+def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
+    """(_id) of all ids with label 1 that aren't toxic."""
+    return (labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col(id_col).alias("_id"))
+            .where("_id IS NOT NULL").distinct())
+
+
+def log_ratio(found: np.ndarray, trusted: bool, known: np.ndarray, raw: np.ndarray, target: np.ndarray, scale: float) -> float:
+    """Mean log-likelihood ratio of a text's n-grams, against all other texts; ``raw`` and ``target``
+    are the counts of the buckets ``known``, which are in order."""
     if not len(found) or not scale:
         return 0.0
     used, own = np.unique(found, return_counts=True)
-    t = target[used] - own if trusted else target[used]
-    return float(own @ (np.log(t + SMOOTHING) - np.log((raw[used] - own) * scale + SMOOTHING)) / len(found))
-
+    at = np.searchsorted(known, used)
+    t = target[at] - own if trusted else target[at]
+    return float(own @ (np.log(t + SMOOTHING) - np.log((raw[at] - own) * scale + SMOOTHING)) / len(found))
 
-def _judge(raw: np.ndarray, target: np.ndarray, threshold: float, id_col: str):
-    scale = float(target.sum() / raw.sum()) if raw.any() else 0.0
 
-    def run(parts):
+def _judge(bits: int, scale: float, threshold: float, id_col: str):
+    """One chunk with the totals of its buckets: a row for each document."""
+    def run(chunk, totals):
         import pyarrow as pa
 
-        for part in parts:
-            rows, scores = [], []
-            for text, trusted in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                ids, words = word_ids(text)
-                rows.append(base_measures(text, ids, len(words)))
-                scores.append(log_ratio(buckets(ids, words), bool(trusted), raw, target, scale))
-            n = np.array(rows, np.int64).reshape(-1, len(BASE))
-            failed = (n[:, 0] < MIN_WORDS) | (100 * n[:, 4] > MAX_REPEAT_PERCENT * n[:, 0])
-            kept = ~failed & (np.array(scores) >= threshold)
-            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, n.T), pa.array(failed), pa.array(np.array(scores, float)), pa.array(kept)],
-                                             [id_col, *BASE, "base_failed", "llr", "kept"])
+        doc_ids, texts, trusted = _unpack(chunk.column("docs")[0].as_py(), chunk.column("trusted")[0].as_py())
+        rows, each = [], []
+        for text in texts:
+            ids, words = word_ids(text)
+            rows.append(base_measures(text, ids, len(words)))
+            each.append(buckets(ids, words, bits))
+        known = np.unique(np.concatenate(each))
+        totals = totals.sort_by("part")
+        raw, target = (np.concatenate([np.zeros(0), *(from_planes(x.as_py()) for x in totals.column(c))]) for c in ("raw", "target"))
+        if not len(known) == len(raw) == len(target):
+            raise RuntimeError("the totals of a chunk are not those of its buckets")
+        scores = np.array([log_ratio(g, flag, known, raw, target, scale) for g, flag in zip(each, trusted)], float)
+        n = np.array(rows, np.int64).reshape(-1, len(BASE))
+        failed = (n[:, 0] < MIN_WORDS) | (100 * n[:, 4] > MAX_REPEAT_PERCENT * n[:, 0])
+        return pa.Table.from_arrays([doc_ids, *map(pa.array, n.T), pa.array(failed), pa.array(scores), pa.array(~failed & (scores >= threshold))],
+                                    [id_col, *BASE, "base_failed", "llr", "kept"])
 
     return run
 
@@ -144,11 +300,20 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     base rules decide alone.
     """
     ship_package(docs.sparkSession)
-    flagged = (docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-               .join(trusted_ids(labels, id_col), "_id", "left"))
-    raw, target = count_grams(flagged)
+    chunks = materialize(docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+                         .mapInArrow(_pack, f"chunk long, ids array<{id_type(docs, id_col)}>, grams array<long>, registers binary, docs binary"), "chunks")
+    members = (chunks.select("chunk", "grams", F.posexplode("ids").alias("at", "_id")).select("chunk", "_id", "at", F.get("grams", "at").alias("grams"))
+               .join(trusted_ids(labels, id_col), "_id"))
+    flags = materialize(members.select("chunk", "at", "grams").groupBy("chunk").applyInArrow(_flags, "chunk long, trusted binary, n_target long"), "flags")
+    raw = chunks.select(F.sum(F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
+    target = flags.agg(F.sum("n_target")).first()[0] or 0
+    flagged = chunks.select("chunk", "docs").join(flags.select("chunk", "trusted"), "chunk", "left").select("chunk", "docs", "trusted")
+    bits, n_parts = bucket_bits(estimate_grams(chunks)), max(MIN_PARTS, -(-raw // PART_GRAMS))
+    asked = flagged.mapInArrow(_ask(bits, n_parts), "part long, chunk long, buckets binary, raw binary, target binary")
+    totals = asked.groupBy("part").applyInArrow(_total, "part long, chunk long, raw binary, target binary")
     schema = f"`{id_col}` {id_type(docs, id_col)}, " + ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean, llr double, kept boolean"
-    return flagged.select("_id", "_text", "_trusted").mapInArrow(_judge(raw, target, threshold, id_col), schema)
+    return (flagged.groupBy("chunk").cogroup(totals.groupBy("chunk"))
+            .applyInArrow(_judge(bits, target / raw if raw else 0.0, threshold, id_col), schema))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

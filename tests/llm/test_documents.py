@@ -216,6 +216,35 @@ def test_every_trusted_document_counts(spark):
     assert "strategy=broadcast" not in out._jdf.queryExecution().toString()
 
 
+def test_counts_of_chunks_and_parts(spark, docs, rows, monkeypatch):
+    labels = spark.createDataFrame([(5, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int")
+    key = lambda out: _sorted(tuple(r) for r in out.withColumn("llr", F.round("llr", 9)).collect())
+    from pyspark.sql import functions as F
+    whole = key(quality_rules.quality_rules(docs, labels))
+    monkeypatch.setattr(quality_rules, "PART_GRAMS", 300)  # many parts, and each partition its own chunks
+    assert key(quality_rules.quality_rules(docs.repartition(12), labels)) == whole
+    numbers = np.array([0, 1, 255, 256, 1 << 63], np.uint64)
+    assert all((quality_rules.from_planes(quality_rules.to_planes(numbers[:n])) == numbers[:n]).all() for n in range(6))
+
+
+def test_buckets_grow_with_the_ngrams():
+    for n in (0, 100, 5_000, 300_000, 3_000_000):
+        hashes = np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64)
+        assert quality_rules.distinct(quality_rules.sketch(np.concatenate([hashes, hashes]))) == pytest.approx(n, rel=0.06)
+    for n in (0, 1 << 19, 1 << 25, 10**9, 10**12):
+        bits = quality_rules.bucket_bits(n)
+        assert n <= 4 << bits and (bits == 17 or n > 2 << bits)
+
+
+def test_share_of_junk_above_the_threshold_does_not_grow(spark):
+    shares = []
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        labels = {r.doc_id for r in table(spark, sf, "labels").where("quality = 0").collect()}
+        bad = [r.llr >= quality_rules.THRESHOLD for r in quality_rules.op3_quality_rules(spark, sf).collect() if r.doc_id in labels and r.n_words >= 50]
+        shares.append(sum(bad) / len(bad))
+    assert shares[1] <= shares[0] and shares[1] <= 0.1, shares
+
+
 def test_repeat_words_beyond_the_narrow_path():
     ids = np.array([0, 1, 2, 9, 0, 1, 2, 3])
     assert quality_rules.repeat_words(ids, 10) == quality_rules.repeat_words(ids, 1 << 30) == 6
