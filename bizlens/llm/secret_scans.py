@@ -28,12 +28,15 @@ KINDS = [
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40, "gh"),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15, "xox"),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 20, "eyJ"),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 20, "PRIVATE KEY"),
+    # the value is the body: up to the END line, or, where that is missing, the base64 runs that follow
+    ("pem", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----([^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+(?=-----END [A-Z0-9 ]*PRIVATE KEY)"
+            r"|(?:(?:\s|\\[nr])*+(?:[A-Za-z0-9+/]{16,}+={0,2}|[A-Za-z0-9+/]{1,15}+={1,2}))*+)(?:-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----)?", 1, 0, "PRIVATE KEY"),
 ]
 BASE_KINDS = ["assign", "access", "hex"]
 EXAMPLE_OWNERS = 3
 LIVE_LENGTH = 16
 LIVE_LETTERS = 8  # distinct characters of a value that looks random
+PEM_BODY = r"[A-Za-z0-9+/]{16}"  # a header alone holds no key
 PLACEHOLDER = r"(?i)example|sample|change_?me|your|dummy|placeholder|redacted|test|x{4,}|0{6,}|12345|abcdef"
 
 
@@ -62,13 +65,19 @@ def secret_spans(text: Column) -> Column:
     """All spans of a text by start, then kind as listed."""
     every = F.concat(*(_matches(text, i) for i in range(len(KINDS))))
     keyed = F.transform(every, lambda s: F.struct(s["start"], s["kind"], s["end"], s["name"], F.sha2(s["value"], 256).alias("hash"),
-                                                  _live_looking(s["value"], s["kind"]).alias("live_looking"), s["value"].rlike(PLACEHOLDER).alias("placeholder")))
+                                                  _live_looking(s["value"], s["kind"]).alias("live_looking"), _placeholder(s["value"], s["name"]).alias("placeholder")))
     return F.array_sort(keyed)
 
 
+def _placeholder(value: Column, name: Column) -> Column:
+    """Spells out a placeholder; key bodies are long enough to hold such letters by chance."""
+    return value.rlike(PLACEHOLDER) & ~((name == "pem") & value.rlike(PEM_BODY))
+
+
 def _live_looking(value: Column, kind: Column) -> Column:
     letters = F.size(F.array_distinct(F.split(value, "")))
-    return (kind == len(KINDS) - 1) | ((F.char_length(value) >= LIVE_LENGTH) & (letters >= LIVE_LETTERS) & value.rlike("[0-9]"))
+    pem = F.lit([k[0] for k in KINDS].index("pem"))
+    return F.when(kind == pem, value.rlike(PEM_BODY)).otherwise((F.char_length(value) >= LIVE_LENGTH) & (letters >= LIVE_LETTERS) & value.rlike("[0-9]"))
 
 
 def find_candidates(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column) -> tuple[DataFrame, DataFrame]:

@@ -347,6 +347,24 @@ def test_ownership_separates_examples_from_live_credentials(spark):
     assert out[0] == rows[0][1] and out[10] == "[SECRET]\"" and out[100] == rows[55][1]
 
 
+def test_private_keys_are_owned_by_their_body(spark):
+    body = lambda i: "\n".join(hashlib.sha512(b"%d %d" % (i, k)).hexdigest()[:64].upper() for k in range(6)) + "\nAb+/cd=="
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    pem = lambda i: f"{begin}\n{body(i)}\n{end}"
+    rows = [(i, f"before {pem(i)} after", "en", f"src{i}") for i in range(4)]
+    rows += [(10 + i, f"x {pem(99)} y", "en", f"src{i}") for i in range(3)]  # one key of three owners
+    rows += [(20, f"cut {begin}\n{body(20)}\nProse goes on.", "en", "src1"), (21, f"{begin} alone", "en", "src1"), (22, f"two {pem(30)} {pem(31)}", "en", "src2"),
+             (23, f"{begin}\\n{body(23)}".replace("\n", "\\n") + f"\\n{end}", "en", "src3"), (24, begin + "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n" + body(24) + "\n" + end, "en", "src3"),
+             (25, begin + "\n" + "- " * 50_000, "en", "src3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in secret_scans.scan_secrets(df).collect()}
+    assert all(got[i].n_live == 1 and got[i].spans.startswith("pem:7:") for i in range(4))
+    assert all(got[10 + i].n_example == 1 and got[10 + i].n_live == 0 for i in range(3)) and got[21].n_live == got[25].n_live == 0
+    out = {r.doc_id: r.text for r in secret_scans.redact_live(df).collect()}
+    assert all(out[i] == "before [SECRET] after" for i in range(4)) and out[10] == rows[4][1]
+    assert out[20] == "cut [SECRET]\nProse goes on." and out[22] == "two [SECRET] [SECRET]" and out[23] == out[24] == "[SECRET]" and out[21] == rows[8][1]
+
+
 def test_redaction_keeps_rows_columns_and_clean_texts(docs, rows):
     out = secret_scans.redact_live(docs)
     assert out.columns == docs.columns and out.count() == len(rows)
