@@ -34,6 +34,9 @@ KINDS = [
 ]
 BASE_KINDS = ["assign", "access", "hex"]
 EXAMPLE_OWNERS = 3
+FIXED_KINDS = ["access", "github", "slack", "jwt"]
+ASSIGN_LETTERS = 5  # distinct characters of an assigned value that is no repeat
+WORDS = r"^[_./=+-]*+(?:(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[a-zA-Z](?![a-zA-Z0-9]))[_./=+-]*+)++$"
 LIVE_LENGTH = 16
 LIVE_LETTERS = 8  # distinct characters of a value that looks random
 PEM_BODY = r"[A-Za-z0-9+/]{16}"  # a header alone holds no key
@@ -65,7 +68,7 @@ def secret_spans(text: Column) -> Column:
     """All spans of a text by start, then kind as listed."""
     every = F.concat(*(_matches(text, i) for i in range(len(KINDS))))
     keyed = F.transform(every, lambda s: F.struct(s["start"], s["kind"], s["end"], s["name"], F.sha2(s["value"], 256).alias("hash"),
-                                                  _live_looking(s["value"], s["kind"]).alias("live_looking"), _placeholder(s["value"], s["name"]).alias("placeholder")))
+                                                  _live_looking(s["value"], s["name"]).alias("live_looking"), _placeholder(s["value"], s["name"]).alias("placeholder")))
     return F.array_sort(keyed)
 
 
@@ -74,10 +77,13 @@ def _placeholder(value: Column, name: Column) -> Column:
     return value.rlike(PLACEHOLDER) & ~((name == "pem") & value.rlike(PEM_BODY))
 
 
-def _live_looking(value: Column, kind: Column) -> Column:
+def _live_looking(value: Column, name: Column) -> Column:
+    """Kinds of a fixed format are live by it; assigned values unless they are words or repeats."""
     letters = F.size(F.array_distinct(F.split(value, "")))
-    pem = F.lit([k[0] for k in KINDS].index("pem"))
-    return F.when(kind == pem, value.rlike(PEM_BODY)).otherwise((F.char_length(value) >= LIVE_LENGTH) & (letters >= LIVE_LETTERS) & value.rlike("[0-9]"))
+    mixed = ~value.rlike(WORDS) | value.rlike("[a-z]{24}|[A-Z]{24}")  # no word is that long
+    return (F.when(name == "pem", value.rlike(PEM_BODY)).when(name.isin(FIXED_KINDS), True)
+            .when(name == "assign", (letters >= ASSIGN_LETTERS) & mixed)
+            .otherwise((F.char_length(value) >= LIVE_LENGTH) & (letters >= LIVE_LETTERS) & value.rlike("[0-9]")))
 
 
 def find_candidates(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column) -> tuple[DataFrame, DataFrame]:
