@@ -202,32 +202,35 @@ class Transducer:
         return out
 
 
-def _shards(batches):
+def _shards(most: int):
     """Of runs of sorted (lang, term) rows: a row with the run's transducer, and a row for each term with its place."""
-    import pyarrow as pa
+    def run(batches):
+        import pyarrow as pa
 
-    now, held, size = None, [], 0
+        now, held, size = None, [], 0
 
-    def out():
-        low, n = held[0].decode(), len(held)
-        row = lambda langs, *columns: pa.RecordBatch.from_arrays(
-            [pa.array([now] * langs, pa.string()), pa.array([low] * langs, pa.string()),
-             *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.string())))], ["lang", "low", "n", "transducer", "at", "term"])
-        yield row(1, [n], [Transducer(held).to_bytes()], [None], [None])
-        for at in range(0, n, 1 << 14):
-            some = held[at:at + (1 << 14)]
-            yield row(len(some), [None] * len(some), [None] * len(some), range(at, at + len(some)), [t.decode() for t in some])
+        def out():
+            low, n = held[0].decode(), len(held)
+            row = lambda langs, *columns: pa.RecordBatch.from_arrays(
+                [pa.array([now] * langs, pa.string()), pa.array([low] * langs, pa.string()),
+                 *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.string())))], ["lang", "low", "n", "transducer", "at", "term"])
+            yield row(1, [n], [Transducer(held).to_bytes()], [None], [None])
+            for at in range(0, n, 1 << 14):
+                some = held[at:at + (1 << 14)]
+                yield row(len(some), [None] * len(some), [None] * len(some), range(at, at + len(some)), [t.decode() for t in some])
 
-    for batch in batches:
-        for lang, term in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if held and (lang != now or len(held) >= SHARD_TERMS or size >= SHARD_BYTES):
-                yield from out()
-                held, size = [], 0
-            now, term = lang, term.encode()
-            held.append(term)
-            size += len(term)
-    if held:
-        yield from out()
+        for batch in batches:
+            for lang, term in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if held and (lang != now or len(held) >= most or size >= SHARD_BYTES):
+                    yield from out()
+                    held, size = [], 0
+                now, term = lang, term.encode()
+                held.append(term)
+                size += len(term)
+        if held:
+            yield from out()
+
+    return run
 
 
 def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
@@ -236,11 +239,11 @@ def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     return counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("lang", "term")
 
 
-def vocabulary(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+def vocabulary(kept: DataFrame, shard_terms: int = SHARD_TERMS) -> tuple[DataFrame, DataFrame]:
     """The shards (lang, base, n, transducer), ``base`` the ordinal of a shard's first term, and the
     terms with their ordinals (lang, ordinal, term)."""
     ordered = kept.repartitionByRange("lang", "term").sortWithinPartitions("lang", "term")
-    both = materialize(ordered.mapInArrow(_shards, "lang string, low string, n long, transducer binary, at long, term string"), "vocabulary")
+    both = materialize(ordered.mapInArrow(_shards(shard_terms), "lang string, low string, n long, transducer binary, at long, term string"), "vocabulary")
     shards = both.where("n IS NOT NULL")
     before = Window.partitionBy("lang").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
     bases = materialize(shards.select("lang", "low", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")  # a row a shard
@@ -411,7 +414,7 @@ def pair_divergences(counts: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS, text_col: str = "text", lang_col: str = "lang",
-                      source_col: str = "source") -> DataFrame:
+                      source_col: str = "source", shard_terms: int = SHARD_TERMS) -> DataFrame:
     """Rows (lang, source, part, item, value, rank): every source of a language against every other
     one (``pair``), and the terms by which it stands out most from its language (``term``).
 
@@ -423,7 +426,7 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int
     ship_package(docs.sparkSession)
     docs = docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source"), text_or_empty(text_col).alias("text"))
     kept = materialize(kept_terms(docs, min_docs), "kept")
-    shards, ordinals = vocabulary(kept)
+    shards, ordinals = vocabulary(kept, shard_terms)
     counts = recount(docs, shards)
     sizes = shards.groupBy("lang").agg(F.sum("n").alias("terms"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
