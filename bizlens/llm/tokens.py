@@ -4,7 +4,8 @@ The ``tokenizers`` and ``sentencepiece`` libraries define the ids.  Where a ``.j
 plain byte-level BPE whose merges stand in the order of their ids, rank-based BPE over the same
 vocabulary gives the same ids several times faster; ``RankEncoder`` builds it from the file
 itself.  It takes only texts on which the two cannot differ: those without an added token's
-string, and with characters of long-settled Unicode classes.  All others go to the library.
+string, with characters of long-settled Unicode classes, and without runs of white space so long that
+its pretokens would exhaust the stack.  All others go to the library.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Latin, Greek, Cyrillic, general punctuation and the euro sign: classes that no Unicode version changes.
 _unsettled = re.compile("[^\u0000-ɏΑ-ΡΣ-ωЀ-џ‐-‧€]").search
 
+#: The pretokens' look-ahead goes back step by step through a run of white space, on the stack.
+LONG_RUN = 20_000
+_long_run = re.compile(r"(?<!\s)\s{%d}" % LONG_RUN).search
+
 
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; a path is taken as it is."""
@@ -87,7 +92,8 @@ class RankEncoder(LibraryEncoder):
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _settled(self, text: str) -> bool:
-        return not any(a in text for a in self.added) and (text.isascii() or not _unsettled(text))
+        return (not any(a in text for a in self.added) and (text.isascii() or not _unsettled(text))
+                and (len(text) < LONG_RUN or not _long_run(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         fast = [self._settled(t) for t in texts]
