@@ -16,6 +16,7 @@ takes transducers of at most ``PASS_BYTES`` along; a vocabulary that needs more
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +32,7 @@ TOP_TERMS = 50
 SHARD_TERMS = 1 << 17
 SHARD_BYTES = 8 << 20  # of terms in a shard, or one term
 PASS_BYTES = 64 << 20
-WINDOW = 4 << 20  # bytes of text that take their steps together, or one term
+WINDOW = 1 << 20  # bytes of text that take their steps together, or one term
 PIECE = 1 << 20  # characters of text whose terms are listed together
 HELD = 1 << 20  # entries that a task holds before it sends them on
 BLOCK_TERMS = 4096
@@ -135,73 +136,66 @@ class Transducer:
                 nexts.append(to)
                 outputs.append(passed)
                 passed += behind[to]
+        self.longest = max(map(len, terms), default=0)
         self._set(np.array(keys, "<i8"), np.array(nexts, "<i4"), np.array(outputs, "<i4"), np.array(finals, "?"))
 
     def _set(self, keys, nexts, outputs, finals) -> None:
         self.keys, self.nexts, self.outputs, self.finals = keys, nexts, outputs, finals
-        self.slots = None
+        self.rows = None
 
     def to_bytes(self) -> bytes:
-        head = np.array([self.start, len(self.keys), len(self.finals)], "<i8")
+        head = np.array([self.start, self.longest, len(self.keys), len(self.finals)], "<i8")
         return b"".join(x.tobytes() for x in (head, self.keys, self.nexts, self.outputs, self.finals))
 
     @classmethod
     def from_bytes(cls, data: bytes) -> Transducer:
         self = cls.__new__(cls)
-        self.start, n, states = np.frombuffer(data, "<i8", 3).tolist()
-        self._set(np.frombuffer(data, "<i8", n, 24), np.frombuffer(data, "<i4", n, 24 + 8 * n), np.frombuffer(data, "<i4", n, 24 + 12 * n),
-                  np.frombuffer(data, "?", states, 24 + 16 * n))
+        self.start, self.longest, n, states = np.frombuffer(data, "<i8", 4).tolist()
+        self._set(np.frombuffer(data, "<i8", n, 32), np.frombuffer(data, "<i4", n, 32 + 8 * n), np.frombuffer(data, "<i4", n, 32 + 12 * n),
+                  np.frombuffer(data, "?", states, 32 + 16 * n))
         return self
 
-    def _index(self) -> None:
-        """Open addressing over the arcs, at most half full."""
-        bits = max(4, (2 * len(self.keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.slots = np.full(1 << bits, -1, np.int32)
-        left, place = np.arange(len(self.keys)), self._place(self.keys)
-        while len(left):
-            free = self.slots[place] < 0
-            self.slots[place[free]] = left[free]  # of several, one stays
-            lost = self.slots[place] != left
-            left, place = left[lost], (place[lost] + 1) & self.mask
-
-    def _place(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def _arcs(self, keys: np.ndarray) -> np.ndarray:
-        """Numbers of the arcs with some keys, -1 where there is none."""
-        place = self._place(keys)
-        found = self.slots[place]
-        left = np.flatnonzero((found >= 0) & (self.keys[found] != keys))
-        while len(left):
-            place[left] = (place[left] + 1) & self.mask
-            found[left] = self.slots[place[left]]
-            left = left[(found[left] >= 0) & (self.keys[found[left]] != keys[left])]
-        return found
+    def _table(self) -> None:
+        """A row of arcs for each state and a column for each byte that any arc has, column 0 for all others: the
+        place of the next state's row and the output in one number.  A last state, without a way out,
+        takes whatever has no arc.  The table's size is bounded by the shard's."""
+        used = np.unique(self.keys & 255)
+        self.column = np.zeros(256, np.uint8)
+        self.column[used] = np.arange(1, len(used) + 1)  # term bytes are fewer than 255
+        self.width = len(used) + 1
+        self.rows = np.full((len(self.finals) + 1) * self.width, len(self.finals) * self.width << 32, np.int64)
+        self.rows[(self.keys >> 8) * self.width + self.column[self.keys & 255]] = (self.nexts.astype(np.int64) * self.width) << 32 | self.outputs
 
     def ordinals(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Ordinal of each term ``data[begin:end]`` (bytes, lower-cased), -1 for terms not in the list."""
         out = np.full(len(begins), -1, np.int64)
-        if not len(self.keys):
+        if not len(self.keys) or not len(begins):
             return out
-        if self.slots is None:
-            self._index()
-        at, states, sums = np.arange(len(begins)), np.full(len(begins), self.start, np.int64), np.zeros(len(begins), np.int64)
-        step = 0
-        while len(at):
-            place = begins[at] + step
-            over = place >= ends[at]
-            done = over & self.finals[states]
-            out[at[done]] = sums[done]
-            at, states, sums, place = at[~over], states[~over], sums[~over], place[~over]
-            arc = self._arcs(states << 8 | data[place])
-            alive = arc >= 0
-            arc = arc[alive]
-            at, states, sums = at[alive], self.nexts[arc].astype(np.int64), sums[alive] + self.outputs[arc]
-            step += 1
+        if self.rows is None:
+            self._table()
+        length = np.minimum(ends - begins, self.longest + 1)
+        order = np.argsort(-length, kind="stable")  # terms that have come to their end stand behind
+        over = len(order) - np.cumsum(np.bincount(length, minlength=self.longest + 2))  # how many are longer
+        columns, begins = self.column[data], begins[order]
+        states, sums = np.full(len(order), self.start * self.width, np.int64), np.zeros(len(order), np.int64)
+        for step in range(self.longest):
+            n = int(over[step])
+            if not n:
+                break
+            arc = self.rows[states[:n] + columns[begins[:n] + step]]
+            states[:n] = arc >> 32
+            sums[:n] += arc & 0xFFFFFFFF
+        known = np.append(self.finals, False)[states // self.width] & (length[order] <= self.longest)
+        out[order[known]] = sums[known]
         return out
 
 
+@lru_cache(maxsize=64)
+def transducer_of(data: bytes) -> Transducer:
+    """A transducer, with its table, once for a Python worker."""
+    return Transducer.from_bytes(data)
+
+
 def _shards(most: int):
     """Of runs of sorted (lang, term) rows: a row with the run's transducer, and a row for each term with its place."""
     def run(batches):
@@ -258,7 +252,7 @@ def _recount(shards: list[tuple[str, int, bytes]]):
 
         by_lang: dict[str, list] = {}
         for lang, base, data in shards:
-            by_lang.setdefault(lang, []).append((base, Transducer.from_bytes(data)))
+            by_lang.setdefault(lang, []).append((base, transducer_of(data)))
         groups: dict[tuple[str, str], int] = {}
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
@@ -323,14 +317,16 @@ def terms_of(data: np.ndarray, offsets: np.ndarray):
             gap = int(more.argmin())
             end += len(more) if more[gap] else gap
         bytes_ = LOWER[data[start:end]]
-        is_term = np.concatenate([[False], TERM_BYTES[bytes_], [False]])
+        is_term = TERM_BYTES[bytes_]
+        first, last = is_term.copy(), is_term.copy()
+        first[1:] &= ~is_term[:-1]
+        last[:-1] &= ~is_term[1:]
         cuts = inside[(inside > start) & (inside < end)] - start
-        begins = np.flatnonzero(is_term[1:-1] & ~is_term[:-2])
-        begins = np.union1d(begins, cuts[TERM_BYTES[bytes_[cuts]]]) if len(cuts) else begins
-        ends = np.flatnonzero(is_term[1:-1] & ~is_term[2:]) + 1
-        ends = np.union1d(ends, cuts[TERM_BYTES[bytes_[cuts - 1]]]) if len(cuts) else ends
-        # texts that begin at a term's begin or before it
-        yield bytes_, begins, ends, np.searchsorted(inside, begins + start, side="right")
+        first[cuts] |= is_term[cuts]  # a text's end parts terms as well
+        last[cuts - 1] |= is_term[cuts - 1]
+        begins, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+        upto = np.searchsorted(begins, np.append(offsets[1:] - start, len(bytes_)))
+        yield bytes_, begins, ends, np.repeat(np.arange(len(offsets)), np.diff(upto, prepend=0))
         start = end
 
 
