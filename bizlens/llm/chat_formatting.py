@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import table
+from bizlens.llm.common import let, running_sums, table
 
 OPEN, CLOSE = "<|turn|>", "<|end|>\n"
 ESCAPE = "\u241b"
@@ -66,9 +66,9 @@ def _attachment(part: Column) -> Column:
 
 
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", parts_col: str = "parts") -> DataFrame:
-    """One row per conversation: its id, ``formatted``, ``segments`` (text, loss: joined they are
-    ``formatted``, and loss is true for what the loss mask covers), ``attachments`` (type, ref, tokens,
-    in order of the placeholders) and ``attachment_tokens``.
+    """One row per conversation: its id, ``formatted``, ``mask`` (the stretches of ``formatted`` that the loss
+    covers: start and length in code points, first and size in bytes), ``attachments`` (type, ref,
+    tokens, in order of the placeholders) and ``attachment_tokens``.
 
     Turns are ordered by turn (null first), then role and body, so ties have one result;
     repeated rows are turns of their own.  Null parts, part lists, texts and roles count as
@@ -90,22 +90,48 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         return F.array(piece(F.concat(F.lit(OPEN), t["_role"], F.lit("\n")), F.lit(False)), piece(t["_body"], t["_loss"]),
                        piece(F.lit(CLOSE), F.lit(False)))
 
+    def mask(parts: Column) -> Column:
+        chars, size = (lambda s: F.char_length(s["text"]).cast("long")), (lambda s: F.octet_length(s["text"]).cast("long"))
+        placed = F.arrays_zip(parts.alias("s"), running_sums(F.transform(parts, chars)).alias("end"), running_sums(F.transform(parts, size)).alias("last"))
+        return F.transform(F.filter(placed, lambda z: z["s"]["loss"]), lambda z: F.struct(
+            (z["end"] - chars(z["s"])).alias("start"), chars(z["s"]).alias("length"), (z["last"] - size(z["s"])).alias("first"), size(z["s"]).alias("size")))
+
     out = grouped.select(conv_col, F.flatten(F.transform("turns", segments)).alias("segments"), F.flatten(F.transform("turns", lambda t: t["_held"])).alias("attachments"))
-    return out.select(conv_col, F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments", "attachments",
+    return out.select(conv_col, F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), let(F.col("segments"), mask).alias("mask"), "attachments",
                       F.aggregate("attachments", F.lit(0).cast("long"), lambda n, a: n + a["tokens"]).alias("attachment_tokens"))
 
 
-def read_back(formatted: Column) -> Column:
-    """array<struct<role, text>> of a formatted conversation; placeholders stay in the text."""
+def masked_texts(formatted: Column, mask: Column) -> Column:
+    """The texts under the loss mask, unescaped, in order."""
+    return let(formatted.cast("binary"), lambda data: F.transform(
+        mask, lambda m: unescape(F.substring(data, (m["first"] + 1).cast("int"), m["size"].cast("int")).cast("string"))))
+
+
+def read_parts(formatted: Column) -> Column:
+    """array<struct<role, parts: array<struct<type, text>>>> of a formatted conversation: what the visitor
+    flattened, less references and units.  A placeholder is a part of its kind without text; a text that
+    spells a placeholder out is text.  Neighbouring texts are one part, empty ones none; a null conversation
+    gives null, an empty one no turns."""
     turns = F.split(formatted, r"<\|end\|>\n", -1)
-    whole = F.slice(turns, 1, F.size(turns) - 1)
+    kinds = "|".join(ATTACHMENTS)
 
     def turn(t: Column) -> Column:
         line = F.instr(t, "\n")
+        body = F.substring(t, line + 1, F.char_length(t))
+        texts = F.transform(F.split(body, rf"<\|(?:{kinds})\|>", -1), lambda x: F.struct(F.lit("text").alias("type"), unescape(x).alias("text")))
+        held = F.transform(F.regexp_extract_all(body, F.lit(rf"<\|({kinds})\|>"), F.lit(1)), lambda k: F.struct(k.alias("type"), F.lit(None).cast("string").alias("text")))
+        both = F.flatten(F.transform(F.arrays_zip(texts.alias("a"), held.alias("b")), lambda z: F.array(z["a"], z["b"])))
         return F.struct(unescape(F.substring(t, F.lit(len(OPEN) + 1), line - len(OPEN) - 1)).alias("role"),
-                        unescape(F.substring(t, line + 1, F.char_length(t))).alias("text"))
+                        F.filter(both, lambda p: p.isNotNull() & ((p["type"] != "text") | (p["text"] != ""))).alias("parts"))
 
-    return F.transform(whole, turn)
+    return F.transform(F.slice(turns, 1, F.size(turns) - 1), turn)
+
+
+def read_back(formatted: Column) -> Column:
+    """array<struct<role, text>> of a formatted conversation; placeholders stand in the text as they are
+    (``read_parts`` tells them from text).  A null conversation gives null, an empty one no turns."""
+    spelled = lambda p: F.when(p["type"] == "text", p["text"]).otherwise(F.concat(F.lit("<|"), p["type"], F.lit("|>")))
+    return F.transform(read_parts(formatted), lambda t: F.struct(t["role"].alias("role"), F.array_join(F.transform(t["parts"], spelled), "").alias("text")))
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +141,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.when(F.col("id") == 0, "user").otherwise(LOSS_ROLE).alias("role"), F.lit(FRAME_TEXT).alias("text"))
     chats = format_chats(given.unionByName(frame).withColumn("parts", text_parts(F.col("text"))))
     read = chats.select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"),
-                        unescape(F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: s["text"]), "")).alias("loss"))
+                        F.array_join(masked_texts(F.col("formatted"), F.col("mask")), "").alias("loss"))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
                        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),

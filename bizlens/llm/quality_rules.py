@@ -25,14 +25,15 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import id_type, materialize, ship_package, table, text_or_empty
+from bizlens.llm.common import id_type, materialize, materialize_by, ship_package, table, text_or_empty
 
-BUCKET_BITS = 17
+BUCKET_BITS = 23
 GRAMS_A_BUCKET = 4
 SKETCH_BITS = 12
 CHUNK_BYTES = 16 << 20  # of text in a chunk, or one document
 PART_GRAMS = 4 << 20  # n-grams in a part, before a chunk's repeats are counted as one
 MIN_PARTS = 64
+CHUNKS_A_TASK, MAX_FILES = 4, 1 << 16  # places for chunks: so many for each task that packs them
 ZSTD = 6
 SMOOTHING = 1.0
 THRESHOLD = -0.25  # nats a n-gram; clean text scores about 0, junk far below
@@ -300,8 +301,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     base rules decide alone.
     """
     ship_package(docs.sparkSession)
-    chunks = materialize(docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-                         .mapInArrow(_pack, f"chunk long, ids array<{id_type(docs, id_col)}>, grams array<long>, registers binary, docs binary"), "chunks")
+    texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    chunks = texts.mapInArrow(_pack, f"chunk long, ids array<{id_type(docs, id_col)}>, grams array<long>, registers binary, docs binary")
+    buckets = min(MAX_FILES, CHUNKS_A_TASK * texts.rdd.getNumPartitions())
+    chunks = materialize_by(chunks, "chunks", "chunk", buckets)  # the totals come to the chunks, which stay where they are
     members = (chunks.select("chunk", "grams", F.posexplode("ids").alias("at", "_id")).select("chunk", "_id", "at", F.get("grams", "at").alias("grams"))
                .join(trusted_ids(labels, id_col), "_id"))
     flags = materialize(members.select("chunk", "at", "grams").groupBy("chunk").applyInArrow(_flags, "chunk long, trusted binary, n_target long"), "flags")
