@@ -25,7 +25,7 @@ MAX_BITS = 3
 SEED = 42
 FAN = 8
 BLOCK_CODES = 1 << 17  # aimed at; blocks grow beyond it when MAX_BLOCKS is reached
-MIN_BLOCKS, MAX_BLOCKS = 8, 4096  # the planned patterns are at most MAX_BLOCKS rows
+MIN_BLOCKS, MAX_BLOCKS = 16, 4096  # the planned patterns are at most MAX_BLOCKS rows
 FRONT = 1 << 21  # (query, node) pairs looked at together
 SIGN = -(1 << 63)
 
@@ -54,8 +54,8 @@ def _fingerprints(words: int, id_col: str):
         import pyarrow as pa
 
         for part in parts:
-            codes = np.array([fingerprint(t, words) for t in part.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes.view(np.int64))], [id_col, "code"])
+            codes = np.array([fingerprint(t, words) for t in part.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(codes.view(np.int64))], [id_col, "text_hash", "code"])
 
     return run
 
@@ -189,17 +189,21 @@ def _gather(key, rows):
     return pd.DataFrame({"block": [key[0]], "codes": [codes.tobytes()], "pattern": [signed(low & shared)], "mask": [signed(shared)]})
 
 
-def _meet(patterns: list[tuple[int, int, int]], limit: int):
+def near_blocks(patterns: np.ndarray, own: int, own_mask: int, limit: int) -> np.ndarray:
+    """Which of ``patterns`` (rows of block, pattern, mask) share no more than ``limit`` differing bits with a block."""
+    pattern, mask = (patterns[:, i].view(np.uint64) for i in (1, 2))
+    apart = np.bitwise_count((pattern ^ np.int64(own).view(np.uint64)) & mask & np.int64(own_mask).view(np.uint64))
+    return patterns[apart <= limit, 0]
+
+
+def _meet(patterns: np.ndarray, limit: int):
     """Sends each block to all pairs that it is in, (own, own) included."""
     def run(frames):
         import pandas as pd
 
-        ids = np.array([p[0] for p in patterns], np.int64)
-        pattern, mask = (np.array([p[i] for p in patterns], np.int64).view(np.uint64) for i in (1, 2))
         for frame in frames:
             for block, codes, own, own_mask in frame[["block", "codes", "pattern", "mask"]].itertuples(index=False):
-                apart = np.bitwise_count((pattern ^ np.int64(own).view(np.uint64)) & mask & np.int64(own_mask).view(np.uint64))
-                for other in ids[apart <= limit].tolist():
+                for other in near_blocks(patterns, own, own_mask, limit).tolist():
                     yield pd.DataFrame({"a": [min(block, other)], "b": [max(block, other)], "block": [block], "codes": [codes]})
 
     return run
@@ -228,12 +232,30 @@ def fingerprint_components(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFr
     packed = (ordered.mapInArrow(_blocks(sorted(set(bounds))), "code long, block long").groupBy("block")
               .applyInPandas(_gather, "block long, codes binary, pattern long, mask long"))
     packed = materialize(packed, "blocks")
-    patterns = [tuple(r) for r in packed.select("block", "pattern", "mask").collect()]
+    patterns = np.array([tuple(r) for r in packed.select("block", "pattern", "mask").collect()], np.int64).reshape(-1, 3)
     pairs = packed.mapInPandas(_meet(patterns, max_bits), "a long, b long, block long, codes binary")
-    edges = pairs.groupBy("a", "b").applyInPandas(_join(max_bits), "u long, v long")
+    # a pair is little data and much work: each gets a task, which a partitioning of a given width keeps
+    tasks = sum(len(near_blocks(patterns, own, mask, max_bits)) + 1 for _, own, mask in patterns.tolist()) // 2
+    edges = pairs.repartition(max(1, tasks), "a", "b").groupBy("a", "b").applyInPandas(_join(max_bits), "u long, v long")
     return connected_components(edges).select(F.col("node").alias("code"), "root")
 
 
+def document_classes(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, text_hash, code) of every row, and (code, root, component_id) of every distinct code; the
+    root is a code that stands for the component, component_id its least id."""
+    ship_package(docs.sparkSession)
+    schema = f"`{id_col}` {id_type(docs, id_col)}, text_hash long, code long"
+    texts = docs.select(F.col(id_col), F.xxhash64(text_or_empty(text_col)).alias("_hash"), text_or_empty(text_col).alias("_text"))
+    codes = materialize(texts.mapInArrow(_fingerprints(words, id_col), schema), "fingerprints")
+    distinct = materialize(codes.groupBy("code").agg(F.min(id_col).alias("least")), "distinct")
+    linked = materialize(fingerprint_components(distinct.select("code"), max_bits), "linked")
+    least = linked.join(distinct, "code").groupBy("root").agg(F.min("least").alias("component_id"))
+    found = linked.join(least, "root").select("code", "root", "component_id")
+    found = distinct.join(found, "code", "left").select("code", F.coalesce("root", "code").alias("root"),
+                                                        F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    return codes, materialize(found, "components")  # both sides of a join are scans then, so that a hot fingerprint can be split
+
+
 def simhash_components(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id (least id reachable).
@@ -243,33 +265,32 @@ def simhash_components(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: in
     that occur twice count in each of their components; other columns are ignored; an empty table
     gives an empty result.
     """
-    ship_package(docs.sparkSession)
-    schema = f"`{id_col}` {id_type(docs, id_col)}, code long"
-    codes = docs.select(F.col(id_col), text_or_empty(text_col).alias("_text")).mapInArrow(_fingerprints(words, id_col), schema)
-    codes = materialize(codes, "fingerprints")
-    distinct = materialize(codes.groupBy("code").agg(F.min(id_col).alias("least")), "distinct")
-    linked = materialize(fingerprint_components(distinct.select("code"), max_bits), "linked")
-    least = linked.join(distinct, "code").groupBy("root").agg(F.min("least").alias("component_id"))
-    found = linked.join(least, "root").select("code", "component_id")
-    found = distinct.join(found, "code", "left").select("code", F.coalesce("component_id", "least").alias("component_id"))
-    found = materialize(found, "components")  # both sides of the join are scans then, so that a hot fingerprint can be split
+    codes, found = document_classes(docs, words, max_bits, id_col, text_col)
     return codes.join(found, "code").select(
         id_col, F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_representatives(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, less near-copies: of each component the document with the
-    least id stays, once if its row is repeated.  Rows with a null id stay: nothing can name
-    them.  Most documents are kept, so the list of ids grows with the corpus: it is never
-    broadcast, the texts meet it in a merge join at every size."""
-    found = simhash_components(docs, words, max_bits, id_col, text_col)
-    mark = "__bizlens_rows"
-    kept = materialize(found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias(mark)), "kept")
-    out = docs.join(kept.hint("merge"), id_col, "left").where(F.col(mark).isNotNull() | F.col(id_col).isNull())
-    if not kept.where(F.col(mark) > 1).isEmpty():
-        once = F.coalesce(F.col(mark), F.lit(1)) == 1
-        out = out.where(once).unionByName(out.where(~once).dropDuplicates([id_col]))
+    """The rows of ``docs``, all columns, less near-copies: of each component one row with the least id
+    stays, and of its texts with that id, should it stand on several, the one whose hash is least.
+
+    A row is known by its id and its text's hash, so an id that stands on different texts keeps each that
+    is no near-copy.  Rows with a null id stay: nothing can name them.  Null texts count as empty and
+    stay null; of a row that is repeated one stays; an empty table stays empty.  Most documents are kept,
+    so the list grows with the corpus: it is never broadcast, the texts meet it in a merge join at
+    every size.
+    """
+    codes, found = document_classes(docs, words, max_bits, id_col, text_col)
+    rows, key, digest = "__bizlens_rows", "__bizlens_id", "__bizlens_hash"
+    named = codes.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"), "text_hash", "code").agg(F.count("*").alias("n"))
+    first = named.join(found.select("code", "root"), "code").groupBy("root").agg(F.min(F.struct("id", "text_hash", "n")).alias("first"))
+    kept = materialize(first.select(F.col("first.id").alias(key), F.col("first.text_hash").alias(digest), F.col("first.n").alias(rows)), "kept")
+    same = (F.col(id_col) == F.col(key)) & (F.xxhash64(text_or_empty(text_col)) == F.col(digest))
+    out = docs.join(kept.hint("merge"), same, "left").where(F.col(rows).isNotNull() | F.col(id_col).isNull())
+    if not kept.where(F.col(rows) > 1).isEmpty():
+        once = F.coalesce(F.col(rows), F.lit(1)) == 1
+        out = out.where(once).unionByName(out.where(~once).dropDuplicates([key, digest]))
     return out.select(*docs.columns)
 
 
