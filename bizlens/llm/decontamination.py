@@ -129,17 +129,29 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_
     bits = min(MAX_BITMAP_BITS, max(MIN_BITMAP_BITS, (64 * n).bit_length()))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # width values at most
     probe = _probe(widths, _bitmap(items.where("sketch"), bits), _bitmap(items, bits), bits, id_col)
-    found = (docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
-             .mapInArrow(probe, f"`{id_col}` {id_type(docs, id_col)}, shingle string"))
-    return (found.join(items, "shingle").groupBy(id_col, item_col)
-            .agg(F.countDistinct("shingle").alias("n_shared"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"))
-            .where(F.col("sketch") & (F.col("n_shared") >= F.col("n_shingles") * F.lit(threshold) - 1e-9))
-            .select(id_col, item_col, "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment")))
+    found = (docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("_text"))
+             .mapInArrow(probe, f"doc {id_type(docs, id_col)}, shingle string"))
+    found = materialize(found.distinct(), "shingles")
+    items = items.withColumnRenamed(item_col, "item")
+    # search: documents and items that share a sketch shingle
+    pairs = materialize(found.join(items.where("sketch").select("shingle", "item"), "shingle").select("doc", "item").distinct(), "candidates")
+    # verification: the candidates' shingles, each document's against its own candidates only
+    same = F.col("a.doc").eqNullSafe(F.col("b.doc"))
+    asked = pairs.alias("a").join(found.alias("b"), same).select("a.doc", "a.item", "b.shingle")
+    shared = asked.alias("a").join(items.distinct().alias("b"), F.col("a.item").eqNullSafe(F.col("b.item")) & (F.col("a.shingle") == F.col("b.shingle")))
+    counted = shared.groupBy("a.doc", "a.item").agg(F.countDistinct("a.shingle").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
+    return (counted.where(F.col("n_shared") >= F.col("n_shingles") * F.lit(threshold) - 1e-9)
+            .select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, threshold: float = THRESHOLD,
                       id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that contain no benchmark item; rows with a null id stay."""
+    """The rows of ``docs``, all columns, that contain no benchmark item.
+
+    Rows with a null id stay, since nothing names them; of rows that share an id all go if any contains an
+    item.  Null texts contain nothing; empty tables on either side take nothing away; other columns stay as
+    they are, whatever their names.
+    """
     hits = contained_items(docs, benchmark, width, threshold, id_col, item_col, text_col)
     hits = materialize(hits.where(F.col(id_col).isNotNull()).select(id_col).distinct(), "hits")
     return docs.join(hits, id_col, "left_anti").select(*docs.columns)
