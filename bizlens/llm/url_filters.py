@@ -6,8 +6,9 @@ the listed keys that pass it are its false positives, which level 3 encodes; and
 level has none.  A key of the universe is listed if the first level that it fails has an even
 number, or, if it passes all, their number is odd.  The answer is exact and takes no join.
 
-A level is one row: an array of 64-bit words, at most ``MAX_BITS`` bits whatever the list's
-length (a fuller filter only makes the cascade longer), read by the queries as a scalar subquery.
+A level is one row: an array of 64-bit words, at most ``MAX_BITS`` bits, read by the queries as a scalar
+subquery.  A universe that needs larger levels is divided by a hash of the key into as many parts as keep
+every level under the cap; each part has a cascade of its own and judges its own pages, one pass a part.
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ from bizlens.llm.common import materialize, table
 
 MAX_BITS = 1 << 26
 FALSE_RATE = 1 / 8  # of levels after the first
+FULL_RATE = 0.5  # of the first level, at most
+ROOM = 0.8  # share of the cap that a part's levels are planned to fill: parts differ in size
 MAX_LEVELS = 64
+PART_SEED = 7
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rules of the query: host, path, verdict.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -88,6 +92,23 @@ def _build(keys: DataFrame, n: int, rate: float, seed: int, max_bits: int) -> Le
     return level
 
 
+def first_rate(n: int, m: int) -> float:
+    """Rate of false positives of the first level for ``n`` listed and ``m`` other keys."""
+    return min(FULL_RATE, max(2.0 ** -10, n / max(m, 1) * math.sqrt(0.5)))
+
+
+def parts_of(n: int, m: int, max_bits: int) -> int:
+    """Number of parts whose levels all stay under ``max_bits``."""
+    bits = lambda keys, rate: keys * math.log(1 / rate) / math.log(2) ** 2
+    largest = max(bits(n, first_rate(n, m)), bits(m * first_rate(n, m), FALSE_RATE), bits(n * FALSE_RATE, FALSE_RATE))
+    return max(1, math.ceil(largest / (ROOM * max_bits)))
+
+
+def part_of(key: Column, parts: int) -> Column:
+    """The part that a key belongs to."""
+    return F.pmod(F.xxhash64(F.lit(PART_SEED), key), F.lit(parts).cast("long"))
+
+
 def build_cascade(universe: DataFrame, max_bits: int = MAX_BITS) -> list[Level]:
     """Levels for ``universe`` (key, listed; one row per key).  No listed key: no level."""
     counts = universe.agg(F.count("*").alias("n"), F.count_if("listed").alias("listed")).first()
@@ -96,7 +117,7 @@ def build_cascade(universe: DataFrame, max_bits: int = MAX_BITS) -> list[Level]:
     while n:
         if len(levels) == MAX_LEVELS:
             raise RuntimeError("the cascade doesn't end: the filters are too small for the keys")
-        rate = FALSE_RATE if levels else min(0.5, max(2.0 ** -10, n / max(m, 1) * math.sqrt(0.5)))
+        rate = FALSE_RATE if levels else first_rate(n, m)
         level = _build(encode, n, rate, len(levels) + 1, max_bits)
         levels.append(level)
         passed = materialize(others.where(level.holds(F.col("key"))), "passed")
@@ -125,11 +146,22 @@ def judge_urls(pages: DataFrame, listed: Column, rules: list[tuple[str, str, str
     key = F.concat(host_of(F.col(url_col)), path_of(F.col(url_col)))
     universe = (pages.select(key.alias("key"), F.coalesce(listed, F.lit(False)).alias("listed")).groupBy("key")
                 .agg((F.max("listed") & (F.col("key") != "")).alias("listed")))
-    levels = build_cascade(materialize(universe, "universe"), max_bits)
+    universe = materialize(universe, "universe")
+    counts = universe.agg(F.count("*").alias("n"), F.count_if("listed").alias("listed")).first()
+    parts = parts_of(counts.listed, counts.n - counts.listed, max_bits)
     split = pages.select(F.col(page_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     ruled = split.withColumn("_rule", rule_column(F.col("host"), F.col("path"), rules))
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(is_listed(F.concat("host", "path"), levels), "block").otherwise("allow"))
-    return ruled.select(page_col, "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"))
+    if parts > 1:
+        universe = materialize(universe.withColumn("part", part_of(F.col("key"), parts)), "universe-parts")
+        ruled = materialize(ruled.withColumn("_part", part_of(F.concat("host", "path"), parts)), "url-parts")
+    found = None
+    for part in range(parts):
+        levels = build_cascade(universe if parts == 1 else universe.where(F.col("part") == part).select("key", "listed"), max_bits)
+        own = ruled if parts == 1 else ruled.where(F.col("_part") == part)
+        verdict = F.coalesce(F.col("_rule.verdict"), F.when(is_listed(F.concat("host", "path"), levels), "block").otherwise("allow"))
+        judged = own.select(page_col, "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"))
+        found = judged if found is None else found.unionByName(judged)
+    return found
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
