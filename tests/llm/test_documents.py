@@ -74,6 +74,22 @@ def test_rank_encoder_gives_the_librarys_ids():
     assert sum(fast._settled(t) for t in texts) > 1000
 
 
+@pytest.mark.parametrize("piece", [" ", "\n", " \n", "\t\r", "\xa0", "x", "!", "7", "é"])
+def test_long_runs(piece):
+    """Three million characters of one kind, alone and inside a text."""
+    fast, library = encoder(BPE), LibraryEncoder(tokenizer_path(BPE))
+    run = piece * (3_000_000 // len(piece))
+    texts = [run, f"a{run[:200_000]}b", f"some words {run[:19_999]} and {run[:20_001]} more"]
+    assert fast.encode(texts) == library.encode(texts)
+
+
+def test_long_runs_of_space_are_counted_and_packed(spark):
+    df = spark.createDataFrame([(1, " " * 3_000_000), (2, "a" + "\n" * 1_500_000 + "b"), (3, " \n" * 1_000_000)], "doc_id long, text string")
+    want = {i: len(ids) // 4 for i, ids in zip((1, 2, 3), LibraryEncoder(tokenizer_path(BPE)).encode([r.text for r in df.collect()]))}
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, cache_path=scratch_path(spark, "long-runs")).collect()} == want
+    assert {r.doc_id: r.doc_tokens - 1 for r in packing.pack_documents(df).collect()} == want
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_other_tokenizers_go_to_their_library(name):
     assert type(encoder(name)) is LibraryEncoder
@@ -334,6 +350,81 @@ def test_secret_scans(docs, rows, empty):
     assert secret_scans.scan_secrets(empty).collect() == []
 
 
+def _all_spans(text):
+    """All kinds, with their values, by Python's own matching."""
+    found = []
+    for k, (name, pattern, group, least, _) in enumerate(secret_scans.KINDS):
+        found += [(m.start(), k, m.end(), name, m.group(group)) for m in re.finditer(pattern, text, re.ASCII) if len(m.group(group)) >= least]
+    return sorted(found)
+
+
+def _class(name, value, owners, repos):
+    body = bool(re.search("[A-Za-z0-9+/]{16}", value))
+    placeholder = re.search(secret_scans.PLACEHOLDER, value) and not (name == "pem" and body)
+    if placeholder or (len(owners) >= 3 and len(repos) >= 3):
+        return "example"
+    letters = len(set(value))
+    live = {"pem": body, "assign": letters >= 5 and (not re.search(secret_scans.WORDS, value) or bool(re.search("[a-z]{24}|[A-Z]{24}", value))),
+            "hex": len(value) >= 16 and letters >= 8 and bool(re.search("[0-9]", value))}.get(name, True)
+    return "live" if live else "weak"
+
+
+def test_all_kinds_and_classes_by_brute_force(spark):
+    rng = random.Random(12)
+    word = lambda letters, n: "".join(rng.choices(letters, k=n))
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    make = [lambda: f'password = "{word(upper + lower + digits, rng.randrange(4, 20))}"', lambda: "AKIA" + word(upper + digits, rng.randrange(8, 20)), lambda: word("0123456789abcdef", rng.randrange(20, 70)),
+            lambda: "ghp_" + word(lower + digits, rng.randrange(30, 45)), lambda: "xoxb-" + word(digits + "-", rng.randrange(5, 15)), lambda: f"eyJ{word(lower, 12)}.{word(upper, 9)}.{word(digits, 3)}",
+            lambda: f"-----BEGIN PRIVATE KEY-----\n{word(upper + lower, 40)}\n-----END PRIVATE KEY-----", lambda: "secret: example_value", lambda: "token=" + word("ab", 12), lambda: "plain é words"]
+    shared = [f() for f in make for _ in range(2)]
+    rows = []
+    for i in range(160):
+        pieces = [rng.choice(shared) if rng.random() < 0.4 else rng.choice(make)() for _ in range(rng.randrange(0, 7))]
+        rows.append((i, rng.choice([" ", "\n", "; é "]).join(pieces), rng.choice(["en", "de"]), rng.choice([f"s{k}" for k in range(5)] + [None])))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    owners, repos = {}, {}
+    for _, text, lang, source in rows:
+        for *_, value in _all_spans(text):
+            owners.setdefault(value, set()).add(source)
+            repos.setdefault(value, set()).add("/".join(x for x in (source, lang) if x))
+    got = {r.doc_id: r for r in secret_scans.scan_secrets(df).collect()}
+    seen = set()
+    for i, text, *_ in rows:
+        spans = _all_spans(text)
+        classes = [_class(name, v, owners[v], repos[v]) for *_, name, v in spans]
+        seen |= {(s[3], c) for s, c in zip(spans, classes)}
+        assert got[i].spans == ",".join(f"{n}:{a}:{b}" for a, _, b, n, _ in spans)
+        assert got[i].classes == ",".join(f"{c}:{len(repos[s[4]])}:{len(owners[s[4]])}" for s, c in zip(spans, classes))
+        assert (got[i].n_live, got[i].n_example, got[i].n_weak) == tuple(classes.count(c) for c in ("live", "example", "weak"))
+        assert got[i].live_spans == ",".join(f"{s[3]}:{s[0]}:{s[2]}" for s, c in zip(spans, classes) if c == "live")
+        assert [tuple(b) for b in got[i].live_bytes] == [(len(text[:s[0]].encode()), len(text[:s[2]].encode())) for s, c in zip(spans, classes) if c == "live"]
+    assert {k for k, _ in seen} == {k[0] for k in secret_scans.KINDS} and {c for _, c in seen} == {"live", "example", "weak"}
+
+
+def test_one_shared_repository_is_no_wide_copy(spark):
+    """Many owners in one repository, many repositories of one owner, and both."""
+    from pyspark.sql import functions as F
+    value = lambda k: hashlib.sha1(b"%d" % k).hexdigest()
+    rows = [(10 * k + i, f"token = {value(k)}", f"r{i if k else 0}", f"o{i if k != 1 else 0}") for k in range(3) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, repo string, owner string")
+    got = {r.doc_id: (r.n_live, r.n_example, r.max_repos, r.max_owners) for r in secret_scans.scan_secrets(df, repo=F.col("repo"), owner=F.col("owner")).collect()}
+    assert got == {10 * k + i: [(2, 0, 1, 4), (2, 0, 4, 1), (0, 2, 4, 4)][k] for k in range(3) for i in range(4)}
+
+
+def test_many_matches_in_one_text(spark):
+    """200,000 matches take seconds, and redaction of all of them too."""
+    import time
+    text = "é " + " ".join(f"pwd token={hashlib.md5(b'%d' % (i % 5000)).hexdigest()[:20]}Z" for i in range(200_000))
+    df = spark.createDataFrame([(1, text, "en", "a", len(text))], "doc_id long, text string, lang string, source string, n_chars long").cache()
+    df.count()
+    start = time.time()
+    row = secret_scans.scan_secrets(df).drop("spans", "live_spans", "classes", "live_bytes").first()
+    out = secret_scans.redact_live(df).first()
+    assert time.time() - start < 60
+    assert (row.n_assign, row.n_live) == (200_000, 200_000)
+    assert out.text == "é " + " ".join(["pwd [SECRET]"] * 200_000) and out.n_chars == len(out.text)
+
+
 def test_ownership_separates_examples_from_live_credentials(spark):
     rows = [(i, f'token = "{hashlib.sha1(b"shared").hexdigest()}"', "en", f"src{i}") for i in range(5)]
     rows += [(10 + i, f'token = "{hashlib.sha1(b"own").hexdigest()}"', "en", "src1") for i in range(50)]
@@ -385,6 +476,19 @@ def test_redaction_keeps_rows_columns_and_clean_texts(docs, rows):
 
 # near-copies
 
+def test_one_id_on_several_texts(spark):
+    """An id names no text: of each group of near-copies one row stays, clean texts all stay, and so do rows without an id."""
+    rng = random.Random(2)
+    text = lambda: " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(1, a), (1, b), (2, a), (3, c), (3, c), (4, c), (None, d), (None, d), (None, a), (5, ""), (6, None), (7, b)]
+    df = spark.createDataFrame([r + ("x", 0) for r in rows], "doc_id long, text string, first string, __bizlens_row long").repartition(3)
+    out = simhash.keep_representatives(df)
+    assert out.columns == df.columns
+    assert _sorted((r.doc_id, r.text) for r in out.collect()) == _sorted([(1, a), (1, b), (3, c), (None, d), (None, d), (None, a), (5, "")])
+
+
+
 def test_fingerprints(rows):
     for _, t in rows[:-3]:
         w = [re.sub("[A-Z]", lambda m: m.group().lower(), x) for x in words_of(t)][:5000]

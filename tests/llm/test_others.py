@@ -18,7 +18,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     return con
 
@@ -28,7 +28,7 @@ def test_query_matches_its_sql(spark, duck, name):
     out = QUERIES[name](spark, SF001)
     rel = duck.sql(ORACLE[name])
     order = sorted(out.columns)
-    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "int": "INTEGER"}
     assert {c: kinds[t] for c, t in out.dtypes} == dict(zip(rel.columns, map(str, rel.types)))
     got = sorted((tuple(r[c] for c in order) for r in out.collect()), key=repr)
     want = sorted((tuple(dict(zip(rel.columns, r))[c] for c in order) for r in rel.fetchall()), key=repr)
@@ -61,8 +61,9 @@ def test_formatting_is_reversible(spark):
     for conv in (1, 2, 3, None):
         want = [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == conv), key=key)]
         assert [(t.role, t.text) for t in got[conv].turns] == want
-        assert "".join(s.text for s in got[conv].segments) == got[conv].formatted
-        assert sum(s.loss for s in got[conv].segments) == sum(r == "assistant" for r, _ in want)
+        covered = [got[conv].formatted[m.start:m.start + m.length] for m in got[conv].mask]
+        assert covered == [got[conv].formatted.encode()[m.first:m.first + m.size].decode() for m in got[conv].mask]
+        assert covered == [t.replace(esc, esc + "0").replace("<", esc + "1").replace("[", esc + "2") for r, t in want if r == "assistant"]
     assert chat_formatting.format_chats(df.limit(0).withColumn("parts", chat_formatting.text_parts(df.text))).collect() == []
 
 
@@ -78,6 +79,28 @@ def test_visitor_flattens_typed_parts(spark):
     assert got[1].attachment_tokens == 1659 and got[2].attachments == []
 
 
+def test_parts_are_read_back_by_type(spark):
+    """A placeholder and a text that spells one out are told apart."""
+    from pyspark.sql import functions as F
+    rows = [(1, 0, "user", [("image", None, "r", 1.0), ("text", "<|image|>", None, None), ("text", "x", None, None), ("audio", None, None, None)]),
+            (1, 1, "assistant", [("text", "<|audio|><|end|>\n", None, None)]), (1, 2, "a\n<b", []), (2, 0, "assistant", [("document", None, None, None)] * 2)]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat_formatting.PART}>")
+    got = {r.conv_id: [(t.role, [tuple(p) for p in t.parts]) for t in r.turns]
+           for r in chat_formatting.format_chats(df).withColumn("turns", chat_formatting.read_parts(F.col("formatted"))).collect()}
+    assert got == {1: [("user", [("image", None), ("text", "<|image|>x"), ("audio", None)]), ("assistant", [("text", "<|audio|><|end|>\n")]), ("a\n<b", [])],
+                   2: [("assistant", [("document", None), ("document", None)])]}
+    none = spark.createDataFrame([(None,), ("",)], "formatted string").select(chat_formatting.read_parts(F.col("formatted")).alias("t")).collect()
+    assert none[0].t is None and none[1].t == []
+
+
+def test_many_attachments_and_long_texts(spark):
+    parts = [("text", f"piece {i} <", None, None) if i % 2 else ("image", None, f"r{i}", 1.0) for i in range(5000)] + [("text", "y" * 2_000_000, None, None)]
+    df = spark.createDataFrame([(1, 0, "assistant", parts)], f"conv_id long, turn long, role string, parts array<{chat_formatting.PART}>")
+    got = chat_formatting.format_chats(df).first()
+    assert [a.ref for a in got.attachments] == [f"r{i}" for i in range(0, 5000, 2)] and got.attachment_tokens == 2500 * 256
+    assert len(got.mask) == 1 and got.formatted[got.mask[0].start:got.mask[0].start + got.mask[0].length].endswith("y" * 2_000_000)
+
+
 def test_chat_query_by_brute_force(spark):
     rows = table(spark, SF001, "conversations").collect()
     by = {}
@@ -148,6 +171,18 @@ def test_cascade_is_exact(spark, bits, share):
     assert all(r.listed == r.found for r in out) and all(x.bits <= bits for x in levels)
 
 
+@pytest.mark.parametrize("keys,bits", [(60_000, 1 << 14), (4_000, 1 << 10)])
+def test_long_lists_go_by_parts(spark, keys, bits):
+    """Filters far too small for the whole list: every part's cascade stays under the cap and is exact."""
+    from pyspark.sql import functions as F
+    url = F.concat(F.lit("http://h"), F.col("id") % 97, F.lit(".net/p"), F.col("id"))
+    pages = spark.range(keys).select(F.col("id").alias("page_id"), url.alias("url"), (F.xxhash64("id") % 2 == 0).alias("bad"))
+    assert url_filters.parts_of(keys // 2, keys // 2, bits) > 3
+    got = url_filters.judge_urls(pages, pages.bad, rules=[], max_bits=bits).join(pages, "page_id")
+    assert got.groupBy("bad", "verdict").count().collect().__len__() == 2
+    assert got.where((F.col("verdict") == "block") != F.col("bad")).isEmpty() and got.count() == keys
+
+
 def test_judge_urls_cases(spark):
     rows = [(1, "http://a.example.org/es/1", True), (2, "http://example.org/en/12", False), (3, "http://notexample.org/en/1", False), (4, "http://x.com/fr/", True),
             (5, "http://x.com/de/9", None), (6, "http://x.net/a", True), (7, "http://x.net/a?again", False), (8, "http://x.net/b", False), (9, None, True), (None, "http://org", None),
