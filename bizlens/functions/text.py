@@ -23,9 +23,26 @@ def na_to_null(c: Column, markers=NA_MARKERS) -> Column:
     return F.when(c.isin(*markers), F.lit(None).cast("string")).otherwise(c)
 
 
+# The white space of text cells (Unicode's, and the ASCII separators 1C-1F).
+WHITE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+# A plain number with an exponent if any; casts alone take type suffixes, hexadecimal and NaN.
+PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def squeeze(s: Column) -> Column:
-    """Trim and collapse inner whitespace runs to one space."""
-    return F.trim(F.regexp_replace(s, r"\s+", " "))
+    """Trim and collapse inner whitespace runs to one space; no-break and other Unicode spaces are white space."""
+    return F.trim(F.regexp_replace(s, WHITE + "+", " "))
+
+
+def strip(s: Column) -> Column:
+    """White space of all kinds off both ends."""
+    return F.regexp_replace(s, f"^{WHITE}+|{WHITE}+$", "")
+
+
+def plain_number(s: Column) -> Column:
+    """The number that a text spells out, else NULL."""
+    v = strip(s)
+    return F.when(v.rlike(PLAIN_NUMBER), v.try_cast("double"))
 
 
 def excel_trim(s: Column) -> Column:
@@ -40,10 +57,12 @@ def proper(s: Column) -> Column:
     after it; anything else is a separator (``men's`` -> ``Men'S``).  Built
     from code-generated expressions only: a marker and a space are put before
     every letter that follows a non-letter, ``initcap`` (which capitalises
-    after spaces) does the casing, and the markers are removed again.
+    after spaces) does the casing, and the markers are removed again.  The text's own
+    markers are doubled meanwhile, so none of them is taken for one put in.
     """
-    marked = F.regexp_replace(F.lower(s), r"([^\p{L}])(\p{L})", "$1\u0001 $2")
-    return F.regexp_replace(F.initcap(marked), "\u0001 ", "")
+    marked = F.regexp_replace(F.replace(F.lower(s), F.lit("\u0001"), F.lit("\u0001\u0001")), r"([^\p{L}])(\p{L})", "$1\u0001 $2")
+    # left to right: a doubled marker is the text's own, a marker and a space were put in
+    return F.regexp_replace(F.initcap(marked), "\u0001(?:(\u0001)| )", "$1")
 
 
 def left(s: Column, n: int) -> Column:
@@ -90,13 +109,13 @@ def text_join(sep: str, *cols: Column) -> Column:
 
 def parse_price(s: Column) -> Column:
     """Strip ``$`` and ``,``, parse, negative or unparsable -> NULL."""
-    v = F.translate(F.trim(s), "$,", "").try_cast("double")
+    v = plain_number(F.translate(s, "$,", ""))
     return F.when(v >= 0, v)
 
 
 def parse_quantity(s: Column, lo: float = 0, hi: float = 1000) -> Column:
     """H24 + B13: parse, outside [lo, hi] -> NULL, round half to even, integer."""
-    v = F.trim(s).try_cast("double")
+    v = plain_number(s)
     v = F.when((v >= lo) & (v <= hi), v)
     return F.bround(v, 0).cast("long")
 
@@ -142,4 +161,5 @@ def status_label(x: Column, ok: str = "On Track", bad: str = "Over Budget") -> C
 
 def is_valid_email(s: Column) -> Column:
     """The schema's e-mail CHECK (case-insensitive)."""
+    # Fixed value: the pattern of the CHECK.
     return s.rlike(r"(?i)^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$")

@@ -7,8 +7,9 @@ duplicates -> trim/collapse whitespace -> dates -> categories -> product names
 apply to running text (markers, duplicates, whitespace, mapping with fallback,
 title case) over the given ``documents`` and ``conversations``, whole tables.
 
-Duplicates are found on a narrow frame (a digest stands for the text), so the
-texts are not sorted or compared; of equal rows the first id stays.
+Duplicates: turns and sales are equal if all their columns are; documents if text,
+language and source are, whatever their ids, and the first id stays.  A digest stands
+for the text in the comparison.
 """
 
 from __future__ import annotations
@@ -79,11 +80,16 @@ def _row_key(df: DataFrame, columns: list[str], text: str = "text") -> DataFrame
 
 
 def first_of_equals(df: DataFrame, columns: list[str], ids: list[str]) -> DataFrame:
-    """G1: of rows equal in ``columns`` the one with the least ids stays."""
+    """G1: of rows equal in ``columns`` (NULLs equal) the one with the least ids stays, NULL ids last.
+
+    One grouping on the columns, a digest for the text; tasks reduce their own copies first, so a
+    row that a third of the table repeats is one row a task in the shuffle.
+    """
     key = [F.sha2(F.col(c), 256).alias(f"_{c}") if c == "text" else F.col(c).alias(f"_{c}") for c in columns]
-    kept = (df.select(*key, F.struct(*ids).alias("_id")).groupBy(*[f"_{c}" for c in columns]).agg(F.min("_id").alias("_id"))
-              .select(*[F.col(f"_id.{c}").alias(c) for c in ids]))
-    return df.join(kept, ids, "left_semi")
+    order = F.struct(*[x for c in ids for x in (F.col(c).isNull(), F.col(c))])
+    row = F.struct(*df.columns)
+    kept = df.select(*key, order.alias("_ids"), row.alias("_row")).groupBy(*[f"_{c}" for c in columns]).agg(F.min_by("_row", "_ids").alias("_row"))
+    return kept.select("_row.*")
 
 
 def marked_documents(t) -> DataFrame:
@@ -105,14 +111,14 @@ def cleaned_documents(t) -> DataFrame:
 
 
 def cleaned_conversations(t) -> DataFrame:
-    """L18 over conversations: first of equal turns, whitespace squeezed, roles in title case."""
-    d = first_of_equals(marked_conversations(t), ["role", "text"], ["conv_id", "turn"])
+    """L18 over conversations: rows equal in all columns once, whitespace squeezed, roles in title case."""
+    d = first_of_equals(marked_conversations(t), ["conv_id", "turn", "role", "text"], ["conv_id", "turn"])
     return d.select("conv_id", "turn", X.proper(X.squeeze(F.col("role"))).alias("role"), X.squeeze(F.col("text")).alias("text"))
 
 
-# table, columns that are cleaned, marked frame, cleaned frame
-_TEXT_TABLES = [("documents", ["text", "lang", "source"], marked_documents, cleaned_documents),
-                ("conversations", ["role", "text"], marked_conversations, cleaned_conversations)]
+# table, columns that are cleaned, columns that make rows equal, marked frame, cleaned frame
+_TEXT_TABLES = [("documents", ["text", "lang", "source"], ["text", "lang", "source"], marked_documents, cleaned_documents),
+                ("conversations", ["role", "text"], ["conv_id", "turn", "role", "text"], marked_conversations, cleaned_conversations)]
 
 
 def _stack(frames: list[DataFrame]) -> DataFrame:
@@ -121,7 +127,7 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 
 def cleaning_null_report(t) -> DataFrame:
     """NULL count per column before and after cleaning."""
-    def one(table, columns, before, after):
+    def one(table, columns, equal, before, after):
         b = P.null_counts(before(t).select(*columns)).withColumnRenamed("nulls", "nulls_before")
         a = P.null_counts(after(t).select(*columns)).withColumnRenamed("nulls", "nulls_after")
         return b.join(a, "column").withColumn("table", F.lit(table))
@@ -131,12 +137,12 @@ def cleaning_null_report(t) -> DataFrame:
 
 def cleaning_summary(t) -> DataFrame:
     """L19 per table: rows before, duplicate rows (D21), rows after, total NULLs before and after."""
-    def one(table, columns, before, after):
+    def one(table, columns, equal, before, after):
         b, a = before(t), after(t)
         total = lambda df: P.null_counts(df.select(*columns)).select(F.sum("nulls")).scalar()
         rows = lambda df: df.select(F.count(F.lit(1))).scalar()
         return t.spark.range(1).select(
-            F.lit(table).alias("table"), rows(b).alias("rows_before"), P.duplicate_count(_row_key(b, columns)).alias("duplicates_removed"),
+            F.lit(table).alias("table"), rows(b).alias("rows_before"), P.duplicate_count(_row_key(b, equal)).alias("duplicates_removed"),
             rows(a).alias("rows_after"), total(b).alias("nulls_before"), total(a).alias("nulls_after"))
 
     return _stack([one(*x) for x in _TEXT_TABLES])

@@ -319,7 +319,7 @@ def _caps(x: str) -> str:
 
 
 def _tidy(x: str) -> str:
-    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace({x}, '[\\s\\x0B\\x1C-\\x1F\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+', ' ', 'g'))"
 
 
 FRAMES["da"] = f"SELECT doc_id, {_na('text')}, {_na('lang')}, {_na('source')} FROM documents"
@@ -329,9 +329,10 @@ FRAMES["dz"] = f"""SELECT doc_id, {_tidy('text')} AS text,
                                ELSE {_caps('trim(lang)')} END AS lang, {_caps(_tidy('source'))} AS source
                    FROM da QUALIFY row_number() OVER (PARTITION BY text, lang, source ORDER BY doc_id) = 1"""
 FRAMES["cz"] = f"""SELECT conv_id, turn, {_caps(_tidy('role'))} AS role, {_tidy('text')} AS text
-                   FROM ca QUALIFY row_number() OVER (PARTITION BY role, text ORDER BY conv_id, turn) = 1"""
+                   FROM (SELECT DISTINCT conv_id, turn, role, text FROM ca)"""
 NEEDS |= {"dz": ["da"], "cz": ["ca"]}
-_DOC, _CONV = ("documents", "da", "dz", ["text", "lang", "source"]), ("conversations", "ca", "cz", ["role", "text"])
+_DOC = ("documents", "da", "dz", ["text", "lang", "source"], ["text", "lang", "source"])
+_CONV = ("conversations", "ca", "cz", ["role", "text"], ["conv_id", "turn", "role", "text"])
 
 
 def _missing(frame: str, columns: list[str]) -> str:
@@ -342,12 +343,12 @@ ORACLE["cleaned_documents"] = sql("dz", "SELECT * FROM dz")
 ORACLE["cleaned_conversations"] = sql("cz", "SELECT * FROM cz")
 ORACLE["cleaning_null_report"] = sql("dz cz", "\nUNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {big(_missing(a, [c]), 'nulls_before')}, {big(_missing(z, [c]), 'nulls_after')}, '{t}' AS \"table\""
-    for t, a, z, columns in (_DOC, _CONV) for c in columns))
+    for t, a, z, columns, _ in (_DOC, _CONV) for c in columns))
 ORACLE["cleaning_summary"] = sql("dz cz", "\nUNION ALL ".join(
     f"SELECT '{t}' AS \"table\", {big(f'(SELECT count(*) FROM {a})', 'rows_before')}, "
-    f"{big(f'(SELECT count(*) FROM {a}) - (SELECT count(*) FROM (SELECT DISTINCT ' + ', '.join(columns) + f' FROM {a}))', 'duplicates_removed')}, "
+    f"{big(f'(SELECT count(*) FROM {a}) - (SELECT count(*) FROM (SELECT DISTINCT ' + ', '.join(equal) + f' FROM {a}))', 'duplicates_removed')}, "
     f"{big(f'(SELECT count(*) FROM {z})', 'rows_after')}, {big(_missing(a, columns), 'nulls_before')}, {big(_missing(z, columns), 'nulls_after')}"
-    for t, a, z, columns in (_DOC, _CONV)))
+    for t, a, z, columns, equal in (_DOC, _CONV)))
 ORACLE["cleaning_value_counts"] = sql("dz cz", "\nUNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS count, '{t}' AS \"table\" FROM {z} GROUP BY {c}"
     for t, z, c in (("documents", "dz", "lang"), ("documents", "dz", "source"), ("conversations", "cz", "role"))))
@@ -517,3 +518,39 @@ ORACLE["order_lookups"] = sql("o c", """
 SELECT oid AS order_id, c.first AS customer_name, coalesce((SELECT n_name FROM nation WHERE n_nationkey = c.nat AND n_regionkey <> 0), 'Not found') AS nation,
        CASE WHEN amount >= 300000 THEN 'Key account' WHEN amount >= 150000 THEN 'Large' WHEN amount >= 50000 THEN 'Medium' WHEN amount >= 0 THEN 'Small' END AS tier
 FROM o LEFT JOIN c USING (cid)""")
+
+# ---------------------------------------------------------------- files written and read back
+ORACLE["documents_csv"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+ORACLE["region_rewrite"] = sql("o c", f"""more: k AS (SELECT region, oid, amount, region = 'ASIA' AS new FROM o JOIN c USING (cid) WHERE region <> 'ASIA' OR state = 'delivered')
+SELECT region, count(*) AS rows, {dbl("sum(CASE WHEN new THEN round(amount * 1.02, 2) ELSE amount END)", 'amount')}, count(*) FILTER (new) AS revised_rows, CAST(sum(oid) AS DOUBLE) AS id_sum
+FROM k GROUP BY region""")
+ORACLE["report_bundle"] = sql("o l p", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", CAST(2 AS BIGINT) AS version, count(*) AS rows, {dbl(f'sum({m})', 'total')} FROM {f}" for t, f, m in (("orders", "o", "amount"), ("items", "l", "net"), ("products", "p", "price"))))
+ORACLE["quarantined_rows"] = sql("o c r", """more: b AS (
+  SELECT 'orders' AS "table", oid AS key, list_filter([CASE WHEN cid IS NOT NULL AND cid NOT IN (SELECT cid FROM r WHERE cid IS NOT NULL) THEN 'foreign_key(customer_id)' END,
+         CASE WHEN cid IS NULL THEN 'not_null(customer_id)' END, CASE WHEN state NOT IN ('delivered', 'processing', 'pending') THEN 'status in list' END,
+         CASE WHEN amount < 1000 THEN 'total_amount >= 1000' END, CASE WHEN count(*) OVER (PARTITION BY oid) > 1 THEN 'unique(order_id)' END], lambda v: v IS NOT NULL) AS bad FROM o
+  UNION ALL
+  SELECT 'customers', cid, list_filter([CASE WHEN NOT regexp_full_match(mail, '[a-z0-9._%+-]+@[a-z0-9.-]+[.][a-z]{2,}', 'i') THEN 'email_format' END,
+         CASE WHEN cid NOT IN (SELECT cid FROM o WHERE cid IS NOT NULL) THEN 'foreign_key(customer_id)' END, CASE WHEN region = 'EUROPE' THEN 'region isn''t EUROPE' END,
+         CASE WHEN count(*) OVER (PARTITION BY cid) > 1 THEN 'unique(customer_id)' END, CASE WHEN count(*) OVER (PARTITION BY mail) > 1 THEN 'unique(email)' END], lambda v: v IS NOT NULL) FROM c)
+SELECT "table", CAST(key AS BIGINT) AS key, array_to_string(bad, '; ') AS broken FROM b WHERE len(bad) > 0""")
+ORACLE["cleaned_sales"] = """WITH x AS (
+  SELECT l_orderkey * 10 + l_linenumber AS order_id, CAST(o_orderdate AS DATE) AS day, (l_orderkey * 7 + l_linenumber) % 12 AS kind, CAST(l_quantity AS INTEGER) AS qty,
+         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) AS price, l_returnflag AS flag, concat(lower(l_linestatus), '-line o''part') AS item, l_orderkey % 10 AS clerk
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+), w AS (
+  SELECT DISTINCT order_id, kind, CASE WHEN kind < 10 THEN day END AS day, CASE WHEN kind NOT IN (8, 10) THEN qty END AS qty, CASE WHEN kind <> 10 THEN price END AS price, flag, item, clerk FROM x
+), y AS (
+  SELECT *, day AS d, CASE WHEN kind < 6 THEN qty WHEN kind < 8 THEN qty + qty % 2 WHEN kind = 9 AND qty <= 1 THEN qty * 1000 END AS q,
+         CASE WHEN kind NOT IN (8, 9) THEN price END AS p FROM w
+)
+SELECT order_id, d AS date, CASE kind % 3 WHEN 0 THEN 'Electronics' WHEN 1 THEN 'Home & Garden' ELSE FALLBACK END AS category, CAPS AS product_name, CAST(q AS BIGINT) AS quantity, p AS unit_price,
+       CASE flag WHEN 'A' THEN 'North' WHEN 'N' THEN 'South' ELSE 'Mid West' END AS region, concat('clerk ', clerk) AS salesperson,
+       array_to_string(list_filter([CASE WHEN kind = 10 THEN 'date' END, CASE WHEN kind IN (8, 11) OR kind = 9 AND qty > 1 THEN 'quantity' END, CASE WHEN kind IN (8, 9) THEN 'unit_price' END], lambda v: v IS NOT NULL), ' ') AS rejected
+FROM y""".replace("FALLBACK", _caps("item")).replace("CAPS", _caps("item"))
+ORACLE["product_records"] = """WITH n AS (SELECT page_id AS i FROM pages), cost AS (SELECT i, lpad(CAST((i * 7) % 100 AS VARCHAR), 2, '0') AS cents FROM n)
+SELECT i AS page_id, CAST(0 AS INTEGER) AS pod_no, concat('set > ', i) AS title, CAST(concat(i % 90 + 10, '.', cents) AS DOUBLE) AS price,
+       CAST(CASE WHEN i % 6 = 5 THEN 0 ELSE i % 6 + 1 END AS INTEGER) AS rating, 'Unknown' AS availability FROM cost
+UNION ALL
+SELECT i, 1, concat('part & ', i), CAST(concat((i * 3) % 90 + 10, '.', cents) AS DOUBLE), 2, 'In stock' FROM cost"""

@@ -53,9 +53,7 @@ def inventory_alerts(t) -> DataFrame:
     Inventory and products are both projections of ``part`` here, so one scan
     serves both (a self join on the key would only add a shuffle).
     """
-    p = V.products(t).select("product_id", "sku", "name")
-    inv = V.inventory(t)
-    j = p.join(inv, "product_id")
+    j = V.product_stock(t)
     q, lvl = F.col("quantity"), F.col("reorder_level")
     status = (F.when(q == 0, "OUT OF STOCK").when(q <= lvl, "REORDER NOW")
                .when(q <= lvl * 1.5, "LOW STOCK").otherwise("OK"))

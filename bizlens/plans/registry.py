@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load_tables
-from . import (budget, cleaning, customers, formulas, hierarchy, pages, products, profiling, quality, reports,
+from . import (budget, cleaning, customers, exchange, formulas, hierarchy, pages, products, profiling, quality, reports,
                revenue, series)
 from . import views as V
 from .common import to_report
@@ -90,6 +90,12 @@ QUERIES: dict[str, Query] = {
     "document_profile": _on_tables(profiling.document_profile),
     "document_column_profile": _on_tables(profiling.document_column_profile),
     "document_preview": _on_tables(profiling.document_preview),
+    "documents_csv": _on_tables(exchange.documents_csv),
+    "region_rewrite": _on_tables(exchange.region_rewrite),
+    "report_bundle": _on_tables(exchange.report_bundle),
+    "quarantined_rows": _on_tables(exchange.quarantined_rows),
+    "cleaned_sales": _on_tables(exchange.cleaned_sales),
+    "product_records": _on_tables(exchange.product_records),
     "tree_rollup": _on_tables(hierarchy.tree_rollup),
     "order_calendar": _on_tables(formulas.order_calendar),
     "customer_text": _on_tables(formulas.customer_text),

@@ -20,6 +20,7 @@ from ..operators import windows as W
 from . import views as V
 from ..functions import dates as D
 from ..functions import text as X
+from ..operators.selection import group_percentiles
 from .common import money_div, round_ratio
 
 
@@ -28,19 +29,20 @@ def fulfilment_times(t, approx: bool = False) -> DataFrame:
     """Per order month: delivered orders, average hours to ship, average and
     median days to deliver (epoch differences; averages rounded exactly).
 
-    The exact median keeps one count per distinct value of a month in memory
-    (day-granular here, so few); ``approx=True`` uses a bounded sketch instead.
+    The exact median comes by distributed selection, whatever the number of distinct values
+    of a month; ``approx=True`` uses a bounded sketch instead.
     """
     s = V.shipments(t).where((F.col("status") == "delivered") & F.col("shipped_date").isNotNull()
                              & F.col("delivered_date").isNotNull())
     ship_s = F.timestamp_diff("SECOND", F.col("order_date"), F.col("shipped_date"))
     deliver_s = F.timestamp_diff("SECOND", F.col("order_date"), F.col("delivered_date"))
     days = D.days_between_exact(F.col("order_date"), F.col("delivered_date"))
-    g = (s.groupBy(D.month_start(F.col("order_date")).alias("month"))
-          .agg(F.count(F.lit(1)).alias("delivered_orders"),
-               F.sum(ship_s).alias("_ship"), F.sum(deliver_s).alias("_del"),
-               (F.percentile_approx(days, 0.5, 10000) if approx
-                else F.percentile(days, 0.5)).alias("_median")))
+    g = s.groupBy(D.month_start(F.col("order_date")).alias("month")).agg(
+        F.count(F.lit(1)).alias("delivered_orders"), F.sum(ship_s).alias("_ship"), F.sum(deliver_s).alias("_del"),
+        *([F.percentile_approx(days, 0.5, 10000).alias("_median")] if approx else []))
+    if not approx:
+        medians = group_percentiles(s.select(D.month_start(F.col("order_date")).alias("month"), days.alias("days")), ["month"], "days", [0.5])
+        g = g.join(medians.withColumnRenamed("p0", "_median"), "month")
     n = F.col("delivered_orders")
     out = g.select("month", "delivered_orders",
                    round_ratio(F.col("_ship"), n * 3600, 1).alias("avg_hours_to_ship"),

@@ -111,6 +111,13 @@ def inventory(t) -> DataFrame:
                     F.lit(50).alias("reorder_quantity"))
 
 
+def product_stock(t) -> DataFrame:
+    """Products with their inventory: both views are projections of ``part``, so one scan gives both."""
+    p = t["part"]
+    return p.select(p.p_partkey.alias("product_id"), F.concat(F.lit("SKU-"), p.p_partkey.cast("string")).alias("sku"), p.p_name.alias("name"),
+                    (p.p_size - 1).alias("quantity"), (F.lit(10) + p.p_partkey % 20).cast("int").alias("reorder_level"), F.lit(50).alias("reorder_quantity"))
+
+
 def reviews(t) -> DataFrame:
     """events → reviews; product id spreads events over all parts."""
     e = t["events"]

@@ -11,9 +11,10 @@
   the numeric cells of the sample (a column is numeric if >= 70 % of the first
   <= 10 data rows are numbers).
 
-A line is cut at commas outside double quotes in one pass over its quoted
-pieces; a doubled quote is a quote.  Quoted line breaks are not supported
-(documented limit).
+Files of a folder are read by records (``quoted_csv``), so line breaks inside quotes are text of their
+cells; the lines of stored documents and of the folder stream are cut one by one at commas
+outside double quotes.  A file that can't be read is a row with status ``ERROR`` and the error's text, and
+takes nothing from the others.
 """
 
 from __future__ import annotations
@@ -25,8 +26,11 @@ from pyspark.sql import types as T
 from ..functions.text import human_size, safe_name
 from ..operators.profile import is_number_text, numeric_profile
 from ..operators.windows import global_row_window
+from .quoted_csv import read_records
+from .scratch import materialize, ship_package
 
-CSV_GLOB = "*.[cC][sS][vV]"
+CSV_GLOB = "*.{[cC][sS][vV],[cC][sS][vV].[gG][zZ]}"
+GZIP_GLOB = "*.[cC][sS][vV].[gG][zZ]"
 SAMPLE_ROWS = 10
 PREVIEW_ROWS = 5
 NUMERIC_SHARE = 0.7
@@ -72,15 +76,60 @@ def _number_lines(parts):
 def number_lines(raw: DataFrame) -> DataFrame:
     """(file_path, line_no, line): line_no is 0 for a file's first line and counts on in its
     first split; lines of later splits have none."""
+    ship_package(raw.sparkSession)
     numbered = raw.select("file_path", "block", "line").mapInArrow(_number_lines, "file_path string, block long, line string, line_no long")
     return numbered.select("file_path", F.when(F.col("block") == 0, F.col("line_no")).alias("line_no"), "line")
 
 
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(file_path, line_no, line) for every line of every CSV file."""
-    return number_lines(spark.read.option("pathGlobFilter", CSV_GLOB).text(folder)
-                        .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
-                                F.col("value").alias("line")))
+    """(file_path, line_no, cells) of every record of every CSV file; line_no as ``number_lines`` gives it."""
+    records = read_records(spark, folder, CSV_GLOB)
+    return records.select("file_path", F.when(F.col("block") == 0, F.col("at")).alias("line_no"),
+                          F.transform("cells", lambda c: F.trim(F.coalesce(c, F.lit("")))).alias("cells"))
+
+
+def _gzip_errors(batches):
+    """(file_path, error) of the files that don't unpack, a stretch at a time."""
+    import zlib
+
+    import pyarrow as pa
+
+    for batch in batches:
+        found = []
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            data, error = memoryview(content.as_buffer()), None
+            try:
+                at = 0
+                while at < len(data):
+                    unpack = zlib.decompressobj(31)  # one member; a file may have several
+                    while not unpack.eof:
+                        if at >= len(data):
+                            raise EOFError("the file ends inside its compressed data")
+                        stretch = data[at:at + (1 << 20)]
+                        rest = unpack.decompress(stretch, 1 << 24)
+                        while unpack.unconsumed_tail:
+                            rest = unpack.decompress(unpack.unconsumed_tail, 1 << 24)
+                        del rest
+                        at += len(stretch) - len(unpack.unused_data)
+            except (zlib.error, EOFError) as e:
+                error = str(e)
+            found.append((path, error))
+        bad = [x for x in found if x[1]]
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in bad], pa.string()), pa.array([e for _, e in bad], pa.string())], ["file_path", "error"])
+
+
+def scan_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_path, error) of the CSV files that can't be read whole: broken compression, bytes that are no UTF-8, no readable line."""
+    ship_package(spark)
+    packed = spark.read.format("binaryFile").option("pathGlobFilter", GZIP_GLOB).load(folder).select(F.col("_metadata.file_path").alias("file_path"), "content")
+    broken = packed.mapInArrow(_gzip_errors, "file_path string, error string")
+    lines = (spark.read.option("pathGlobFilter", CSV_GLOB).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("lineSep", "\n").text(folder)
+             .select(F.col("_metadata.file_path").alias("file_path"), (~F.is_valid_utf8("value")).alias("bad")))
+    seen = lines.groupBy("file_path").agg(F.count_if("bad").alias("bad"))
+    coded = seen.where("bad > 0").select("file_path", F.concat(F.col("bad").cast("string"), F.lit(" lines are not UTF-8")).alias("error"))
+    sized = spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(folder).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("size"))
+    silent = sized.where("size > 0").join(seen.select("file_path"), "file_path", "left_anti").select("file_path", F.lit("no line could be read").alias("error"))
+    return broken.unionByName(coded).unionByName(silent).groupBy("file_path").agg(F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("error"))
 
 
 def cells(line: Column) -> Column:
@@ -100,13 +149,22 @@ def profile_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
 
     files: file_idx, file_name, file_path, size_bytes, size_text, sheet_name,
     row_count (header included), data_row_count, column_count,
-    numeric_column_count, status.
+    numeric_column_count, status, error.
     columns: file_name, col_no, col_name, min, max, avg (numeric columns).
     """
-    files, cols = profile_lines(list_files(spark, folder), read_lines(spark, folder))
+    errors = materialize(scan_errors(spark, folder), "file-errors")  # a row a broken file
+    lines = read_lines(spark, folder).join(errors.select("file_path"), "file_path", "left_anti")
+    files, cols = profile_lines(list_files(spark, folder), lines)
+    broken = F.col("error").isNotNull()
+    files = files.join(errors, "file_path", "left").withColumn("status", F.when(broken, "ERROR").otherwise(F.col("status")))
     return files, cols.where("is_numeric").drop("is_numeric", "numeric_cells", "cells")
 
 
+def _cells_of(lines: DataFrame) -> Column:
+    """Cells of lines that are cut already, or of text lines."""
+    return F.col("cells") if "cells" in lines.columns else cells(F.col("line"))
+
+
 def profile_lines(files: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Profile from a file list (file_idx, file_name, file_path, size_bytes) and
     its lines (file_path, line_no, line): the batch folder scan, each
@@ -116,8 +174,9 @@ def profile_lines(files: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFr
     ``is_numeric``.
     """
     is_header = F.coalesce(F.col("line_no") == 0, F.lit(False))
-    header = lines.where(is_header).select("file_path", cells(F.col("line")).alias("headers"))
-    long = lines.where(~is_header).select("file_path", "line_no", F.posexplode(cells(F.col("line"))).alias("pos", "cell"))
+    own = _cells_of(lines)
+    header = lines.where(is_header).select("file_path", own.alias("headers"))
+    long = lines.where(~is_header).select("file_path", "line_no", F.posexplode(own).alias("pos", "cell"))
     sampled = F.coalesce(F.col("line_no") <= SAMPLE_ROWS, F.lit(False))
     stats = numeric_profile(long, ["file_path", "pos"], "cell", F.count(F.lit(1)).alias("_rows"), F.count_if(sampled).alias("_sample"),
                             F.count_if(sampled & is_number_text(F.col("cell"))).alias("_numbers"))
@@ -145,7 +204,7 @@ def preview_lines(files: DataFrame, lines: DataFrame, rows: int = PREVIEW_ROWS)
     """first ``rows`` data lines of each file as (file_name, row_no, cells)."""
     head = lines.where((F.col("line_no") >= 1) & (F.col("line_no") <= rows))
     return head.join(files.select("file_path", "file_name"), "file_path").select(
-        "file_name", F.col("line_no").alias("row_no"), cells(F.col("line")).alias("cells"))
+        "file_name", F.col("line_no").alias("row_no"), _cells_of(lines).alias("cells"))
 
 
 def preview(spark: SparkSession, folder: str, rows: int = PREVIEW_ROWS) -> DataFrame:

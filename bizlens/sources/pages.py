@@ -12,7 +12,7 @@ expressions so the DuckDB oracle can use the same ones.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import rating_value
@@ -99,6 +99,49 @@ def detail_key(href_or_url: Column) -> Column:
     return F.regexp_extract(href_or_url, r"([^/]+/index\.html)$", 1)
 
 
+def pod_fields(pod: Column) -> list[Column]:
+    """Title, price, rating, availability and detail key of a product's fragment."""
+    title = decode_entities(_attr_after(pod, r"<h3[^>]*>", "title"))  # attribute values are entity-decoded
+    href = _attr_after(pod, r"<h3[^>]*>", "href")
+    price_txt = F.regexp_extract(pod, r'class="[^"]*price_color[^"]*"[^>]*>([^<]*)<', 1)
+    price = F.replace(F.replace(F.trim(price_txt), F.lit("£"), F.lit("")), F.lit("Â"), F.lit("")).try_cast("double")
+    word = F.regexp_extract(pod, r'<p[^>]*class="star-rating\s+([A-Za-z]+)', 1)
+    avail_frag = F.regexp_extract(pod, r'(?s)class="[^"]*availability[^"]*"[^>]*>(.*?)</p>', 1)
+    has_avail = pod.rlike(r'class="[^"]*availability')
+    return [F.when(title == "", F.lit("N/A")).otherwise(title).alias("title"), price.alias("price"), rating_value(word).cast("int").alias("rating"),
+            F.when(has_avail, tag_text(avail_frag)).otherwise(F.lit("Unknown")).alias("availability"), detail_key(href).alias("_key")]
+
+
+# An article tag, opening or closing; quoted attribute values may hold ``>``.
+ARTICLE = r"""(?i)</?article(?:\s(?:"[^"]*"|'[^']*'|[^'">])*+)?>"""
+
+
+def nested_records(pages: DataFrame) -> DataFrame:
+    """A4 / L25 with nesting: (page_id, pod_no, title, price, rating, availability) of every ``article.product_pod``,
+    also of those inside another one.
+
+    A page's article tags are a stream; a running sum of openings less closings is the depth.  The text after
+    a tag belongs to the last article opened at the depth that holds there, so an
+    article's own text is what stands in it and in no article inside it.  ``pod_no`` counts a page's products
+    by their opening tags, from 0.  An article that is never closed runs to the end of its page.
+    """
+    clean = cleaned(pages)
+    tags = F.arrays_zip(F.regexp_extract_all("_h", F.lit(ARTICLE), F.lit(0)).alias("tag"), F.slice(F.split("_h", ARTICLE, -1), 2, 1 << 30).alias("after"))
+    numbered = clean.withColumn("_page", F.monotonically_increasing_id())  # ids of pages may repeat
+    stream = numbered.select("page_id", "_page", F.posexplode(tags).alias("_i", "_t"))
+    closing = F.col("_t.tag").startswith("</")
+    in_page = Window.partitionBy("_page").orderBy("_i")
+    stream = stream.withColumn("_depth", F.sum(F.when(closing, -1).otherwise(1)).over(in_page))
+    at_depth = Window.partitionBy("_page", "_depth").orderBy("_i")
+    owned = stream.withColumn("_owner", F.max(F.when(~closing, F.col("_i"))).over(at_depth)).where(F.col("_depth") > 0)
+    pods = owned.groupBy("page_id", "_page", "_owner").agg(F.min(F.struct("_i", F.col("_t.tag").alias("tag"))).alias("open"),
+                                                           F.array_sort(F.collect_list(F.struct("_i", F.col("_t.after").alias("after")))).alias("all"))
+    pods = pods.where(F.col("open.tag").rlike(r'\sclass="[^"]*product_pod'))
+    pods = pods.select("page_id", (F.row_number().over(Window.partitionBy("_page").orderBy("_owner")) - 1).alias("pod_no"),
+                       F.array_join(F.transform("all", lambda x: x["after"]), " ").alias("_pod"))
+    return pods.select("page_id", "pod_no", *pod_fields(F.col("_pod"))).drop("_key")
+
+
 def extract_records(pages: DataFrame, with_category: bool = True) -> DataFrame:
     """Every ``article.product_pod`` → (title, price, rating,
     availability, category).
@@ -111,21 +154,7 @@ def extract_records(pages: DataFrame, with_category: bool = True) -> DataFrame:
     clean = cleaned(pages)
     pods = clean.select("page_id", "url", F.posexplode(F.regexp_extract_all("_h", F.lit(POD), 1))
                         .alias("pod_no", "_pod"))
-    pod = F.col("_pod")
-    title = decode_entities(_attr_after(pod, r"<h3[^>]*>", "title"))  # attribute values are entity-decoded
-    href = _attr_after(pod, r"<h3[^>]*>", "href")
-    price_txt = F.regexp_extract(pod, r'class="[^"]*price_color[^"]*"[^>]*>([^<]*)<', 1)
-    price = F.replace(F.replace(F.trim(price_txt), F.lit("£"), F.lit("")), F.lit("Â"), F.lit("")).try_cast("double")
-    word = F.regexp_extract(pod, r'<p[^>]*class="star-rating\s+([A-Za-z]+)', 1)
-    avail_frag = F.regexp_extract(pod, r'(?s)class="[^"]*availability[^"]*"[^>]*>(.*?)</p>', 1)
-    has_avail = pod.rlike(r'class="[^"]*availability')
-    recs = pods.select(
-        "page_id", "pod_no",
-        F.when(title == "", F.lit("N/A")).otherwise(title).alias("title"),
-        price.alias("price"),
-        rating_value(word).cast("int").alias("rating"),
-        F.when(has_avail, tag_text(avail_frag)).otherwise(F.lit("Unknown")).alias("availability"),
-        detail_key(href).alias("_key"))
+    recs = pods.select("page_id", "pod_no", *pod_fields(F.col("_pod")))
     if not with_category:
         return recs.withColumn("category", F.lit("Unknown")).drop("_key")
     trail = F.regexp_extract("_h", r'(?s)<ul[^>]*class="[^"]*breadcrumb[^"]*"[^>]*>(.*?)</ul>', 1)
