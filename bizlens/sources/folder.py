@@ -219,35 +219,38 @@ def with_total(files: DataFrame) -> DataFrame:
     return files.unionByName(total, allowMissingColumns=True)
 
 
-# Parquet folders: the schema of each file is in its footer, so each distinct
-# file is read with its own schema (one typed read per file, no inference).
+# Parquet folders: one scan for each distinct schema, whatever the number of tables.
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def profile_parquet_files(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(files, columns) profile of parquet files: one aggregation pass per file."""
-    file_rows, col_frames = [], []
+    """(files, columns) profile of parquet tables (a file, or a folder of part files, each).
+
+    Tables with the same schema are read by one scan and told apart by the path of each row's file, so
+    the plan grows with the number of schemas.  Tables without rows have a row with zeros.
+    """
+    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
     for path in paths:
-        df = spark.read.parquet(path)
-        name = path.rstrip("/").split("/")[-1]
-        numeric = [(i, f.name) for i, f in enumerate(df.schema.fields) if isinstance(f.dataType, NUMERIC_TYPES)]
+        schema = spark.read.parquet(path).schema
+        by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
+    files = cols = None
+    for schema, own in by_schema.values():
+        numeric = [(i, f.name) for i, f in enumerate(schema.fields) if isinstance(f.dataType, NUMERIC_TYPES)]
         aggs = [F.count(F.lit(1)).alias("data_rows")]
         for i, c in numeric:
             x = F.col(f"`{c}`").cast("double")
             aggs += [F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"), F.avg(x).alias(f"avg_{i}")]
-        wide = df.agg(*aggs)
-        file_rows.append(wide.select(F.lit(name).alias("file_name"), F.col("data_rows").cast("long"),
-                                     F.lit(len(df.columns)).cast("long").alias("column_count"),
-                                     F.lit(len(numeric)).cast("long").alias("numeric_column_count")))
+        scan = spark.read.schema(schema).parquet(*own)
+        # the leftmost part of a path that ends like a table is the table
+        wide = scan.groupBy(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)(?:/|$)", 1).alias("file_name")).agg(*aggs)
+        names = spark.createDataFrame([(p.rstrip("/").split("/")[-1],) for p in own], "file_name string")
+        wide = names.join(wide, "file_name", "left")
+        rows = wide.select("file_name", F.coalesce("data_rows", F.lit(0)).cast("long").alias("data_rows"), F.lit(len(schema.fields)).cast("long").alias("column_count"),
+                           F.lit(len(numeric)).cast("long").alias("numeric_column_count"))
+        files = rows if files is None else files.unionByName(rows)
         if numeric:
-            stack = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("col_no"), F.lit(c).alias("col_name"),
-                                                 F.col(f"min_{i}").alias("min"), F.col(f"max_{i}").alias("max"),
+            stack = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("col_no"), F.lit(c).alias("col_name"), F.col(f"min_{i}").alias("min"), F.col(f"max_{i}").alias("max"),
                                                  F.col(f"avg_{i}").alias("avg")) for i, c in numeric]))
-            col_frames.append(wide.select(F.lit(name).alias("file_name"), stack.alias("_s")).select("file_name", "_s.*"))
-    files = file_rows[0]
-    for f in file_rows[1:]:
-        files = files.unionByName(f)
-    cols = col_frames[0]
-    for c in col_frames[1:]:
-        cols = cols.unionByName(c)
+            own_cols = wide.select("file_name", stack.alias("_s")).select("file_name", "_s.*")
+            cols = own_cols if cols is None else cols.unionByName(own_cols)
     return files, cols
