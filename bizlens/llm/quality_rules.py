@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from bizlens.llm.common import id_type, materialize, materialize_by, ship_package, table, text_or_empty
 
-BUCKET_BITS = 23
+BUCKET_BITS = 17
 GRAMS_A_BUCKET = 4
 SKETCH_BITS = 12
 CHUNK_BYTES = 16 << 20  # of text in a chunk, or one document
@@ -303,7 +303,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     ship_package(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
     chunks = texts.mapInArrow(_pack, f"chunk long, ids array<{id_type(docs, id_col)}>, grams array<long>, registers binary, docs binary")
-    buckets = min(MAX_FILES, CHUNKS_A_TASK * texts.rdd.getNumPartitions())
+    buckets = max(1, min(MAX_FILES, CHUNKS_A_TASK * texts.rdd.getNumPartitions()))
     chunks = materialize_by(chunks, "chunks", "chunk", buckets)  # the totals come to the chunks, which stay where they are
     members = (chunks.select("chunk", "grams", F.posexplode("ids").alias("at", "_id")).select("chunk", "_id", "at", F.get("grams", "at").alias("grams"))
                .join(trusted_ids(labels, id_col), "_id"))
