@@ -550,7 +550,7 @@ SELECT order_id, d AS date, CASE kind % 3 WHEN 0 THEN 'Electronics' WHEN 1 THEN
        array_to_string(list_filter([CASE WHEN kind = 10 THEN 'date' END, CASE WHEN kind IN (8, 11) OR kind = 9 AND qty > 1 THEN 'quantity' END, CASE WHEN kind IN (8, 9) THEN 'unit_price' END], lambda v: v IS NOT NULL), ' ') AS rejected
 FROM y""".replace("FALLBACK", _caps("item")).replace("CAPS", _caps("item"))
 ORACLE["product_records"] = """WITH n AS (SELECT page_id AS i FROM pages), cost AS (SELECT i, lpad(CAST((i * 7) % 100 AS VARCHAR), 2, '0') AS cents FROM n)
-SELECT i AS page_id, CAST(0 AS INTEGER) AS pod_no, concat('set > ', i) AS title, CAST(concat(i % 90 + 10, '.', cents) AS DOUBLE) AS price,
-       CAST(CASE WHEN i % 6 = 5 THEN 0 ELSE i % 6 + 1 END AS INTEGER) AS rating, 'Unknown' AS availability FROM cost
+SELECT i AS page_id, CAST(0 AS BIGINT) AS pod_no, concat('set > ', i) AS title, CAST(concat(i % 90 + 10, '.', cents) AS DOUBLE) AS price,
+       CAST(CASE WHEN i % 6 = 5 THEN 0 ELSE i % 6 + 1 END AS BIGINT) AS rating, 'Unknown' AS availability FROM cost
 UNION ALL
 SELECT i, 1, concat('part & ', i), CAST(concat((i * 3) % 90 + 10, '.', cents) AS DOUBLE), 2, 'In stock' FROM cost"""
