@@ -1,18 +1,19 @@
 """Declared data-quality rules (K1-K6).
 
-Every check returns rows ``(rule, table, checked, violations)``.  Row-level
-rules of one table (NOT NULL, CHECK, format, length, generated column) share a
-single aggregation pass; keys and foreign keys need one grouping / anti join
-each.  ``violating_rows`` returns the offending rows themselves on request.
+Every check returns rows ``(rule, table, checked, violations)``.  ``row_rules``, ``unique_key`` and
+``foreign_key`` are single checks; ``check_tables`` takes all rules of several tables at once, with one
+scan a table and one shuffle for all their keys.  ``violating_rows`` returns the offending rows themselves on request.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RESULT_COLUMNS = ["rule", "table", "checked", "violations"]
 
@@ -69,32 +70,112 @@ def foreign_key(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: st
                          F.sum(F.when(F.col("_fk").isNotNull() & F.col("_hit").isNull(), F.col("_n"))).alias("violations")), rule, table)
 
 
-def check_table(df: DataFrame, table: str, rules: dict[str, Column], unique: Sequence[Sequence[str]] = (),
-                foreign: Sequence[tuple[str, DataFrame, str]] = ()) -> DataFrame:
-    """All rules of a table.
+@dataclass
+class Declared:
+    """A table with its declared rules: passing conditions, unique keys, and references
+    (column, table referred to, its column)."""
+    name: str
+    df: DataFrame
+    rules: dict[str, Column] = field(default_factory=dict)
+    unique: Sequence[Sequence[str]] = ()
+    foreign: Sequence[tuple[str, str, str]] = ()
+
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _key(cols: Sequence[str], whole: bool) -> list[Column]:
+    """A key as (long, long, text), all NULL if any of its columns is: one or two whole numbers as they are,
+    others as one text, each value with its length, so that no two keys fall together."""
+    has = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    none, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    if whole:
+        a, b = (F.when(has, F.col(c).cast("long")) for c in (cols[0], cols[-1]))
+        return [a, b, text]
+    parts = [F.col(c).cast("string") for c in cols]
+    return [none, none, F.concat(*(x for p in parts for x in (F.char_length(p).cast("string"), F.lit(":"), p)))]
+
 
-    The grouping of the first unique key also counts the violations of the row
-    rules, so these cost no scan of their own; each further unique or foreign
-    key (column, parent, parent's key) is one grouping of its pruned columns.
+def check_tables(tables: Sequence[Declared]) -> DataFrame:
+    """All rules of all tables, in one scan a table and one shuffle.
+
+    A key that is declared unique or referred to is a space of values.  Each row is expanded to an entry for each
+    space that it has a value in, as owner or as reference, and one for each row rule that it breaks.  One grouping by
+    (space, value), reduced in the tasks first, so that a hot value is one row a task, gives the owners and the references
+    of each value: two owners break the unique rule, references without an owner the foreign one.  NULL keys break
+    neither.  A second grouping leaves one row a space.
     """
-    names = list(rules)
-    broken = [F.count_if(~F.coalesce(rules[r], F.lit(True))).alias(f"_r{i}") for i, r in enumerate(names)]
-    n = F.count(F.lit(1)).alias("_n")
-    if unique:
-        has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in unique[0]])
-        g = df.groupBy(*unique[0]).agg(n, F.max(has_key).alias("_k"), *broken)
-        twice = F.coalesce(F.sum(F.when(F.col("_k") & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("_twice")
-        wide = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"), twice,
-                     *[F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"_r{i}") for i in range(len(names))])
-    else:
-        wide = df.agg(F.count(F.lit(1)).alias("checked"), *broken)
-    counts = [(r, f"_r{i}") for i, r in enumerate(names)] + ([(f"unique({', '.join(unique[0])})", "_twice")] if unique else [])
-    stack = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(c).cast("long").alias("violations")) for r, c in counts]))
-    parts = [wide.select("checked", stack.alias("_x")).select(F.col("_x.rule").alias("rule"), F.lit(table).alias("table"),
-                                                              F.col("checked").cast("long").alias("checked"), F.col("_x.violations").alias("violations"))]
-    parts += [unique_key(df, table, u) for u in unique[1:]]
-    parts += [foreign_key(df, table, fk, parent, pk) for fk, parent, pk in foreign]
-    return union_results(parts)
+    by_name = {t.name: t for t in tables}
+    spaces: dict[tuple[str, tuple[str, ...]], int] = {}
+    referrers: dict[int, int] = {}   # space -> references that it has so far
+    for t in tables:
+        for u in t.unique or ([t.df.columns[0]],):   # a table without a key still has its rows counted
+            spaces.setdefault((t.name, tuple(u)), len(spaces))
+    first = {t.name: next(no for (name, _), no in spaces.items() if name == t.name) for t in tables}
+    refs = []   # (table, column, space, number of the reference there)
+    for t in tables:
+        for fk, parent, pk in t.foreign:
+            space = spaces.setdefault((parent, (pk,)), len(spaces))
+            referrers[space] = referrers.get(space, -1) + 1
+            refs.append((t.name, fk, space, referrers[space]))
+    kind = {(t.name, c): isinstance(t.df.schema[c].dataType, _WHOLE) for t in tables for c in t.df.columns}
+    whole = {no: len(cols) <= 2 and all(kind[name, c] for c in cols) and all(kind[n, fk] for n, fk, space, _ in refs if space == no)
+             for (name, cols), no in spaces.items()}
+    rule_no = {(t.name, r): len(spaces) + i for i, (t, r) in enumerate((t, r) for t in tables for r in t.rules)}
+
+    def entry(space, key, ref, keep):
+        a, b, text = key
+        e = F.struct(F.lit(space).alias("space"), a.alias("a"), b.alias("b"), text.alias("text"), F.lit(ref).alias("ref"))
+        return e if keep is None else F.when(keep, e)
+
+    def has(key):
+        return key[0].isNotNull() | key[2].isNotNull()
+
+    nothing = [F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("string")]
+    parts = []
+    for t in by_name.values():
+        found = []
+        for (name, cols), no in spaces.items():
+            if name == t.name:   # rows are counted in the first space, so it takes NULL keys as well
+                key = _key(cols, whole[no])
+                found.append(entry(no, key, -1, None if no == first[name] else has(key)))
+        for name, fk, space, ref in refs:
+            if name == t.name:
+                key = _key([fk], whole[space])
+                found.append(entry(space, key, ref, has(key)))
+        found += [entry(rule_no[t.name, r], nothing, -1, ~F.coalesce(c, F.lit(True))) for r, c in t.rules.items()]
+        parts.append(t.df.select(F.inline(F.filter(F.array(*found), lambda e: e.isNotNull()))))
+    most = max(referrers.values(), default=-1) + 1
+    values = reduce(lambda x, y: x.unionByName(y), parts).groupBy("space", "a", "b", "text").agg(
+        F.count_if(F.col("ref") == -1).alias("own"), *(F.count_if(F.col("ref") == i).alias(f"ref{i}") for i in range(most)))
+    keyed = F.col("a").isNotNull() | F.col("text").isNotNull()
+    per_space = values.groupBy("space").agg(
+        F.sum("own").alias("rows"), F.sum(F.when(keyed & (F.col("own") > 1), F.col("own")).otherwise(0)).alias("twice"),
+        F.array(*(F.sum(F.when(F.col("own") == 0, F.col(f"ref{i}")).otherwise(0)) for i in range(most)), F.lit(0).cast("long")).alias("lost"))
+    # one entry for each declared key and rule
+    found = per_space.agg(F.map_from_entries(F.collect_list(F.struct("space", F.struct("rows", "twice", "lost")))).alias("found"))
+
+    def line(t, rule, value):
+        return F.struct(F.lit(rule).alias("rule"), F.lit(t.name).alias("table"), F.coalesce(F.col("found")[first[t.name]]["rows"], F.lit(0).cast("long")).alias("checked"),
+                        F.coalesce(value, F.lit(0).cast("long")).alias("violations"))
+
+    lines, ref_at = [], {(n, fk, i): (space, ref) for i, (n, fk, space, ref) in enumerate(refs)}
+    numbers = iter(range(len(refs)))
+    for t in tables:
+        lines += [line(t, r, F.col("found")[rule_no[t.name, r]]["rows"]) for r in t.rules]
+        lines += [line(t, f"unique({', '.join(u)})", F.col("found")[spaces[t.name, tuple(u)]]["twice"]) for u in t.unique]
+        for fk, _, _ in t.foreign:
+            space, ref = ref_at[t.name, fk, next(numbers)]
+            lines.append(line(t, f"foreign_key({fk})", F.col("found")[space]["lost"][ref]))
+    return found.select(F.inline(F.array(*lines))).select(*RESULT_COLUMNS)
+
+
+def check_table(df: DataFrame, table: str, rules: dict[str, Column], unique: Sequence[Sequence[str]] = (),
+                foreign: Sequence[tuple[str, DataFrame, str]] = ()) -> DataFrame:
+    """All rules of one table; references are (column, parent, parent's key)."""
+    parents = [Declared(f"parent {i}", parent.select(pk), unique=[[pk]]) for i, (_, parent, pk) in enumerate(foreign)]
+    own = Declared(table, df, rules, unique, [(fk, p.name, pk) for (fk, _, pk), p in zip(foreign, parents)])
+    return check_tables([own, *parents]).where(F.col("table") == table)
 
 
 def length_rules(limits: dict[str, int]) -> dict[str, Column]:

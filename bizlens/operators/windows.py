@@ -22,6 +22,7 @@ business: pass a unique tie-break column last.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import default_parallelism, ensure_checkpoint_dir
+from ..sources.scratch import materialize
 
 # (column name, ascending)
 OrderKey = tuple[str, bool]
@@ -143,12 +145,42 @@ def global_ntile(df: DataFrame, keys: Sequence[OrderKey], k: int, out_col: str)
     return ranked.withColumn(out_col, ntile_from_rank(F.col("_rn_"), F.col("_n_"), k)).drop("_rn_", "_n_")
 
 
+def _later(keys: Sequence[OrderKey], bound: Column) -> Column:
+    """Whether a row comes after the row of ``bound`` (a struct of the keys) in the order of ``keys``, NULLs last."""
+    out = F.lit(False)
+    for c, asc in reversed(keys):
+        x, y = F.col(f"`{c}`"), bound[c]
+        after = y.isNotNull() & (x.isNull() | F.coalesce(x > y if asc else x < y, F.lit(False)))
+        out = after | (x.eqNullSafe(y) & out)
+    return out
+
+
 def global_ntiles(df: DataFrame, orderings: dict[str, Sequence[OrderKey]], k: int) -> DataFrame:
-    """E5 for several orderings (RFM): ``{out_col: keys}``.  Pass a narrow frame:
-    each ordering deals it out anew."""
-    for col, keys in orderings.items():
-        df = global_ntile(df, keys, k, col)
-    return df
+    """E5 for several orderings (RFM): ``{out_col: keys}``; the keys of an ordering identify rows.
+
+    The keys alone, a narrow row for each ordering, are dealt by one range partitioning on (ordering, its
+    keys), which numbers them all.  Only the last row of each tile goes on, k - 1 an ordering; the rows themselves get
+    their tiles by comparing with these, without a shuffle of their own.  ``df`` is written once.
+    """
+    df = materialize(df, "ntiles")
+    fields = [(no, c, asc, f"_{no}_{i}") for no, keys in enumerate(orderings.values()) for i, (c, asc) in enumerate(keys)]
+    narrow = [df.select(F.lit(no).alias("_no"), *((F.col(f"`{c}`") if at == no else F.lit(None).cast(df.schema[c].dataType)).alias(name)
+                                                  for at, c, _, name in fields)) for no in range(len(orderings))]
+    ranked = global_running(reduce(DataFrame.unionByName, narrow), [("_no", True), *((name, asc) for _, _, asc, name in fields)],
+                            rn_col="_rn", total_col="_all")
+    n = (F.col("_all") / len(orderings)).cast("long")   # each ordering has every row once
+    ends = F.array(*(i * (n / k).cast("long") + F.least(F.lit(i), n % k) for i in range(1, k))).cast("array<bigint>")
+    last = (ranked.withColumn("_tiles", F.size(F.filter(ends, lambda e: e == F.col("_rn") - F.col("_no") * n)))  # several, where rows are fewer than tiles
+                  .where(F.col("_tiles") > 0))
+    bounds = last.agg(*(F.collect_list(F.when(F.col("_no") == no, F.struct("_tiles", *(F.col(name).alias(c) for at, c, _, name in fields if at == no)))).alias(f"_{no}")
+                        for no in range(len(orderings))))
+    found = df.withColumn("_bounds", bounds.select(F.struct(*bounds.columns)).scalar())
+
+    def tile(no, keys):
+        passed = F.filter(F.col(f"_bounds._{no}"), lambda end: _later(keys, end))
+        return F.aggregate(passed, F.lit(1), lambda n, end: n + end["_tiles"]).cast("long")
+
+    return found.select(*(F.col(f"`{c}`") for c in df.columns), *(tile(no, keys).alias(out) for no, (out, keys) in enumerate(orderings.items())))
 
 
 def top_n_per_group(df: DataFrame, group_cols: Sequence[str], keys: Sequence[OrderKey], n: int,
