@@ -327,6 +327,94 @@ def test_dual_coordinate_descent_separates():
     assert all(k * (w[r] @ np.array([1.0, 0.5]) + b) > 0.9 for r, k in zip(rows, y))
 
 
+GOOD, BAD = "river stone Harbour winter letter BUY 12".split(), "win Free cash!!! click $$$ now# x2Y BUY".split()
+
+
+def _small_corpus():
+    """Short texts of few words, so that no two features share a number; labels that mostly follow the words."""
+    rng = random.Random(11)
+    rows, labels = [], []
+    for i in range(72):
+        good = rng.random() < 0.5
+        rows.append((i, " ".join(rng.choice(GOOD if good == (rng.random() < 0.85) else BAD) for _ in range(rng.randrange(2, 5)))))
+        labels.append((i, int(good if i % 11 else not good)))
+    return [*rows, (72, ""), (73, None), (74, "unseen"), (75, "river river river.")], labels
+
+
+def _named_features(text):
+    """The features of a text by their names."""
+    words = text.split()
+    found = {("word", w.lower()) for w in words} | {("words", a.lower(), b.lower()) for a, b in zip(words, words[1:])}
+    shapes = []
+    for i, w in enumerate(words):
+        core, tail = re.fullmatch(r"(.*?)(\W*)", w).groups()
+        case = ("none" if not core else "number" if re.fullmatch(r"\d+", core) else "lower" if core == core.lower() else "upper" if core == core.upper() and len(core) > 1
+                else "capital" if core[0].isupper() else "letters" if core.isalpha() else "mixed")
+        mark = "none" if not tail else "point" if tail in list(".,;:?!") else "one" if len(tail) == 1 else "run" if len(set(tail)) == 1 else "several"
+        shapes.append((case, mark, i > 0 and w.lower() == words[i - 1].lower()))
+    return found | {("shape", *shapes[i:i + n]) for n in (1, 2, 3, 4) for i in range(len(shapes) - n + 1)}
+
+
+def test_quality_scores_by_an_independent_model(spark):
+    """A model over named features in dictionaries gives the query's scores."""
+    texts, labels = _small_corpus()
+    text = {i: t or "" for i, t in texts}
+    part = {i: zlib.crc32(str(i).encode()) % 4 for i in text}
+    named = {i: _named_features(t) for i, t in text.items()}
+    assert {len(quality_classifier.features(t)) == len(named[i]) for i, t in text.items()} == {True}
+    numbers = np.unique(np.concatenate([quality_classifier.features(t) for t in text.values()]))
+    assert len(numbers) == len(set().union(*named.values()))  # no collisions in this fixture
+
+    y = {i: 1 if q else -1 for i, q in labels}
+    known = [i for i in sorted(y) if part[i] in (0, 1)]
+    sums = {k: sum(len(named[i]) for i in known if y[i] == k) + quality_classifier.DIM for k in (1, -1)}
+    ratio = {}
+    for f in set().union(*(named[i] for i in known)):
+        n = {k: sum(f in named[i] for i in known if y[i] == k) for k in (1, -1)}
+        ratio[f] = math.log((n[1] + 1) / sums[1]) - math.log((n[-1] + 1) / sums[-1])
+
+    def scaled(i):
+        row = {f: ratio.get(f, 0.0) for f in named[i]}
+        norm = math.sqrt(sum(v * v for v in row.values()))
+        return {f: v / norm if norm else v for f, v in row.items()}
+
+    rows, weight, bias, alpha = {i: scaled(i) for i in text}, dict.fromkeys(ratio, 0.0), 0.0, dict.fromkeys(known, 0.0)
+    margin = lambda i: sum(weight.get(f, 0.0) * v for f, v in rows[i].items()) + bias
+    rng = np.random.default_rng(7)
+    for _ in range(quality_classifier.EPOCHS):
+        for at in rng.permutation(len(known)):
+            i = known[at]
+            new = alpha[i] + (1 - y[i] * margin(i)) / (sum(v * v for v in rows[i].values()) + 1)
+            step, alpha[i] = min(max(new, 0.0), 1.0) - alpha[i], min(max(new, 0.0), 1.0)
+            for f, v in rows[i].items():
+                weight[f] += step * y[i] * v
+            bias += step * y[i]
+    # the dual's bounds: the machine's value lies close to the optimum
+    size = sum(w * w for w in weight.values()) + bias * bias
+    primal, dual = size / 2 + sum(max(0.0, 1 - y[i] * margin(i)) for i in known), sum(alpha.values()) - size / 2
+    assert dual <= primal + 1e-9 and primal - dual < 0.05 * primal
+
+    rest = [i for i in sorted(y) if part[i] == 3]
+    good, bad = (sum(y[i] == k for i in rest) for k in (1, -1))
+    goal = {i: (good + 1) / (good + 2) if y[i] > 0 else 1 / (bad + 2) for i in rest}
+    a, b = 1.0, 0.0
+    curve = lambda x: 1 / (1 + math.exp(-x))
+    for _ in range(200):  # Newton steps on the two numbers of the curve
+        p = {i: curve(a * margin(i) + b) for i in rest}
+        ga, gb = sum((goal[i] - p[i]) * margin(i) for i in rest), sum(goal[i] - p[i] for i in rest)
+        haa, hab, hbb = (sum(p[i] * (1 - p[i]) * margin(i) ** k for i in rest) for k in (2, 1, 0))
+        det = haa * hbb - hab * hab
+        a, b = a + (hbb * ga - hab * gb) / det, b + (haa * gb - hab * ga) / det
+    expected = {i: curve(a * margin(i) + b) for i in text}
+
+    out = quality_classifier.classify_quality(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert abs(r.score - expected[r.doc_id]) < 1e-5, r
+        assert r.held_out == (part[r.doc_id] == 2) and r.predicted == int(r.score >= 0.7)
+    assert max(expected.values()) - min(expected.values()) > 0.3
+
+
 # secret scans
 
 KINDS = [("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
