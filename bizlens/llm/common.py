@@ -1,15 +1,18 @@
-"""Helpers shared by the operators: table scans, the shared scratch folder, ASCII words."""
+"""Helpers shared by the operators: table scans, tables in the shared scratch folder, ASCII words."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bizlens.sources.scratch import materialize, materialize_apart, scratch_space, ship_package
+from bizlens.sources.scratch import shared_path as scratch_path
+
+__all__ = ["SPACES", "id_type", "let", "materialize", "materialize_apart", "materialize_by", "running", "running_sums", "scratch_path",
+           "scratch_space", "ship_package", "table", "text_or_empty"]
+
 #: Separators of words, as in ``[^\x20\x09-\x0D]+``; ``bytes.split()`` splits on the same six bytes.
 SPACES = "\x20\x09-\x0D"
 
@@ -19,27 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, where that is
-    unset (tests, local sessions), a folder in the warehouse, which Spark shares as well."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-
-
-def scratch_path(spark: SparkSession, what: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/bizlens-{what}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost
-    executors, and gives the planner true sizes."""
-    spark = df.sparkSession
-    path = scratch_path(spark, what)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def materialize_by(df: DataFrame, what: str, key: str, buckets: int) -> DataFrame:
     """As ``materialize``, with the rows' places laid down by ``key``: joins and groupings on it that use
     ``buckets`` partitions don't move the rows again.  The catalog's entry is gone at once; the files stay."""
@@ -62,20 +44,6 @@ def id_type(df: DataFrame, col: str = "doc_id") -> str:
     return df.schema[col].dataType.simpleString()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the package to the executors' Python, once a session; Spark's own file service sends it."""
-    sc = spark.sparkContext
-    if getattr(sc, "_bizlens_shipped", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="bizlens-code-"), f"{package.name}.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(archive))
-    sc._bizlens_shipped = True
-
-
 def let(value: Column, use) -> Column:
     """``use(value)``, with ``value`` computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))

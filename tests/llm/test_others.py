@@ -1,6 +1,7 @@
 """Chat formatting, WARC archives, URL filters, the pipeline, and the queries' SQL."""
 
 import hashlib
+import os
 import re
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from bizlens.llm import chat_formatting, secret_scans, simhash, url_filters, warc
-from bizlens.llm.common import materialize, scratch_path, table
+from bizlens.llm.common import materialize, scratch_path, scratch_space, table
 from bizlens.llm.queries import ORACLE, QUERIES
 
 SF001 = "/root/testdata/sf0.001"
@@ -242,6 +243,18 @@ def test_pipeline_stages_by_brute_force(spark):
     assert corpus_pipeline.run(spark, SF001).count() > 0
 
 
+def test_a_run_leaves_only_the_results_of_its_stages(spark):
+    with scratch_space(spark) as path:
+        out = corpus_pipeline.run(spark, SF001)
+        folder = path.removeprefix("file:")
+        assert sorted(f.split("-")[1] for f in os.listdir(folder)) == sorted(n for n, _ in corpus_pipeline.STAGES[:-1])
+        got = {(r.doc_id, r.start, r.length, r.ids_crc32) for r in out.collect()}
+    docs = table(spark, SF001, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, SF001), "by-hand")
+    assert {r[0] for r in got} == {r.doc_id for r in docs.collect()} and got and not os.path.exists(folder)
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = table(spark, SF001, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
