@@ -2,7 +2,9 @@
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame.  Its result is written as Parquet
 in the shared folder and read again as the next stage's docs, so a lost executor costs no more
-than the stage at work.  All stages but the last return the columns of docs.
+than the stage at work; what a stage writes on its way is removed when its result stands.  The results
+themselves stay, unless ``run`` and the use of its rows lie in a ``scratch_space``.  All stages but the
+last return the columns of docs.
 
 Nulls, empty texts, repeated rows, empty tables and further columns: as each operator states.
 Rows with a null id pass the stages that judge documents by their id.
@@ -10,9 +12,11 @@ Rows with a null id pass the stages that judge documents by their id.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm.common import materialize, table
+from bizlens.llm.common import materialize_apart, table
 from bizlens.llm.decontamination import drop_contaminated
 from bizlens.llm.packing import pack_documents
 from bizlens.llm.quality_classifier import keep_quality
@@ -61,5 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, on the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = materialize_apart(spark, name, partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
