@@ -171,16 +171,19 @@ def read_records(spark: SparkSession, path: str, glob: str | None = None, split_
     """(file_path, block, at, cells) of every record of the files under ``path``: block is the start
     of the split in which it begins, at its place there, so they order a file's records.
 
-    The records are written to the shared folder, so both passes see the same splits.  Files without
+    The records are written to the shared folder, so both passes see the same splits.  A task takes many splits
+    of ``split_bytes``: there are as many tasks as Spark's own settings give the files, however small the splits.  Files without
     a record give no rows.  Of a file whose compression is broken the records before the break are read, and
     bytes that are no UTF-8 are replaced; ``folder.scan_errors`` names such files.
     """
     ship_package(spark)
     reader = spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", True)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
+    tasks = max(1, reader.text(path).rdd.getNumPartitions()) if split_bytes else None
     with _splits_of(spark, split_bytes):
         raw = reader.text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
                                        F.make_valid_utf8("value").alias("value"))
+        raw = raw.coalesce(tasks) if tasks else raw  # a split stays whole and in one task
         maps = materialize(raw.mapInArrow(_state_maps, "file_path string, block long, from_outside long, from_inside long"), "csv-states")
         states = materialize(split_states(maps), "csv-starts")
         # a row a split, so its size is bounded by the number of splits

@@ -53,6 +53,26 @@ def test_records_by_splits_match_the_csv_module(spark, split):
         assert own == rows, name
 
 
+def test_a_task_takes_many_small_splits(spark, monkeypatch):
+    """Both passes run in as many tasks as the files get by themselves, not in one a split."""
+    rows = [(i, "a\nb" * (i % 90), None if i % 7 else "") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, a string, b string").coalesce(2)
+    path = tempfile.mkdtemp(prefix="bizlens-quoted-") + "/t"
+    QC.write_quoted_csv(df, path)
+    tasks, materialize = {}, QC.materialize
+
+    def counted(frame, what):
+        tasks[what] = frame.rdd.getNumPartitions()
+        return materialize(frame, what)
+
+    monkeypatch.setattr(QC, "materialize", counted)
+    records = QC.read_records(spark, path, split_bytes=256)
+    blocks = records.select("file_path", "block").distinct().count()
+    own = spark.read.text(path).rdd.getNumPartitions()
+    assert blocks > 60 and tasks["csv-states"] <= own and tasks["csv-records"] <= own
+    assert sorted(map(tuple, QC.read_quoted_csv(spark, path, df.schema, 256).collect()), key=repr) == sorted(rows, key=repr)
+
+
 def test_quoted_csv_keeps_nulls_and_types(spark):
     rows = [(1, None, "a\nb", 1.5), (2, "", '"', None), (None, "\r\n, ,", "x,y", -2.0), (4, " lead ", "\n", 0.0)]
     df = spark.createDataFrame(rows, "id long, a string, b string, c double")
