@@ -140,18 +140,26 @@ def month_between(d: Column, year: int, month: int) -> Column:
 
 # The four accepted date layouts (regex, Spark pattern), tried in order.
 DATE_LAYOUTS = [
-    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    (r"^\d{2}/\d{2}/\d{4}$", "MM/dd/yyyy"),
-    (r"^\d{2}\.\d{2}\.\d{4}$", "dd.MM.yyyy"),
-    (r"^\d{2}-[A-Za-z]{3}-\d{4}$", "dd-MMM-yyyy"),
+    (r"^\d{4}-\d{2}-\d{2}\z", "yyyy-MM-dd"),
+    (r"^\d{2}/\d{2}/\d{4}\z", "MM/dd/yyyy"),
+    (r"^\d{2}\.\d{2}\.\d{4}\z", "dd.MM.yyyy"),
+    (r"^\d{2}-[A-Za-z]{3}-\d{4}\z", "dd-MMM-yyyy"),
 ]
 
 
 def parse_date_multi(s: Column) -> Column:
-    """First layout whose pattern matches decides; an impossible day gives NULL."""
+    """The layout whose pattern matches decides; an impossible day gives NULL.
+
+    The patterns exclude each other.  Layouts of digits are brought to the ISO one, whose cast needs no exception to
+    tell an impossible day.
+    """
     v = F.trim(s)
-    out = None
+    out = F
     for rx, fmt in DATE_LAYOUTS:
-        branch = F.when(v.rlike(rx), F.try_to_date(v, fmt))
-        out = branch if out is None else F.coalesce(out, branch)
+        if "MMM" in fmt:
+            day = F.try_to_date(v, fmt)
+        else:
+            iso = F.concat_ws("-", *(F.substring(v, fmt.index(part) + 1, len(part)) for part in ("yyyy", "MM", "dd")))
+            day = iso.try_cast("date")
+        out = out.when(v.rlike(rx), day)
     return out

@@ -25,18 +25,22 @@ def na_to_null(c: Column, markers=NA_MARKERS) -> Column:
 
 # The white space of text cells (Unicode's, and the ASCII separators 1C-1F).
 WHITE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+# The same characters one by one.
+WHITE_CHARS = "\t\n\x0B\f\r\x1C\x1D\x1E\x1F \x85\xA0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202F\u205F\u3000"
 # A plain number with an exponent if any; casts alone take type suffixes, hexadecimal and NaN.
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def squeeze(s: Column) -> Column:
-    """Trim and collapse inner whitespace runs to one space; no-break and other Unicode spaces are white space."""
-    return F.trim(F.regexp_replace(s, WHITE + "+", " "))
+    """Trim and collapse inner whitespace runs to one space; no-break and other Unicode spaces are white space.
+
+    A cell of visible ASCII characters alone stays as it is, which a look at its characters tells."""
+    return F.when(s.rlike("[^!-~]"), F.trim(F.regexp_replace(s, WHITE + "+", " "))).otherwise(s)
 
 
 def strip(s: Column) -> Column:
     """White space of all kinds off both ends."""
-    return F.regexp_replace(s, f"^{WHITE}+|{WHITE}+$", "")
+    return F.btrim(s, F.lit(WHITE_CHARS))
 
 
 def plain_number(s: Column) -> Column:
@@ -107,17 +111,29 @@ def text_join(sep: str, *cols: Column) -> Column:
     return F.concat_ws(sep, *cols)
 
 
+def price_number(s: Column) -> Column:
+    """H23, first step: strip ``$`` and ``,``, parse."""
+    return plain_number(F.translate(s, "$,", ""))
+
+
+def valid_price(v: Column) -> Column:
+    """H23, second step: negative -> NULL."""
+    return F.when(v >= 0, v)
+
+
 def parse_price(s: Column) -> Column:
     """Strip ``$`` and ``,``, parse, negative or unparsable -> NULL."""
-    v = plain_number(F.translate(s, "$,", ""))
-    return F.when(v >= 0, v)
+    return valid_price(price_number(s))
+
+
+def valid_quantity(v: Column, lo: float = 0, hi: float = 1000) -> Column:
+    """Outside [lo, hi] -> NULL, round half to even, integer."""
+    return F.bround(F.when((v >= lo) & (v <= hi), v), 0).cast("long")
 
 
 def parse_quantity(s: Column, lo: float = 0, hi: float = 1000) -> Column:
     """H24 + B13: parse, outside [lo, hi] -> NULL, round half to even, integer."""
-    v = plain_number(s)
-    v = F.when((v >= lo) & (v <= hi), v)
-    return F.bround(v, 0).cast("long")
+    return valid_quantity(plain_number(s), lo, hi)
 
 
 def rating_value(word: Column) -> Column:

@@ -46,23 +46,28 @@ def mark_missing(raw: DataFrame) -> DataFrame:
     return raw.select(*[X.na_to_null(F.col(c)).alias(c) for c in raw.columns])
 
 
-def clean_columns(df: DataFrame) -> list:
-    """The cleaning projection (steps 3-9) over de-duplicated string columns."""
-    s = {c: X.squeeze(F.col(c)) for c in SALES_COLUMNS}
-    return [
-        s["order_id"].try_cast("long").alias("order_id"),
-        D.parse_date_multi(s["date"]).alias("date"),
-        L.map_with_fallback(s["category"], CATEGORY_MAP).alias("category"),
-        X.proper(s["product_name"]).alias("product_name"),
-        X.parse_quantity(s["quantity"]).alias("quantity"),
-        X.parse_price(s["unit_price"]).alias("unit_price"),
-        L.map_with_fallback(s["region"], REGION_MAP).alias("region"),
-        s["salesperson"].alias("salesperson")]
+def clean_rows(df: DataFrame) -> DataFrame:
+    """The cleaning projections (steps 3-9) over de-duplicated string columns; further columns stay.
+
+    Each step's columns are used several times by the next one, so Spark keeps the steps apart: every cell is
+    squeezed once and every number parsed once, and no step's generated code is too long to be compiled.
+    """
+    more = [c for c in df.columns if c not in SALES_COLUMNS]
+    squeezed = df.select(*[X.squeeze(F.col(c)).alias(c) for c in SALES_COLUMNS], *more)
+    parsed = squeezed.withColumns({"date": D.parse_date_multi(F.col("date")), "quantity": X.plain_number(F.col("quantity")), "unit_price": X.price_number(F.col("unit_price"))})
+    return parsed.select(
+        F.col("order_id").try_cast("long").alias("order_id"), "date",
+        L.map_with_fallback(F.col("category"), CATEGORY_MAP).alias("category"),
+        X.proper(F.col("product_name")).alias("product_name"),
+        X.valid_quantity(F.col("quantity")).alias("quantity"),
+        X.valid_price(F.col("unit_price")).alias("unit_price"),
+        L.map_with_fallback(F.col("region"), REGION_MAP).alias("region"),
+        "salesperson", *more)
 
 
 def clean_sales(raw: DataFrame) -> DataFrame:
     """``raw`` is all strings (as read by ``read_sales_csv``)."""
-    return mark_missing(raw).dropDuplicates().select(*clean_columns(raw))
+    return clean_rows(mark_missing(raw).dropDuplicates())
 
 
 # Language codes and names.

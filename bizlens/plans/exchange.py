@@ -132,9 +132,9 @@ def cleaned_sales(t) -> DataFrame:
     path = shared_path(t.spark, "sales-export")
     S.write_csv(sales_export(t), path)
     raw = C.read_sales_csv(t.spark, path, cleaning.SALES_COLUMNS).dropDuplicates()
-    cleaned = raw.select(*cleaning.clean_columns(raw), *[F.col(c).alias(f"_{c}") for c in CHECKED])
-    rejected = F.filter(F.array(*(F.when(F.col(f"_{c}").isNotNull() & F.col(c).isNull(), F.lit(c)) for c in CHECKED)), lambda x: x.isNotNull())
-    return cleaned.withColumn("rejected", F.array_join(rejected, " ")).drop(*[f"_{c}" for c in CHECKED])
+    cleaned = cleaning.clean_rows(raw.select("*", *[F.col(c).alias(f"_{c}") for c in CHECKED]))
+    rejected = F.concat_ws(" ", *(F.when(F.col(f"_{c}").isNotNull() & F.col(c).isNull(), F.lit(c)) for c in CHECKED))
+    return cleaned.withColumn("rejected", rejected).drop(*[f"_{c}" for c in CHECKED])
 
 
 # --------------------------------------------------------------------------- A4 / L25, H29: product listings
