@@ -52,18 +52,32 @@ def monthly_running_total(t) -> DataFrame:
     return W.running_total(m, "month", "monthly_revenue", "cumulative_revenue")
 
 
+# Fixed value: rows of a shuffled table for one task, about.
+ROWS_A_TASK = 1 << 18
+
+
+def _tasks(df: DataFrame) -> int:
+    """Tasks for a shuffle of a table's rows: they grow with the table, so that a task's memory doesn't."""
+    return max(1, -(-df.count() // ROWS_A_TASK))
+
+
 def category_revenue(t) -> DataFrame:
     """L3: revenue, distinct orders and share per product category.
 
     The status filter is a semi join that leaves the lines dealt by order; with
     the category attached they are reduced to (order, category), so that the
     distinct order count is a plain count.  (A reduction to (order, product)
-    first would reduce nothing: an order has a product once.)
+    first would reduce nothing: an order has a product once.)  Where Spark copies
+    neither orders nor products to all tasks, the joins take the partitions of their right sides,
+    whose number follows the lines.
     """
+    n = _tasks(t["lineitem"])
     items = V.order_items(t).select("order_id", "product_id", "line_total")
-    kept = items.join(V.valid_orders(t).select("order_id"), "order_id", "left_semi")
-    per_order = (kept.join(V.products(t).select("product_id", "category"), "product_id")
-                     .groupBy("order_id", "category").agg(F.sum("line_total").alias("revenue")))
+    orders = V.valid_orders(t).select("order_id").repartition(n, "order_id")
+    products = V.products(t).select("product_id", "category").repartition(n, "product_id")
+    lines = items.join(orders, "order_id", "left_semi").join(products, "product_id")
+    # no shuffle where the lines still lie by order
+    per_order = lines.repartition(n, "order_id").groupBy("order_id", "category").agg(F.sum("line_total").alias("revenue"))
     cat = per_order.groupBy("category").agg(F.sum("revenue").alias("revenue"),
                                             F.count(F.lit(1)).alias("order_count"))
     return W.share_of_total(cat, "revenue", "pct_of_total")

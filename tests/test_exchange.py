@@ -10,6 +10,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from bizlens.functions import dates as D
 from bizlens.functions import text as X
 from bizlens.operators import hierarchy as H
 from bizlens.operators import quarantine as QU
@@ -196,6 +197,20 @@ def test_numbers_and_spaces(spark):
     assert marks.select(X.proper(F.col("s"))).first()[0] == "\u0001ab \u0001 c\u0001\u0001d".title()
 
 
+def test_cells_are_squeezed_once(spark):
+    raw = spark.createDataFrame([("1",) * 8], ", ".join(f"{c} string" for c in cleaning.SALES_COLUMNS))
+    plan = cleaning.clean_sales(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\u1680") == len(cleaning.SALES_COLUMNS), plan
+
+
+def test_white_space_and_days(spark):
+    ends = spark.createDataFrame([(f"{w}a {w}b{w}",) for w in X.WHITE_CHARS] + [("\x7f",), (" ",), (None,)], "s string")
+    assert [tuple(r) for r in ends.select(X.strip(F.col("s")), X.squeeze(F.col("s"))).collect()] == [(f"a {w}b", "a b") for w in X.WHITE_CHARS] + [("\x7f", "\x7f"), ("", ""), (None, None)]
+    days = ["2020-02-29", "2021-02-29", " 02/29/2020 ", "29/02/2020", "31.04.2021", "30.04.2021", "2020-02-29\n", "30.04.2021\n", "03-mar-2020", "31-Feb-2020", "2020-1-01", "", None]
+    got = [r[0] for r in spark.createDataFrame([(d,) for d in days], "s string").select(D.parse_date_multi(F.col("s")).cast("string")).collect()]
+    assert got == ["2020-02-29", None, "2020-02-29", None, None, "2021-04-30", None, None, "2020-03-03", None, None, None, None]
+
+
 def test_equal_turns_of_different_conversations_stay(spark):
     class T(dict):
         pass

@@ -1,8 +1,11 @@
 """Plan-shape checks for the scale properties the design relies on."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
+from bizlens.plans import revenue
 
 from conftest import SF001
 
@@ -56,6 +59,14 @@ def test_one_scan_of_line_items_and_nothing_written(spark, name):
     assert "ExistingRDD" not in plan.replace("LocalTableScan", "") or name == "budget_vs_actual"
 
 
+def test_partitions_follow_the_lines(spark, monkeypatch):
+    """The joins of category_revenue have the more partitions the more lines there are, whatever the session's number."""
+    monkeypatch.setattr(revenue, "ROWS_A_TASK", 100, raising=False)
+    n = -(-spark.read.parquet(f"{SF001}/lineitem.parquet").count() // 100)
+    found = re.findall(r"hashpartitioning\((?:order|product)_id#\d+L?, (?:category#\d+, )?(\d+)", _spark_plan(spark, "category_revenue"))
+    assert len(found) >= 4 and set(found) == {str(n)}
+
+
 @pytest.mark.parametrize("name", ["rfm_segments", "pareto", "value_segments", "sales_rank", "order_numbers", "order_lookups", "co_purchased_pairs"])
 def test_no_python_and_no_nested_loops(spark, name):
     plan = _spark_plan(spark, name)
