@@ -13,8 +13,9 @@ with the corpus, so they are joined without a forced broadcast, to the documents
 bit a document goes back to the texts.  The counts grow with the corpus as well
 and never meet in one place: documents are packed into chunks, a chunk sends each of its buckets
 once to the part that it belongs to, the part adds up and sends the totals back to the chunk.  A
-hot n-gram is one entry a chunk; a chunk and a part have bounded sizes, their
-numbers grow with the input.
+hot n-gram is one entry a chunk, so small input splits are packed together into chunks that are as large as
+a task can hold; a bucket's two counts, mostly small, travel as one byte and are compressed.  A chunk and
+a part have bounded sizes, their numbers grow with the input.
 """
 
 from __future__ import annotations
@@ -30,11 +31,13 @@ from bizlens.llm.common import id_type, materialize, materialize_by, ship_packag
 BUCKET_BITS = 17
 GRAMS_A_BUCKET = 4
 SKETCH_BITS = 12
-CHUNK_BYTES = 16 << 20  # of text in a chunk, or one document
+CHUNK_BYTES = 56 << 20  # of text in a chunk, or one document
+MIN_TASKS = 16  # that pack texts, so that small corpora keep the cores busy
 PART_GRAMS = 4 << 20  # n-grams in a part, before a chunk's repeats are counted as one
 MIN_PARTS = 64
 CHUNKS_A_TASK, MAX_FILES = 4, 1 << 16  # places for chunks: so many for each task that packs them
 ZSTD = 6
+SMALL = 22  # counts below it and their target counts, 253 pairs, take a byte together
 SMOOTHING = 1.0
 THRESHOLD = -0.25  # nats a n-gram; clean text scores about 0, junk far below
 MIN_WORDS = 50
@@ -112,6 +115,14 @@ def bucket_bits(n: float) -> int:
     return max(BUCKET_BITS, (-(-int(n) // GRAMS_A_BUCKET) - 1).bit_length())
 
 
+def runs(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in order, and how often each is there; sorts ``numbers``, where ``np.unique``
+    would copy or hash them."""
+    numbers.sort()
+    at = np.flatnonzero(np.concatenate([np.ones(min(1, len(numbers)), bool), numbers[1:] != numbers[:-1]]))
+    return numbers[at], np.diff(at, append=len(numbers))
+
+
 def to_planes(numbers: np.ndarray) -> bytes:
     """Numbers of 64 bits, all first bytes, all second ones and so on, as many as the largest needs,
     compressed."""
@@ -132,21 +143,40 @@ def from_planes(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def to_pairs(raw: np.ndarray, target: np.ndarray) -> bytes:
+    """Pairs of counts, the second at most the first, compressed: a byte a pair, where the first is below
+    ``SMALL``; the others are marked there and follow."""
+    small = raw < SMALL
+    low = np.where(small, raw, 0)
+    parts = [to_planes(x) for x in (np.where(small, low * (low + 1) // 2 + target, 255), raw[~small], target[~small])]
+    return b"".join([*(len(x).to_bytes(8, "little") for x in parts), *parts])
+
+
+def from_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    ends = np.cumsum([24, *(int.from_bytes(data[i:i + 8], "little") for i in (0, 8, 16))]).tolist()
+    codes, *large = (from_planes(data[a:b]).astype(np.int64) for a, b in zip(ends, ends[1:]))
+    first, marked = np.repeat(np.arange(SMALL), np.arange(1, SMALL + 1)), codes == 255
+    raw = first[np.where(marked, 0, codes)]
+    target = codes - raw * (raw + 1) // 2
+    raw[marked], target[marked] = large
+    return raw, target
+
+
 def _pack(parts):
     """Chunks of documents with their ids and numbers of n-grams."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
     def packed(held):
-        texts = pa.Table.from_batches(held)
+        texts = pa.Table.from_batches(held).combine_chunks()
         grams, registers = np.zeros(len(texts), np.int64), np.zeros(1 << SKETCH_BITS, np.uint8)
-        for i, text in enumerate(texts.column(1).to_pylist()):
-            found = gram_hashes(*word_ids(text))
+        for i, text in enumerate(texts.column(1)):
+            found = gram_hashes(*word_ids(text.as_py()))
             grams[i] = len(found)
             registers = np.maximum(registers, sketch(found))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=ZSTD))) as out:
-            out.write_table(texts.combine_chunks())
+            out.write_table(texts)
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), one(texts.column(0).combine_chunks()), one(pa.array(grams)),
                                            pa.array([registers.tobytes()], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
@@ -195,15 +225,30 @@ def _flags(members):
                      "n_target": pa.array([int(members.column("grams").to_numpy().sum())])})
 
 
-def _unpack(docs: bytes, trusted: bytes | None):
-    """The documents of a chunk: ids, texts, flags."""
+def _unpack(docs, trusted: bytes | None):
+    """The documents of a chunk: ids, texts (still Arrow's), flags."""
     import pyarrow as pa
 
     found = pa.ipc.open_stream(docs).read_all()
     set_bits = np.unpackbits(np.frombuffer(trusted or b"", np.uint8))[:len(found)]
     flags = np.zeros(len(found), bool)
     flags[:len(set_bits)] = set_bits
-    return found.column(0), found.column(1).to_pylist(), flags.tolist()
+    return found.column(0), found.column(1), flags
+
+
+class _Found:
+    """The buckets of a chunk's documents, one after the other in one array."""
+
+    def __init__(self, grams: list[int], bits: int):
+        self.all = np.zeros(sum(grams), np.uint32 if bits <= 32 else np.uint64)
+        self.ends = np.cumsum([0, *grams]).tolist()
+        self.bits = bits
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.all[self.ends[i]:self.ends[i + 1]]
+
+    def put(self, i: int, ids: np.ndarray, words: list[bytes]):
+        self[i][:] = buckets(ids, words, self.bits)
 
 
 def _ask(bits: int, n_parts: int):
@@ -214,22 +259,23 @@ def _ask(bits: int, n_parts: int):
         import pyarrow as pa
 
         for batch in batches:
-            for chunk, docs, trusted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                _, texts, flags = _unpack(docs.as_py(), trusted.as_py())
-                each = [buckets(*word_ids(t), bits) for t in texts]
-                known, raw = np.unique(np.concatenate(each), return_counts=True)
+            for chunk, grams, docs, trusted in zip(*(batch.column(i) for i in range(4))):
+                _, texts, flags = _unpack(docs.as_buffer(), trusted.as_py())
+                found = _Found(grams.as_py(), bits)
+                for i, text in enumerate(texts):
+                    found.put(i, *word_ids(text.as_py()))
+                del texts
+                some, n = runs(np.concatenate([found.all[:0], *(found[i] for i in np.flatnonzero(flags))]))
+                known, raw = runs(found.all)
                 target = np.zeros(len(known), np.int64)
-                trusted = [g for g, flag in zip(each, flags) if flag]
-                if trusted:
-                    some, n = np.unique(np.concatenate(trusted), return_counts=True)
-                    target[np.searchsorted(known, some)] = n
-                cuts = np.searchsorted(known, bounds).tolist()
+                target[np.searchsorted(known, some)] = n
+                cuts = np.searchsorted(known, bounds.astype(known.dtype)).tolist()
                 rows = [(k, a, b) for k, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(known)])) if a < b]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _, _ in rows], pa.int64()), pa.array([chunk] * len(rows), pa.int64()),
-                     pa.array([to_planes(np.diff(known[a:b], prepend=np.uint64(0))) for _, a, b in rows], pa.binary()),
-                     *(pa.array([to_planes(x[a:b]) for _, a, b in rows], pa.binary()) for x in (raw, target))],
-                    ["part", "chunk", "buckets", "raw", "target"])
+                    [pa.array([k for k, _, _ in rows], pa.int64()), pa.array([chunk.as_py()] * len(rows), pa.int64()),
+                     pa.array([to_planes(np.diff(known[a:b].astype(np.uint64), prepend=np.uint64(0))) for _, a, b in rows], pa.binary()),
+                     pa.array([to_pairs(raw[a:b], target[a:b]) for _, a, b in rows], pa.binary())],
+                    ["part", "chunk", "buckets", "counts"])
 
     return run
 
@@ -241,12 +287,10 @@ def _total(asked):
     each = [np.cumsum(from_planes(x.as_py()), dtype=np.uint64) for x in asked.column("buckets")]
     known, at = np.unique(np.concatenate(each), return_inverse=True)
     ends = np.cumsum([len(x) for x in each])[:-1]
-    out = []
-    for name in ("raw", "target"):
-        n = np.concatenate([from_planes(x.as_py()) for x in asked.column(name)])
-        total = np.bincount(at, n, len(known)).astype(np.int64)[at]
-        out.append(pa.array(map(to_planes, np.split(total, ends)), pa.binary()))
-    return pa.Table.from_arrays([asked.column("part"), asked.column("chunk"), *out], ["part", "chunk", "raw", "target"])
+    counts = [from_pairs(x.as_py()) for x in asked.column("counts")]
+    totals = (np.bincount(at, np.concatenate(x), len(known)).astype(np.int64)[at] for x in zip(*counts))
+    out = pa.array([to_pairs(*x) for x in zip(*(np.split(x, ends) for x in totals))], pa.binary())
+    return pa.Table.from_arrays([asked.column("part"), asked.column("chunk"), out], ["part", "chunk", "counts"])
 
 
 def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
@@ -271,18 +315,28 @@ def _judge(bits: int, scale: float, threshold: float, id_col: str):
     def run(chunk, totals):
         import pyarrow as pa
 
-        doc_ids, texts, trusted = _unpack(chunk.column("docs")[0].as_py(), chunk.column("trusted")[0].as_py())
-        rows, each = [], []
-        for text in texts:
+        doc_ids, texts, trusted = _unpack(chunk.column("docs")[0].as_buffer(), chunk.column("trusted")[0].as_py())
+        rows, found = [], _Found(chunk.column("grams")[0].as_py(), bits)
+        for i, text in enumerate(texts):
+            text = text.as_py()
             ids, words = word_ids(text)
             rows.append(base_measures(text, ids, len(words)))
-            each.append(buckets(ids, words, bits))
-        known = np.unique(np.concatenate(each))
-        totals = totals.sort_by("part")
-        raw, target = (np.concatenate([np.zeros(0), *(from_planes(x.as_py()) for x in totals.column(c))]) for c in ("raw", "target"))
-        if not len(known) == len(raw) == len(target):
+            found.put(i, ids, words)
+        del texts
+        known = runs(found.all.copy())[0]
+        counts, start, end = np.zeros((2, len(known)), np.uint32), 0, 0
+        for data in totals.sort_by("part").column("counts"):
+            part = np.stack(from_pairs(data.as_py()))
+            end = start + part.shape[1]
+            if end > len(known):
+                break
+            if part.max() >> 32 and counts.dtype == np.uint32:
+                counts = counts.astype(np.int64)
+            counts[:, start:end] = part
+            start = end
+        if end != len(known):
             raise RuntimeError("the totals of a chunk are not those of its buckets")
-        scores = np.array([log_ratio(g, flag, known, raw, target, scale) for g, flag in zip(each, trusted)], float)
+        scores = np.array([log_ratio(found[i], flag, known, *counts, scale) for i, flag in enumerate(trusted)], float)
         n = np.array(rows, np.int64).reshape(-1, len(BASE))
         failed = (n[:, 0] < MIN_WORDS) | (100 * n[:, 4] > MAX_REPEAT_PERCENT * n[:, 0])
         return pa.Table.from_arrays([doc_ids, *map(pa.array, n.T), pa.array(failed), pa.array(scores), pa.array(~failed & (scores >= threshold))],
@@ -302,6 +356,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """
     ship_package(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    size = texts.select(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
+    texts = texts.coalesce(max(MIN_TASKS, -(-size // CHUNK_BYTES)))
     chunks = texts.mapInArrow(_pack, f"chunk long, ids array<{id_type(docs, id_col)}>, grams array<long>, registers binary, docs binary")
     buckets = max(1, min(MAX_FILES, CHUNKS_A_TASK * texts.rdd.getNumPartitions()))
     chunks = materialize_by(chunks, "chunks", "chunk", buckets)  # the totals come to the chunks, which stay where they are
@@ -310,10 +366,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     flags = materialize(members.select("chunk", "at", "grams").groupBy("chunk").applyInArrow(_flags, "chunk long, trusted binary, n_target long"), "flags")
     raw = chunks.select(F.sum(F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
     target = flags.agg(F.sum("n_target")).first()[0] or 0
-    flagged = chunks.select("chunk", "docs").join(flags.select("chunk", "trusted"), "chunk", "left").select("chunk", "docs", "trusted")
+    flagged = chunks.select("chunk", "grams", "docs").join(flags.select("chunk", "trusted"), "chunk", "left").select("chunk", "grams", "docs", "trusted")
     bits, n_parts = bucket_bits(estimate_grams(chunks)), max(MIN_PARTS, -(-raw // PART_GRAMS))
-    asked = flagged.mapInArrow(_ask(bits, n_parts), "part long, chunk long, buckets binary, raw binary, target binary")
-    totals = asked.groupBy("part").applyInArrow(_total, "part long, chunk long, raw binary, target binary")
+    asked = flagged.mapInArrow(_ask(bits, n_parts), "part long, chunk long, buckets binary, counts binary")
+    totals = asked.groupBy("part").applyInArrow(_total, "part long, chunk long, counts binary")
     schema = f"`{id_col}` {id_type(docs, id_col)}, " + ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean, llr double, kept boolean"
     return (flagged.groupBy("chunk").cogroup(totals.groupBy("chunk"))
             .applyInArrow(_judge(bits, target / raw if raw else 0.0, threshold, id_col), schema))

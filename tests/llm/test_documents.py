@@ -243,6 +243,31 @@ def test_counts_of_chunks_and_parts(spark, docs, rows, monkeypatch):
     assert all((quality_rules.from_planes(quality_rules.to_planes(numbers[:n])) == numbers[:n]).all() for n in range(6))
 
 
+def test_small_splits_are_packed_together(spark, docs, monkeypatch):
+    """Splits beyond what fills a task don't each send the n-grams that they share."""
+    seen, write = [], quality_rules.materialize_by
+    monkeypatch.setattr(quality_rules, "materialize_by", lambda *a: seen.append(write(*a)) or seen[-1])
+    labels = spark.createDataFrame([(5, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int")
+    many = docs.unionByName(spark.range(100, 300).selectExpr("id AS doc_id", "repeat(concat('some words that all share ', id, ' '), 200) AS text"), allowMissingColumns=True)
+    key = lambda out: _sorted((r.doc_id, *tuple(r)[1:7], round(r.llr, 9)) for r in out.collect())
+    whole = key(quality_rules.quality_rules(many.repartition(60), labels))
+    assert len(whole) == many.count() and seen[0].count() <= quality_rules.MIN_TASKS
+    monkeypatch.setattr(quality_rules, "CHUNK_BYTES", 1 << 14)  # more tasks and chunks, same rows
+    assert key(quality_rules.quality_rules(many.repartition(60), labels)) == whole
+    assert seen[1].count() > seen[0].count()
+
+
+def test_pairs_of_counts_take_a_byte():
+    rng = np.random.default_rng(0)
+    raw = np.concatenate([np.arange(300), [1 << 33, 5], rng.geometric(0.4, 50_000)])
+    for target in (np.zeros_like(raw), raw, rng.integers(0, raw + 1)):
+        for n in (0, 1, 21, 22, 23, 256, len(raw)):
+            got = quality_rules.from_pairs(quality_rules.to_pairs(raw[:n], target[:n]))
+            assert (got[0] == raw[:n]).all() and (got[1] == target[:n]).all()
+    apart = len(quality_rules.to_planes(raw)) + len(quality_rules.to_planes(target))
+    assert len(quality_rules.to_pairs(raw, target)) < 0.9 * apart
+
+
 def test_buckets_grow_with_the_ngrams():
     for n in (0, 100, 5_000, 300_000, 3_000_000):
         hashes = np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64)
